@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,7 +43,7 @@ def chunks(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = C
         if not batch.num_rows:
             continue
         column = batch.column(batch.schema.get_field_index(text))
-        sizes = np.cumsum(np.array(pa.compute.binary_length(column).fill_null(0), dtype=np.int64))
+        sizes = np.cumsum(np.array(pc.binary_length(column).fill_null(0), dtype=np.int64))
         start = 0
         while start < batch.num_rows:
             base = sizes[start - 1] if start else 0

@@ -1,9 +1,10 @@
 """Queries of the training-data operators and their SQL, where SQL can express them."""
 
-from atomframe.llm import decontaminate
+from atomframe.llm import decontaminate, quality
 
 QUERIES = {
     "op6_decontaminate": decontaminate.op6_decontaminate,
+    "op10_quality": quality.op10_quality,
 }
 
 ORACLES = {

@@ -1,9 +1,10 @@
 """Queries of the training-data operators and their SQL, where SQL can express them."""
 
-from atomframe.llm import decontaminate, quality
+from atomframe.llm import decontaminate, langid, quality
 
 QUERIES = {
     "op6_decontaminate": decontaminate.op6_decontaminate,
+    "op9_langid": langid.op9_langid,
     "op10_quality": quality.op10_quality,
 }
 

@@ -42,7 +42,7 @@ def chunks(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = C
     for batch in batches:
         if not batch.num_rows:
             continue
-        column = batch.column(batch.schema.get_field_index(text))
+        column = batch.column(text)
         sizes = np.cumsum(np.array(pc.binary_length(column).fill_null(0), dtype=np.int64))
         start = 0
         while start < batch.num_rows:
@@ -54,12 +54,12 @@ def chunks(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = C
 
 def raw(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
     """A text column as UTF-8 bytes; null is empty."""
-    column = batch.column(batch.schema.get_field_index(name)).cast(pa.binary())
+    column = batch.column(name).cast(pa.binary())
     return [x or b"" for x in column.to_pylist()]
 
 
 def column(batch: pa.RecordBatch, name: str) -> pa.Array:
-    return batch.column(batch.schema.get_field_index(name))
+    return batch.column(name)
 
 
 def numbered(texts: list[list[bytes]]) -> tuple[np.ndarray, list[bytes], np.ndarray]:

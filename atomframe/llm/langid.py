@@ -190,7 +190,7 @@ def predict(docs: DataFrame, model: Model | None, keep: list[str] | None = None)
     """The ``keep`` columns (doc_id and text if none are named) with lang_pred and score."""
     keep = keep or ["doc_id", "text"]
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
-    return docs.select(*keep).mapInArrow(_predict(model, keep), f"{kinds}, lang_pred string, score double")
+    return docs.select(*dict.fromkeys([*keep, "text"])).mapInArrow(_predict(model, keep), f"{kinds}, lang_pred string, score double")
 
 
 def held_out() -> Column:

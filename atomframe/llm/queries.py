@@ -1,8 +1,9 @@
 """Queries of the training-data operators and their SQL, where SQL can express them."""
 
-from atomframe.llm import decontaminate, langid, quality
+from atomframe.llm import decontaminate, langid, quality, secrets
 
 QUERIES = {
+    "op3_secrets": secrets.op3_secrets,
     "op6_decontaminate": decontaminate.op6_decontaminate,
     "op9_langid": langid.op9_langid,
     "op10_quality": quality.op10_quality,

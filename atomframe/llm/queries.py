@@ -1,16 +1,18 @@
 """Queries of the training-data operators and their SQL, where SQL can express them."""
 
-from atomframe.llm import decontaminate, langid, packing, quality, secrets, tokenfiles
+from atomframe.llm import chat, decontaminate, langid, packing, quality, secrets, tokenfiles
 
 QUERIES = {
     "op3_secrets": secrets.op3_secrets,
     "op5_token_files": tokenfiles.op5_token_files,
     "op6_decontaminate": decontaminate.op6_decontaminate,
     "op7_packing": packing.op7_packing,
+    "op8_chat": chat.op8_chat,
     "op9_langid": langid.op9_langid,
     "op10_quality": quality.op10_quality,
 }
 
 ORACLES = {
     "op6_decontaminate": decontaminate.SQL,
+    "op8_chat": chat.SQL,
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -62,10 +63,21 @@ def column(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(name)
 
 
+class Numbering(dict):
+    """Gives each new key the next number."""
+
+    def __missing__(self, key):
+        n = self[key] = len(self)
+        return n
+
+    def all(self, keys: list) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, keys), dtype=np.int64, count=len(keys))
+
+
 def numbered(texts: list[list[bytes]]) -> tuple[np.ndarray, list[bytes], np.ndarray]:
     """Word numbers of all texts one after another, the distinct words by number, and the words in each text."""
-    ids: dict[bytes, int] = {}
-    numbers = np.fromiter((ids.setdefault(w, len(ids)) for words in texts for w in words), dtype=np.int64)
+    ids = Numbering()
+    numbers = np.fromiter(map(ids.__getitem__, itertools.chain.from_iterable(texts)), dtype=np.int64)
     return numbers, list(ids), np.array([len(words) for words in texts], dtype=np.int64)
 
 

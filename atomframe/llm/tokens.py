@@ -8,52 +8,50 @@ together. Texts with any other white space next to a space are encoded whole.
 
 from __future__ import annotations
 
+import itertools
 import json
 import os
 import re
 
 import numpy as np
 
-from atomframe.llm.common import ranges
+from atomframe.llm.common import Numbering, ranges
 
-#: Pieces, heads and rests remembered in a worker (of each so many), and the longest one remembered.
-REMEMBERED, LONGEST = 250_000, 40
-NEW = -1
+#: Pieces remembered in a worker, and heads and rests.
+REMEMBERED, PARTS, MEAN = 500_000, 250_000, 16
 HEAD = re.compile(r"[^\W\d_]+")
 
 
 class Store:
-    """Ids of strings, one after another; at most REMEMBERED strings stay from one call to the next."""
+    """Ids of strings, one after another; at most ``room`` strings stay from one call to the next."""
 
-    def __init__(self):
-        self.known: dict[str, int] = {}
+    def __init__(self, room: int = REMEMBERED):
+        self.room, self.known, self.kept, self.chars = room, Numbering(), 0, 0
         self.begin, self.length, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
 
-    def find(self, names: list[str]) -> np.ndarray:
-        return np.fromiter((self.known.get(p, NEW) for p in names), dtype=np.int64, count=len(names))
+    def find(self, names: list[str]) -> tuple[np.ndarray, list[str]]:
+        """The numbers of ``names``, and those that are new, in the order of their numbers."""
+        old = len(self.known)
+        found = self.known.all(names)
+        return found, list(itertools.islice(reversed(self.known), len(self.known) - old))[::-1]
 
-    def add(self, names: list[str], length: np.ndarray, flat: np.ndarray) -> np.ndarray:
-        """Numbers of the new names; those that do not stay are gone after the next ``trim``."""
-        at = len(self.begin) + np.arange(len(names))
+    def add(self, length: np.ndarray, flat: np.ndarray) -> None:
+        """The ids of the new names."""
         self.begin = np.concatenate([self.begin, len(self.flat) + np.cumsum(length) - length])
         self.length = np.concatenate([self.length, length])
         self.flat = np.concatenate([self.flat, flat])
-        self.added = names
-        return at
 
     def trim(self) -> None:
-        """Forgets what has no room: strings added last, and all that are too long."""
-        names, self.added = getattr(self, "added", []), []
-        old, room = len(self.begin) - len(names), REMEMBERED - len(self.known)
-        keep = [k for k, p in enumerate(names) if len(p) <= LONGEST][: max(0, room)]
-        at = old + np.array(keep, dtype=np.int64)
-        flat = self.flat[ranges(self.begin[at], self.length[at])]
-        end = int(self.begin[old - 1] + self.length[old - 1]) if old else 0
-        for k, i in enumerate(keep):
-            self.known[names[i]] = old + k
-        self.begin = np.concatenate([self.begin[:old], end + np.cumsum(self.length[at]) - self.length[at]])
-        self.length = np.concatenate([self.length[:old], self.length[at]])
-        self.flat = np.concatenate([self.flat[:end], flat])
+        """Forgets the names that came last, as far as there is no room (on average MEAN characters and ids a name)."""
+        new = list(itertools.islice(reversed(self.known), len(self.known) - self.kept))[::-1]
+        sizes = np.cumsum([len(p) for p in new]) + self.chars + np.cumsum(self.length[self.kept :])
+        stay = min(int(np.searchsorted(sizes, 2 * MEAN * self.room, side="right")), self.room - self.kept)
+        for _ in range(len(new) - stay):
+            self.known.popitem()
+        self.chars, self.kept = int(sizes[stay - 1]) if stay else self.chars, len(self.known)
+        self.begin, self.length = self.begin[: len(self.known)], self.length[: len(self.known)]
+        if len(self.flat) > (end := int(self.begin[-1] + self.length[-1]) if len(self.begin) else 0):
+            self.flat = self.flat[:end].copy()
 
 
 class Encoder:
@@ -71,7 +69,7 @@ class Encoder:
         for token, i in vocab.items():
             self.sizes[i] = len(token)
         self.byte_level = json.loads(self.tokenizer.to_str())["pre_tokenizer"]["type"] == "ByteLevel"
-        self.pieces, self.heads, self.rests = Store(), Store(), Store()
+        self.pieces, self.heads, self.rests = Store(), Store(PARTS), Store(PARTS)
         if hasattr(self.tokenizer.model, "_resize_cache"):
             self.tokenizer.model._resize_cache(0)
 
@@ -80,6 +78,8 @@ class Encoder:
 
     def _together(self, names: list[str], space: str) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of ids, and the ids, of strings that each begin a pretoken, each after ``space``."""
+        if not names:
+            return np.zeros(0, np.int64), np.zeros(0, np.uint32)
         if not space:
             each = self.whole(names)
             return np.array([len(x) for x in each], dtype=np.int64), np.concatenate([np.zeros(0, np.uint32), *each])
@@ -97,31 +97,28 @@ class Encoder:
             raise ValueError("the tokenizer joined pieces across a space")
         return np.diff(last, prepend=0).astype(np.int64), flat
 
-    def _looked_up(self, store: Store, names: list[str], space: str) -> np.ndarray:
-        found = store.find(names)
-        missing: dict[str, int] = {}
-        new = np.flatnonzero(found == NEW)
-        number = np.array([missing.setdefault(names[i], len(missing)) for i in new.tolist()], dtype=np.int64)
-        distinct = list(missing)
-        if distinct:
-            found[new] = store.add(distinct, *self._together(distinct, space))[number]
-        return found
-
     def _new_pieces(self, names: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Numbers of ids, and the ids, of pieces after a space."""
-        heads, rests, cut = [], [], []
-        for p in names:
-            m = HEAD.match(p)
-            n = m.end() if m and m[0].isalpha() else len(p)
+        """Numbers of ids, and the ids, of pieces after a space; none for a piece with white space at its ends."""
+        heads, rests, parted, whole = [], [], [], []
+        for k, p in enumerate(names):
+            if not p or p[0].isspace() or p[-1].isspace():
+                continue
+            whole.append(k)
+            n = len(p)
+            if not p.isalpha():
+                m = HEAD.match(p)
+                if m and m[0].isalpha():
+                    n = m.end()
+                    rests.append(p[n:])
+                    parted.append(k)
             heads.append(p[:n])
-            cut.append(n < len(p))
-            if n < len(p):
-                rests.append(p[n:])
-        h, r = self._looked_up(self.heads, heads, " "), self._looked_up(self.rests, rests, "")
-        cut = np.array(cut, dtype=bool)
+        h, new = self.heads.find(heads)
+        self.heads.add(*self._together(new, " "))
+        r, new = self.rests.find(rests)
+        self.rests.add(*self._together(new, ""))
         begin, length = np.zeros((len(names), 2), np.int64), np.zeros((len(names), 2), np.int64)
-        begin[:, 0], length[:, 0] = self.heads.begin[h], self.heads.length[h]
-        begin[cut, 1], length[cut, 1] = self.rests.begin[r] + len(self.heads.flat), self.rests.length[r]
+        begin[whole, 0], length[whole, 0] = self.heads.begin[h], self.heads.length[h]
+        begin[parted, 1], length[parted, 1] = self.rests.begin[r] + len(self.heads.flat), self.rests.length[r]
         flat = np.concatenate([self.heads.flat, self.rests.flat])[ranges(begin.ravel(), length.ravel())]
         self.heads.trim()
         self.rests.trim()
@@ -139,19 +136,10 @@ class Encoder:
             pieces += rest
         counts = np.array(counts, dtype=np.int64)
         store = self.pieces
-        found = store.find(pieces)
-        missing: dict[str, int] = {}
-        new = np.flatnonzero(found == NEW)
-        number = np.array([missing.setdefault(pieces[i], len(missing)) for i in new.tolist()], dtype=np.int64)
-        names = list(missing)
-        clean = np.array([bool(p) and not p[0].isspace() and not p[-1].isspace() for p in names], dtype=bool)
-        good = [p for p, ok in zip(names, clean.tolist(), strict=True) if ok]
-        place = np.full(len(names), -1, dtype=np.int64)
-        if good:
-            place[clean] = store.add(good, *self._new_pieces(good))
-        found[new] = place[number]
+        found, new = store.find(pieces)
+        store.add(*self._new_pieces(new))
         ends = np.cumsum(counts)
-        bad = np.concatenate([[0], np.cumsum(found < 0)])
+        bad = np.concatenate([[0], np.cumsum(store.length[found] == 0)])
         whole = bad[ends] - bad[ends - counts] > 0
         whole |= np.array([n > 0 and (not f or f[-1].isspace()) for f, n in zip(firsts, counts, strict=True)], dtype=bool)
         head = iter(self.whole([f for f, w in zip(firsts, whole, strict=True) if not w]))

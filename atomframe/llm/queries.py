@@ -1,8 +1,9 @@
 """Queries of the training-data operators and their SQL, where SQL can express them."""
 
-from atomframe.llm import chat, decontaminate, langid, packing, quality, secrets, tokenfiles
+from atomframe.llm import chat, decontaminate, hmm, langid, packing, quality, secrets, tokenfiles
 
 QUERIES = {
+    "op1_hmm": hmm.op1_hmm,
     "op3_secrets": secrets.op3_secrets,
     "op5_token_files": tokenfiles.op5_token_files,
     "op6_decontaminate": decontaminate.op6_decontaminate,

@@ -1,11 +1,12 @@
 """Queries of the training-data operators and their SQL, where SQL can express them."""
 
-from atomframe.llm import chat, decontaminate, hmm, jaccard, langid, packing, quality, secrets, tokenfiles
+from atomframe.llm import chat, decontaminate, hmm, jaccard, langid, packing, quality, repeats, secrets, tokenfiles
 
 QUERIES = {
     "op1_hmm": hmm.op1_hmm,
     "op2_jaccard": jaccard.op2_jaccard,
     "op3_secrets": secrets.op3_secrets,
+    "op4_repeats": repeats.op4_repeats,
     "op5_token_files": tokenfiles.op5_token_files,
     "op6_decontaminate": decontaminate.op6_decontaminate,
     "op7_packing": packing.op7_packing,

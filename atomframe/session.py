@@ -23,3 +23,14 @@ def get_session(app: str = "atomframe", **conf: str) -> SparkSession:
 def table(spark: SparkSession, sf_dir: str, name: str):
     """One of the tables in ``sf_dir``, by Spark's own reader."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def checkpointed(df):
+    """``df`` with its lineage cut in the shared folder the session names; a temporary one only where it names none."""
+    import tempfile
+
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        path = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        context.setCheckpointDir(path or tempfile.mkdtemp(prefix="spark-"))
+    return df.checkpoint()

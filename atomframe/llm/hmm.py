@@ -11,8 +11,8 @@ every training document counts once per epoch, and the counts of earlier steps f
 a whole text is exact: the scaled forward recursion over its classes plus the words' shares.
 
 Counts of words: the head (at most ``HEAD`` words, each with at least a ``HEAD``-th of a bucket's tokens) is
-broadcast; the others go to buckets of the vocabulary together with the documents that have them, already added up
-within each task, and come back as sums for each document. No word and no document is gathered anywhere.
+broadcast; the others go to buckets of the vocabulary together with the documents of a chunk that have them, and come
+back as one row of sums for each bucket and chunk. No word and no document is gathered anywhere.
 
 Null and empty texts have the end token only. Rows with equal ids and texts get equal rows. Rows without doc_id are
 training rows. Extra columns are ignored. Without training documents every token has log10 probability 0 in the base.
@@ -219,12 +219,13 @@ def _score_rows(model: Model, counts: Counts, buckets: int):
             known = head[numbers]
             logs = np.bincount(docs, weights=np.where(known > 0, np.log(known + 0.5), 0.0), minlength=len(texts)) + end
             seen = np.bincount(docs, weights=known > 0, minlength=len(texts)).astype(np.int64) + (counts.tokens[END] > 0)
-            keys = np.array([xxhash.xxh3_64_intdigest(t) for t in texts], dtype=np.uint64).view(np.int64)
             ids_of = np.array([0 if i is None else i for i in column(batch, "doc_id").to_pylist()], dtype=np.int64)
             has = np.array(column(batch, "doc_id").is_valid(), dtype=bool)
             train = ~np.array(column(batch, "held_out"), dtype=bool)
-            names = (ids_of.tobytes(), has.tobytes(), keys.tobytes(), train.tobytes())
-            rows = [((part + number) % buckets, None, np.stack([lengths + 1, seen]).tobytes(), np.stack([logs, likelihood]).tobytes(), *names)]
+            key = f"{part}-{number}-{xxhash.xxh3_64_hexdigest(ids.tobytes() + ids_of.tobytes())}"
+            flags = np.packbits(train).tobytes()
+            own = (ids_of.tobytes(), has.tobytes(), np.stack([lengths + 1, seen]).tobytes(), np.stack([logs, likelihood]).tobytes())
+            rows = [((part + number) % buckets, key, None, *own)]
             pairs, n = np.unique(numbers[known == 0] * len(texts) + docs[known == 0], return_counts=True)
             word, doc = np.divmod(pairs, max(1, len(texts)))
             firsts = np.searchsorted(word, np.arange(len(words) + 1))
@@ -233,59 +234,70 @@ def _score_rows(model: Model, counts: Counts, buckets: int):
                 mine = tail[at]
                 size = firsts[mine + 1] - firsts[mine]
                 take = ranges(firsts[mine], size)
-                rows.append((b, b"\n".join(words[i] for i in mine.tolist()), np.stack([doc[take], n[take]]).astype(np.int32).tobytes(), size.astype(np.int32).tobytes(), *names))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), *[pa.binary()] * 7), strict=True)], BLOB)
+                rows.append((b, key, b"\n".join(words[i] for i in mine.tolist()), doc[take].astype(np.int32).tobytes(), n[take].astype(np.int32).tobytes(), size.astype(np.int32).tobytes(), flags))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), pa.string(), *[pa.binary()] * 5), strict=True)], BLOB)
 
     return run
 
 
-BLOB = ["bucket", "words", "a", "b", "doc_ids", "has", "keys", "train"]
-SUMS = "doc_id long, has boolean, key long, rows long, n_tokens long, n_known long, logs double, likelihood double"
+BLOB = ["bucket", "chunk", "words", "a", "b", "c", "d"]
+SUMS = ["chunk", "own", "a", "b", "c", "d"]
 
 
 def _sum_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """What a bucket of the vocabulary adds to each document's sums."""
+    """What a bucket of the vocabulary adds to the documents of each chunk: one row for each blob; their own sums pass."""
     total: dict[bytes, int] = {}
     held = []
 
-    def row(r: dict, **sums) -> pa.RecordBatch:
-        ids, has, keys = np.frombuffer(r["doc_ids"], np.int64), np.frombuffer(r["has"], bool), np.frombuffer(r["keys"], np.int64)
-        zero = np.zeros(len(ids), np.int64)
-        use = sums.pop("use", slice(None))
-        values = {"rows": zero, "n_tokens": zero, "n_known": zero, "logs": zero.astype(float), "likelihood": zero.astype(float)} | sums
-        return pa.RecordBatch.from_arrays([pa.array(ids[use]), pa.array(has[use]), pa.array(keys[use]), *(pa.array(v[use]) for v in values.values())], ["doc_id", "has", "key", *values])
+    def rows(found: list) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in found], t) for k, t in enumerate((pa.string(), pa.bool_(), *[pa.binary()] * 4))], SUMS)
 
     for batch in batches:
+        passed = []
         for r in batch.to_pylist():
             if r["words"] is None:
-                tokens, known = np.frombuffer(r["a"], np.int64).reshape(2, -1)
-                logs, likelihood = np.frombuffer(r["b"], np.float64).reshape(2, -1)
-                yield row(r, rows=np.ones(len(tokens), np.int64), n_tokens=tokens, n_known=known, logs=logs, likelihood=likelihood)
+                passed.append((r["chunk"], True, r["a"], r["b"], r["c"], r["d"]))
                 continue
-            doc, n = np.frombuffer(r["a"], np.int32).reshape(2, -1)
-            size = np.frombuffer(r["b"], np.int32)
-            train = np.frombuffer(r["train"], bool)
-            by_word = np.add.reduceat(n * train[doc], np.cumsum(size) - size)
+            doc, n, size = (np.frombuffer(r[c], np.int32) for c in "abc")
+            train = np.unpackbits(np.frombuffer(r["d"], np.uint8))
+            by_word = np.add.reduceat(n * train[doc].astype(np.int64), np.cumsum(size) - size)
             words = r["words"].split(b"\n")
             for w, x in zip(words, by_word.tolist(), strict=True):
                 total[w] = total.get(w, 0) + x
-            held.append((words, doc, n, size, r))
-    for words, doc, n, size, r in held:
+            held.append((r["chunk"], words, doc, n, size))
+        yield rows(passed)
+    for chunk, words, doc, n, size in held:
         count = np.repeat(np.fromiter((total[w] for w in words), dtype=np.int64, count=len(words)), size)
-        docs = len(r["has"])
-        logs = np.bincount(doc, weights=n * np.log(count + 0.5), minlength=docs)
-        known = np.bincount(doc, weights=n * (count > 0), minlength=docs).astype(np.int64)
-        yield row(r, n_known=known, logs=logs, use=np.unique(doc))
+        some = np.unique(doc)
+        logs = np.bincount(doc, weights=n * np.log(count + 0.5))[some]
+        known = np.bincount(doc, weights=n * (count > 0))[some].astype(np.int64)
+        yield rows([(chunk, False, some.astype(np.int32).tobytes(), known.tobytes(), logs.tobytes(), None)])
+
+
+def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds up the rows of each chunk: one row for each document."""
+    own: dict[str, tuple] = {}
+    parts_of: dict[str, list] = {}
+    for batch in batches:
+        for r in batch.to_pylist():
+            if r["own"]:
+                own[r["chunk"]] = (np.frombuffer(r["a"], np.int64), np.frombuffer(r["b"], bool), np.frombuffer(r["c"], np.int64).reshape(2, -1).copy(), np.frombuffer(r["d"], np.float64).reshape(2, -1).copy())
+            else:
+                parts_of.setdefault(r["chunk"], []).append((np.frombuffer(r["a"], np.int32), np.frombuffer(r["b"], np.int64), np.frombuffer(r["c"], np.float64)))
+    for chunk, (ids, has, counts, sums) in own.items():
+        for doc, known, logs in parts_of.get(chunk, []):
+            counts[1][doc] += known
+            sums[0][doc] += logs
+        yield pa.RecordBatch.from_arrays([pa.array(ids, mask=~has), pa.array(counts[0]), pa.array(counts[1]), pa.array(sums[0]), pa.array(sums[1])], ["doc_id", "n_tokens", "n_known", "logs", "likelihood"])
 
 
 def score(docs: DataFrame, model: Model, counts: Counts) -> DataFrame:
     """doc_id, n_tokens, n_known, base_score and score for ``docs`` (doc_id, text, held_out)."""
     buckets = parts(docs.sparkSession)
-    blobs = docs.mapInArrow(_score_rows(model, counts, buckets), "bucket int, " + ", ".join(f"{c} binary" for c in BLOB[1:]))
-    sums = blobs.repartition(buckets, "bucket").mapInArrow(_sum_documents, SUMS).groupBy("doc_id", "has", "key").agg(*[F.sum(c).alias(c) for c in ("rows", "n_tokens", "n_known", "logs", "likelihood")])
+    blobs = docs.mapInArrow(_score_rows(model, counts, buckets), "bucket int, chunk string, words binary, a binary, b binary, c binary, d binary")
+    sums = blobs.repartition(buckets, "bucket").mapInArrow(_sum_documents, "chunk string, own boolean, a binary, b binary, c binary, d binary")
+    one = sums.repartition(buckets, "chunk").mapInArrow(_finish, "doc_id long, n_tokens long, n_known long, logs double, likelihood double")
     norm = float(np.log10(max(counts.total + 0.5 * (counts.distinct + 1), 0.5)))
-    each = [(F.col(c) / F.col("rows")).cast(t).alias(c) for c, t in (("n_tokens", "long"), ("n_known", "long"), ("logs", "double"), ("likelihood", "double"))]
-    one = sums.select(F.when(F.col("has"), F.col("doc_id")).alias("doc_id"), *each, F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))))
     base = F.col("logs") / F.lit(float(np.log(10))) - F.col("n_tokens") * F.lit(norm)
     return one.select("doc_id", "n_tokens", "n_known", base.alias("base_score"), ((F.col("logs") + F.col("likelihood")) / F.lit(float(np.log(10)))).alias("score"))
 

@@ -36,7 +36,7 @@ def natural_key(system: str, frame: str) -> list[Column]:
 
 def slug(name: str) -> Column:
     """Lower case, runs of other characters as one underscore, none at the ends."""
-    return F.trim(F.lit("_"), F.regexp_replace(F.lower(name), "[^a-z0-9]+", "_"))
+    return F.trim(F.regexp_replace(F.lower(name), "[^a-z0-9]+", "_"), F.lit("_"))
 
 
 def formula(elements: str, counts: str) -> Column:

@@ -1,4 +1,7 @@
 """All registered queries and their SQL, gathered from the modules of this package."""
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from atomframe.plans import campaigns, curation, evaluation
+
+MODULES = (evaluation, curation, campaigns)
+QUERIES = {k: v for m in MODULES for k, v in m.QUERIES.items()}
+ORACLES = {k: v for m in MODULES for k, v in m.ORACLES.items()}

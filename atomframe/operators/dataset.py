@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from atomframe.functions.expressions import count_not_finite, element_counts, formula, missing_names, remapped
@@ -123,8 +124,6 @@ def similar_names(missing: DataFrame, known: DataFrame, name: str, least: float
 
 def matching_ratio(a: str = "name", b: str = "suggestion") -> Column:
     """The matching-block similarity of two names (2 * matches / total length), as an Arrow batch function."""
-    import pandas as pd
-
     @F.pandas_udf("double")
     def ratio(x: pd.Series, y: pd.Series) -> pd.Series:
         from difflib import SequenceMatcher

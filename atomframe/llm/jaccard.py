@@ -34,6 +34,8 @@ from atomframe.llm.common import chunks, column, mixed, numbered, parts, raw, sa
 SIEVE = 1 << 22
 #: N-grams with a level above 0 at most (they are broadcast), and documents that make an n-gram common.
 MOST_COMMON, COMMON = 1 << 20, 32
+#: Bits of the filter that goes to all tasks.
+FILTER = 1 << 25
 NONE = np.zeros(0, np.uint64)
 
 
@@ -213,7 +215,7 @@ def _chunk_rows(join: Join, buckets: int):
             at = {k: i for i, k in enumerate(sets)}
             comp_of = [int(names[comps.find(at[k])]) if len(s) else None for k, s in zip(nodes, every, strict=True)]
             size = len(nodes)
-            yield pa.RecordBatch.from_arrays([pa.nulls(size, pa.int32()), pa.nulls(size, pa.binary()), pa.nulls(size, pa.binary()), column(batch, "doc_id"), column(batch, "text_key"), pa.array([k if len(s) else None for k, s in zip(nodes, every, strict=True)], pa.int64()), pa.array([len(s) for s in every], pa.int64()), pa.array(comp_of, pa.int64())], ROW)
+            yield pa.RecordBatch.from_arrays([pa.nulls(size, pa.int32()), pa.nulls(size, pa.binary()), pa.nulls(size, pa.binary()), column(batch, "doc_id"), column(batch, "row_key"), pa.array([k if len(s) else None for k, s in zip(nodes, every, strict=True)], pa.int64()), pa.array([len(s) for s in every], pa.int64()), pa.array(comp_of, pa.int64())], ROW)
             tokens = np.concatenate([NONE, *heads])
             owner = names[[comps.find(i) for i in range(len(heads))]] if len(heads) else np.zeros(0, np.int64)
             owner = np.repeat(owner, [len(h) for h in heads])
@@ -228,7 +230,7 @@ def _chunk_rows(join: Join, buckets: int):
     return run
 
 
-ROW = ["bucket", "tokens", "comps", "doc_id", "text_key", "node", "n", "comp"]
+ROW = ["bucket", "tokens", "comps", "doc_id", "row_key", "node", "n", "comp"]
 
 
 def _bucket_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -302,6 +304,29 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def _sift(bits: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = np.asarray(column(batch, "row_key")).view(np.uint64) % np.uint64(FILTER)
+            yield batch.filter(pa.array((bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)))
+
+    return run
+
+
+def texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(node, text) for ``wanted`` (node, row_key). A bitmap of FILTER bits, whatever the number of rows, keeps most of
+    the texts that are not wanted out of the shuffle; the join decides."""
+    place = F.pmod(F.col("row_key"), F.lit(FILTER)).alias("at")
+    # a negative key's pmod is its unsigned remainder, since FILTER divides 2 ** 64; bitmaps count from 1
+    rows = wanted.select((place + 1).alias("at")).groupBy(F.bitmap_bucket_number("at").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits")).collect()
+    bits = np.zeros((FILTER // 32768, 4096), dtype=np.uint8)
+    for r in rows:  # at most FILTER / 32768 rows
+        bits[r.bucket - 1] = np.frombuffer(bytes(r.bits), dtype=np.uint8)
+    slim = docs.select("row_key", "text")
+    found = slim.mapInArrow(_sift(bits.ravel()), slim.schema).join(wanted, "row_key")
+    return found.dropDuplicates(["row_key", "node"]).select("node", "text")
+
+
 def _bounds(join: Join, a: str, b: str):
     """Sizes that can be similar."""
     return (F.col(a) * join.den >= F.col(b) * join.num) & (F.col(b) * join.den >= F.col(a) * join.num)
@@ -310,25 +335,23 @@ def _bounds(join: Join, a: str, b: str):
 def near_duplicates(docs: DataFrame, n: int = 5, num: int = 75, den: int = 100) -> DataFrame:
     """doc_id, n_shingles and component_id of every row of ``docs`` (doc_id, text)."""
     spark = docs.sparkSession
-    docs = docs.select("doc_id", F.col("text").cast("string").alias("text")).withColumn("text_key", F.xxhash64("text"))
+    docs = docs.select("doc_id", F.col("text").cast("string").alias("text")).withColumn("row_key", F.xxhash64(F.col("doc_id").isNull(), F.col("doc_id").cast("string"), "text"))
     kind = docs.schema["doc_id"].dataType.simpleString()
     join = Join(n, num, den, *common_grams(docs, n))
     buckets = parts(spark)
-    rows = docs.mapInArrow(_chunk_rows(join, buckets), f"bucket int, tokens binary, comps binary, doc_id {kind}, text_key long, node long, n long, comp long")
+    rows = docs.mapInArrow(_chunk_rows(join, buckets), f"bucket int, tokens binary, comps binary, doc_id {kind}, row_key long, node long, n long, comp long")
     spread = rows.repartition(buckets, F.coalesce("bucket", F.pmod(F.xxhash64("doc_id", "node"), F.lit(buckets)).cast("int")))
-    out = saved(spread.mapInArrow(_bucket_groups, f"sig long, doc_id {kind}, text_key long, node long, n long, comp long"), "groups")
+    out = saved(spread.mapInArrow(_bucket_groups, f"sig long, doc_id {kind}, row_key long, node long, n long, comp long"), "groups")
     nodes = out.where("sig is null")
     groups = out.where("sig is not null").select("sig", "comp").distinct()
     # one row for each node; a node's components in different chunks are linked by the node itself
-    once = saved(nodes.where("node is not null").groupBy("node").agg(F.first("n").alias("n"), F.min("doc_id").alias("doc"), F.min(F.struct("doc_id", "text_key")).alias("ref")), "nodes")
+    once = saved(nodes.where("node is not null").groupBy("node").agg(F.first("n").alias("n"), F.min("doc_id").alias("doc"), F.min("row_key").alias("row_key")), "nodes")
     member = nodes.where("node is not null").select(F.col("node").alias("a"), F.col("comp").alias("b")).distinct()
     groups = saved(groups, "groups")
 
-    # the texts of nodes that are to be compared: one document for each
     def texts(pairs: DataFrame) -> DataFrame:
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(once, "node").select("node", "ref")
-        one = docs.join(wanted, docs.doc_id.eqNullSafe(wanted.ref.doc_id) & (docs.text_key == wanted.ref.text_key)).select("node", "text")
-        return one.groupBy("node").agg(F.first("text").alias("text"))
+        wanted = saved(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(once, "node").select("node", "row_key"), "wanted")
+        return saved(texts_of(docs, wanted), "texts")
 
     sizes_a, sizes_b = (once.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}")) for c in "ab")
 

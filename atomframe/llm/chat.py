@@ -6,8 +6,10 @@ can be read back. Conversations that share their first turns share the nodes of
 in depth-first order, with its place in the stream, the position of its first character in every conversation through
 it, the intervals of its ancestors (what it may attend to, besides itself) and its loss span. Places count code points.
 
-Depth-first order is the order of the paths of node ids, so the tree is sorted by range partitions and no tree is ever
-gathered; places are running sums within partitions plus the sums of the partitions before.
+Depth-first order needs no tree in memory: distinct conversations are ranked by their lists of node ids, and a node's
+order is the first rank through it, then its depth. What a rank adds to the stream is one run of nodes, so a node's
+ancestors are the earlier runs its conversation passes and the beginning of its own; everything is linear in the turns.
+Places are running sums within range partitions plus the sums of the partitions before.
 
 Null roles and texts are empty. Turns are ordered by turn (null first), then role and text; equal rows are turns of
 their own. Rows without conv_id are one conversation. Extra columns are ignored. An empty table gives an empty stream.
@@ -26,7 +28,7 @@ from atomframe.llm.common import column, parts, saved
 
 START, END = "<|im_start|>", "<|im_end|>\n"
 LEARNED = "assistant"
-NODE = "id string, parent string, path array<string>, piece string, position long, loss_first int, loss_length int"
+NODE = "id string, parent string, piece string, position long, loss_first int, loss_length int"
 
 
 def escaped(x: Column) -> Column:
@@ -50,16 +52,17 @@ def _paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = []
         for turns in column(batch, "turns").to_pylist():
-            digest, path, position, nodes = hashlib.sha256(), [], 0, []
+            digest, above, position, nodes = hashlib.sha256(), None, 0, []
             for t in turns:
                 piece = START + t["role"] + "\n" + t["text"] + END
                 digest.update(f"{len(piece)}:{piece}".encode())
-                path = [*path, digest.hexdigest()[:32]]
+                here = digest.hexdigest()[:32]
                 learned = t["role"] == LEARNED
-                nodes.append({"id": path[-1], "parent": path[-2] if len(path) > 1 else None, "path": path, "piece": piece, "position": position, "loss_first": len(START) + len(t["role"]) + 1 if learned else 0, "loss_length": len(t["text"]) if learned else 0})
+                nodes.append({"id": here, "parent": above, "piece": piece, "position": position, "loss_first": len(START) + len(t["role"]) + 1 if learned else 0, "loss_length": len(t["text"]) if learned else 0})
                 position += len(piece)
+                above = here
             out.append(nodes)
-        kind = pa.list_(pa.struct([("id", pa.string()), ("parent", pa.string()), ("path", pa.list_(pa.string())), ("piece", pa.string()), ("position", pa.int64()), ("loss_first", pa.int32()), ("loss_length", pa.int32())]))
+        kind = pa.list_(pa.struct([("id", pa.string()), ("parent", pa.string()), ("piece", pa.string()), ("position", pa.int64()), ("loss_first", pa.int32()), ("loss_length", pa.int32())]))
         yield pa.RecordBatch.from_arrays([column(batch, "conv_id"), pa.array(out, kind)], ["conv_id", "nodes"])
 
 
@@ -73,38 +76,49 @@ def conversation_paths(turns: DataFrame) -> DataFrame:
     return lists.mapInArrow(_paths, f"conv_id {kind}, nodes array<struct<{NODE.replace(' ', ':').replace(',:', ', ')}>>")
 
 
-def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _running(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds the sum of ``size`` over the rows before, within the task."""
     at = 0
     for batch in batches:
         sizes = np.asarray(column(batch, "size"))
         ends = at + np.cumsum(sizes)
         at = int(ends[-1]) if len(ends) else at
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ends - sizes)], [*batch.schema.names, "place"])
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ends - sizes)], [*batch.schema.names, "before"])
+
+
+def running_sums(df: DataFrame, order: list[str]) -> DataFrame:
+    """Adds ``before``: the sum of ``size`` over all rows before in the given order."""
+    spark = df.sparkSession
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+    ordered = df.repartitionByRange(parts(spark), *order).sortWithinPartitions(*order)
+    placed = saved(ordered.mapInArrow(_running, f"{kinds}, before long").withColumn("part", F.spark_partition_id()), "sums")
+    bases, at = [], 0
+    for r in placed.groupBy("part").agg(F.sum("size").alias("n")).orderBy("part").collect():  # one row for each partition
+        bases.append((r.part, at))
+        at += r.n
+    starts = spark.createDataFrame(bases, "part int, base long")
+    return placed.join(F.broadcast(starts), "part").withColumn("before", F.col("base") + F.col("before")).drop("part", "base")
 
 
 def format_chat(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``stream``: id, parent, depth, piece, start, end, subtree_end, position, attend, loss_first, loss_length;
-    ``members``: conv_id and its node ids in order. Both are saved tables."""
-    spark = turns.sparkSession
+    """``stream``: id, parent, depth (from 1), piece, start, end, subtree_end, position, attend (intervals, merged),
+    loss_first, loss_length; ``members``: conv_id and its node ids in order. Both are saved tables."""
     paths = saved(conversation_paths(turns), "chatpaths")
     members = saved(paths.select("conv_id", F.col("nodes.id").alias("nodes")), "chatmembers")
-    once = paths.select(F.explode("nodes").alias("n")).select("n.*").groupBy("id").agg(*[F.first(c).alias(c) for c in ("parent", "path", "piece", "position", "loss_first", "loss_length")])
-    once = once.withColumn("size", F.length("piece").cast("long"))
-    ordered = once.repartitionByRange(parts(spark), "path").sortWithinPartitions("path")
-    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in once.schema)
-    placed = saved(ordered.mapInArrow(_places, f"{kinds}, place long").withColumn("part", F.spark_partition_id()), "chatplaces")
-    before, at = [], 0
-    for r in placed.groupBy("part").agg(F.sum("size").alias("n")).orderBy("part").collect():  # one row for each partition
-        before.append((r.part, at))
-        at += r.n
-    bases = spark.createDataFrame(before, "part int, base long")
-    nodes = placed.join(F.broadcast(bases), "part").withColumn("start", F.col("base") + F.col("place")).withColumn("end", F.col("start") + F.col("size"))
-    nodes = saved(nodes.drop("part", "base", "place"), "chatnodes")
-    below = nodes.select(F.explode("path").alias("id"), "end").groupBy("id").agg(F.max("end").alias("subtree_end"))
-    above = nodes.select("id", F.explode(F.expr("slice(path, 1, size(path) - 1)")).alias("up")).join(nodes.select(F.col("id").alias("up"), "start", "end"), "up")
-    attend = above.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("attend"))
-    out = nodes.join(below, "id").join(attend, "id", "left")
-    out = out.select("id", "parent", F.size("path").alias("depth"), "piece", "start", "end", "subtree_end", "position", F.coalesce("attend", F.expr("cast(array() as array<struct<start:bigint,end:bigint>>)")).alias("attend"), "loss_first", "loss_length")
+    distinct = members.withColumn("leaf", F.element_at("nodes", -1)).groupBy("leaf").agg(F.first("nodes").alias("nodes"))
+    ranks = saved(running_sums(distinct.select("nodes", F.lit(1).cast("long").alias("size")), ["nodes"]).select(F.col("before").alias("rank"), "nodes"), "chatranks")
+    steps = ranks.select("rank", F.posexplode("nodes").alias("depth", "id"))
+    spans = steps.groupBy("id").agg(F.min("rank").alias("first"), F.max("rank").alias("last"), F.first("depth").alias("depth"))
+    once = paths.select(F.explode("nodes").alias("n")).select("n.*").groupBy("id").agg(*[F.first(c).alias(c) for c in ("parent", "piece", "position", "loss_first", "loss_length")])
+    sized = once.join(spans, "id").withColumn("size", F.length("piece").cast("long"))
+    nodes = saved(running_sums(sized, ["first", "depth"]).withColumn("start", F.col("before")).withColumn("end", F.col("before") + F.col("size")).drop("before", "size"), "chatnodes")
+    runs = saved(nodes.groupBy("first").agg(F.min("start").alias("run_start"), F.max("end").alias("run_end")), "chatruns")
+    passed = steps.join(nodes.select("id", "first", "start", "end"), "id").where("first < rank").groupBy("rank", "first").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    earlier = passed.groupBy("rank").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("earlier"))
+    out = nodes.join(runs.select(F.col("first").alias("last"), F.col("run_end").alias("subtree_end")), "last").join(runs.select("first", "run_start"), "first").join(earlier.withColumnRenamed("rank", "first"), "first", "left")
+    none = F.expr("cast(array() as array<struct<start:bigint,end:bigint>>)")
+    own = F.when(F.col("start") > F.col("run_start"), F.array(F.struct(F.col("run_start").alias("start"), F.col("start").alias("end")))).otherwise(none)
+    out = out.select("id", "parent", (F.col("depth") + 1).alias("depth"), "piece", "start", "end", "subtree_end", "position", F.concat(F.coalesce("earlier", none), own).alias("attend"), "loss_first", "loss_length")
     return saved(out, "chatstream"), members
 
 

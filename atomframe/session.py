@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 DEFAULTS = {
@@ -25,12 +27,16 @@ def table(spark: SparkSession, sf_dir: str, name: str):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def checkpointed(df):
-    """``df`` with its lineage cut in the shared folder the session names; a temporary one only where it names none."""
-    import tempfile
-
-    context = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share; a temporary one only where the session names none."""
+    context = spark.sparkContext
+    path = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not context.getCheckpointDir():
-        path = df.sparkSession.conf.get("spark.checkpoint.dir", None)
         context.setCheckpointDir(path or tempfile.mkdtemp(prefix="spark-"))
+    return (path or context.getCheckpointDir()).rstrip("/")
+
+
+def checkpointed(df):
+    """``df`` with its lineage cut in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()

@@ -59,8 +59,16 @@ def duplicate_jobs(df: DataFrame, snapshot: str, target: str, key: str) -> DataF
     return df.groupBy(snapshot, target, key).agg(F.count("*").alias("jobs")).where("jobs > 1")
 
 
-def drained(df: DataFrame, name: str, mode: str, checkpoint: str) -> DataFrame:
-    """Runs a stream over what is there now and gives its result table (for tests and batch-like runs)."""
-    query = df.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def drained(df: DataFrame, mode: str, folder: str) -> DataFrame:
+    """Runs a stream over all that is there now, into Parquet below ``folder``, and reads the result: what ``append`` has
+    added, or the last ``complete`` answer."""
+    write = "append" if mode == "append" else "overwrite"
+    query = (
+        df.writeStream.outputMode(mode)
+        .foreachBatch(lambda batch, _: batch.write.mode(write).parquet(f"{folder}/out"))
+        .option("checkpointLocation", f"{folder}/checkpoint")
+        .trigger(availableNow=True)
+        .start()
+    )
     query.awaitTermination()
-    return df.sparkSession.table(name)
+    return df.sparkSession.read.schema(df.schema).parquet(f"{folder}/out")

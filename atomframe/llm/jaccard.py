@@ -11,7 +11,8 @@ n-gram is the log of a lossy count over all documents), then by fingerprint. Two
 3. The first component of each group is compared with the others (a star, not all pairs); links join components.
 4. Groups that still hold several components have all pairs between them compared, with all documents they stand for.
 
-Comparing is a prefix-tree join: candidates are sorted so that common beginnings are adjacent, which is the tree in
+Pairs are compared only if their sizes and parities (bits that bound the number of different members from below) allow
+it. Comparing is a prefix-tree join: candidates are sorted so that common beginnings are adjacent, which is the tree in
 depth-first order; the overlap with the probing set is carried along a shared beginning, and a branch is left as soon
 as the overlap so far plus what remains cannot reach the bound. Components are found by joins with checkpoints.
 
@@ -34,6 +35,8 @@ from atomframe.llm.common import chunks, column, mixed, numbered, parts, raw, sa
 SIEVE = 1 << 22
 #: N-grams with a level above 0 at most (they are broadcast), and documents that make an n-gram common.
 MOST_COMMON, COMMON = 1 << 20, 32
+#: Bits of a set's parity.
+PARITY = 2048
 #: Bits of the filter that goes to all tasks.
 FILTER = 1 << 25
 NONE = np.zeros(0, np.uint64)
@@ -58,6 +61,13 @@ def node_of(members: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh3_64_intdigest(members.tobytes())).view(np.int64)) if len(members) else 0
 
 
+def parity(members: np.ndarray) -> np.ndarray:
+    """PARITY bits, each flipped once for every member that falls on it: two sets differ in at least as many members as
+    their bits differ."""
+    bits = np.bincount((members % np.uint64(PARITY)).astype(np.int64), minlength=PARITY) & 1
+    return np.packbits(bits.astype(np.uint8)).view(np.int64)
+
+
 class Join:
     """The similarity bound num / den and the global order."""
 
@@ -215,7 +225,7 @@ def _chunk_rows(join: Join, buckets: int):
             at = {k: i for i, k in enumerate(sets)}
             comp_of = [int(names[comps.find(at[k])]) if len(s) else None for k, s in zip(nodes, every, strict=True)]
             size = len(nodes)
-            yield pa.RecordBatch.from_arrays([pa.nulls(size, pa.int32()), pa.nulls(size, pa.binary()), pa.nulls(size, pa.binary()), column(batch, "doc_id"), column(batch, "row_key"), pa.array([k if len(s) else None for k, s in zip(nodes, every, strict=True)], pa.int64()), pa.array([len(s) for s in every], pa.int64()), pa.array(comp_of, pa.int64())], ROW)
+            yield pa.RecordBatch.from_arrays([pa.nulls(size, pa.int32()), pa.nulls(size, pa.binary()), pa.nulls(size, pa.binary()), column(batch, "doc_id"), column(batch, "row_key"), pa.array([k if len(s) else None for k, s in zip(nodes, every, strict=True)], pa.int64()), pa.array([len(s) for s in every], pa.int64()), pa.array(comp_of, pa.int64()), pa.array([parity(s) if len(s) else None for s in every], BITS)], ROW)
             tokens = np.concatenate([NONE, *heads])
             owner = names[[comps.find(i) for i in range(len(heads))]] if len(heads) else np.zeros(0, np.int64)
             owner = np.repeat(owner, [len(h) for h in heads])
@@ -224,13 +234,14 @@ def _chunk_rows(join: Join, buckets: int):
             order = np.argsort(bucket, kind="stable")
             cuts = [*np.flatnonzero(np.diff(bucket[order], prepend=-1)), len(order)]
             rows = [(int(bucket[order[a]]), pairs[order[a:b], 0].tobytes(), pairs[order[a:b], 1].tobytes()) for a, b in zip(cuts, cuts[1:], strict=False)]
-            none = [pa.nulls(len(rows), t) for t in (column(batch, "doc_id").type, *[pa.int64()] * 4)]
+            none = [pa.nulls(len(rows), t) for t in (column(batch, "doc_id").type, *[pa.int64()] * 4, BITS)]
             yield pa.RecordBatch.from_arrays([*(pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int32(), pa.binary(), pa.binary()))), *none], ROW)
 
     return run
 
 
-ROW = ["bucket", "tokens", "comps", "doc_id", "row_key", "node", "n", "comp"]
+ROW = ["bucket", "tokens", "comps", "doc_id", "row_key", "node", "n", "comp", "parity"]
+BITS = pa.list_(pa.int64())
 
 
 def _bucket_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -253,7 +264,7 @@ def _bucket_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         some = groups[a : a + 20_000]
         sigs = np.repeat(np.array([int(np.uint64(xxhash.xxh3_64_intdigest(g.tobytes())).view(np.int64)) for g in some], dtype=np.int64), [len(g) for g in some])
         flat = np.concatenate(some)
-        yield pa.RecordBatch.from_arrays([pa.array(sigs), pa.nulls(len(flat), kind), *[pa.nulls(len(flat), pa.int64())] * 3, pa.array(flat)], ["sig", *ROW[3:]])
+        yield pa.RecordBatch.from_arrays([pa.array(sigs), pa.nulls(len(flat), kind), *[pa.nulls(len(flat), pa.int64())] * 3, pa.array(flat), pa.nulls(len(flat), BITS)], ["sig", *ROW[3:]])
 
 
 def _verify(join: Join):
@@ -327,9 +338,12 @@ def texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return found.dropDuplicates(["row_key", "node"]).select("node", "text")
 
 
-def _bounds(join: Join, a: str, b: str):
-    """Sizes that can be similar."""
-    return (F.col(a) * join.den >= F.col(b) * join.num) & (F.col(b) * join.den >= F.col(a) * join.num)
+def _bounds(join: Join):
+    """Pairs whose sizes and parities allow the similarity."""
+    a, b = F.col("n_a"), F.col("n_b")
+    differ = F.aggregate(F.zip_with("p_a", "p_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    needed = F.ceil(join.num * (a + b) / (join.num + join.den))
+    return (a * join.den >= b * join.num) & (b * join.den >= a * join.num) & (differ <= a + b - 2 * needed)
 
 
 def near_duplicates(docs: DataFrame, n: int = 5, num: int = 75, den: int = 100) -> DataFrame:
@@ -339,13 +353,13 @@ def near_duplicates(docs: DataFrame, n: int = 5, num: int = 75, den: int = 100)
     kind = docs.schema["doc_id"].dataType.simpleString()
     join = Join(n, num, den, *common_grams(docs, n))
     buckets = parts(spark)
-    rows = docs.mapInArrow(_chunk_rows(join, buckets), f"bucket int, tokens binary, comps binary, doc_id {kind}, row_key long, node long, n long, comp long")
+    rows = docs.mapInArrow(_chunk_rows(join, buckets), f"bucket int, tokens binary, comps binary, doc_id {kind}, row_key long, node long, n long, comp long, parity array<bigint>")
     spread = rows.repartition(buckets, F.coalesce("bucket", F.pmod(F.xxhash64("doc_id", "node"), F.lit(buckets)).cast("int")))
-    out = saved(spread.mapInArrow(_bucket_groups, f"sig long, doc_id {kind}, row_key long, node long, n long, comp long"), "groups")
+    out = saved(spread.mapInArrow(_bucket_groups, f"sig long, doc_id {kind}, row_key long, node long, n long, comp long, parity array<bigint>"), "groups")
     nodes = out.where("sig is null")
     groups = out.where("sig is not null").select("sig", "comp").distinct()
     # one row for each node; a node's components in different chunks are linked by the node itself
-    once = saved(nodes.where("node is not null").groupBy("node").agg(F.first("n").alias("n"), F.min("doc_id").alias("doc"), F.min("row_key").alias("row_key")), "nodes")
+    once = saved(nodes.where("node is not null").groupBy("node").agg(F.first("n").alias("n"), F.min("doc_id").alias("doc"), F.min("row_key").alias("row_key"), F.first("parity").alias("parity")), "nodes")
     member = nodes.where("node is not null").select(F.col("node").alias("a"), F.col("comp").alias("b")).distinct()
     groups = saved(groups, "groups")
 
@@ -353,10 +367,10 @@ def near_duplicates(docs: DataFrame, n: int = 5, num: int = 75, den: int = 100)
         wanted = saved(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(once, "node").select("node", "row_key"), "wanted")
         return saved(texts_of(docs, wanted), "texts")
 
-    sizes_a, sizes_b = (once.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}")) for c in "ab")
+    sizes_a, sizes_b = (once.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("parity").alias(f"p_{c}")) for c in "ab")
 
     def sized(pairs: DataFrame) -> DataFrame:
-        return pairs.join(sizes_a, "a").join(sizes_b, "b").where(_bounds(join, "n_a", "n_b")).select("a", "b")
+        return pairs.join(sizes_a, "a").join(sizes_b, "b").where(_bounds(join)).select("a", "b")
 
     leaders = groups.groupBy("sig").agg(F.min("comp").alias("a"))
     stars = saved(sized(groups.join(leaders, "sig").where("comp <> a").select("a", F.col("comp").alias("b")).distinct()), "stars")

@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 STRUCTURE = "path string, elements array<string>, counts array<int>, natoms int, box array<double>, coord array<double>, error string"
@@ -121,10 +122,28 @@ def read_xyz_frames(spark: SparkSession, root: str, pattern: str = "*.xyz") -> D
     return files(spark, root, pattern).mapInPandas(run, XYZ)
 
 
+def list_files(spark: SparkSession, root: str) -> DataFrame:
+    """Paths of all files below ``root``, empty ones too (which Spark's readers leave out). The folders directly below the
+    root are listed by as many tasks."""
+    kind = lambda path: pafs.FileSystem.from_uri(path) if re.match(r"\w+:", path) else (pafs.LocalFileSystem(), path)
+    fs, base = kind(root)
+    tops = [(i.path, i.type == pafs.FileType.Directory) for i in fs.get_file_info(pafs.FileSelector(base))]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        here, _ = kind(root)
+        for pdf in batches:
+            for path, folder in zip(pdf["path"], pdf["folder"], strict=True):
+                found = [i.path for i in here.get_file_info(pafs.FileSelector(path, recursive=True)) if i.type == pafs.FileType.File] if folder else [path]
+                yield pd.DataFrame({"path": found}, dtype="str")
+
+    rows = spark.createDataFrame(tops, "path string, folder boolean")
+    return rows.repartition(max(1, min(len(tops), 10_000)), "path").mapInPandas(run, "path string")
+
+
 def scan_markers(spark: SparkSession, root: str, target: str) -> DataFrame:
     """Marker rows of the frames (root/system/frame/...): which files are there and what the output says. File contents
     are read of the outputs only."""
-    every = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select("path")
+    every = list_files(spark, root)
     split = F.split("path", "/")
     at = lambda c, k: F.element_at(c, -k)
     have = lambda name: F.bool_or(at(split, 1) == name)

@@ -151,7 +151,10 @@ def train(docs: DataFrame, per_language: int = 60, max_chars: int = 4000) -> Mod
     model = Model(langs, odds - odds.mean(axis=1, keepdims=True))
     short = rows.where(F.length("text") <= max_chars).select("lang", F.xxhash64("text").alias("key")).distinct()
     best = Window.partitionBy("lang").orderBy("key")
-    keys = [r.key for r in short.withColumn("r", F.row_number().over(best)).where(F.col("r") <= per_language).select("key").collect()]
+    # first within parts of a language, so that no task ranks all rows of a frequent one
+    some = short.withColumn("part", F.pmod(F.col("key"), F.lit(64)))
+    some = some.withColumn("r", F.row_number().over(Window.partitionBy("lang", "part").orderBy("key"))).where(F.col("r") <= per_language)
+    keys = [r.key for r in some.withColumn("r", F.row_number().over(best)).where(F.col("r") <= per_language).select("key").collect()]
     sample = rows.where(F.xxhash64("text").isin(keys)).distinct().collect() if keys else []
     texts = [(lower_words([r.text.encode()])[0], langs.index(r.lang)) for r in sorted(sample)]
     if sequences := switched(texts):

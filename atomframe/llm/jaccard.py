@@ -2,14 +2,15 @@
 
 A document's set holds the distinct fingerprints of its word n-grams, in one global order: rarer first (the level of an
 n-gram is the log of a lossy count over all documents), then by fingerprint. Two sets with a similarity of at least
-``num / den`` share one of the first n - ceil(n * num / den) + 1 members of each (its prefix).
+``num / den`` share k of the first n - ceil(n * num / den) + k members of each (its prefix); k is 1 + n / 32.
 
 1. Within a chunk of documents all sets are at hand: those that share a prefix member are joined, which leaves
    components of the chunk.
 2. A prefix member reaches its bucket once for each chunk and component, so a group of copies, however large, sends a
    few rows. Members seen in several components make groups; equal groups are one.
 3. The first component of each group is compared with the others (a star, not all pairs); links join components.
-4. Groups that still hold several components have all pairs between them compared, with all documents they stand for.
+4. Groups that still hold several components have all pairs between them compared that share enough members over all
+   groups, with all documents they stand for.
 
 Pairs are compared only if their sizes and parities (bits that bound the number of different members from below) allow
 it. Comparing is a prefix-tree join: candidates are sorted so that common beginnings are adjacent, which is the tree in
@@ -35,6 +36,8 @@ from atomframe.llm.common import chunks, column, mixed, numbered, parts, raw, sa
 SIEVE = 1 << 22
 #: N-grams with a level above 0 at most (they are broadcast), and documents that make an n-gram common.
 MOST_COMMON, COMMON = 1 << 20, 32
+#: One more member of the prefix for so many members of the set.
+MORE = 32
 #: Bits of a set's parity.
 PARITY = 2048
 #: Bits of the filter that goes to all tasks.
@@ -89,7 +92,11 @@ class Join:
         return members[np.argsort(level, kind="stable")]
 
     def prefix(self, size: int) -> int:
-        return size - -(-size * self.num // self.den) + 1
+        return size - -(-size * self.num // self.den) + self.common_members(size)
+
+    def common_members(self, size: int) -> int:
+        """How many members of their prefixes two similar sets share at least, the smaller one of this size."""
+        return 1 + size // MORE
 
     def needed(self, a: int, b: int) -> int:
         """The least overlap of sets of these sizes that are similar."""
@@ -147,8 +154,8 @@ class Components:
         self.up[max(a, b)] = min(a, b)
 
 
-def _groups(keys: np.ndarray, values: np.ndarray) -> list[np.ndarray]:
-    """The distinct groups of two or more distinct values that share a key."""
+def _groups(keys: np.ndarray, values: np.ndarray) -> list[tuple[np.ndarray, int]]:
+    """The distinct groups of two or more distinct values that share a key, each with its number of keys."""
     order = np.lexsort((values, keys))
     k, v = keys[order], values[order]
     fresh = np.append(True, (k[1:] != k[:-1]) | (v[1:] != v[:-1])) if len(k) else np.zeros(0, bool)
@@ -157,8 +164,8 @@ def _groups(keys: np.ndarray, values: np.ndarray) -> list[np.ndarray]:
     sizes = np.diff(np.append(starts, len(k)))
     marks = np.add.reduceat(mixed(v.astype(np.int64).view(np.uint64) + np.uint64(7)), starts) if len(starts) else NONE
     many = np.flatnonzero(sizes > 1)
-    once = many[np.unique(marks[many], return_index=True)[1]]
-    return [v[starts[g] : starts[g] + sizes[g]] for g in once]
+    _, once, times = np.unique(marks[many], return_index=True, return_counts=True)
+    return [(v[starts[g] : starts[g] + sizes[g]], int(n)) for g, n in zip(many[once], times, strict=True)]
 
 
 def join_chunk(join: Join, sets: list[np.ndarray]) -> tuple[list[np.ndarray], Components]:
@@ -168,7 +175,7 @@ def join_chunk(join: Join, sets: list[np.ndarray]) -> tuple[list[np.ndarray], Co
     tokens = np.concatenate([NONE, *heads])
     owners = np.repeat(np.arange(len(sets)), [len(h) for h in heads])
     comps, checked = Components(len(sets)), set()
-    for group in _groups(tokens, owners):
+    for group, _ in _groups(tokens, owners):
         group = group.tolist()
         while True:
             by: dict[int, list[int]] = {}
@@ -245,13 +252,14 @@ BITS = pa.list_(pa.int64())
 
 
 def _bucket_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Passes documents on and turns a bucket's blobs into distinct groups of components: rows (sig, comp)."""
+    """Passes documents on and turns a bucket's blobs into distinct groups of components: rows (sig, comp) with m,
+    the number of members that have the group."""
     tokens, comps = [], []
     for batch in batches:
         docs = batch.filter(pa.array(np.asarray(column(batch, "bucket").is_null())))
         if docs.num_rows:
             none = pa.nulls(docs.num_rows, pa.int64())
-            yield pa.RecordBatch.from_arrays([none, *(column(docs, c) for c in ROW[3:])], ["sig", *ROW[3:]])
+            yield pa.RecordBatch.from_arrays([none, none, *(column(docs, c) for c in ROW[3:])], ["sig", "m", *ROW[3:]])
         for t, c in zip(column(batch, "tokens").to_pylist(), column(batch, "comps").to_pylist(), strict=True):
             if t is not None:
                 tokens.append(np.frombuffer(t, np.int64))
@@ -261,10 +269,10 @@ def _bucket_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         return
     groups = _groups(np.concatenate(tokens), np.concatenate(comps))
     for a in range(0, len(groups), 20_000):
-        some = groups[a : a + 20_000]
+        some, times = zip(*groups[a : a + 20_000], strict=True)
         sigs = np.repeat(np.array([int(np.uint64(xxhash.xxh3_64_intdigest(g.tobytes())).view(np.int64)) for g in some], dtype=np.int64), [len(g) for g in some])
         flat = np.concatenate(some)
-        yield pa.RecordBatch.from_arrays([pa.array(sigs), pa.nulls(len(flat), kind), *[pa.nulls(len(flat), pa.int64())] * 3, pa.array(flat), pa.nulls(len(flat), BITS)], ["sig", *ROW[3:]])
+        yield pa.RecordBatch.from_arrays([pa.array(sigs), pa.array(np.repeat(np.array(times, dtype=np.int64), [len(g) for g in some])), pa.nulls(len(flat), kind), *[pa.nulls(len(flat), pa.int64())] * 3, pa.array(flat), pa.nulls(len(flat), BITS)], ["sig", "m", *ROW[3:]])
 
 
 def _verify(join: Join):
@@ -355,9 +363,9 @@ def near_duplicates(docs: DataFrame, n: int = 5, num: int = 75, den: int = 100)
     buckets = parts(spark)
     rows = docs.mapInArrow(_chunk_rows(join, buckets), f"bucket int, tokens binary, comps binary, doc_id {kind}, row_key long, node long, n long, comp long, parity array<bigint>")
     spread = rows.repartition(buckets, F.coalesce("bucket", F.pmod(F.xxhash64("doc_id", "node"), F.lit(buckets)).cast("int")))
-    out = saved(spread.mapInArrow(_bucket_groups, f"sig long, doc_id {kind}, row_key long, node long, n long, comp long, parity array<bigint>"), "groups")
+    out = saved(spread.mapInArrow(_bucket_groups, f"sig long, m long, doc_id {kind}, row_key long, node long, n long, comp long, parity array<bigint>"), "groups")
     nodes = out.where("sig is null")
-    groups = out.where("sig is not null").select("sig", "comp").distinct()
+    groups = out.where("sig is not null").groupBy("sig", "comp").agg(F.sum("m").alias("m"))
     # one row for each node; a node's components in different chunks are linked by the node itself
     once = saved(nodes.where("node is not null").groupBy("node").agg(F.first("n").alias("n"), F.min("doc_id").alias("doc"), F.min("row_key").alias("row_key"), F.first("parity").alias("parity")), "nodes")
     member = nodes.where("node is not null").select(F.col("node").alias("a"), F.col("comp").alias("b")).distinct()
@@ -370,21 +378,24 @@ def near_duplicates(docs: DataFrame, n: int = 5, num: int = 75, den: int = 100)
     sizes_a, sizes_b = (once.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("parity").alias(f"p_{c}")) for c in "ab")
 
     def sized(pairs: DataFrame) -> DataFrame:
-        return pairs.join(sizes_a, "a").join(sizes_b, "b").where(_bounds(join)).select("a", "b")
+        both = pairs.join(sizes_a, "a").join(sizes_b, "b").where(_bounds(join))
+        if "shared" in pairs.columns:
+            both = both.where(F.col("shared") >= 1 + F.floor(F.least("n_a", "n_b") / MORE))
+        return both.select("a", "b")
 
     leaders = groups.groupBy("sig").agg(F.min("comp").alias("a"))
     stars = saved(sized(groups.join(leaders, "sig").where("comp <> a").select("a", F.col("comp").alias("b")).distinct()), "stars")
     links = member.where("a <> b").unionByName(verified(join, stars, texts(stars)))
     labels = components(saved(links, "links"))
     # what is still apart within a group: all nodes of each component against those of the others
-    named = groups.join(labels, groups.comp == labels.node, "left").select("sig", "comp", F.coalesce("label", "comp").alias("label"))
+    named = groups.join(labels, groups.comp == labels.node, "left").select("sig", "comp", "m", F.coalesce("label", "comp").alias("label"))
     apart = named.groupBy("sig").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("sig")
     mixed_groups = saved(named.join(apart, "sig"), "mixed")
-    left, right = (mixed_groups.select("sig", F.col("comp").alias(f"comp_{c}"), F.col("label").alias(f"label_{c}")) for c in "ab")
-    cross = left.join(right, "sig").where("label_a < label_b").select("comp_a", "comp_b").distinct()
+    left, right = (mixed_groups.select("sig", F.col("m").alias(f"m_{c}"), F.col("comp").alias(f"comp_{c}"), F.col("label").alias(f"label_{c}")) for c in "ab")
+    cross = left.join(right, "sig").where("label_a < label_b").groupBy("comp_a", "comp_b").agg(F.sum("m_a").alias("shared"))
     of = nodes.where("node is not null").select("comp", "node").distinct()
     pairs = cross.join(of.select(F.col("comp").alias("comp_a"), F.col("node").alias("a")), "comp_a").join(of.select(F.col("comp").alias("comp_b"), F.col("node").alias("b")), "comp_b")
-    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "shared").groupBy("a", "b").agg(F.max("shared").alias("shared"))
     done = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     rest = saved(sized(pairs.join(done, ["a", "b"], "left_anti")), "pairs")
     if not rest.isEmpty():

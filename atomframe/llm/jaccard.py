@@ -42,6 +42,8 @@ MORE = 32
 PARITY = 2048
 #: Bits of the filter that goes to all tasks.
 FILTER = 1 << 25
+#: Text bytes of a chunk.
+CHUNK = 3 << 20
 NONE = np.zeros(0, np.uint64)
 
 
@@ -200,7 +202,7 @@ def _common_rows(n: int):
     """N-grams that at least two different sets of a chunk have: rows (gram, sets)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches):
+        for batch in chunks(batches, limit=CHUNK):
             sets = {node_of(s): s for s in shingle_sets(raw(batch), n)}
             grams, counts = np.unique(np.concatenate([NONE, *sets.values()]), return_counts=True)
             often = counts > 1
@@ -223,7 +225,7 @@ def _chunk_rows(join: Join, buckets: int):
     """Documents with their nodes and chunk components, and blobs of (prefix member, component) by bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches):
+        for batch in chunks(batches, limit=CHUNK):
             every = shingle_sets(raw(batch), join.n)
             nodes = [node_of(s) for s in every]
             sets = {k: s for k, s in sorted(zip(nodes, every, strict=True), key=lambda x: x[0]) if len(s)}
@@ -280,7 +282,7 @@ def _verify(join: Join):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, members = None, NONE
-        for batch in chunks(batches, "text_b"):
+        for batch in chunks(batches, "text_b", CHUNK):
             firsts, seconds = column(batch, "a").to_pylist(), column(batch, "b").to_pylist()
             others = [join.ordered(s) for s in shingle_sets(raw(batch, "text_b"), join.n)]
             left = column(batch, "text_a")

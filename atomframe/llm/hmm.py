@@ -6,9 +6,10 @@ classes; within a class a word has its smoothed share of the class's training to
     P(word | state) = P(class | state) * (count + 0.5) / (tokens of the class + 0.5 * (words of the class + 1)),
 
 so frequent words all but own their class, parameters stay bounded at any vocabulary, and a word never seen has a
-probability. Baum-Welch counts are summed over partitions; each step takes another slice of the training documents,
-every training document counts once per epoch, and the counts of earlier steps fade (stepwise EM). The likelihood of
-a whole text is exact: the scaled forward recursion over its classes plus the words' shares.
+probability. Baum-Welch counts are summed over partitions. Steps over slices of the training documents, in which the
+counts of earlier steps fade (stepwise EM), only find a good start: the final model is made of the counts of one last
+pass, in which every training document has the same weight. The likelihood of a whole text is exact: the scaled
+forward recursion over its classes plus the words' shares.
 
 Counts of words: the head (at most ``HEAD`` words, each with at least a ``HEAD``-th of a bucket's tokens) is
 broadcast; the others go to buckets of the vocabulary together with the documents of a chunk that have them, and come
@@ -34,9 +35,11 @@ from atomframe.llm.common import chunks, column, mixed, numbered, parts, raw, ra
 
 CLASSES, STATES, HEAD = 4096, 8, 1 << 16
 END = CLASSES
-#: Slices of the training documents (of 16) for each step of an epoch, and the weight of a step's counts.
+#: Slices of the training documents (of 16) for each step of the warm start, and the weight of a step's counts.
 STEPS = [(0, 1, 1.0), (0, 1, 1.0), (1, 2, 1.0), (2, 4, 0.8), (4, 8, 0.8), (8, 16, 0.8)]
 SLICES = 16
+#: The last step: all training documents; its weight leaves nothing of the counts before.
+WHOLE = (0, SLICES, 1.0)
 
 
 def held_out() -> Column:
@@ -180,12 +183,12 @@ def _expected(model: Model):
 
 
 def train(docs: DataFrame, counts: Counts, epochs: int = 1) -> Model:
-    """Baum-Welch over slices of ``docs`` (doc_id, text)."""
+    """Baum-Welch over slices of ``docs`` (doc_id, text), then over all of them."""
     model = first_model(counts)
     memory = np.zeros((CLASSES + 1 + STATES + 1, STATES))
     part = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(SLICES))
     columns = [f"k{k}" for k in range(STATES)]
-    for low, high, weight in STEPS * epochs:
+    for low, high, weight in [*STEPS * epochs, WHOLE]:
         rows = docs.where((part >= low) & (part < high)).select("text").mapInArrow(_expected(model), "row int, " + ", ".join(f"{c} double" for c in columns))
         new = np.zeros_like(memory)
         for r in rows.groupBy("row").agg(*[F.sum(c).alias(c) for c in columns]).collect():  # one row for each parameter row

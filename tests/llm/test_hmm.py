@@ -70,3 +70,20 @@ def test_whole_table_and_gain_over_the_base(spark):
     compare([tuple(r)[:6] for r in got], rows)
     held = [r for r in got if r.held_out]
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
+
+
+def test_last_step_counts_every_training_document_alike(spark, monkeypatch):
+    rows = [(i, " ".join(f"w{(i * 7 + k * k) % 41}" for k in range(i % 13))) for i in range(120)] + [(None, "x y z")] * 40
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    counts, models, expected = M.count_words(docs), [], M._expected
+    monkeypatch.setattr(M, "_expected", lambda model: (models.append(model), expected(model))[1])
+    got, last = M.train(docs, counts), models[-1]
+    ids, lengths, *_ = M._class_ids([t.encode() for _, t in rows])
+    gamma, xi, _ = M.chain.posteriors(last.chain(), ids, lengths + 1, moves=True)
+    emit = np.stack([np.bincount(ids, weights=gamma[:, k], minlength=M.CLASSES + 1) for k in range(M.STATES)], axis=1)
+    assert emit[M.END].sum() == pytest.approx(len(rows))
+    prior = (counts.tokens + 0.5) / (counts.tokens + 0.5).sum()
+    emit += 0.5 * M.STATES * prior[:, None] + 1e-6
+    start = gamma[np.cumsum(lengths + 1) - lengths - 1].sum(axis=0) + 0.1
+    assert np.allclose(got.emit, emit / emit.sum(axis=0)) and np.allclose(got.start, start / start.sum())
+    assert np.allclose(got.move, (xi + 0.1) / (xi + 0.1).sum(axis=1, keepdims=True))

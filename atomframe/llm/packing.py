@@ -3,7 +3,8 @@
 The documents are tokenised and cut into pieces of at most ``size`` ids (a shorter piece comes first). Best-fit
 decreasing runs over the counts of the at most ``size`` lengths, not over pieces: it yields slots (sequence, offset)
 for each length. A piece takes the slot of its rank among the pieces of its length: a rank within its task plus the
-counts of the tasks before it, so no length, however frequent, is gathered anywhere.
+counts of the tasks before it, so no length, however frequent, is gathered anywhere. The ids go with their piece to its
+place as little-endian 32-bit numbers; ``ids_crc32`` is that of the ids placed.
 
 Null text is empty: one piece with the end id only. Every row is packed, equal rows too. Extra columns are ignored.
 """
@@ -19,7 +20,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from atomframe.llm.common import chunks, column, saved
-from atomframe.llm.tokens import default_tokenizer, encoder
+from atomframe.llm.tokens import default_tokenizer, encoder, forget
+
+
+#: Text bytes that one task encodes at a time: ids are carried, so less than elsewhere.
+PIECE_BYTES = 2 << 20
 
 
 def best_fit(counts: dict[int, int], size: int) -> list[tuple[int, list[int]]]:
@@ -72,19 +77,18 @@ def slots(plan: list[tuple[int, list[int]]]) -> dict[int, list[tuple[int, int, i
     return out
 
 
-def _pieces(tokenizer: str, end_id: int, size: int, with_ids: bool):
+def _pieces(tokenizer: str, end_id: int, size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seen = TaskContext.get().partitionId(), np.zeros(size + 1, dtype=np.int64)
-        for batch in chunks(batches):
-            rows, pieces = [], []
+        for batch in chunks(batches, limit=PIECE_BYTES):
+            rows, data = [], []
             for i, ids in enumerate(encoder(tokenizer).encode([t or "" for t in column(batch, "text").to_pylist()])):
-                ids = np.append(ids, np.uint32(end_id))
+                ids = np.append(ids, np.uint32(end_id)).astype("<u4")
                 first = len(ids) % size or size
                 cuts = [0, *range(first, len(ids) + 1, size)]
                 for k, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
-                    data = ids[a:b].astype("<u4").tobytes()
-                    rows.append((i, k, a, b - a, zlib.crc32(data)))
-                    pieces.append(ids[a:b].tolist() if with_ids else None)
+                    rows.append((i, k, a, b - a))
+                    data.append(ids[a:b].tobytes())
             table = np.array(rows, dtype=np.int64)
             rank = np.zeros(len(rows), dtype=np.int64)
             order = np.argsort(table[:, 3], kind="stable")
@@ -94,52 +98,52 @@ def _pieces(tokenizer: str, end_id: int, size: int, with_ids: bool):
             rank[order] = np.arange(len(rows)) - np.repeat(starts, runs) + seen[lengths]
             seen[lengths[starts]] += runs
             ids = column(batch, "doc_id").take(pa.array(table[:, 0]))
-            out = [ids, pa.array(table[:, 1].astype(np.int32)), *(pa.array(table[:, c]) for c in (2, 3, 4)), pa.array([part] * len(rows), pa.int32()), pa.array(rank)]
-            if with_ids:
-                out.append(pa.array(pieces, pa.list_(pa.int32())))
-            yield pa.RecordBatch.from_arrays(out, ["doc_id", "piece", "start", "length", "ids_crc32", "part", "rank", "ids"][: len(out)])
+            out = [ids, pa.array(table[:, 1].astype(np.int32)), *(pa.array(table[:, c]) for c in (2, 3)), pa.array([part] * len(rows), pa.int32()), pa.array(rank), pa.array(data, pa.binary())]
+            yield pa.RecordBatch.from_arrays(out, ["doc_id", "piece", "start", "length", "part", "rank", "ids"])
 
     return run
 
 
-def _placed(plan: dict[int, list], names: list[str]):
+def _placed(plan: dict[int, list]):
+    """A function of length and rank: the place in the plan. Ids stay outside Python."""
     tables = {}
     for length, rows in plan.items():
         tables[length] = (np.array([r[0] for r in rows]), [(r[1], np.array(r[3])) for r in rows])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            length, rank = (np.asarray(column(batch, c)) for c in ("length", "rank"))
-            sequence, offset = np.zeros(len(rank), np.int64), np.zeros(len(rank), np.int64)
-            for n in np.unique(length):
-                firsts, rows = tables[int(n)]
-                mine = np.flatnonzero(length == n)
-                which = np.searchsorted(firsts, rank[mine], side="right") - 1
-                for w in np.unique(which):
-                    some = mine[which == w]
-                    begin, places = rows[w]
-                    q = rank[some] - firsts[w]
-                    sequence[some], offset[some] = begin + q // len(places), places[q % len(places)]
-            yield pa.RecordBatch.from_arrays([*(column(batch, c) for c in names), pa.array(sequence), pa.array(offset)], [*names, "sequence_id", "offset"])
-
-    return run
-
-
-def pack(docs: DataFrame, size: int = 1024, tokenizer: str | None = None, end_id: int = 2, with_ids: bool = False) -> DataFrame:
-    """One row for each piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset and, if asked for, ids."""
+    @F.arrow_udf("sequence_id long, offset long")
+    def place(length: pa.Array, rank: pa.Array) -> pa.Array:
+        forget()
+        length, rank = np.asarray(length), np.asarray(rank)
+        sequence, offset = np.zeros(len(rank), np.int64), np.zeros(len(rank), np.int64)
+        for n in np.unique(length):
+            firsts, rows = tables[int(n)]
+            mine = np.flatnonzero(length == n)
+            which = np.searchsorted(firsts, rank[mine], side="right") - 1
+            for w in np.unique(which):
+                some = mine[which == w]
+                begin, places = rows[w]
+                q = rank[some] - firsts[w]
+                sequence[some], offset[some] = begin + q // len(places), places[q % len(places)]
+        return pa.StructArray.from_arrays([pa.array(sequence), pa.array(offset)], ["sequence_id", "offset"])
+
+    return place
+
+
+def pack(docs: DataFrame, size: int = 1024, tokenizer: str | None = None, end_id: int = 2, with_ids: bool = True) -> DataFrame:
+    """One row for each piece: doc_id, piece, start, length, ids_crc32, ids, sequence_id and offset; without ids, they
+    are placed all the same but not returned."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    names = ["doc_id", "piece", "start", "length", "ids_crc32", *["ids"] * with_ids]
-    kinds = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long"
-    more = ", ids array<int>" * with_ids
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    pieces = saved(rows.mapInArrow(_pieces(tokenizer or default_tokenizer(), end_id, size, with_ids), f"{kinds}, part int, rank long{more}"), "pieces")
+    pieces = saved(rows.mapInArrow(_pieces(tokenizer or default_tokenizer(), end_id, size), f"doc_id {kind}, piece int, start long, length long, part int, rank long, ids binary"), "pieces")
     counts = pieces.groupBy("part", "length").agg(F.count("*").alias("n"))
     totals = {r.length: r.n for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # at most `size` rows
     before = F.sum("n").over(Window.partitionBy("length").orderBy("part")) - F.col("n")
-    bases = counts.select("part", "length", before.alias("before"))
-    ranked = pieces.join(bases, ["part", "length"]).withColumn("rank", F.col("rank") + F.col("before")).select(*names, "rank")
-    return ranked.mapInArrow(_placed(slots(best_fit(totals, size)), names), f"{kinds}{more}, sequence_id long, offset long")
+    # one row for each task, with at most `size` lengths: broadcast, so that the ids are not shuffled
+    bases = counts.select("part", "length", before.alias("before")).groupBy("part").agg(F.map_from_entries(F.collect_list(F.struct("length", "before"))).alias("bases"))
+    ranked = pieces.join(F.broadcast(bases), "part").withColumn("rank", F.col("rank") + F.element_at("bases", F.col("length")))
+    placed = ranked.withColumn("place", _placed(slots(best_fit(totals, size)))("length", "rank"))
+    return placed.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), *["ids"] * with_ids, "place.sequence_id", "place.offset")
 
 
 def op7_packing(spark, sf_dir: str) -> DataFrame:
-    return pack(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return pack(spark.read.parquet(f"{sf_dir}/documents.parquet"), with_ids=False)

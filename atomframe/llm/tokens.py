@@ -163,6 +163,11 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
+def forget() -> None:
+    """Frees the worker's encoders where no text is to be encoded any more."""
+    _ENCODERS.clear()
+
+
 def default_tokenizer() -> str:
     import public_tokenizers
 

@@ -1,3 +1,4 @@
+import numpy as np
 import pytest
 
 import corpus_pipeline as P
@@ -57,3 +58,9 @@ def test_no_secret_is_left(stages):
 def test_packing(stages):
     used, least = check_packing(stages[5], {r.doc_id: tokens(r.text) for r in stages[4]}, 1024)
     assert used <= least * 1.02
+
+
+def test_sequences_hold_the_ids(stages):
+    want = {r.doc_id: tokens(r.text) for r in stages[4]}
+    assert all(bytes(r.ids) == np.array(want[r.doc_id][r.start : r.start + r.length], "<u4").tobytes() for r in stages[5])
+    assert sum(r.length for r in stages[5]) == sum(map(len, want.values()))

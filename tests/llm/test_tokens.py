@@ -92,6 +92,24 @@ def test_packing(spark, size):
     assert used <= least * 1.03 + 1
 
 
+def test_placed_ids_make_the_documents(spark):
+    texts = TEXTS + ["w " * k for k in range(40)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    got = packing.pack(docs, 64).collect()
+    made, sequences = {}, {}
+    for r in sorted(got, key=lambda r: (r.doc_id, r.piece)):
+        ids = np.frombuffer(r.ids, "<u4").tolist()
+        assert r.length == len(ids) and r.ids_crc32 == crc(ids)
+        made.setdefault(r.doc_id, []).extend(ids)
+        sequences.setdefault(r.sequence_id, {})[r.offset] = ids
+    assert made == {i: brute(t) for i, t in enumerate(texts)}
+    for s in sequences.values():
+        whole = [x for at in sorted(s) for x in s[at]]
+        assert len(whole) <= 64 and all(whole[at : at + len(ids)] == ids for at, ids in s.items())
+    plain = [(r.doc_id, r.piece, r.length, r.ids_crc32) for r in packing.pack(docs, 64, with_ids=False).collect()]
+    assert sorted(plain) == sorted((r.doc_id, r.piece, r.length, r.ids_crc32) for r in got)
+
+
 @settings(max_examples=80, deadline=None)
 @given(st.lists(st.integers(1, 50), max_size=80))
 def test_plan_equals_best_fit_decreasing(lengths):

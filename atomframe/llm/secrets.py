@@ -3,10 +3,10 @@
 Base spans come from three patterns (assign, access, hex). Their values are labelled credentials: for each kind at
 most ``per_kind`` distinct values (those with the smallest hash; a bounded sample of labelled rows) make a prefix tree
 over character classes, whose statistically compatible states are merged (ALERGIA, Hoeffding test) into a
-probabilistic automaton. Every run of ``MIN_RUN`` or more characters that may stand in a credential, in every text, is
-a candidate; it is a secret if, for some kind, the automaton accepts it and its log likelihood is above that of
-ordinary text (a first-order model of the classes of all texts outside base spans) by ``threshold``. Candidates that overlap a base span
-are not added again. A span is a whole match: code points, end exclusive.
+probabilistic automaton. Every run of ``MIN_RUN`` (the least length of a labelled value) or more characters that may
+stand in a credential, in every text, is a candidate, and so is what base spans leave of a run; it is a secret if, for
+some kind, the automaton accepts it and its log likelihood is above that of ordinary text (a first-order model of the
+classes of all texts outside base spans) by ``threshold``. A span is a whole match: code points, end exclusive.
 
 Null and empty texts have no spans. Equal rows are scanned one by one. Extra columns are ignored by ``scan`` and kept
 by ``redact``. Without any base match nothing is learned and only the patterns speak.
@@ -32,7 +32,7 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]+")
 MIN_ASSIGN, MIN_ACCESS, MIN_HEX = 6, 20, 24
 
-MIN_RUN = 16
+MIN_RUN = min(MIN_ASSIGN, MIN_ACCESS, MIN_HEX)
 RUN = re.compile(r"[A-Za-z0-9+/_.=-]{%d,}" % MIN_RUN)
 #: Character classes: digit, a-f, other lower case, upper case, and each mark by itself; 0 is everything else.
 CLASSES = "0az" + "A" + "+/_.=-"
@@ -42,6 +42,8 @@ for _i in range(128):
     CODES[_i] = 1 if _c.isdigit() else 2 if _c in "abcdef" else 3 if _c.islower() else 4 if _c.isupper() else CLASSES.find(_c) + 1 if _c in "+/_.=-" else 0
 CODES = bytes(CODES)
 N = len(CLASSES) + 1
+#: Verdicts remembered in a worker, by class codes of at most SHORT characters.
+VERDICTS, SHORT = 1 << 17, 32
 HEXMAP = bytes(104 if chr(b) in "0123456789abcdef" else 32 for b in range(256))
 
 
@@ -175,6 +177,7 @@ class Formats:
         table = pairs.reshape(N, N) + 0.5
         self.plain = np.log(table / table.sum(axis=1, keepdims=True)).tolist()
         self.threshold = threshold
+        self.verdicts: dict[bytes, int | None] = {}
 
     def ordinary(self, codes: bytes) -> float:
         log, before = 0.0, 0
@@ -186,6 +189,14 @@ class Formats:
     def kind(self, value: str) -> int | None:
         """The kind whose automaton explains the value best, if any does much better than ordinary text."""
         codes = value.encode().translate(CODES)
+        if codes in self.verdicts:
+            return self.verdicts[codes]
+        verdict = self._judged(codes)
+        if len(codes) <= SHORT and len(self.verdicts) < VERDICTS:
+            self.verdicts[codes] = verdict
+        return verdict
+
+    def _judged(self, codes: bytes) -> int | None:
         scores = [(a.log_probability(codes), -k) for k, a in self.automata.items()]
         best = max(scores, default=(-math.inf, 0))
         if best[0] == -math.inf or best[0] - self.ordinary(codes) < self.threshold:
@@ -206,14 +217,28 @@ def learn(docs: DataFrame, per_kind: int = 400, threshold: float = 15.0) -> Form
     return Formats(values, pairs, threshold)
 
 
+def uncovered(start: int, end: int, spans: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """The parts of a run outside ``spans``, which are in order of their starts."""
+    out = []
+    for s, _, e in spans:
+        if s >= end:
+            break
+        if e > start:
+            if s > start:
+                out.append((start, s))
+            start = e
+    return out + [(start, end)] * (start < end)
+
+
 def all_spans(text: str, formats: Formats) -> tuple[list, list]:
     """Base spans, and all spans with those that the automata add: (start, kind, end)."""
     data = text.encode()
     base = [(s, k, e) for s, k, e, _ in base_spans(text, data)]
     added = []
     for m in RUN.finditer(text):
-        if not any(s < m.end() and m.start() < e for s, _, e in base) and (kind := formats.kind(m[0])) is not None:
-            added.append((m.start(), kind, m.end()))
+        for start, end in uncovered(m.start(), m.end(), base) if base else [m.span()]:
+            if end - start >= MIN_RUN and (kind := formats.kind(text[start:end])) is not None:
+                added.append((start, kind, end))
     return base, sorted(base + added)
 
 

@@ -34,6 +34,26 @@ def test_base_and_learned_spans(spark):
     assert prose in clean and not any(S.base_spans(t, t.encode()) for t in clean if t)
 
 
+def test_short_secrets_and_rests_of_runs(spark):
+    import random
+
+    r = random.Random(2)
+    short = lambda: "".join(r.choice("ABCDEFGHJKLMNPQRSTUVWXYZ0123456789") for _ in range(12))
+    prose = "the ordinary words of anotherlongishword and something else here "
+    texts = [prose * 20 + f"token={short()} and AKIA{'ABCDEFGH234567XY'} " for _ in range(300)]
+    formats = S.learn(spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string"))
+    bare = [short() for _ in range(20)]
+    found = [S.all_spans(f"é bare {b} here", formats) for b in bare]
+    assert all(not base and [(s, e) for s, _, e in spans] == [(7, 19)] for base, spans in found)
+    hexa = "0123456789abcdef" * 2
+    for b in ["X" + b[1:] for b in bare]:
+        base, spans = S.all_spans(f"see {hexa}{b} here", formats)
+        assert [(s, e) for s, _, e in base] == [(4, 36)] and [(s, e) for s, _, e in spans] == [(4, 36), (36, 48)]
+    left = spark.createDataFrame([(f"see {hexa}{b} here",)], "text string")
+    assert S.redact(left, formats).first().text.startswith("see [hex][") and b not in S.redact(left, formats).first().text
+    assert not S.all_spans(prose * 3, formats)[1]
+
+
 def test_merged_states_generalise():
     a = S.Automaton([bytes([1, 2] * n) for n in range(1, 30)] * 5)
     assert len({id(a.next[0])}) == 1 and a.log_probability(bytes([1, 2] * 50)) > -100

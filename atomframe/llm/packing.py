@@ -23,8 +23,9 @@ from atomframe.llm.common import chunks, column, saved
 from atomframe.llm.tokens import default_tokenizer, encoder, forget
 
 
-#: Text bytes that one task encodes at a time: ids are carried, so less than elsewhere.
-PIECE_BYTES = 2 << 20
+#: Text bytes that one task encodes at a time, and the divisor of its remembered pieces: ids are carried, so less than
+#: elsewhere.
+PIECE_BYTES, SHARE = 1 << 20, 4
 
 
 def best_fit(counts: dict[int, int], size: int) -> list[tuple[int, list[int]]]:
@@ -82,7 +83,7 @@ def _pieces(tokenizer: str, end_id: int, size: int):
         part, seen = TaskContext.get().partitionId(), np.zeros(size + 1, dtype=np.int64)
         for batch in chunks(batches, limit=PIECE_BYTES):
             rows, data = [], []
-            for i, ids in enumerate(encoder(tokenizer).encode([t or "" for t in column(batch, "text").to_pylist()])):
+            for i, ids in enumerate(encoder(tokenizer, SHARE).encode([t or "" for t in column(batch, "text").to_pylist()])):
                 ids = np.append(ids, np.uint32(end_id)).astype("<u4")
                 first = len(ids) % size or size
                 cuts = [0, *range(first, len(ids) + 1, size)]

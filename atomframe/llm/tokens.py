@@ -57,7 +57,7 @@ class Store:
 class Encoder:
     """Encodes texts with one byte-level tokenizer file."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, share: int = 1):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         os.environ["RAYON_NUM_THREADS"] = "1"
         from tokenizers import Tokenizer
@@ -69,7 +69,7 @@ class Encoder:
         for token, i in vocab.items():
             self.sizes[i] = len(token)
         self.byte_level = json.loads(self.tokenizer.to_str())["pre_tokenizer"]["type"] == "ByteLevel"
-        self.pieces, self.heads, self.rests = Store(), Store(PARTS), Store(PARTS)
+        self.pieces, self.heads, self.rests = Store(REMEMBERED // share), Store(PARTS // share), Store(PARTS // share)
         if hasattr(self.tokenizer.model, "_resize_cache"):
             self.tokenizer.model._resize_cache(0)
 
@@ -153,14 +153,14 @@ class Encoder:
         return [next(entire) if whole[k] else np.concatenate([next(head), ids[sizes[stops[k] - counts[k]] : sizes[stops[k]]]]) for k in range(len(texts))]
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple[str, int], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
-    """The worker's encoder for a tokenizer file."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+def encoder(path: str, share: int = 1) -> Encoder:
+    """The worker's encoder for a tokenizer file; ``share`` divides what it remembers."""
+    if (path, share) not in _ENCODERS:
+        _ENCODERS[path, share] = Encoder(path, share)
+    return _ENCODERS[path, share]
 
 
 def forget() -> None:

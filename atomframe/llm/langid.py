@@ -170,30 +170,32 @@ def has_letter(text: bytes) -> bool:
 LETTERS = bytes(b for b in range(128) if chr(b).isalpha())
 
 
-def _predict(model: Model | None, keep: list[str]):
+def _predict(model: Model | None, keep: list[str], confidence: str | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
             texts = raw(batch)
-            langs, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
+            langs, scores, sure = [UNKNOWN] * len(texts), [0.0] * len(texts), [0.0] * len(texts)
             if model:
                 ids, words, lengths = numbered(lower_words(texts))
                 gamma, *_ = chain.posteriors(model.chain(words), ids, lengths)
                 ends = np.cumsum(lengths)
                 for i, text in enumerate(texts):
                     if lengths[i] and has_letter(text):
-                        mean = gamma[ends[i] - lengths[i] : ends[i]].mean(axis=0)
+                        words_of = gamma[ends[i] - lengths[i] : ends[i]]
+                        mean, sure[i] = words_of.mean(axis=0), min(1.0, float(words_of.max(axis=1).mean()))
                         langs[i], scores[i] = model.langs[int(mean.argmax())], min(1.0, float(mean.max()))
-            out = [*(column(batch, c) for c in keep), pa.array(langs, pa.string()), pa.array(scores, pa.float64())]
-            yield pa.RecordBatch.from_arrays(out, [*keep, "lang_pred", "score"])
+            out = [*(column(batch, c) for c in keep), pa.array(langs, pa.string()), pa.array(scores, pa.float64()), *[pa.array(sure, pa.float64())] * bool(confidence)]
+            yield pa.RecordBatch.from_arrays(out, [*keep, "lang_pred", "score", *[confidence] * bool(confidence)])
 
     return run
 
 
-def predict(docs: DataFrame, model: Model | None, keep: list[str] | None = None) -> DataFrame:
-    """The ``keep`` columns (doc_id and text if none are named) with lang_pred and score."""
+def predict(docs: DataFrame, model: Model | None, keep: list[str] | None = None, confidence: str | None = None) -> DataFrame:
+    """The ``keep`` columns (doc_id and text if none are named) with lang_pred and score and, if it is given a name, the
+    mean of each word's largest probability, whatever its language."""
     keep = keep or ["doc_id", "text"]
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
-    return docs.select(*dict.fromkeys([*keep, "text"])).mapInArrow(_predict(model, keep), f"{kinds}, lang_pred string, score double")
+    return docs.select(*dict.fromkeys([*keep, "text"])).mapInArrow(_predict(model, keep, confidence), f"{kinds}, lang_pred string, score double" + (f", `{confidence}` double" if confidence else ""))
 
 
 def held_out() -> Column:

@@ -2,8 +2,8 @@
 
 Each stage works on all that its predecessor kept. All but the last return the columns of ``documents``:
 
-* language_id drops documents without a language (no text or no letter), or that no language explains with a mean
-  word probability of at least LEAST_SCORE.
+* language_id drops documents without a language (no text or no letter), or whose words are not explained by any
+  (LEAST_SCORE); without labelled documents there is no model and all pass.
 * near_duplicates keeps the document of smallest doc_id in each group of 5-word-shingle similarity 0.75 or more.
 * decontaminate removes the words of benchmark windows, or the document if they are more than half of it.
 * secrets replaces credentials by their kind.
@@ -20,15 +20,20 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from atomframe.llm import decontaminate, jaccard, langid, packing, secrets
 from atomframe.llm.common import shared_dir
 
-#: With four or more languages, a text whose best language has less than this is explained by none.
+#: A text's words are explained if the mean of each word's largest probability is at least this with four languages,
+#: and as far above the even share with any other number. A language's part of the text does not matter.
 LEAST_SCORE = 0.4
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejected documents go. Learns from the labelled documents outside the held-out fifth."""
     model = langid.train(docs.where("doc_id is not null").where(~langid.held_out()))
-    found = langid.predict(docs.select(*[F.col(f"`{c}`").alias({"lang_pred": "__lang_pred", "score": "__score"}.get(c, c)) for c in docs.columns]), model, [{"lang_pred": "__lang_pred", "score": "__score"}.get(c, c) for c in docs.columns])
-    kept = found.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_SCORE)).drop("lang_pred", "score")
+    if model is None:
+        return docs
+    even = 1 / len(model.langs)
+    least = even + (1 - even) * (LEAST_SCORE - 0.25) / 0.75
+    found = langid.predict(docs.select(*[F.col(f"`{c}`").alias({"lang_pred": "__lang_pred", "score": "__score"}.get(c, c)) for c in docs.columns]), model, [{"lang_pred": "__lang_pred", "score": "__score"}.get(c, c) for c in docs.columns], "__confidence")
+    kept = found.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("__confidence") >= least)).drop("lang_pred", "score", "__confidence")
     return kept.withColumnsRenamed({"__lang_pred": "lang_pred", "__score": "score"})
 
 

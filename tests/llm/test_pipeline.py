@@ -64,3 +64,15 @@ def test_sequences_hold_the_ids(stages):
     want = {r.doc_id: tokens(r.text) for r in stages[4]}
     assert all(bytes(r.ids) == np.array(want[r.doc_id][r.start : r.start + r.length], "<u4").tobytes() for r in stages[5])
     assert sum(r.length for r in stages[5]) == sum(map(len, want.values()))
+
+
+def test_mixed_documents_and_unlabelled_tables_pass(spark):
+    import random
+
+    sounds = {"aa": ["ba", "lo", "mi"], "bb": ["sch", "ung", "keit"], "cc": ["xé", "qui", "aux"], "dd": ["vw", "yk", "zt"]}
+    r = random.Random(3)
+    words = lambda x, n: " ".join("".join(r.choice(sounds[x]) for _ in range(r.randint(2, 4))) for _ in range(n))
+    rows = [(i, words(x, 40), x) for i in range(60) for x in sounds] + [(900, " ".join(words(x, n) for x, n in zip(sounds, (38, 32, 30, 30))), None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert P.language_id(spark, docs, SF).where("doc_id = 900").count() == 1
+    assert P.language_id(spark, docs.withColumn("lang", P.F.lit(None).cast("string")), SF).count() == len(rows)

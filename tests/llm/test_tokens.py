@@ -27,6 +27,12 @@ def test_same_ids_as_the_library(texts):
     assert [x.tolist() for x in tokens.encoder(tokens.default_tokenizer()).encode(texts)] == [_T.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_special_tokens_in_a_text_are_plain_pieces():
+    ids = tokens.encoder(tokens.default_tokenizer()).encode(["a <|endoftext|> b", "<|endoftext|>"])
+    special = Tokenizer.from_file(tokens.default_tokenizer()).token_to_id("<|endoftext|>")
+    assert special is not None and not any(special in x for x in ids)
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(0, 2**32 - 1) | st.integers(0, 300), max_size=30), st.integers(0, 3000))
 def test_blocks_round_trip(odd, n):

@@ -30,6 +30,8 @@ UNKNOWN = "und"
 GRAMS = (1, 2, 3, 4)
 #: Scores are cut off here before they become potentials.
 SPAN = 30.0
+#: Bytes of distinct words whose features are at hand at a time, and text bytes of a chunk.
+WORD_BYTES, CHUNK = 1 << 18, 2 << 20
 
 
 def lower_words(texts: list[bytes]) -> list[list[bytes]]:
@@ -41,22 +43,28 @@ def word_features(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     sizes = np.array([len(w) + 2 for w in words], dtype=np.int64)
     data = np.frombuffer(b"".join(b"\x02" + w + b"\x03" for w in words), dtype=np.uint8).astype(np.uint64)
     left = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(data))
-    out = np.full((len(data), len(GRAMS)), FEATURES, dtype=np.int64)
+    out = np.full((len(data), len(GRAMS)), FEATURES, dtype=np.int32)
     h = np.zeros(len(data), dtype=np.uint64)
     for k, n in enumerate(GRAMS):
         nxt = np.zeros(len(data), dtype=np.uint64)
         nxt[: len(data) - n + 1] = data[n - 1 :]
         h = mixed(h * np.uint64(257) + nxt + MIX)
-        out[:, k] = np.where(left >= n, (h % np.uint64(FEATURES)).astype(np.int64), FEATURES)
+        out[:, k] = np.where(left >= n, (h % np.uint64(FEATURES)).astype(np.int32), FEATURES)
     return out.ravel(), (np.cumsum(sizes) - sizes) * len(GRAMS)
 
 
 def word_scores(words: list[bytes], weights: np.ndarray, lexicon: np.ndarray, lexicon_weight: float) -> np.ndarray:
-    if not words:
-        return np.zeros((0, weights.shape[1]))
-    feats, begin = word_features(words)
-    score = np.add.reduceat(weights[feats], begin, axis=0)
-    return score + lexicon_weight * lexicon[word_hashes(words) % np.uint64(LEXICON)]
+    """Scores of each word, computed for WORD_BYTES of words at a time (a longer word alone)."""
+    out = np.empty((len(words), weights.shape[1]))
+    place = np.cumsum(np.array([len(w) for w in words], dtype=np.int64)) // WORD_BYTES
+    cuts = [0, *(np.flatnonzero(np.diff(place)) + 1).tolist(), len(words)]
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        some = words[a:b]
+        if some:
+            feats, begin = word_features(some)
+            buckets = (word_hashes(some) % np.uint64(LEXICON)).astype(np.int64)
+            out[a:b] = np.add.reduceat(weights[feats], begin, axis=0) + lexicon_weight * lexicon[buckets]
+    return out
 
 
 def potentials(scores: np.ndarray) -> np.ndarray:
@@ -65,7 +73,7 @@ def potentials(scores: np.ndarray) -> np.ndarray:
 
 def _lexicon_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     totals: dict[str, np.ndarray] = {}
-    for batch in chunks(batches):
+    for batch in chunks(batches, limit=CHUNK):
         texts, langs = raw(batch), column(batch, "lang").to_pylist()
         for lang in set(langs):
             words, distinct, _ = numbered(lower_words([t for t, x in zip(texts, langs, strict=True) if x == lang]))
@@ -172,7 +180,7 @@ LETTERS = bytes(b for b in range(128) if chr(b).isalpha())
 
 def _predict(model: Model | None, keep: list[str], confidence: str | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches):
+        for batch in chunks(batches, limit=CHUNK):
             texts = raw(batch)
             langs, scores, sure = [UNKNOWN] * len(texts), [0.0] * len(texts), [0.0] * len(texts)
             if model:

@@ -26,11 +26,15 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+#: Bytes of a saved table that a writing task holds in memory.
+ROW_GROUP = 16 << 20
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once as Parquet in the shared folder and read again, which cuts its lineage."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/atomframe-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("parquet.block.size", ROW_GROUP).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -3,7 +3,10 @@
 A byte-level tokenizer's pretokens always begin at a single space between two visible characters, so a text's ids are
 those of its space-separated pieces, each with its space; they also begin where a run of letters ends, so that a piece
 is its leading letters and a rest. Heads, rests and pieces seen before are looked up; new heads and rests are encoded
-together. Texts with any other white space next to a space are encoded whole.
+together. Texts with any other white space next to a space, or with the string of an added token, are encoded whole.
+
+Ids are those of the library's ``encode(text, add_special_tokens=False)``: the literal string of a special token in a
+text is that token.
 """
 
 from __future__ import annotations
@@ -63,12 +66,13 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         vocab = self.tokenizer.get_vocab()
         self.sizes = np.zeros(max(vocab.values()) + 1, dtype=np.int64)
         for token, i in vocab.items():
             self.sizes[i] = len(token)
-        self.byte_level = json.loads(self.tokenizer.to_str())["pre_tokenizer"]["type"] == "ByteLevel"
+        parts = json.loads(self.tokenizer.to_str())
+        self.byte_level = parts["pre_tokenizer"]["type"] == "ByteLevel" and parts["normalizer"] is None
+        self.added = [token["content"] for token in parts["added_tokens"]]
         self.pieces, self.heads, self.rests = Store(REMEMBERED // share), Store(PARTS // share), Store(PARTS // share)
         if hasattr(self.tokenizer.model, "_resize_cache"):
             self.tokenizer.model._resize_cache(0)
@@ -93,8 +97,9 @@ class Encoder:
         ends = np.cumsum(self.sizes[flat])
         cuts = np.cumsum([len(p.encode()) + 1 for p in names])
         last = np.searchsorted(ends, cuts) + 1
-        if len(last) and not np.array_equal(ends[last - 1], cuts):
-            raise ValueError("the tokenizer joined pieces across a space")
+        if len(last) and not np.array_equal(ends[np.minimum(last, len(ends)) - 1], cuts):  # joined across a space: one by one
+            each = self.whole([space + name for name in names])
+            return np.array([len(x) for x in each], dtype=np.int64), np.concatenate(each)
         return np.diff(last, prepend=0).astype(np.int64), flat
 
     def _new_pieces(self, names: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -129,8 +134,9 @@ class Encoder:
             return self.whole(texts)
         pieces: list[str] = []
         firsts, counts = [], []
-        for text in texts:
-            first, *rest = text.split(" ")
+        special = np.array([any(token in text for token in self.added) for text in texts], dtype=bool)
+        for text, skip in zip(texts, special.tolist(), strict=True):
+            first, *rest = ("",) if skip else text.split(" ")
             firsts.append(first)
             counts.append(len(rest))
             pieces += rest
@@ -141,7 +147,7 @@ class Encoder:
         ends = np.cumsum(counts)
         bad = np.concatenate([[0], np.cumsum(store.length[found] == 0)])
         whole = bad[ends] - bad[ends - counts] > 0
-        whole |= np.array([n > 0 and (not f or f[-1].isspace()) for f, n in zip(firsts, counts, strict=True)], dtype=bool)
+        whole |= special | np.array([n > 0 and (not f or f[-1].isspace()) for f, n in zip(firsts, counts, strict=True)], dtype=bool)
         head = iter(self.whole([f for f, w in zip(firsts, whole, strict=True) if not w]))
         entire = iter(self.whole([t for t, w in zip(texts, whole, strict=True) if w]))
         use = found[np.repeat(~whole, counts)]

@@ -10,7 +10,6 @@ from atomframe.llm import packing, tokenfiles as F, tokens
 
 TEXTS = [None, "", "a", " a  b ", "it's 's b1c x²y é́a _a a_b ½ a.\nB, c can't.", "<|endoftext|> <|endoftext|>", "a\x1c b\u0085 c  d", "日本 語 テキスト 😀 😀x", "x" * 5000, "word, " * 4000, "\n"]
 _T = Tokenizer.from_file(tokens.default_tokenizer())
-_T.encode_special_tokens = True
 
 
 def brute(text):
@@ -27,10 +26,18 @@ def test_same_ids_as_the_library(texts):
     assert [x.tolist() for x in tokens.encoder(tokens.default_tokenizer()).encode(texts)] == [_T.encode(t, add_special_tokens=False).ids for t in texts]
 
 
-def test_special_tokens_in_a_text_are_plain_pieces():
-    ids = tokens.encoder(tokens.default_tokenizer()).encode(["a <|endoftext|> b", "<|endoftext|>"])
-    special = Tokenizer.from_file(tokens.default_tokenizer()).token_to_id("<|endoftext|>")
-    assert special is not None and not any(special in x for x in ids)
+def test_special_tokens_in_a_text_are_the_librarys():
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|>y z", "a b", "<|endoftext| >"]
+    assert _T.encode(texts[0], add_special_tokens=False).ids == [64, 220, 50256, 275]
+    got = tokens.encoder(tokens.default_tokenizer()).encode(texts)
+    assert [x.tolist() for x in got] == [_T.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_pieces_that_a_tokenizer_would_join_are_encoded_one_by_one(monkeypatch):
+    e = tokens.Encoder(tokens.default_tokenizer())
+    e.sizes = e.sizes + 1  # no border falls where it should
+    texts = ["some words, more words 12 it's", "and others"]
+    assert [x.tolist() for x in e.encode(texts)] == [_T.encode(t, add_special_tokens=False).ids for t in texts]
 
 
 @settings(max_examples=60, deadline=None)

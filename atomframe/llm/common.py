@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import itertools
 import tempfile
 import uuid
@@ -42,8 +43,35 @@ def parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def chunks(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
-    """The batches cut into slices of at most ``limit`` text bytes, or of one row."""
+#: What a worker keeps from one task to the next, by the operator's name.
+_HELD: dict[str, dict] = {}
+
+
+def held(owner: str) -> dict:
+    """What ``owner`` keeps in this worker; what others kept goes."""
+    for name in [n for n in _HELD if n != owner]:
+        del _HELD[name]
+    return _HELD.setdefault(owner, {})
+
+
+def give_back() -> None:
+    """Returns freed memory to the system, so that a reused worker does not keep its largest task's."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(_LIBC, "malloc_trim"):
+        _LIBC.malloc_trim(0)
+
+
+_LIBC = ctypes.CDLL(None)
+
+
+def chunks(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = CHUNK_BYTES, owner: str = "") -> Iterator[pa.RecordBatch]:
+    """The batches cut into slices of at most ``limit`` text bytes, or of one row. ``owner``: see ``held``."""
+    held(owner)
+    yield from _cut(batches, text, limit)
+    give_back()
+
+
+def _cut(batches: Iterator[pa.RecordBatch], text: str, limit: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if not batch.num_rows:
             continue

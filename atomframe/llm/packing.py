@@ -11,7 +11,6 @@ Null text is empty: one piece with the end id only. Every row is packed, equal r
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,13 +18,13 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from atomframe.llm.common import chunks, column, saved
-from atomframe.llm.tokens import default_tokenizer, encoder, forget
+from atomframe.llm.common import chunks, column, held, saved
+from atomframe.llm.tokens import OWNER, default_tokenizer, encoder
 
 
 #: Text bytes that one task encodes at a time, and the divisor of its remembered pieces: ids are carried, so less than
 #: elsewhere.
-PIECE_BYTES, SHARE = 1 << 20, 4
+PIECE_BYTES, SHARE = 1 << 20, 2
 
 
 def best_fit(counts: dict[int, int], size: int) -> list[tuple[int, list[int]]]:
@@ -81,7 +80,7 @@ def slots(plan: list[tuple[int, list[int]]]) -> dict[int, list[tuple[int, int, i
 def _pieces(tokenizer: str, end_id: int, size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seen = TaskContext.get().partitionId(), np.zeros(size + 1, dtype=np.int64)
-        for batch in chunks(batches, limit=PIECE_BYTES):
+        for batch in chunks(batches, limit=PIECE_BYTES, owner=OWNER):
             rows, data = [], []
             for i, ids in enumerate(encoder(tokenizer, SHARE).encode([t or "" for t in column(batch, "text").to_pylist()])):
                 ids = np.append(ids, np.uint32(end_id)).astype("<u4")
@@ -113,7 +112,7 @@ def _placed(plan: dict[int, list]):
 
     @F.arrow_udf("sequence_id long, offset long")
     def place(length: pa.Array, rank: pa.Array) -> pa.Array:
-        forget()
+        held("")
         length, rank = np.asarray(length), np.asarray(rank)
         sequence, offset = np.zeros(len(rank), np.int64), np.zeros(len(rank), np.int64)
         for n in np.unique(length):

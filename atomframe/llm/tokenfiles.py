@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from atomframe.llm.common import chunks, column, parts, saved, shared_dir
-from atomframe.llm.tokens import default_tokenizer, encoder
+from atomframe.llm.tokens import OWNER, default_tokenizer, encoder
 
 MAGIC = b"PFB1"
 BLOCK = 1024
@@ -139,7 +139,7 @@ def _writer(folder: str, tokenizer: str, end_id: int):
         name = f"part-{part:06d}.pfb"
         own = f"{base}/.{name}-{uuid.uuid4().hex}"
         with fs.open_output_stream(own) as f:
-            for batch in chunks(batches):
+            for batch in chunks(batches, owner=OWNER):
                 ids = encoder(tokenizer).encode([t or "" for t in column(batch, "text").to_pylist()])
                 ids = [np.append(x, np.uint32(end_id)) for x in ids]
                 f.write(segment(column(batch, "doc_id").to_pylist(), ids))

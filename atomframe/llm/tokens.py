@@ -18,7 +18,7 @@ import re
 
 import numpy as np
 
-from atomframe.llm.common import Numbering, ranges
+from atomframe.llm.common import Numbering, held, ranges
 
 #: Pieces remembered in a worker, and heads and rests.
 REMEMBERED, PARTS, MEAN = 500_000, 250_000, 16
@@ -159,19 +159,16 @@ class Encoder:
         return [next(entire) if whole[k] else np.concatenate([next(head), ids[sizes[stops[k] - counts[k]] : sizes[stops[k]]]]) for k in range(len(texts))]
 
 
-_ENCODERS: dict[tuple[str, int], Encoder] = {}
+#: The owner of the encoders that a worker keeps.
+OWNER = "tokens"
 
 
 def encoder(path: str, share: int = 1) -> Encoder:
     """The worker's encoder for a tokenizer file; ``share`` divides what it remembers."""
-    if (path, share) not in _ENCODERS:
-        _ENCODERS[path, share] = Encoder(path, share)
-    return _ENCODERS[path, share]
-
-
-def forget() -> None:
-    """Frees the worker's encoders where no text is to be encoded any more."""
-    _ENCODERS.clear()
+    encoders = held(OWNER)
+    if (path, share) not in encoders:
+        encoders[path, share] = Encoder(path, share)
+    return encoders[path, share]
 
 
 def default_tokenizer() -> str:

@@ -39,6 +39,14 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def dropped(*tables: DataFrame) -> None:
+    """Deletes saved tables that nothing reads any more."""
+    for df in tables:
+        if files := df.inputFiles():
+            path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+            path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

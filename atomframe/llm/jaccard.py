@@ -12,10 +12,12 @@ n-gram is the log of a lossy count over all documents), then by fingerprint. Two
 4. Groups that still hold several components have all pairs between them compared that share enough members over all
    groups, with all documents they stand for.
 
-Pairs are compared only if their sizes and parities (bits that bound the number of different members from below) allow
-it. Comparing is a prefix-tree join: candidates are sorted so that common beginnings are adjacent, which is the tree in
-depth-first order; the overlap with the probing set is carried along a shared beginning, and a branch is left as soon
-as the overlap so far plus what remains cannot reach the bound. Components are found by joins with checkpoints.
+Pairs are compared only if their sizes and parities (two bits or more for each member, which bound the number of
+different members from below) allow it; few pairs that are not similar pass. The probing text goes once to each block of
+texts to compare it with. Comparing is a prefix-tree join: candidates are sorted so that common beginnings are adjacent,
+which is the tree in depth-first order; the overlap with the probing set is carried along a shared beginning, and a
+branch is left as soon as the overlap so far plus what remains cannot reach the bound. Components are found by joins
+with saved tables, which go as soon as nothing reads them.
 
 Equal sets are one node (a 64-bit fingerprint of the set). Null, empty and word-less texts have an empty set and are
 linked with nothing; their component is their own doc_id. Documents of equal id, and equal rows, stay separate rows.
@@ -31,15 +33,17 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from atomframe.llm.common import chunks, column, mixed, numbered, parts, raw, saved, windows, word_hashes
+from atomframe.llm.common import chunks, column, dropped, mixed, numbered, parts, raw, saved, windows, word_hashes
 
 SIEVE = 1 << 22
 #: N-grams with a level above 0 at most (they are broadcast), and documents that make an n-gram common.
 MOST_COMMON, COMMON = 1 << 20, 32
 #: One more member of the prefix for so many members of the set.
 MORE = 32
-#: Bits of a set's parity.
-PARITY = 2048
+#: Bits of a set's parity: the least, and so many for each member or more, up to the next power of two.
+PARITY, BITS_EACH = 64, 2
+#: Texts that one copy of a probing text is compared with, about.
+BLOCK = 500
 #: Bits of the filter that goes to all tasks.
 FILTER = 1 << 25
 #: Text bytes of a chunk.
@@ -67,9 +71,10 @@ def node_of(members: np.ndarray) -> int:
 
 
 def parity(members: np.ndarray) -> np.ndarray:
-    """PARITY bits, each flipped once for every member that falls on it: two sets differ in at least as many members as
-    their bits differ."""
-    bits = np.bincount((members % np.uint64(PARITY)).astype(np.int64), minlength=PARITY) & 1
+    """Bits, each flipped once for every member that falls on it: two sets differ in at least as many members as their
+    bits differ. Halves of a longer parity, one flipped by the other, are the parity of half the length."""
+    size = max(PARITY, 1 << (BITS_EACH * len(members) - 1).bit_length())
+    bits = np.bincount((members % np.uint64(size)).astype(np.int64), minlength=size) & 1
     return np.packbits(bits.astype(np.uint8)).view(np.int64)
 
 
@@ -216,6 +221,7 @@ def common_grams(docs: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
     counts = saved(docs.select("text").mapInArrow(_common_rows(n), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).where(F.col("n") >= COMMON), "grams")
     total = counts.agg(F.sum("n")).first()[0] or 0
     rows = counts.where(F.col("n") > total // MOST_COMMON).collect()  # fewer than MOST_COMMON rows
+    dropped(counts)
     grams = np.array([r.gram for r in rows], dtype=np.int64).view(np.uint64)
     order = np.argsort(grams)
     return grams[order], np.log2(np.array([r.n for r in rows], dtype=np.float64)[order]).astype(np.int8) if rows else np.zeros(0, np.int8)
@@ -278,36 +284,46 @@ def _bucket_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def _verify(join: Join):
-    """Rows (a, b, text_a, text_b), those with the same a together: the pairs that are similar."""
+    """Rows (a, node, first, text), the probing text (first) before those to compare with it: the similar pairs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, members = None, NONE
-        for batch in chunks(batches, "text_b", CHUNK):
-            firsts, seconds = column(batch, "a").to_pylist(), column(batch, "b").to_pylist()
-            others = [join.ordered(s) for s in shingle_sets(raw(batch, "text_b"), join.n)]
-            left = column(batch, "text_a")
+        key, members = None, NONE
+        for batch in chunks(batches, limit=CHUNK):
+            probing, nodes, first = (column(batch, c).to_pylist() for c in ("a", "node", "first"))
+            sets = shingle_sets(raw(batch), join.n)
             out_a, out_b, at = [], [], 0
-            while at < len(firsts):
+            while at < len(sets):
+                if first[at]:
+                    key, members = probing[at], sets[at]
+                    at += 1
+                    continue
                 end = at
-                while end < len(firsts) and firsts[end] == firsts[at]:
+                while end < len(sets) and not first[end]:
                     end += 1
-                if firsts[at] != last:
-                    last, members = firsts[at], shingle_sets([(left[at].as_py() or "").encode()], join.n)[0]
-                for k, same in enumerate(join.probe(members, others[at:end])):
+                for k, same in enumerate(join.probe(members, [join.ordered(s) for s in sets[at:end]])):
                     if same:
-                        out_a.append(firsts[at])
-                        out_b.append(seconds[at + k])
+                        out_a.append(key)
+                        out_b.append(nodes[at + k])
                 at = end
             yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], ["a", "b"])
 
     return run
 
 
-def verified(join: Join, pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) of nodes whose sets are similar. ``texts``: node, text."""
-    b = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
-    both = b.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a").select("a", "b", "text_a", "text_b")
-    return saved(both.sortWithinPartitions("a").mapInArrow(_verify(join), "a long, b long"), "links")
+def verified(join: Join, pairs: DataFrame, docs: DataFrame, once: DataFrame) -> DataFrame:
+    """The pairs (a, b) of nodes whose sets are similar. ``once``: one row_key of ``docs`` for each node. The texts to
+    compare with a are dealt in blocks, so that a text with many partners is not one task's work."""
+    many = pairs.groupBy("a").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    dealt = pairs.join(many, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("blocks")).alias("block"))
+    roles = dealt.select("a", "block", F.col("b").alias("node"), F.lit(False).alias("first"))
+    roles = roles.unionByName(dealt.select("a", "block", F.col("a").alias("node"), F.lit(True).alias("first")).distinct())
+    wanted = saved(roles.join(once.select("node", "row_key"), "node"), "wanted")
+    slim = docs.select("row_key", "text")
+    found = slim.mapInArrow(_sift(wanted_bits(wanted)), slim.schema).join(wanted, "row_key").dropDuplicates(["row_key", "a", "block", "node"])
+    near = found.repartition(parts(docs.sparkSession), "a", "block").sortWithinPartitions("a", "block", F.desc("first"))
+    out = saved(near.select("a", "node", "first", "text").mapInArrow(_verify(join), "a long, b long"), "links")
+    dropped(wanted)
+    return out
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -320,8 +336,10 @@ def components(links: DataFrame) -> DataFrame:
         step = labels.join(near, labels.node == near.a).select("node", F.col("label").alias("old"), F.least("label", "near").alias("low"))
         roots = labels.select(F.col("node").alias("low"), F.col("label").alias("root"))
         new = saved(step.join(roots, "low", "left").select("node", "old", F.least("low", F.coalesce("root", "low")).alias("label")), "labels")
+        dropped(labels)
         labels = new.select("node", "label")
         if new.where("old <> label").isEmpty():
+            dropped(both)
             return labels
 
 
@@ -334,26 +352,34 @@ def _sift(bits: np.ndarray):
     return run
 
 
-def texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(node, text) for ``wanted`` (node, row_key). A bitmap of FILTER bits, whatever the number of rows, keeps most of
-    the texts that are not wanted out of the shuffle; the join decides."""
+def wanted_bits(wanted: DataFrame) -> np.ndarray:
+    """A bitmap of FILTER bits, whatever the number of rows, of the row_keys: it keeps most of the texts that are not
+    wanted out of the shuffle; the join decides. Where very many are wanted it lets all texts through, which is one
+    shuffle of the input."""
     place = F.pmod(F.col("row_key"), F.lit(FILTER)).alias("at")
     # a negative key's pmod is its unsigned remainder, since FILTER divides 2 ** 64; bitmaps count from 1
     rows = wanted.select((place + 1).alias("at")).groupBy(F.bitmap_bucket_number("at").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits")).collect()
     bits = np.zeros((FILTER // 32768, 4096), dtype=np.uint8)
     for r in rows:  # at most FILTER / 32768 rows
         bits[r.bucket - 1] = np.frombuffer(bytes(r.bits), dtype=np.uint8)
-    slim = docs.select("row_key", "text")
-    found = slim.mapInArrow(_sift(bits.ravel()), slim.schema).join(wanted, "row_key")
-    return found.dropDuplicates(["row_key", "node"]).select("node", "text")
+    return bits.ravel()
+
+
+def _sizes_allow(join: Join):
+    return (F.col("n_a") * join.den >= F.col("n_b") * join.num) & (F.col("n_b") * join.den >= F.col("n_a") * join.num)
 
 
-def _bounds(join: Join):
-    """Pairs whose sizes and parities allow the similarity."""
-    a, b = F.col("n_a"), F.col("n_b")
-    differ = F.aggregate(F.zip_with("p_a", "p_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
-    needed = F.ceil(join.num * (a + b) / (join.num + join.den))
-    return (a * join.den >= b * join.num) & (b * join.den >= a * join.num) & (differ <= a + b - 2 * needed)
+def _parities_allow(join: Join):
+    """Sizes that allow the similarity are within a factor of two, so that at most one parity has to be folded once."""
+    words = F.least(F.size("p_a"), F.size("p_b"))
+
+    def folded(p: str):
+        half = F.zip_with(F.slice(p, F.lit(1), words), F.slice(p, words + 1, words), lambda x, y: x.bitwiseXOR(y))
+        return F.when(F.size(p) > words, half).otherwise(F.col(p))
+
+    differ = F.aggregate(F.zip_with(folded("p_a"), folded("p_b"), lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    needed = F.ceil(join.num * (F.col("n_a") + F.col("n_b")) / (join.num + join.den))
+    return differ <= F.col("n_a") + F.col("n_b") - 2 * needed
 
 
 def near_duplicates(docs: DataFrame, n: int = 5, num: int = 75, den: int = 100) -> DataFrame:
@@ -369,45 +395,46 @@ def near_duplicates(docs: DataFrame, n: int = 5, num: int = 75, den: int = 100)
     nodes = out.where("sig is null")
     groups = out.where("sig is not null").groupBy("sig", "comp").agg(F.sum("m").alias("m"))
     # one row for each node; a node's components in different chunks are linked by the node itself
-    once = saved(nodes.where("node is not null").groupBy("node").agg(F.first("n").alias("n"), F.min("doc_id").alias("doc"), F.min("row_key").alias("row_key"), F.first("parity").alias("parity")), "nodes")
-    member = nodes.where("node is not null").select(F.col("node").alias("a"), F.col("comp").alias("b")).distinct()
+    nodes = nodes.where("node is not null")
+    once = saved(nodes.groupBy("node").agg(F.first("n").alias("n"), F.min("doc_id").alias("doc"), F.min("row_key").alias("row_key"), F.first("parity").alias("parity")), "nodes")
+    member = nodes.select(F.col("node").alias("a"), F.col("comp").alias("b")).distinct()
     groups = saved(groups, "groups")
-
-    def texts(pairs: DataFrame) -> DataFrame:
-        wanted = saved(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(once, "node").select("node", "row_key"), "wanted")
-        return saved(texts_of(docs, wanted), "texts")
-
-    sizes_a, sizes_b = (once.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("parity").alias(f"p_{c}")) for c in "ab")
-
-    def sized(pairs: DataFrame) -> DataFrame:
-        both = pairs.join(sizes_a, "a").join(sizes_b, "b").where(_bounds(join))
-        if "shared" in pairs.columns:
-            both = both.where(F.col("shared") >= 1 + F.floor(F.least("n_a", "n_b") / MORE))
-        return both.select("a", "b")
+    side = {c: once.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("parity").alias(f"p_{c}")) for c in "ab"}
 
     leaders = groups.groupBy("sig").agg(F.min("comp").alias("a"))
-    stars = saved(sized(groups.join(leaders, "sig").where("comp <> a").select("a", F.col("comp").alias("b")).distinct()), "stars")
-    links = member.where("a <> b").unionByName(verified(join, stars, texts(stars)))
-    labels = components(saved(links, "links"))
+    starred = groups.join(leaders, "sig").where("comp <> a").select("a", F.col("comp").alias("b")).distinct()
+    sized = starred.join(side["a"], "a").join(side["b"], "b").where(_sizes_allow(join)).where(_parities_allow(join))
+    stars = saved(sized.select("a", "b"), "stars")
+    links = saved(member.where("a <> b").unionByName(verified(join, stars, docs, once)), "links")
+    labels = components(links)
+    dropped(links)
     # what is still apart within a group: all nodes of each component against those of the others
+    span = nodes.groupBy("comp").agg(F.min("n").alias("low"), F.max("n").alias("high"))
     named = groups.join(labels, groups.comp == labels.node, "left").select("sig", "comp", "m", F.coalesce("label", "comp").alias("label"))
-    apart = named.groupBy("sig").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("sig")
-    mixed_groups = saved(named.join(apart, "sig"), "mixed")
-    left, right = (mixed_groups.select("sig", F.col("m").alias(f"m_{c}"), F.col("comp").alias(f"comp_{c}"), F.col("label").alias(f"label_{c}")) for c in "ab")
-    cross = left.join(right, "sig").where("label_a < label_b").groupBy("comp_a", "comp_b").agg(F.sum("m_a").alias("shared"))
-    of = nodes.where("node is not null").select("comp", "node").distinct()
-    pairs = cross.join(of.select(F.col("comp").alias("comp_a"), F.col("node").alias("a")), "comp_a").join(of.select(F.col("comp").alias("comp_b"), F.col("node").alias("b")), "comp_b")
-    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "shared").groupBy("a", "b").agg(F.max("shared").alias("shared"))
+    apart = named.groupBy("sig").agg(F.min("label").alias("least"), F.max("label").alias("most")).where("least <> most").select("sig")
+    mixed_groups = saved(named.join(apart, "sig").join(span, "comp"), "mixed")
+    left, right = (mixed_groups.select("sig", *[F.col(x).alias(f"{x}_{c}") for x in ("m", "comp", "label", "low", "high")]) for c in "ab")
+    allowed = (F.col("label_a") < F.col("label_b")) & (F.col("high_a") * den >= F.col("low_b") * num) & (F.col("high_b") * den >= F.col("low_a") * num)
+    cross = left.join(right, "sig").where(allowed).groupBy("comp_a", "comp_b").agg(F.sum("m_a").alias("shared"), F.first(F.least("low_a", "low_b")).alias("low"))
+    cross = cross.where(F.col("shared") >= 1 + F.floor(F.col("low") / MORE)).drop("low")
+    of = nodes.select("comp", "node", "n", "parity").dropDuplicates(["comp", "node"])
+    for c in "ab":
+        cross = cross.join(of.select(*[F.col(x).alias(y) for x, y in (("comp", f"comp_{c}"), ("node", c), ("n", f"n_{c}"), ("parity", f"p_{c}"))]), f"comp_{c}")
+    enough = F.col("shared") >= 1 + F.floor(F.least("n_a", "n_b") / MORE)
+    pairs = cross.where(_sizes_allow(join)).where(enough).where(_parities_allow(join)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     done = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = saved(sized(pairs.join(done, ["a", "b"], "left_anti")), "pairs")
+    rest = saved(pairs.join(done, ["a", "b"], "left_anti"), "pairs")
+    dropped(mixed_groups, stars, groups)
     if not rest.isEmpty():
-        more = verified(join, rest, texts(rest))
-        if not more.isEmpty():
-            labels = components(saved(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(more), "links"))
+        links = saved(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(verified(join, rest, docs, once)), "links")
+        dropped(labels)
+        labels = components(links)
+        dropped(links)
     final = once.join(labels, "node", "left").select("node", "doc", F.coalesce("label", "node").alias("label"))
     smallest = final.groupBy("label").agg(F.min("doc").alias("component_id"))
     ids = saved(final.join(smallest, "label").select("node", "component_id"), "components")
-    result = nodes.select("doc_id", "node", "n").join(ids, "node", "left")
+    dropped(rest, once, labels)
+    result = out.where("sig is null").select("doc_id", "node", "n").join(ids, "node", "left")
     return result.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 

@@ -9,8 +9,10 @@ n-gram is the log of a lossy count over all documents), then by fingerprint. Two
 2. A prefix member reaches its bucket once for each chunk and component, so a group of copies, however large, sends a
    few rows. Members seen in several components make groups; equal groups are one.
 3. The first component of each group is compared with the others (a star, not all pairs); links join components.
-4. Groups that still hold several components have all pairs between them compared that share enough members over all
-   groups, with all documents they stand for.
+4. In groups that still hold several components, the first is compared with one of each other, now with all documents
+   they stand for; this is repeated while it joins large ones. Then all pairs of components that share enough members
+   over all groups are compared: pairs of documents where they are few, else both components as a whole, in one task,
+   until a link is found. A component of a chunk is no larger than the chunk, so a task's work is bounded.
 
 Pairs are compared only if their sizes and parities (two bits or more for each member, which bound the number of
 different members from below) allow it; few pairs that are not similar pass. The probing text goes once to each block of
@@ -31,7 +33,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from atomframe.llm.common import chunks, column, dropped, mixed, numbered, parts, raw, saved, windows, word_hashes
 
@@ -44,6 +46,9 @@ MORE = 32
 PARITY, BITS_EACH = 64, 2
 #: Texts that one copy of a probing text is compared with, about.
 BLOCK = 500
+#: Pairs of documents of two components are listed if they are at most so many for each document; rounds in which the
+#: first component of a group is compared with one of each other, before all that are left are.
+FEW, ROUNDS = 4, 3
 #: Bits of the filter that goes to all tasks.
 FILTER = 1 << 25
 #: Text bytes of a chunk.
@@ -318,14 +323,80 @@ def verified(join: Join, pairs: DataFrame, docs: DataFrame, once: DataFrame) ->
     roles = dealt.select("a", "block", F.col("b").alias("node"), F.lit(False).alias("first"))
     roles = roles.unionByName(dealt.select("a", "block", F.col("a").alias("node"), F.lit(True).alias("first")).distinct())
     wanted = saved(roles.join(once.select("node", "row_key"), "node"), "wanted")
-    slim = docs.select("row_key", "text")
-    found = slim.mapInArrow(_sift(wanted_bits(wanted)), slim.schema).join(wanted, "row_key").dropDuplicates(["row_key", "a", "block", "node"])
-    near = found.repartition(parts(docs.sparkSession), "a", "block").sortWithinPartitions("a", "block", F.desc("first"))
+    near = fetched(docs, wanted, "a", "block").sortWithinPartitions("a", "block", F.desc("first"))
     out = saved(near.select("a", "node", "first", "text").mapInArrow(_verify(join), "a long, b long"), "links")
     dropped(wanted)
     return out
 
 
+def fetched(docs: DataFrame, wanted: DataFrame, *by: str) -> DataFrame:
+    """``wanted`` (row_key, node, ...) with the texts, dealt by the given columns."""
+    slim = docs.select("row_key", "text")
+    found = slim.mapInArrow(_sift(wanted_bits(wanted)), slim.schema).join(wanted, "row_key").dropDuplicates(["row_key", "node", *by])
+    return found.repartition(parts(docs.sparkSession), *by)
+
+
+def _link_components(join: Join):
+    """Rows (comp_a, comp_b, second, node, text), a pair's first component before its second: one link where there is one."""
+
+    def link(ours: list, theirs: list) -> tuple[int, int] | None:
+        if swapped := len(ours) > len(theirs):
+            ours, theirs = theirs, ours
+        ordered = [(node, join.ordered(s)) for node, s in theirs]
+        for node, members in ours:
+            near = [x for x in ordered if join.near(len(members), len(x[1]))]
+            for (other, _), same in zip(near, join.probe(members, [o for _, o in near]), strict=True):
+                if same:
+                    return (other, node) if swapped else (node, other)
+        return None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pair, sides = None, ([], [])
+        found: list[tuple[int, int]] = []
+
+        def end() -> None:
+            if all(sides) and (one := link(*sides)):
+                found.append(one)
+            sides[0].clear()
+            sides[1].clear()
+
+        for batch in chunks(batches, limit=CHUNK):
+            keys = zip(*(column(batch, c).to_pylist() for c in ("comp_a", "comp_b", "second", "node")), strict=True)
+            for (a, b, second, node), members in zip(keys, shingle_sets(raw(batch), join.n), strict=True):
+                if (a, b) != pair:
+                    end()
+                    pair = (a, b)
+                sides[second].append((node, members))
+        end()
+        yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+    return run
+
+
+def linked_components(join: Join, pairs: DataFrame, of: DataFrame, docs: DataFrame, once: DataFrame) -> DataFrame:
+    """Links (a, b) between the components of ``pairs`` (comp_a, comp_b, low_a, high_a, low_b, high_b: their sizes), one
+    for each pair that has any. ``of``: comp, node, n."""
+    roles = None
+    for own, other in ("ab", "ba"):
+        nodes = of.select(F.col("comp").alias(f"comp_{own}"), "node", "n")
+        fits = (F.col("n") * join.den >= F.col(f"low_{other}") * join.num) & (F.col(f"high_{other}") * join.den >= F.col("n") * join.num)
+        side = pairs.join(nodes, f"comp_{own}").where(fits).select("comp_a", "comp_b", F.lit(own == "b").alias("second"), "node")
+        roles = side if roles is None else roles.unionByName(side)
+    wanted = saved(roles.join(once.select("node", "row_key"), "node"), "wanted")
+    near = fetched(docs, wanted, "comp_a", "comp_b").sortWithinPartitions("comp_a", "comp_b", "second")
+    out = saved(near.select("comp_a", "comp_b", "second", "node", "text").mapInArrow(_link_components(join), "a long, b long"), "links")
+    dropped(wanted)
+    return out
+
+
+def with_links(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """The labels after more links."""
+    every = saved(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(links), "links")
+    out = components(every)
+    dropped(every, labels, links)
+    return out
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, label) for every node of ``links`` (a, b): the smallest node of its component. Each round takes every node
     to the smallest label among its neighbours and then to the label of that, until nothing changes."""
@@ -382,10 +453,16 @@ def _parities_allow(join: Join):
     return differ <= F.col("n_a") + F.col("n_b") - 2 * needed
 
 
-def near_duplicates(docs: DataFrame, n: int = 5, num: int = 75, den: int = 100) -> DataFrame:
-    """doc_id, n_shingles and component_id of every row of ``docs`` (doc_id, text)."""
+def row_key() -> Column:
+    """A row's name: rows of equal id and text have the same."""
+    return F.xxhash64(F.col("doc_id").isNull(), F.col("doc_id").cast("string"), F.col("text").cast("string"))
+
+
+def grouped(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
+    """doc_id, n_shingles, component_id, row_key and first (the row_key of the component's first row; null for an empty
+    set) of every row of ``docs``."""
     spark = docs.sparkSession
-    docs = docs.select("doc_id", F.col("text").cast("string").alias("text")).withColumn("row_key", F.xxhash64(F.col("doc_id").isNull(), F.col("doc_id").cast("string"), "text"))
+    docs = docs.select("doc_id", F.col("text").cast("string").alias("text")).withColumn("row_key", row_key())
     kind = docs.schema["doc_id"].dataType.simpleString()
     join = Join(n, num, den, *common_grams(docs, n))
     buckets = parts(spark)
@@ -396,7 +473,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, num: int = 75, den: int = 100)
     groups = out.where("sig is not null").groupBy("sig", "comp").agg(F.sum("m").alias("m"))
     # one row for each node; a node's components in different chunks are linked by the node itself
     nodes = nodes.where("node is not null")
-    once = saved(nodes.groupBy("node").agg(F.first("n").alias("n"), F.min("doc_id").alias("doc"), F.min("row_key").alias("row_key"), F.first("parity").alias("parity")), "nodes")
+    once = saved(nodes.groupBy("node").agg(F.first("n").alias("n"), F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_key")).alias("best"), F.first("parity").alias("parity")).withColumn("row_key", F.col("best.row_key")), "nodes")
     member = nodes.select(F.col("node").alias("a"), F.col("comp").alias("b")).distinct()
     groups = saved(groups, "groups")
     side = {c: once.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("parity").alias(f"p_{c}")) for c in "ab"}
@@ -408,34 +485,72 @@ def near_duplicates(docs: DataFrame, n: int = 5, num: int = 75, den: int = 100)
     links = saved(member.where("a <> b").unionByName(verified(join, stars, docs, once)), "links")
     labels = components(links)
     dropped(links)
-    # what is still apart within a group: all nodes of each component against those of the others
-    span = nodes.groupBy("comp").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    named = groups.join(labels, groups.comp == labels.node, "left").select("sig", "comp", "m", F.coalesce("label", "comp").alias("label"))
-    apart = named.groupBy("sig").agg(F.min("label").alias("least"), F.max("label").alias("most")).where("least <> most").select("sig")
-    mixed_groups = saved(named.join(apart, "sig").join(span, "comp"), "mixed")
-    left, right = (mixed_groups.select("sig", *[F.col(x).alias(f"{x}_{c}") for x in ("m", "comp", "label", "low", "high")]) for c in "ab")
-    allowed = (F.col("label_a") < F.col("label_b")) & (F.col("high_a") * den >= F.col("low_b") * num) & (F.col("high_b") * den >= F.col("low_a") * num)
-    cross = left.join(right, "sig").where(allowed).groupBy("comp_a", "comp_b").agg(F.sum("m_a").alias("shared"), F.first(F.least("low_a", "low_b")).alias("low"))
-    cross = cross.where(F.col("shared") >= 1 + F.floor(F.col("low") / MORE)).drop("low")
-    of = nodes.select("comp", "node", "n", "parity").dropDuplicates(["comp", "node"])
+    # what is still apart within a group
+    of = saved(nodes.select("comp", "node", "n", "parity").dropDuplicates(["comp", "node"]), "members")
+    span = saved(of.groupBy("comp").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.count("*").alias("size")), "spans")
+
+    def apart() -> DataFrame:
+        """Groups of several labels: sig, comp, m, label and the component's sizes."""
+        named = groups.join(labels, groups.comp == labels.node, "left").select("sig", "comp", "m", F.coalesce("label", "comp").alias("label"))
+        several = named.groupBy("sig").agg(F.min("label").alias("least"), F.max("label").alias("most")).where("least <> most").select("sig", "least")
+        return saved(named.join(several, "sig").join(span, "comp"), "mixed")
+
+    sides = ("comp", "label", "low", "high", "size")
+    near_sizes = (F.col("high_a") * den >= F.col("low_b") * num) & (F.col("high_b") * den >= F.col("low_a") * num)
+    heavy = F.col("size_a") * F.col("size_b") > FEW * (F.col("size_a") + F.col("size_b"))
+    tested = None
+    for _ in range(ROUNDS):
+        mixed_groups = apart()
+        each = mixed_groups.groupBy("sig", "label").agg(F.min(F.struct("comp", "low", "high", "size")).alias("c"), F.first("least").alias("least"))
+        at = {c: F.struct(F.col("label"), *[F.col(f"c.{x}").alias(x) for x in ("comp", "low", "high", "size")]) for c in "ab"}
+        first = each.where("label = least").select("sig", at["a"].alias("a"))
+        trial = each.where("label > least").select("sig", at["b"].alias("b")).join(first, "sig").select(*[F.col(f"{c}.{x}").alias(f"{x}_{c}") for c in "ab" for x in sides])
+        trial = trial.where(near_sizes & heavy).dropDuplicates(["comp_a", "comp_b"])
+        trial = saved(trial if tested is None else trial.join(tested, ["comp_a", "comp_b"], "left_anti"), "trial")
+        dropped(mixed_groups)
+        if trial.isEmpty():
+            break
+        labels = with_links(labels, linked_components(join, trial, of, docs, once))
+        tested = trial.select("comp_a", "comp_b") if tested is None else tested.unionByName(trial.select("comp_a", "comp_b"))
+    mixed_groups = apart()
+    left, right = (mixed_groups.select("sig", *[F.col(x).alias(f"{x}_{c}") for x in ("m", *sides)]) for c in "ab")
+    cross = left.join(right, "sig").where((F.col("label_a") < F.col("label_b")) & near_sizes).groupBy("comp_a", "comp_b")
+    cross = cross.agg(F.sum("m_a").alias("shared"), *[F.first(f"{x}_{c}").alias(f"{x}_{c}") for x in sides[2:] for c in "ab"])
+    cross = cross.where(F.col("shared") >= 1 + F.floor(F.least("low_a", "low_b") / MORE))
+    cross = saved(cross if tested is None else cross.join(tested, ["comp_a", "comp_b"], "left_anti"), "cross")
+    few = cross.where(~heavy).select("comp_a", "comp_b", "shared")
     for c in "ab":
-        cross = cross.join(of.select(*[F.col(x).alias(y) for x, y in (("comp", f"comp_{c}"), ("node", c), ("n", f"n_{c}"), ("parity", f"p_{c}"))]), f"comp_{c}")
+        few = few.join(of.select(*[F.col(x).alias(y) for x, y in (("comp", f"comp_{c}"), ("node", c), ("n", f"n_{c}"), ("parity", f"p_{c}"))]), f"comp_{c}")
     enough = F.col("shared") >= 1 + F.floor(F.least("n_a", "n_b") / MORE)
-    pairs = cross.where(_sizes_allow(join)).where(enough).where(_parities_allow(join)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    pairs = few.where(_sizes_allow(join)).where(enough).where(_parities_allow(join)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     done = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     rest = saved(pairs.join(done, ["a", "b"], "left_anti"), "pairs")
-    dropped(mixed_groups, stars, groups)
     if not rest.isEmpty():
-        links = saved(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(verified(join, rest, docs, once)), "links")
-        dropped(labels)
-        labels = components(links)
-        dropped(links)
-    final = once.join(labels, "node", "left").select("node", "doc", F.coalesce("label", "node").alias("label"))
-    smallest = final.groupBy("label").agg(F.min("doc").alias("component_id"))
-    ids = saved(final.join(smallest, "label").select("node", "component_id"), "components")
+        labels = with_links(labels, verified(join, rest, docs, once))
+    many = cross.where(heavy)
+    if not many.isEmpty():
+        labels = with_links(labels, linked_components(join, many, of, docs, once))
+    dropped(mixed_groups, stars, groups, cross, of, span)
+    final = once.join(labels, "node", "left").select("node", "best", F.coalesce("label", "node").alias("label"))
+    smallest = final.groupBy("label").agg(F.min("best").alias("best"))
+    ids = saved(final.join(smallest.withColumnRenamed("best", "least"), "label").select("node", F.col("least.doc_id").alias("component_id"), F.col("least.row_key").alias("first")), "components")
     dropped(rest, once, labels)
-    result = out.where("sig is null").select("doc_id", "node", "n").join(ids, "node", "left")
-    return result.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    result = out.where("sig is null").select("doc_id", "row_key", "node", "n").join(ids, "node", "left")
+    return result.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), "row_key", "first")
+
+
+def near_duplicates(docs: DataFrame, n: int = 5, num: int = 75, den: int = 100) -> DataFrame:
+    """doc_id, n_shingles and component_id of every row of ``docs`` (doc_id, text)."""
+    return grouped(docs, n, num, den).select("doc_id", "n_shingles", "component_id")
+
+
+def representatives(docs: DataFrame, n: int = 5, num: int = 75, den: int = 100) -> DataFrame:
+    """The rows of ``docs`` that stay: of each component the one of smallest doc_id (rows without doc_id last, equal ids by
+    a hash of the text), once if it is there repeatedly; and every row with an empty set."""
+    keys = grouped(docs, n, num, den).where("first is null or first = row_key").select(F.col("row_key").alias("__row_key"), F.col("first").isNull().alias("__alone")).distinct()
+    staying = docs.withColumn("__row_key", row_key()).join(keys, "__row_key")
+    own = staying.where("not __alone").dropDuplicates(["__row_key"])
+    return own.unionByName(staying.where("__alone")).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op2_jaccard(spark, sf_dir: str) -> DataFrame:

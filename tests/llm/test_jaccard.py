@@ -91,3 +91,40 @@ def test_whole_table(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
     got = Counter((r.doc_id, r.n_shingles, r.component_id) for r in J.op2_jaccard(spark, sf).collect())
     assert got == brute(rows)
+
+
+def chain(seed=3, n=120, size=60):
+    """A family of copies, each a few words from the one before: neighbours are alike, the ends are not."""
+    r = random.Random(seed)
+    copy, out = [f"c{i}" for i in range(size)], []
+    for _ in range(n):
+        copy = list(copy)
+        copy[r.randrange(size)] = f"n{r.randrange(10**6)}"
+        out.append(" ".join(copy))
+    return out
+
+
+@pytest.mark.parametrize("few", [0, 4])
+def test_components_of_many_chunks(spark, monkeypatch, few):
+    monkeypatch.setattr(J, "FEW", few)
+    rows = list(enumerate(chain() + chain(4) + texts(9, 64)))
+    random.Random(1).shuffle(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(16)
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in J.near_duplicates(docs).collect()) == brute(rows)
+
+
+def test_a_common_line_in_unlike_short_documents(spark):
+    line = "all rights reserved by the authors of this text and nobody else may copy it"
+    rows = [(i, f"{line}\nw{i} x{i % 7} y{i % 11}") for i in range(700)] + [(5000 + i, line) for i in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(12)
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in J.near_duplicates(docs).collect()) == brute(rows)
+
+
+def test_one_row_of_each_component_stays(spark):
+    long = " ".join(f"w{i}" for i in range(40))
+    rows = [(5, long, "a"), (3, long + " x", "b"), (3, "quite another text with some more words in it", "c"), (3, long + " x", "d"), (None, long, "e"), (None, "no id here but six words", "f"), (None, "no id here but six words", "f"), (8, "", "g"), (8, None, "h"), (8, "", "g")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, row_key string").withColumn("node", J.F.lit(1)).withColumn("first", J.F.lit("x"))
+    out = J.representatives(docs)
+    assert out.columns == docs.columns
+    got = Counter((r.doc_id, r.text) for r in out.collect())
+    assert got == Counter({(3, long + " x"): 1, (3, rows[2][1]): 1, (None, rows[5][1]): 1, (8, ""): 2, (8, None): 1})

@@ -7,7 +7,13 @@ Each stage works on all that its predecessor kept. All but the last return the c
 * near_duplicates keeps the document of smallest doc_id in each group of 5-word-shingle similarity 0.75 or more.
 * decontaminate removes the words of benchmark windows, or the document if they are more than half of it.
 * secrets replaces credentials by their kind.
-* packing cuts the token ids into sequences of at most 1024.
+* packing cuts the token ids into sequences of at most 1024 and returns the pieces with their ids and places.
+
+Null texts, and those without a letter, go in language_id where a model can be learned; without one they pass, are no
+near duplicates of anything, and are packed as their end id alone. Rows without doc_id are kept and judged like all
+others; of rows of one doc_id, those with alike texts are one group, those with unlike texts all stay. Of equal rows one
+stays; of equally small ids in a group, the text of least hash. Very long texts are worked on whole. Extra columns pass
+through all stages but the last, whatever their names. Empty tables give an empty result.
 """
 
 from __future__ import annotations
@@ -38,12 +44,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays: that of smallest doc_id (one row, if it comes twice). Documents without an id
-    have no smallest; they stay."""
-    groups = jaccard.near_duplicates(docs).select("doc_id", "component_id")
-    keep = groups.where("doc_id = component_id").select("doc_id").distinct()
-    first = docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return first.unionByName(docs.where("doc_id is null")).select(*docs.columns)
+    """One document of each group stays: that of smallest doc_id, chosen by row, so that other texts of the same doc_id are
+    judged on their own. Documents without an id come last."""
+    return jaccard.representatives(docs)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -93,15 +93,19 @@ class Join:
 
     def ordered(self, members: np.ndarray) -> np.ndarray:
         """A sorted set in the global order."""
+        return self.split(members)[0]
+
+    def split(self, members: np.ndarray) -> tuple[np.ndarray, int]:
+        """A sorted set in the global order, and how many common members it has (they come last)."""
         maybe = np.flatnonzero(self.sieve[members % np.uint64(SIEVE)])
         if not len(maybe):
-            return members
+            return members, 0
         at = np.searchsorted(self.common, members[maybe])
         at[at == len(self.common)] = 0
         hit = self.common[at] == members[maybe]
         level = np.zeros(len(members), dtype=np.int8)
         level[maybe[hit]] = self.levels[at[hit]]
-        return members[np.argsort(level, kind="stable")]
+        return members[np.argsort(level, kind="stable")], int(np.count_nonzero(hit))
 
     def prefix(self, size: int) -> int:
         return size - -(-size * self.num // self.den) + self.common_members(size)
@@ -180,10 +184,17 @@ def _groups(keys: np.ndarray, values: np.ndarray) -> list[tuple[np.ndarray, int]
     return [(v[starts[g] : starts[g] + sizes[g]], int(n)) for g, n in zip(many[once], times, strict=True)]
 
 
-def join_chunk(join: Join, sets: list[np.ndarray]) -> tuple[list[np.ndarray], Components]:
-    """All links among sorted, distinct sets: their prefixes and components."""
-    ordered = [join.ordered(s) for s in sets]
-    heads = [o[: join.prefix(len(o))] if len(o) else NONE for o in ordered]
+def marked(members: np.ndarray, often: int, size: int) -> np.ndarray:
+    """The first ``size`` of ordered members as tokens, whose last bit says whether they are common."""
+    common = np.arange(size) >= len(members) - often
+    return (members[:size] & ~np.uint64(1)) | common.astype(np.uint64)
+
+
+def join_chunk(join: Join, sets: list[np.ndarray]) -> tuple[list[np.ndarray], Components, list[int]]:
+    """All links among sorted, distinct sets: the tokens of their prefixes, their components and common members."""
+    parted = [join.split(s) for s in sets]
+    ordered, often = [o for o, _ in parted], [n for _, n in parted]
+    heads = [marked(o, n, min(len(o), join.prefix(len(o)))) if len(o) else NONE for o, n in parted]
     tokens = np.concatenate([NONE, *heads])
     owners = np.repeat(np.arange(len(sets)), [len(h) for h in heads])
     comps, checked = Components(len(sets)), set()
@@ -205,7 +216,7 @@ def join_chunk(join: Join, sets: list[np.ndarray]) -> tuple[list[np.ndarray], Co
                     if same:
                         comps.join(i, j)
             group = rest
-    return heads, comps
+    return heads, comps, often
 
 
 def _common_rows(n: int):
@@ -240,12 +251,21 @@ def _chunk_rows(join: Join, buckets: int):
             every = shingle_sets(raw(batch), join.n)
             nodes = [node_of(s) for s in every]
             sets = {k: s for k, s in sorted(zip(nodes, every, strict=True), key=lambda x: x[0]) if len(s)}
-            heads, comps = join_chunk(join, list(sets.values()))
+            heads, comps, often = join_chunk(join, list(sets.values()))
             names = np.array(list(sets), dtype=np.int64)
             at = {k: i for i, k in enumerate(sets)}
             comp_of = [int(names[comps.find(at[k])]) if len(s) else None for k, s in zip(nodes, every, strict=True)]
             size = len(nodes)
-            yield pa.RecordBatch.from_arrays([pa.nulls(size, pa.int32()), pa.nulls(size, pa.binary()), pa.nulls(size, pa.binary()), column(batch, "doc_id"), column(batch, "row_key"), pa.array([k if len(s) else None for k, s in zip(nodes, every, strict=True)], pa.int64()), pa.array([len(s) for s in every], pa.int64()), pa.array(comp_of, pa.int64()), pa.array([parity(s) if len(s) else None for s in every], BITS)], ROW)
+            own = {
+                "doc_id": column(batch, "doc_id"),
+                "row_key": column(batch, "row_key"),
+                "node": pa.array([k if len(s) else None for k, s in zip(nodes, every, strict=True)], pa.int64()),
+                "n": pa.array([len(s) for s in every], pa.int64()),
+                "often": pa.array([often[at[k]] if len(s) else 0 for k, s in zip(nodes, every, strict=True)], pa.int64()),
+                "comp": pa.array(comp_of, pa.int64()),
+                "parity": pa.array([parity(s) if len(s) else None for s in every], BITS),
+            }
+            yield pa.RecordBatch.from_arrays([pa.nulls(size, pa.int32()), pa.nulls(size, pa.binary()), pa.nulls(size, pa.binary()), *own.values()], ROW)
             tokens = np.concatenate([NONE, *heads])
             owner = names[[comps.find(i) for i in range(len(heads))]] if len(heads) else np.zeros(0, np.int64)
             owner = np.repeat(owner, [len(h) for h in heads])
@@ -254,19 +274,19 @@ def _chunk_rows(join: Join, buckets: int):
             order = np.argsort(bucket, kind="stable")
             cuts = [*np.flatnonzero(np.diff(bucket[order], prepend=-1)), len(order)]
             rows = [(int(bucket[order[a]]), pairs[order[a:b], 0].tobytes(), pairs[order[a:b], 1].tobytes()) for a, b in zip(cuts, cuts[1:], strict=False)]
-            none = [pa.nulls(len(rows), t) for t in (column(batch, "doc_id").type, *[pa.int64()] * 4, BITS)]
+            none = [pa.nulls(len(rows), t) for t in (column(batch, "doc_id").type, *[pa.int64()] * 5, BITS)]
             yield pa.RecordBatch.from_arrays([*(pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int32(), pa.binary(), pa.binary()))), *none], ROW)
 
     return run
 
 
-ROW = ["bucket", "tokens", "comps", "doc_id", "row_key", "node", "n", "comp", "parity"]
+ROW = ["bucket", "tokens", "comps", "doc_id", "row_key", "node", "n", "often", "comp", "parity"]
 BITS = pa.list_(pa.int64())
 
 
 def _bucket_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Passes documents on and turns a bucket's blobs into distinct groups of components: rows (sig, comp) with m,
-    the number of members that have the group."""
+    """Passes documents on and turns a bucket's blobs into distinct groups of components: rows (sig, comp) with m, the
+    number of members that have the group, and often: whether they are common (such members make groups of their own)."""
     tokens, comps = [], []
     for batch in batches:
         docs = batch.filter(pa.array(np.asarray(column(batch, "bucket").is_null())))
@@ -275,17 +295,24 @@ def _bucket_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             yield pa.RecordBatch.from_arrays([none, none, *(column(docs, c) for c in ROW[3:])], ["sig", "m", *ROW[3:]])
         for t, c in zip(column(batch, "tokens").to_pylist(), column(batch, "comps").to_pylist(), strict=True):
             if t is not None:
-                tokens.append(np.frombuffer(t, np.int64))
+                tokens.append(np.frombuffer(t, np.uint64))
                 comps.append(np.frombuffer(c, np.int64))
         kind = column(batch, "doc_id").type
     if not tokens:
         return
-    groups = _groups(np.concatenate(tokens), np.concatenate(comps))
-    for a in range(0, len(groups), 20_000):
-        some, times = zip(*groups[a : a + 20_000], strict=True)
-        sigs = np.repeat(np.array([int(np.uint64(xxhash.xxh3_64_intdigest(g.tobytes())).view(np.int64)) for g in some], dtype=np.int64), [len(g) for g in some])
-        flat = np.concatenate(some)
-        yield pa.RecordBatch.from_arrays([pa.array(sigs), pa.array(np.repeat(np.array(times, dtype=np.int64), [len(g) for g in some])), pa.nulls(len(flat), kind), *[pa.nulls(len(flat), pa.int64())] * 3, pa.array(flat), pa.nulls(len(flat), BITS)], ["sig", "m", *ROW[3:]])
+    keys, values = np.concatenate(tokens), np.concatenate(comps)
+    tokens.clear()
+    comps.clear()
+    for often in (0, 1):
+        mine = keys & np.uint64(1) == often
+        groups = _groups(keys[mine], values[mine])
+        for a in range(0, len(groups), 20_000):
+            some, times = zip(*groups[a : a + 20_000], strict=True)
+            sizes = [len(g) for g in some]
+            flat, none = np.concatenate(some), pa.nulls(sum(sizes), pa.int64())
+            sigs = np.repeat(np.array([xxhash.xxh3_64_intdigest(g.tobytes(), seed=often) for g in some], dtype=np.uint64).view(np.int64), sizes)
+            out = [pa.array(sigs), pa.array(np.repeat(np.array(times, dtype=np.int64), sizes)), pa.nulls(len(flat), kind), none, none, none, pa.array(np.full(len(flat), often)), pa.array(flat), pa.nulls(len(flat), BITS)]
+            yield pa.RecordBatch.from_arrays(out, ["sig", "m", *ROW[3:]])
 
 
 def _verify(join: Join):
@@ -466,11 +493,11 @@ def grouped(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
     join = Join(n, num, den, *common_grams(docs, n))
     buckets = parts(spark)
-    rows = docs.mapInArrow(_chunk_rows(join, buckets), f"bucket int, tokens binary, comps binary, doc_id {kind}, row_key long, node long, n long, comp long, parity array<bigint>")
+    rows = docs.mapInArrow(_chunk_rows(join, buckets), f"bucket int, tokens binary, comps binary, doc_id {kind}, row_key long, node long, n long, often long, comp long, parity array<bigint>")
     spread = rows.repartition(buckets, F.coalesce("bucket", F.pmod(F.xxhash64("doc_id", "node"), F.lit(buckets)).cast("int")))
-    out = saved(spread.mapInArrow(_bucket_groups, f"sig long, m long, doc_id {kind}, row_key long, node long, n long, comp long, parity array<bigint>"), "groups")
+    out = saved(spread.mapInArrow(_bucket_groups, f"sig long, m long, doc_id {kind}, row_key long, node long, n long, often long, comp long, parity array<bigint>"), "groups")
     nodes = out.where("sig is null")
-    groups = out.where("sig is not null").groupBy("sig", "comp").agg(F.sum("m").alias("m"))
+    groups = out.where("sig is not null").groupBy("sig", "comp").agg(F.sum("m").alias("m"), F.first("often").alias("often"))
     # one row for each node; a node's components in different chunks are linked by the node itself
     nodes = nodes.where("node is not null")
     once = saved(nodes.groupBy("node").agg(F.first("n").alias("n"), F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_key")).alias("best"), F.first("parity").alias("parity")).withColumn("row_key", F.col("best.row_key")), "nodes")
@@ -486,12 +513,13 @@ def grouped(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
     labels = components(links)
     dropped(links)
     # what is still apart within a group
-    of = saved(nodes.select("comp", "node", "n", "parity").dropDuplicates(["comp", "node"]), "members")
-    span = saved(of.groupBy("comp").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.count("*").alias("size")), "spans")
+    of = saved(nodes.select("comp", "node", "n", "often", "parity").dropDuplicates(["comp", "node"]), "members")
+    mostly = F.bool_or(F.col("often") * (num + den) >= 2 * num * F.col("n"))
+    span = saved(of.groupBy("comp").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.count("*").alias("size"), F.max("often").alias("most"), mostly.alias("mostly")), "spans")
 
     def apart() -> DataFrame:
-        """Groups of several labels: sig, comp, m, label and the component's sizes."""
-        named = groups.join(labels, groups.comp == labels.node, "left").select("sig", "comp", "m", F.coalesce("label", "comp").alias("label"))
+        """Groups of several labels: sig, comp, m, often, label and the component's sizes."""
+        named = groups.join(labels, groups.comp == labels.node, "left").select("sig", "comp", "m", "often", F.coalesce("label", "comp").alias("label"))
         several = named.groupBy("sig").agg(F.min("label").alias("least"), F.max("label").alias("most")).where("least <> most").select("sig", "least")
         return saved(named.join(several, "sig").join(span, "comp"), "mixed")
 
@@ -513,16 +541,34 @@ def grouped(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
         labels = with_links(labels, linked_components(join, trial, of, docs, once))
         tested = trial.select("comp_a", "comp_b") if tested is None else tested.unionByName(trial.select("comp_a", "comp_b"))
     mixed_groups = apart()
-    left, right = (mixed_groups.select("sig", *[F.col(x).alias(f"{x}_{c}") for x in ("m", *sides)]) for c in "ab")
-    cross = left.join(right, "sig").where((F.col("label_a") < F.col("label_b")) & near_sizes).groupBy("comp_a", "comp_b")
-    cross = cross.agg(F.sum("m_a").alias("shared"), *[F.first(f"{x}_{c}").alias(f"{x}_{c}") for x in sides[2:] for c in "ab"])
-    cross = cross.where(F.col("shared") >= 1 + F.floor(F.least("low_a", "low_b") / MORE))
+    # Two sets that need a larger overlap than either has common members share others too, so the groups of common members
+    # may leave them out. The smaller of two sets that do not is mostly common: needed(n, n) is no larger than its common
+    # members.
+    more = (*sides[2:], "most", "mostly")
+    left, right = (mixed_groups.select("sig", "often", *[F.col(x).alias(f"{x}_{c}") for x in ("m", "comp", "label", *more)]) for c in "ab")
+    rare = left.where("often = 0").drop("often").join(right.where("often = 0").drop("often"), "sig").where((F.col("label_a") < F.col("label_b")) & near_sizes)
+    room = (F.col("low_a") + F.col("low_b")) * num <= F.least("most_a", "most_b") * (num + den)
+    once_only = ~F.col("mostly_a") | (F.col("label_a") < F.col("label_b"))
+    common = left.where("often = 1").drop("often").join(right.where("often = 1 and mostly_b").drop("often"), "sig")
+    common = common.where((F.col("label_a") != F.col("label_b")) & near_sizes & room & once_only)
+    turned = F.col("label_a") > F.col("label_b")
+    common = common.select("sig", *[F.when(turned, F.col(f"{x}_{d}")).otherwise(F.col(f"{x}_{c}")).alias(f"{x}_{c}") for x in ("m", "comp", "label", *more) for c, d in ("ab", "ba")])
+    cross = rare.unionByName(common.select(*rare.columns)).groupBy("comp_a", "comp_b")
+    cross = cross.agg(F.sum("m_a").alias("shared"), *[F.first(f"{x}_{c}").alias(f"{x}_{c}") for x in (*sides[2:], "most") for c in "ab"])
+
+    def enough(n: str, often: str):
+        """The members of their prefixes that similar sets of these sizes share at least, as far as the groups show them."""
+        a, b = F.col(f"{n}_a"), F.col(f"{n}_b")
+        others = F.ceil(num * (a + b) / (num + den)) - F.least(f"{often}_a", f"{often}_b")
+        k = 1 + F.floor(F.least(a, b) / MORE)
+        return F.col("shared") >= F.when(others > 0, F.least(k, others)).otherwise(F.lit(1) if n == "low" else k)
+
+    cross = cross.where(enough("low", "most"))
     cross = saved(cross if tested is None else cross.join(tested, ["comp_a", "comp_b"], "left_anti"), "cross")
     few = cross.where(~heavy).select("comp_a", "comp_b", "shared")
     for c in "ab":
-        few = few.join(of.select(*[F.col(x).alias(y) for x, y in (("comp", f"comp_{c}"), ("node", c), ("n", f"n_{c}"), ("parity", f"p_{c}"))]), f"comp_{c}")
-    enough = F.col("shared") >= 1 + F.floor(F.least("n_a", "n_b") / MORE)
-    pairs = few.where(_sizes_allow(join)).where(enough).where(_parities_allow(join)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        few = few.join(of.select(*[F.col(x).alias(y) for x, y in (("comp", f"comp_{c}"), ("node", c), ("n", f"n_{c}"), ("often", f"often_{c}"), ("parity", f"p_{c}"))]), f"comp_{c}")
+    pairs = few.where(_sizes_allow(join)).where(enough("n", "often")).where(_parities_allow(join)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     done = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     rest = saved(pairs.join(done, ["a", "b"], "left_anti"), "pairs")
     if not rest.isEmpty():

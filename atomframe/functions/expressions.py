@@ -44,6 +44,19 @@ def formula(elements: str, counts: str) -> Column:
     return F.array_join(F.zip_with(elements, counts, lambda e, n: F.concat(e, F.when(n == 1, F.lit("")).otherwise(n.cast("string")))), "")
 
 
+def job_name(job: str, system: str, number: str) -> Column:
+    """A short job name: s2, four hex digits for the job family, the system's number and the frame's in six digits."""
+    family = F.substr(F.md5(F.coalesce(F.col(job), F.lit("stage2"))), F.lit(1), F.lit(4))
+    own = F.regexp_extract(F.col(system), "^system_([0-9]+)", 1)
+    return F.concat(F.lit("s2"), family, F.lit("_"), F.when(own != "", own).otherwise("0000"), F.lit("_"), F.format_string("%06d", F.col(number)))
+
+
+def composition_name(elements: str, natoms: str) -> Column:
+    """The name of a composition, as comp_h_o_n3."""
+    both = F.concat_ws("_", F.lit("comp"), F.array_join(elements, "_"), F.concat(F.lit("n"), F.col(natoms)))
+    return F.trim(F.regexp_replace(F.lower(both), "[^a-z0-9]+", "_"), F.lit("_"))
+
+
 def task_key(path: str, task_name: str | None = None) -> Column:
     """system/frame of a path (or of an explicit task name first); empty if there is none."""
     both = r"(system_[^/_]+)(?:/|__)(frame_[0-9]+)"
@@ -52,6 +65,15 @@ def task_key(path: str, task_name: str | None = None) -> Column:
     return F.coalesce(*found, F.lit(""))
 
 
+def task_key_below(path: str, root: str) -> Column:
+    """The first two components of a path below ``root``; empty if it is not below, or has fewer."""
+    top = root.rstrip("/")
+    below = F.split(F.substr(F.rtrim(F.col(path), F.lit("/")), F.lit(len(top) + 2)), "/")
+    whole = (F.size(below) >= 2) & (below[0] != "") & (F.get(below, F.lit(1)) != "")
+    inside = F.col(path).startswith(top + "/") & F.lit(bool(top))
+    return F.when(F.coalesce(inside & whole, F.lit(False)), F.concat_ws("/", below[0], F.get(below, F.lit(1)))).otherwise("")
+
+
 def remapped(types: str, names: str, target: Column) -> Column:
     """Type indices into ``names`` as indices into ``target``; null where a name is missing from it."""
     return F.transform(types, lambda t: F.nullif(F.array_position(target, F.element_at(names, t + 1)), F.lit(0)) - 1)

@@ -32,8 +32,7 @@ def scan_result(status: str = "status") -> Column:
 def reconciled(entries: DataFrame, targets: DataFrame, scan: DataFrame) -> DataFrame:
     """Each entry (system, frame, target) with result and reason. ``targets``: target, available. One target only is
     everybody's. The order of reasons: unknown_target, scan_failed, missing_remote_frame, failed, success, not_terminal."""
-    only = targets.agg(F.when(F.count("*") == 1, F.first("target")).alias("__only"))
-    given = entries.crossJoin(F.broadcast(only)).withColumn("target", F.coalesce("__only", first_text("target"))).drop("__only")
+    given = resolved_target(targets, entries)
     known = targets.select("target", F.col("available").alias("__available"))
     found = scan.select("target", "system", "frame", F.col("result").alias("__result"))
     joined = given.join(known, "target", "left").join(found, ["target", "system", "frame"], "left")
@@ -62,36 +61,62 @@ def duplicates_across_targets(scan: DataFrame, result: str = "success") -> DataF
     return many.where(F.size("targets") > 1)
 
 
-def active_entries(entries: DataFrame, key: list[str], identifiers: list[str], jobs: DataFrame) -> DataFrame:
-    """Keys of the entries of which some identifier is the id or name of an active job of the same target."""
-    active = jobs.select("target", F.explode(F.array("job_id", "name")).alias("id")).where("id is not null and id <> ''").distinct()
-    named = entries.select("target", *key, F.explode(F.array_compact(F.array(*identifiers))).alias("id")).where("id <> ''")
-    return named.join(active, ["target", "id"], "left_semi").select(*key).distinct()
+#: The fields that may hold the id or name of an entry's job.
+IDENTIFIERS = ["job_id", "pbs_job_id", "slurm_job_id", "pbs_job_name", "slurm_job_name", "job_name"]
+
+
+def resolved_target(targets: DataFrame, entries: DataFrame) -> DataFrame:
+    """``entries`` with their target: the one they name if it is known or there are several, else the only one there is."""
+    only = targets.agg(F.when(F.count("*") == 1, F.first("target")).alias("__only"))
+    return entries.crossJoin(F.broadcast(only)).withColumn("target", F.coalesce("__only", first_text("target"))).drop("__only")
 
 
-def recovery_plan(entries: DataFrame, targets: DataFrame, scan: DataFrame, jobs: DataFrame, identifiers: list[str], allow_unavailable: bool = False, strict_targets: bool = False) -> DataFrame:
+def active_entries(entries: DataFrame, key: list[str], jobs: DataFrame) -> DataFrame:
+    """target, key and __ids of the entries of which some identifier (__ids) is the id or name of an active job of the
+    same target. Equal keys on other targets, or with other jobs, are other entries."""
+    active = jobs.select("target", F.explode(F.array("job_id", "name")).alias("id")).where("id is not null and id <> ''").distinct()
+    named = entries.select("target", *key, "__ids", F.explode("__ids").alias("id"))
+    return named.join(active, ["target", "id"], "left_semi").select("target", *key, "__ids").distinct()
+
+
+def recovery_plan(
+    entries: DataFrame,
+    targets: DataFrame,
+    scan: DataFrame,
+    jobs: DataFrame,
+    identifiers: list[str] | None = None,
+    allow_lost: list[str] | None = None,
+    strict_targets: bool = False,
+    stamp: str | None = None,
+) -> DataFrame:
     """What becomes of submitted and running entries after an outage: action, new_status and reason; the input stays.
 
-    Order: no target, unknown target (only if strict), unavailable target, terminal scan, still active, reset."""
+    Order: no target, unknown target (only if strict), unavailable target (but those in ``allow_lost``), terminal scan,
+    still active, reset. An entry without a target takes the only one there is. ``stamp`` is the time of the recovery."""
     key = ["system", "frame"]
-    live = entries.where(F.col("status").isin("submitted", "running"))
-    active = active_entries(live, key, identifiers, jobs).withColumn("__active", F.lit(True))
+    live = resolved_target(targets, entries.where(F.lower("status").isin("submitted", "running")))
+    names = [c for c in identifiers or IDENTIFIERS if c in entries.columns]
+    live = live.withColumn("__ids", F.array_compact(F.array(*[F.nullif(F.trim(F.col(c).cast("string")), F.lit("")) for c in names])))
+    active = active_entries(live, key, jobs).withColumn("__active", F.lit(True))
     known = targets.select("target", F.col("available").alias("__available"))
-    found = scan.groupBy("target", "system", "frame").agg(F.max("result").alias("__result"))
-    joined = live.join(known, "target", "left").join(found, ["target", *key], "left").join(active, key, "left")
-    blank = F.coalesce(F.trim("target"), F.lit("")) == ""
+    found = scan.groupBy("target", *key).agg(F.max("result").alias("__result"))
+    joined = live.join(known, "target", "left").join(found, ["target", *key], "left").join(active, ["target", *key, "__ids"], "left")
+    blank = F.col("target").isNull()
     unknown = F.col("__available").isNull() if strict_targets else F.lit(False)
-    gone = ~F.coalesce("__available", F.lit(True)) & F.lit(not allow_unavailable)
+    gone = ~F.coalesce("__available", F.lit(True)) & ~F.coalesce(F.col("target").isin(*allow_lost or [""]), F.lit(False))
+    reset = F.col("action") == "recovered_for_resubmit"
     action = (
         F.when(blank | unknown | gone, "unresolved")
         .when(F.col("__result").isin("success", "failed"), "normalized_terminal")
         .when(F.col("__active"), "preserved_active")
         .otherwise("recovered_for_resubmit")
     )
-    reason = F.when(blank, "unknown_target").when(unknown, "unknown_target").when(gone, "target_unavailable").when(action == "recovered_for_resubmit", "scheduler_job_missing_without_terminal_marker")
-    new = F.when(action == "normalized_terminal", F.when(F.col("__result") == "success", "finished").otherwise("failed")).when(action == "recovered_for_resubmit", "selected").otherwise(F.col("status"))
-    out = joined.withColumns({"action": action, "reason": reason, "new_status": new, "recovered_previous_status": F.when(action == "recovered_for_resubmit", F.col("status"))})
-    return out.withColumn("job_id", F.when(F.col("action") == "recovered_for_resubmit", None).otherwise(F.col("job_id"))).drop("__available", "__result", "__active")
+    reason = F.when(blank | unknown, "unknown_target").when(gone, "target_unavailable").when(reset, "scheduler_job_missing_without_terminal_marker")
+    ended = F.when(F.col("__result") == "success", "finished").otherwise("failed")
+    new = F.when(F.col("action") == "normalized_terminal", ended).when(reset, "selected").otherwise(F.col("status"))
+    out = joined.withColumn("action", action).withColumn("reason", reason)
+    out = out.withColumns({"new_status": new, "recovered_previous_status": F.when(reset, F.col("status")), "recovered_after_outage_at": F.when(reset, F.lit(stamp))})
+    return out.withColumn("job_id", F.when(~reset, F.col("job_id"))).drop("__available", "__result", "__active", "__ids")
 
 
 def status_counts(df: DataFrame, *by: str, status: str = "status", states: list[str] = STATES) -> DataFrame:
@@ -110,11 +135,13 @@ def unit_rollup(df: DataFrame, *by: str, status: str = "status") -> DataFrame:
 
 
 def job_summary(jobs: DataFrame, key: str = "task_key", status: str = "status") -> DataFrame:
-    """Physical jobs, distinct tasks, duplicates and statuses of each target."""
+    """Physical jobs, distinct tasks, duplicates and statuses of each target. Jobs without a task key are not counted."""
     s = F.col(status)
-    by_key = jobs.groupBy("target", key).agg(F.count("*").alias("n"), *[F.count_if(s == x).alias(x) for x in ("running", "submitted", "finished", "failed", "unknown")])
-    total = {x: F.sum(x).alias({"submitted": "queued"}.get(x, x)) for x in ("running", "submitted", "finished", "failed", "unknown")}
-    return by_key.groupBy("target").agg(F.sum("n").alias("physical_jobs"), F.count(key).alias("unique_tasks"), F.sum(F.when(F.col(key).isNotNull(), F.col("n") - 1).otherwise(0)).alias("duplicate_jobs"), *total.values())
+    statuses = ("running", "submitted", "finished", "failed", "unknown")
+    own = jobs.where(F.coalesce(F.trim(key), F.lit("")) != "")
+    by_key = own.groupBy("target", key).agg(F.count("*").alias("n"), *[F.count_if(s == x).alias(x) for x in statuses])
+    total = [F.sum(x).alias({"submitted": "queued"}.get(x, x)) for x in statuses]
+    return by_key.groupBy("target").agg(F.sum("n").alias("physical_jobs"), F.count(key).alias("unique_tasks"), F.sum(F.col("n") - 1).alias("duplicate_jobs"), *total)
 
 
 def cross_target_summary(targets: DataFrame, summary: DataFrame) -> DataFrame:

@@ -102,21 +102,72 @@ def contiguous_index(df: DataFrame, index: str) -> DataFrame:
     return df.agg(n.alias("rows"), F.coalesce(ok, F.lit(False)).alias("contiguous"))
 
 
+def range_ends(df: DataFrame, group: list[str], position: str, end: str, total: str) -> DataFrame:
+    """Groups whose last range does not end at their total."""
+    last = df.groupBy(*group).agg(F.max_by(end, position).alias("last_end"), F.max(total).alias("expected_end"))
+    return last.where("last_end <> expected_end")
+
+
+def systems_report(listed: DataFrame, scanned: DataFrame, path: str, root: str | None = None, known: DataFrame | None = None, ranges: DataFrame | None = None, expected: list[str] | None = None) -> DataFrame:
+    """Everything that is wrong with a list of systems, as (code, path, detail): coverage against what was found, similar
+    names for missing paths, type maps that do not begin the expected one (``scanned`` has type_map), and gaps in the
+    ranges (group, position, start, end, total)."""
+    covered = coverage(listed, scanned, path, root)
+    empty = F.lit(None).cast("string")
+    out = covered.select("code", F.col(path).alias("path"), empty.alias("detail"))
+    missing = covered.where("code = 'missing'").select(path)
+    near = similar_names(missing, known if known is not None else scanned.select(path), path)
+    out = out.unionByName(near.select(F.lit("similar").alias("code"), F.col("name").alias("path"), F.col("suggestion").alias("detail")))
+    if expected is not None:
+        canon = F.array(*[F.lit(x) for x in expected])
+        other = scanned.where(F.slice(canon, F.lit(1), F.size("type_map")) != F.col("type_map"))
+        out = out.unionByName(other.select(F.lit("type_map").alias("code"), F.col(path).alias("path"), F.array_join("type_map", ",").alias("detail")))
+    if ranges is not None:
+        gaps = range_gaps(ranges, ["group"], "position", "start", "end")
+        out = out.unionByName(gaps.select(F.lit("range_gap").alias("code"), F.col("group").cast("string").alias("path"), F.concat_ws(" ", "expected_start", "start").alias("detail")))
+        ends = range_ends(ranges, ["group"], "position", "end", "total")
+        out = out.unionByName(ends.select(F.lit("range_end").alias("code"), F.col("group").cast("string").alias("path"), F.concat_ws(" ", "expected_end", "last_end").alias("detail")))
+    return out
+
+
 def range_gaps(df: DataFrame, group: list[str], position: str, start: str, end: str) -> DataFrame:
     """Ranges of a group that do not begin where the one before ended (the first: at 0)."""
     before = F.lag(end, 1, 0).over(Window.partitionBy(*group).orderBy(position))
     return df.withColumn("expected_start", before).where(F.col("expected_start") != F.col(start))
 
 
+def _numbered(tokens: Column) -> Column:
+    """The elements of an array, each with its number among equal ones, so that a multiset becomes a set."""
+    nth = lambda t, i: F.size(F.filter(F.slice(tokens, F.lit(1), i + 1), lambda x: x == t))
+    return F.transform(tokens, lambda t, i: F.concat_ws("#", t, nth(t, i).cast("string")))
+
+
 def similar_names(missing: DataFrame, known: DataFrame, name: str, least: float = 0.72, best: int = 3, ratio: Column | None = None) -> DataFrame:
-    """For each missing name up to ``best`` known ones of similarity ``least`` or more. Names are compared only if they
-    share a pair of neighbouring characters or are shorter than two, and their lengths allow that similarity."""
-    left, right = missing.select(F.col(name).alias("name")).distinct(), known.select(F.col(name).alias("suggestion")).distinct()
-    pairs = lambda c: F.explode(F.array_distinct(F.when(F.length(c) < 2, F.array(c)).otherwise(F.transform(F.sequence(F.lit(1), F.length(c) - 1), lambda i: F.substr(c, i, F.lit(2))))))
-    a, b = left.select("name", pairs(F.col("name")).alias("g")), right.select("suggestion", pairs(F.col("suggestion")).alias("g"))
-    longest = F.greatest(F.length("name"), F.length("suggestion"))
-    near = a.join(b, "g").where(F.least(F.length("name"), F.length("suggestion")) * 2 >= F.lit(least) * (F.length("name") + F.length("suggestion"))).select("name", "suggestion").distinct()
-    score = ratio if ratio is not None else 1 - F.levenshtein("name", "suggestion") / longest
+    """For each missing name up to ``best`` known ones of similarity ``least`` or more: by edit distance or, if given, by
+    ``ratio`` (the matching-block ratio). Names are compared if their lengths allow it and they share one of their rarest
+    tokens: similar names share so many tokens (pairs of neighbouring characters, for the ratio single characters) that
+    they must share one among the first ``tokens - shared + 1`` of each in the order of rareness. Names that are too short
+    for that are compared by length."""
+    size = F.length("name")
+    if ratio is None:
+        tokens = F.when(size < 2, F.array()).otherwise(F.transform(F.sequence(F.lit(1), size - 1), lambda i: F.substr("name", i, F.lit(2))))
+        shared, shortest = F.ceil(size * (2 * least - 1) - 1 - 1e-9), least
+    else:
+        tokens = F.filter(F.split("name", ""), lambda x: x != "")
+        shared, shortest = F.ceil(size * least / (2 - least) - 1e-9), least / (2 - least)
+    every = missing.select(F.col(name).alias("name"), F.lit(0).alias("side")).unionByName(known.select(F.col(name).alias("name"), F.lit(1).alias("side"))).where("name is not null").distinct()
+    each = every.select("name", "side", shared.alias("shared"), F.explode(_numbered(tokens)).alias("g"))
+    often = each.groupBy("g").agg(F.count("*").alias("n"))
+    place = F.row_number().over(Window.partitionBy("side", "name").orderBy("n", "g"))
+    total = F.count("*").over(Window.partitionBy("side", "name"))
+    rare = each.join(often, "g").withColumn("place", place).withColumn("total", total).where(F.col("place") <= F.col("total") - F.greatest(F.col("shared"), F.lit(1)) + 1)
+    of = lambda df, side: df.where(F.col("side") == side)
+    a, b = of(rare, 0).select("name", "g"), of(rare, 1).select(F.col("name").alias("suggestion"), "g")
+    short = every.where(shared <= 0).withColumn("length", size)
+    pairs = a.join(b, "g").select("name", "suggestion").unionByName(of(short, 0).select("name", F.explode(F.sequence(F.lit(0), F.ceil(F.col("length") / shortest).cast("int"))).alias("length")).join(of(short, 1).select(F.col("name").alias("suggestion"), "length"), "length").select("name", "suggestion"))
+    longest, smallest = F.greatest(size, F.length("suggestion")), F.least(size, F.length("suggestion"))
+    near = pairs.where(smallest >= longest * shortest - 1e-9).distinct()
+    score = ratio if ratio is not None else F.when(longest == 0, 1.0).otherwise(1 - F.levenshtein("name", "suggestion") / longest)
     scored = near.withColumn("score", score).where(F.col("score") >= least)
     r = F.row_number().over(Window.partitionBy("name").orderBy(F.desc("score"), "suggestion"))
     return scored.withColumn("rank", r).where(F.col("rank") <= best)
@@ -192,20 +243,31 @@ def validation_report(frames: DataFrame) -> DataFrame:
     return f.select(F.explode(F.concat("errors", bad)).alias("code")).groupBy("code").agg(F.count("*").alias("frames"))
 
 
-def validate_dataset(groups: DataFrame, arrays: DataFrame) -> DataFrame:
-    """(group_name, code) of a converted dataset. ``groups``: group_name, elements, counts, selected, converted, skipped;
-    ``arrays``: group_name, array, raw_rows, npy_rows."""
-    g = groups.withColumn("__same", F.count("*").over(Window.partitionBy("elements", "counts")))
+def validate_dataset(groups: DataFrame, arrays: DataFrame, totals: DataFrame | None = None) -> DataFrame:
+    """(group_name, code) of a converted dataset. ``groups``: group_name, elements, counts, selected, converted, skipped and,
+    if they are to be checked, types; ``arrays``: group_name, array, raw_rows, npy_rows; ``totals``: one row with group_count
+    and frames_converted as declared, whose codes have no group."""
+    same = groups.groupBy(F.col("elements").alias("__e"), F.col("counts").alias("__c")).agg(F.count("*").alias("__same"))
+    g = groups.join(same, groups["elements"].eqNullSafe(same["__e"]) & groups["counts"].eqNullSafe(same["__c"]))
     codes = [F.when(F.col("__same") > 1, "duplicate_composition"), F.when(F.size("elements") != F.size("counts"), "element_count_length"), F.when(F.col("selected") != F.col("converted"), "selected_not_converted"), F.when(F.col("skipped") > 0, "skipped_frames")]
-    own = g.select("group_name", F.explode(F.array_compact(F.array(*codes))).alias("code"))
+    if "types" in groups.columns:
+        found = F.array_sort(F.transform(F.array_distinct("types"), lambda t: F.size(F.filter("types", lambda x: x == t))))
+        codes.append(F.when(found != F.array_sort("counts"), "type_counts"))
+    out = g.select("group_name", F.explode(F.array_compact(F.array(*codes))).alias("code"))
     rows = arrays.join(groups.select("group_name", "converted"), "group_name").where((F.col("raw_rows") != F.col("npy_rows")) | (F.col("npy_rows") != F.col("converted")))
-    return own.unionByName(rows.select("group_name", F.concat(F.lit("frame count mismatch: "), "array").alias("code")))
+    out = out.unionByName(rows.select("group_name", F.concat(F.lit("frame count mismatch: "), "array").alias("code")))
+    if totals is not None:
+        own = groups.agg(F.count("*").alias("__groups"), F.coalesce(F.sum("converted"), F.lit(0)).alias("__frames")).crossJoin(F.broadcast(totals))  # one row each
+        wrong = [F.when(F.col("__groups") != F.col("group_count"), "group_count"), F.when(F.col("__frames") != F.col("frames_converted"), "frames_converted")]
+        out = out.unionByName(own.select(F.lit(None).cast("string").alias("group_name"), F.explode(F.array_compact(F.array(*wrong))).alias("code")))
+    return out
 
 
 def validate_archive(frames: DataFrame, meta: DataFrame) -> DataFrame:
     """(code, n) of an archive: entry count, contiguous index, system ids in range, unique type map, and frame checks."""
-    m = meta.select(F.col("nframes").alias("__n"), F.size("systems").alias("__s"), (F.size(F.array_distinct("type_map")) != F.size("type_map")).alias("__dup"))
-    top = frames.agg(F.count("*").alias("n"), F.min("frame_index").alias("lo"), F.max("frame_index").alias("hi"), F.count_distinct("frame_index").alias("d"), F.max("system_id").alias("sid"), F.min("system_id").alias("sid0")).crossJoin(m)
+    systems = F.col("nsystems") if "nsystems" in meta.columns else F.size("systems")
+    m = meta.select(F.col("nframes").alias("__n"), systems.alias("__s"), (F.size(F.array_distinct("type_map")) != F.size("type_map")).alias("__dup"))
+    top = frames.agg(F.count("*").alias("n"), F.min("frame_index").alias("lo"), F.max("frame_index").alias("hi"), F.count_distinct("frame_index").alias("d"), F.max("system_id").alias("sid"), F.min("system_id").alias("sid0")).crossJoin(F.broadcast(m))  # one row each
     gap = (F.col("lo") != 0) | (F.col("hi") != F.col("n") - 1) | (F.col("d") != F.col("n"))
     codes = [F.when(F.col("n") != F.col("__n"), "entry_count"), F.when(gap, "index_not_contiguous"), F.when((F.col("sid") >= F.col("__s")) | (F.col("sid0") < 0), "system_id_out_of_range"), F.when(F.col("__dup"), "type_map_not_unique")]
     whole = top.select(F.explode(F.array_compact(F.array(*codes))).alias("code"), F.lit(1).cast("long").alias("n"))

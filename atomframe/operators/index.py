@@ -46,26 +46,29 @@ def first_per_group(df: DataFrame, by: list[str], order: list[str], n: int) -> D
     return best.where(F.col("__r") <= n).drop("__r")
 
 
+def with_group_size(df: DataFrame, by: list[str], name: str = "__n") -> DataFrame:
+    """Adds the number of rows of each group; a null key is a group too."""
+    sizes = df.groupBy(*[F.col(c).alias(f"__{c}") for c in by]).agg(F.count("*").alias(name))
+    same = reduce(lambda a, b: a & b, [df[c].eqNullSafe(sizes[f"__{c}"]) for c in by])
+    return df.join(sizes, same).select(*df.columns, name)
+
+
 def even_sample(df: DataFrame, by: list[str], order: list[str], k: int) -> DataFrame:
     """k rows of each group at even distances, the first and the last among them; all rows of smaller groups."""
-    placed = numbered_within(df, by, order, "__i")
-    sizes = placed.groupBy(*by).agg(F.count("*").alias("__n"))
+    placed = with_group_size(numbered_within(df, by, order, "__i"), by)
     n, i = F.col("__n"), F.col("__i")
     # i is chosen if some j in 0..k-1 has j * (n - 1) div (k - 1) = i
     j = F.ceil(i * (k - 1) / F.greatest(n - 1, F.lit(1))) if k > 1 else F.lit(0)
     chosen = (i == 0) if k == 1 else (j < k) & (F.floor(j * (n - 1) / (k - 1)) == i)
-    picked = placed.join(sizes, by).where((n <= k) | chosen)
-    return picked.select(*df.columns)
+    return placed.where((n <= k) | chosen).select(*df.columns)
 
 
 def train_test_split(df: DataFrame, group: list[str], frame: str, ratio: float = 0.1, seed: int = 0) -> DataFrame:
     """Adds ``role``: test for the rows of least md5(seed, group, frame) of each group, train for the others."""
     key = F.md5(F.concat_ws("/", F.lit(str(seed)), *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in group], F.col(frame).cast("string")))
-    placed = numbered_within(df.withColumn("__key", key), group, ["__key", frame], "__i")
-    sizes = placed.groupBy(*[F.col(c).alias(f"__{c}") for c in group]).agg(F.count("*").alias("__n"))
-    same = reduce(lambda a, b: a & b, [placed[c].eqNullSafe(sizes[f"__{c}"]) for c in group])
+    placed = with_group_size(numbered_within(df.withColumn("__key", key), group, ["__key", frame], "__i"), group)
     role = F.when(F.col("__i") < split_size(F.col("__n"), ratio), "test").otherwise("train")
-    return placed.join(sizes, same).withColumn("role", role).select(*df.columns, "role")
+    return placed.withColumn("role", role).select(*df.columns, "role")
 
 
 def split_summary(split: DataFrame, dataset: str, *extra: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from atomframe.functions.expressions import natural_key, trailing_number
-from atomframe.operators.index import first_per_group, numbered_within
+from atomframe.operators.index import first_per_group, numbered_within, with_group_size
 
 
 def stride_selected(index: Column, stride: int, start: int = 0) -> Column:
@@ -15,8 +15,8 @@ def stride_selected(index: Column, stride: int, start: int = 0) -> Column:
 
 def select_frames(df: DataFrame, source: str, index: str, stride: int = 1, start: int = 0, most: int | None = None) -> DataFrame:
     """Frames of each source by start and stride, at most ``most`` of a source; a source's only frame 0 is always chosen."""
-    sizes = df.groupBy(source).agg(F.count("*").alias("__n"))
-    chosen = df.join(sizes, source).where(stride_selected(F.col(index), stride, start) | ((F.col("__n") == 1) & (F.col(index) == 0))).drop("__n")
+    sized = with_group_size(df, [source])
+    chosen = sized.where(stride_selected(F.col(index), stride, start) | ((F.col("__n") == 1) & (F.col(index) == 0))).drop("__n")
     return first_per_group(chosen, [source], [index], most) if most else chosen
 
 
@@ -75,6 +75,19 @@ def union_distinct(*tables: DataFrame, on: list[str]) -> DataFrame:
     return last_wins(out, on, ["__order"]).drop("__order")
 
 
+def exclusion_keys(manifests: DataFrame | None, listed: DataFrame | None, statuses: list[str] | None = None) -> DataFrame:
+    """Distinct (kind, key) of everything to be left out: entries of manifests (system, frame, status,
+    source_structure_path) with one of the statuses (a blank one always counts), and keys of lists (kind, key)."""
+    out = listed.where("kind in ('task_key', 'path') and key is not null").select("kind", "key") if listed is not None else None
+    if manifests is not None:
+        blank = F.coalesce(F.trim("status"), F.lit("")) == ""
+        own = manifests.where(blank | F.col("status").isin(*statuses)) if statuses else manifests
+        both = F.array(F.struct(F.lit("task_key").alias("kind"), F.concat_ws("/", "system", "frame").alias("key")), F.struct(F.lit("path").alias("kind"), F.col("source_structure_path").alias("key")))
+        own = own.where("system is not null and frame is not null").select(F.explode(both).alias("k")).select("k.*").where("key is not null and key <> ''")
+        out = own if out is None else out.unionByName(own)
+    return out.distinct()
+
+
 def capped_examples(df: DataFrame, by: list[str], order: list[str], example: str, k: int) -> DataFrame:
     """The first k examples of each group as one list."""
     return first_per_group(df, by, order, k).groupBy(*by).agg(F.sort_array(F.collect_list(F.struct(*order, F.col(example).alias("__e")))).alias("__l")).select(*by, F.col("__l.__e").alias("examples"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from atomframe.functions import states
+from atomframe.functions.expressions import task_key_below
 from atomframe.operators import campaign as C
 from atomframe.session import table
 
@@ -87,14 +88,14 @@ select o_orderkey, case when o_orderkey % 2 = 0 then '/new/' else '/old/' end ||
 
 
 def jobs(spark, sf_dir):
-    """Events as jobs of three targets; the event type gives a scheduler state."""
+    """Events as jobs of three targets; the event type gives a scheduler state. Those of every seventh user have no task."""
     e = table(spark, sf_dir, "events")
     raw = F.create_map(*[F.lit(x) for x in ("view", "RUNNING", "click", "PENDING", "error", "FAILED+", "purchase", "COMPLETED", "signup", "BOOT_FAIL")])
-    rows = e.select(F.concat(F.lit("t"), F.col("user_id") % 3).alias("target"), F.concat(F.lit("key"), "user_id").alias("task_key"), F.col("event_id").cast("string").alias("job_id"), F.element_at(raw, F.col("event_type")).alias("state"))
+    rows = e.select(F.concat(F.lit("t"), F.col("user_id") % 3).alias("target"), F.when(F.col("user_id") % 7 != 0, F.concat(F.lit("key"), "user_id")).alias("task_key"), F.col("event_id").cast("string").alias("job_id"), F.element_at(raw, F.col("event_type")).alias("state"))
     return rows.withColumn("status", states.mapped_status("state", "slurm"))
 
 
-JOBS = """j as (select 't' || (user_id % 3) as target, 'key' || user_id as task_key, case event_type when 'view' then 'running' when 'click' then 'submitted' when 'error' then 'failed' when 'purchase' then 'finished' else 'unknown' end as status from events)"""
+JOBS = """j as (select 't' || (user_id % 3) as target, case when user_id % 7 <> 0 then 'key' || user_id end as task_key, case event_type when 'view' then 'running' when 'click' then 'submitted' when 'error' then 'failed' when 'purchase' then 'finished' else 'unknown' end as status from events)"""
 
 
 def job_summary(spark, sf_dir):
@@ -105,18 +106,18 @@ JOB_SQL = f"""
 with {JOBS}
 select target, count(*) as physical_jobs, count(distinct task_key) as unique_tasks, count(*) - count(distinct task_key) as duplicate_jobs, count(*) filter (status = 'running') as running,
   count(*) filter (status = 'submitted') as queued, count(*) filter (status = 'finished') as finished, count(*) filter (status = 'failed') as failed, count(*) filter (status = 'unknown') as unknown
-from j group by 1
+from j where task_key is not null group by 1
 """
 
 
 def cross_target_summary(spark, sf_dir):
-    n = table(spark, sf_dir, "nation").where("n_nationkey < 4").select(F.concat(F.lit("t"), "n_nationkey").alias("target"), (F.col("n_nationkey") != 1).alias("available"))
+    n = table(spark, sf_dir, "nation").select(F.concat(F.lit("t"), "n_nationkey").alias("target"), (F.col("n_nationkey") % 4 != 1).alias("available"))
     return C.cross_target_summary(n, job_summary(spark, sf_dir))
 
 
 CROSS_SQL = f"""
 with {JOBS}, s as ({JOB_SQL.split(chr(10), 2)[2]}),
-n as (select 't' || n_nationkey as target, n_nationkey <> 1 as available from nation where n_nationkey < 4)
+n as (select 't' || n_nationkey as target, n_nationkey % 4 <> 1 as available from nation)
 select count(*) as targets, count(*) filter (not available) as unavailable, cast(sum(coalesce(physical_jobs, 0)) filter (available) as bigint) as physical_jobs, cast(sum(coalesce(unique_tasks, 0)) filter (available) as bigint) as unique_tasks,
   cast(sum(coalesce(duplicate_jobs, 0)) filter (available) as bigint) as duplicate_jobs, cast(sum(coalesce(running, 0)) filter (available) as bigint) as running, cast(sum(coalesce(queued, 0)) filter (available) as bigint) as queued,
   case when count(*) filter (not available) = 0 then 'available' when count(*) filter (not available) < count(*) then 'partial' else 'unavailable' end as status
@@ -137,9 +138,9 @@ select name, event_id, state from e qualify row_number() over (partition by name
 
 
 def state_profiles(spark, sf_dir):
-    """Every raw state of the events through the three profiles."""
+    """Every raw state of the events through all profiles."""
     e = table(spark, sf_dir, "events").select(F.element_at(F.array(*[F.lit(x) for x in ("CONFIGURING", "SUSPENDED", "CANCELLED by 7", "BOOT_FAIL", "C", "F", "S", "R", "COMPLETED", "odd")]), (F.col("event_id") % 10 + 1).cast("int")).alias("state"), (F.col("event_id") % 20 < 10).cast("int").alias("code"))
-    return e.groupBy("state", "code").agg(F.count("*").alias("n")).withColumns({"slurm": states.mapped_status("state", "slurm"), "submit": states.mapped_status("state", "slurm_submit"), "pbs": states.mapped_status("state", "pbs", "code")})
+    return e.groupBy("state", "code").agg(F.count("*").alias("n")).withColumns({"slurm": states.mapped_status("state", "slurm"), "submit": states.mapped_status("state", "slurm_submit"), "pbs": states.mapped_status("state", "pbs", "code"), "controller_slurm": states.mapped_status("state", "controller_slurm"), "controller_pbs": states.mapped_status("state", "controller_pbs"), "pbs_flow": states.mapped_status("state", "pbs_flow", "code")})
 
 
 PROFILES_SQL = """
@@ -147,33 +148,41 @@ with e as (select ['CONFIGURING', 'SUSPENDED', 'CANCELLED by 7', 'BOOT_FAIL', 'C
 select state, code, count(*) as n,
   case state when 'CONFIGURING' then 'submitted' when 'SUSPENDED' then 'running' when 'CANCELLED by 7' then 'failed' when 'COMPLETED' then 'finished' else 'unknown' end as slurm,
   case state when 'CONFIGURING' then 'running' when 'CANCELLED by 7' then 'failed' when 'BOOT_FAIL' then 'failed' when 'COMPLETED' then 'finished' else 'submitted' end as submit,
-  case when state in ('C', 'F') then case when code = 0 then 'finished' else 'failed' end when state = 'R' then 'running' else 'unknown' end as pbs
+  case when state in ('C', 'F') then case when code = 0 then 'finished' else 'failed' end when state = 'R' then 'running' else 'unknown' end as pbs,
+  case state when 'CONFIGURING' then 'submitted' when 'SUSPENDED' then 'running' when 'BOOT_FAIL' then 'failed' when 'COMPLETED' then 'finished' else '' end as controller_slurm,
+  case state when 'R' then 'running' when 'C' then 'finished' else '' end as controller_pbs,
+  case state when 'R' then 'running' when 'C' then case when code = 0 then 'finished' else 'failed' end else 'submitted' end as pbs_flow
 from e group by 1, 2
 """
 
 
 def entries(spark, sf_dir):
-    o = table(spark, sf_dir, "orders")
-    return o.select(F.concat(F.lit("system_"), F.col("o_custkey") % 50).alias("system"), F.col("o_orderkey").cast("string").alias("frame"), F.element_at(F.array(F.lit("F"), F.lit("O"), F.lit("X"), F.lit("")), (F.col("o_orderkey") % 4 + 1).cast("int")).alias("target"), F.expr("case o_orderstatus when 'F' then 'running' when 'P' then 'submitted' else 'planned' end").alias("status"), F.concat(F.lit("j"), "o_custkey").alias("job_id"))
+    """Orders as entries of four targets (one of them blank), every twelfth on a second target too."""
+    o = table(spark, sf_dir, "orders").withColumn("first", F.element_at(F.array(F.lit("F"), F.lit("O"), F.lit("X"), F.lit("")), (F.col("o_orderkey") % 4 + 1).cast("int")))
+    o = o.withColumn("target", F.explode(F.when(F.col("o_orderkey") % 12 == 0, F.array("first", F.lit("X"))).otherwise(F.array("first"))))
+    status = F.expr("case o_orderstatus when 'F' then if(o_orderkey % 5 = 0, 'RUNNING', 'running') when 'P' then 'submitted' else 'planned' end")
+    return o.select(F.concat(F.lit("system_"), F.col("o_custkey") % 50).alias("system"), F.col("o_orderkey").cast("string").alias("frame"), "target", status.alias("status"), F.concat(F.lit("j"), "o_custkey").alias("job_id"))
 
 
 def scan(spark, sf_dir):
-    """Line items of an order as marker rows of the target their status names."""
-    li = table(spark, sf_dir, "lineitem").where("l_orderkey % 5 <> 0").groupBy("l_orderkey", F.col("l_linestatus").alias("target")).agg(F.max("l_quantity").alias("q"), F.min("l_discount").alias("d"), F.max("l_tax").alias("t"))
+    """Line items of an order as marker rows of the target their status names; a fifth of them lies in another system."""
+    li = table(spark, sf_dir, "lineitem").groupBy("l_orderkey", F.col("l_linestatus").alias("target")).agg(F.max("l_quantity").alias("q"), F.min("l_discount").alias("d"), F.max("l_tax").alias("t"))
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    flags = li.join(o, F.col("l_orderkey") == F.col("o_orderkey")).select("target", F.concat(F.lit("system_"), F.col("o_custkey") % 50).alias("system"), F.col("o_orderkey").cast("string").alias("frame"), (F.col("q") > 20).alias("tag_finished"), (F.col("d") > 0.08).alias("tag_failed"), F.lit(True).alias("poscar"), (F.col("t") > 0.02).alias("outcar"), F.lit(True).alias("ediff_reached"), F.lit(True).alias("normal_footer"), F.lit("").alias("status"))
+    system = F.concat(F.when(F.col("o_orderkey") % 5 == 0, F.lit("other_")).otherwise("system_"), F.col("o_custkey") % 50)
+    flags = li.join(o, F.col("l_orderkey") == F.col("o_orderkey")).select("target", system.alias("system"), F.col("o_orderkey").cast("string").alias("frame"), (F.col("q") > 20).alias("tag_finished"), (F.col("d") > 0.08).alias("tag_failed"), F.lit(True).alias("poscar"), (F.col("t") > 0.02).alias("outcar"), F.lit(True).alias("ediff_reached"), F.lit(True).alias("normal_footer"), F.lit("").alias("status"))
     return flags.withColumn("result", C.scan_result())
 
 
-SCAN = """li as (select l_orderkey, l_linestatus as target, max(l_quantity) as q, min(l_discount) as d, max(l_tax) as t from lineitem where l_orderkey % 5 <> 0 group by 1, 2),
-sc as (select target, 'system_' || (o_custkey % 50) as system, cast(o_orderkey as varchar) as frame, case when q > 20 and not d > 0.08 and t > 0.02 then 'success' when d > 0.08 then 'failed' else 'pending' end as result from li join orders on l_orderkey = o_orderkey),
-en as (select 'system_' || (o_custkey % 50) as system, cast(o_orderkey as varchar) as frame, ['F', 'O', 'X', ''][o_orderkey % 4 + 1] as target, case o_orderstatus when 'F' then 'running' when 'P' then 'submitted' else 'planned' end as status, 'j' || o_custkey as job_id from orders),
-ta as (select case r_regionkey when 0 then 'F' when 1 then 'O' else 'Y' end as target, r_regionkey <> 1 as available from region where r_regionkey < 3)"""
+SCAN = """li as (select l_orderkey, l_linestatus as target, max(l_quantity) as q, min(l_discount) as d, max(l_tax) as t from lineitem group by 1, 2),
+sc as (select target, case when o_orderkey % 5 = 0 then 'other_' else 'system_' end || (o_custkey % 50) as system, cast(o_orderkey as varchar) as frame, case when q > 20 and not d > 0.08 and t > 0.02 then 'success' when d > 0.08 then 'failed' else 'pending' end as result from li join orders on l_orderkey = o_orderkey),
+oo as (select *, ['F', 'O', 'X', ''][o_orderkey % 4 + 1] as target from orders union all select *, 'X' as target from orders where o_orderkey % 12 = 0),
+en as (select 'system_' || (o_custkey % 50) as system, cast(o_orderkey as varchar) as frame, target, case o_orderstatus when 'F' then case when o_orderkey % 5 = 0 then 'RUNNING' else 'running' end when 'P' then 'submitted' else 'planned' end as status, 'j' || o_custkey as job_id from oo),
+ta as (select case r_regionkey when 0 then 'F' when 1 then 'O' else 'Y' || r_regionkey end as target, r_regionkey <> 1 as available from region)"""
 
 
 def targets(spark, sf_dir):
-    r = table(spark, sf_dir, "region").where("r_regionkey < 3")
-    return r.select(F.expr("case r_regionkey when 0 then 'F' when 1 then 'O' else 'Y' end").alias("target"), (F.col("r_regionkey") != 1).alias("available"))
+    name = F.when(F.col("r_regionkey") == 0, "F").when(F.col("r_regionkey") == 1, "O").otherwise(F.concat(F.lit("Y"), "r_regionkey"))
+    return table(spark, sf_dir, "region").select(name.alias("target"), (F.col("r_regionkey") != 1).alias("available"))
 
 
 def archive_reconcile(spark, sf_dir):
@@ -207,25 +216,52 @@ def cross_target_duplicates(spark, sf_dir):
 DUPLICATES_SQL = f"with {SCAN} select system, frame, list(distinct target order by target) as targets from sc where result = 'success' group by 1, 2 having count(distinct target) > 1"
 
 
+def active_jobs(spark, sf_dir):
+    """Users who viewed as active jobs of two targets; the others' events as jobs that are none of an entry's."""
+    viewed = F.col("event_type") == "view"
+    return table(spark, sf_dir, "events").select(F.when(F.col("event_id") % 2 == 0, "F").otherwise("X").alias("target"), F.concat(F.when(viewed, F.lit("j")).otherwise("k"), "user_id").alias("job_id"), F.lit(None).cast("string").alias("name"))
+
+
+PLAN = ["system", "frame", "target", "action", "reason", "new_status", "job_id", "recovered_previous_status"]
+
+
 def recovery_plan(spark, sf_dir):
-    active = table(spark, sf_dir, "events").where("event_type = 'view'").select(F.element_at(F.array(F.lit("F"), F.lit("X")), (F.col("event_id") % 2 + 1).cast("int")).alias("target"), F.concat(F.lit("j"), "user_id").alias("job_id"), F.lit(None).cast("string").alias("name"))
-    out = C.recovery_plan(entries(spark, sf_dir), targets(spark, sf_dir), scan(spark, sf_dir), active, ["job_id"])
-    return out.select("system", "frame", "action", "reason", "new_status", "job_id")
+    return C.recovery_plan(entries(spark, sf_dir), targets(spark, sf_dir), scan(spark, sf_dir), active_jobs(spark, sf_dir), ["job_id"]).select(PLAN)
+
+
+def recovery_one_target(spark, sf_dir):
+    """With one target only, entries that name none or another are its own."""
+    return C.recovery_plan(entries(spark, sf_dir), targets(spark, sf_dir).where("target = 'F'"), scan(spark, sf_dir), active_jobs(spark, sf_dir)).select(PLAN)
 
 
-RECOVERY_SQL = f"""
+def _recovery_sql(entries: str) -> str:
+    return f"""
 with {SCAN},
-ac as (select distinct ['F', 'X'][event_id % 2 + 1] as target, 'j' || user_id as id from events where event_type = 'view'),
-p as (select en.system, en.frame, en.status, en.job_id, sc.result,
-  case when en.target = '' or available = false then 'unresolved' when sc.result in ('success', 'failed') then 'normalized_terminal' when ac.id is not null then 'preserved_active' else 'recovered_for_resubmit' end as action,
-  en.target = '' as blank
-  from en left join ta on en.target = ta.target left join sc on sc.target = en.target and sc.system = en.system and sc.frame = en.frame left join ac on ac.target = en.target and ac.id = en.job_id
-  where en.status in ('submitted', 'running'))
-select system, frame, action, case when blank then 'unknown_target' when action = 'unresolved' then 'target_unavailable' when action = 'recovered_for_resubmit' then 'scheduler_job_missing_without_terminal_marker' end as reason,
+ac as (select distinct case when event_id % 2 = 0 then 'F' else 'X' end as target, case event_type when 'view' then 'j' else 'k' end || user_id as id from events),
+e2 as ({entries}),
+p as (select e2.system, e2.frame, e2.target, e2.status, e2.job_id, sc.result,
+  case when e2.target is null or available = false then 'unresolved' when sc.result in ('success', 'failed') then 'normalized_terminal' when ac.id is not null then 'preserved_active' else 'recovered_for_resubmit' end as action
+  from e2 left join ta on e2.target = ta.target left join sc on sc.target = e2.target and sc.system = e2.system and sc.frame = e2.frame left join ac on ac.target = e2.target and ac.id = e2.job_id
+  where lower(e2.status) in ('submitted', 'running'))
+select system, frame, target, action, case when target is null then 'unknown_target' when action = 'unresolved' then 'target_unavailable' when action = 'recovered_for_resubmit' then 'scheduler_job_missing_without_terminal_marker' end as reason,
   case when action = 'normalized_terminal' then case when result = 'success' then 'finished' else 'failed' end when action = 'recovered_for_resubmit' then 'selected' else status end as new_status,
-  case when action <> 'recovered_for_resubmit' then job_id end as job_id
+  case when action <> 'recovered_for_resubmit' then job_id end as job_id, case when action = 'recovered_for_resubmit' then status end as recovered_previous_status
 from p
 """
 
-QUERIES = {f.__name__: f for f in (status_counts, unit_rollup, host_matrix, completed_campaigns, manifest_header, conversion_units, normalised_records, job_summary, cross_target_summary, preferred_job, state_profiles, archive_reconcile, archive_report, cross_target_duplicates, recovery_plan)}
-ORACLES = dict(zip(QUERIES, (COUNTS_SQL, ROLLUP_SQL, HOST_SQL, COMPLETED_SQL, HEADER_SQL, UNITS_SQL, NORMALISED_SQL, JOB_SQL, CROSS_SQL, PREFERRED_SQL, PROFILES_SQL, RECONCILE_SQL, REPORT_SQL, DUPLICATES_SQL, RECOVERY_SQL), strict=True))
+
+RECOVERY_SQL = _recovery_sql("select * replace (nullif(target, '') as target) from en")
+ONE_TARGET_SQL = _recovery_sql("select * replace ('F' as target) from en")
+
+
+def workdir_keys(spark, sf_dir):
+    """Orders as working directories: the task below a run root, or none."""
+    path = F.expr("case o_orderkey % 5 when 0 then concat('/other/s', o_custkey, '/f', o_orderkey) when 1 then concat('/runs/a/s', o_custkey) when 2 then concat('/runs/a//s', o_custkey) else concat('/runs/a/s', o_custkey, '/f', o_orderkey, if(o_orderkey % 2 = 0, '/deep/', '')) end")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", path.alias("workdir"))
+    return o.select("o_orderkey", task_key_below("workdir", "/runs/a/").alias("task_key"))
+
+
+WORKDIR_SQL = "select o_orderkey, case when o_orderkey % 5 in (3, 4) then 's' || o_custkey || '/f' || o_orderkey else '' end as task_key from orders"
+
+QUERIES = {f.__name__: f for f in (status_counts, unit_rollup, host_matrix, completed_campaigns, manifest_header, conversion_units, normalised_records, job_summary, cross_target_summary, preferred_job, state_profiles, archive_reconcile, archive_report, cross_target_duplicates, recovery_plan, recovery_one_target, workdir_keys)}
+ORACLES = dict(zip(QUERIES, (COUNTS_SQL, ROLLUP_SQL, HOST_SQL, COMPLETED_SQL, HEADER_SQL, UNITS_SQL, NORMALISED_SQL, JOB_SQL, CROSS_SQL, PREFERRED_SQL, PROFILES_SQL, RECONCILE_SQL, REPORT_SQL, DUPLICATES_SQL, RECOVERY_SQL, ONE_TARGET_SQL, WORKDIR_SQL), strict=True))

@@ -168,19 +168,26 @@ def validation_report(spark, sf_dir):
     return D.validation_report(frames(spark, sf_dir))
 
 
-VALIDATION_SQL = """
-select ['coord_shape', 'nonfinite_coord', 'nonfinite_force', 'box_shape', 'energy_missing', 'type_out_of_range'][vec_id % 10 - 2] as code, count(*) as frames from embeddings where vec_id % 10 between 3 and 8 group by 1
-"""
+FRAMES_SQL = """
+f as (select vec_id, 'sys' || label as system_path, 'set.' || (vec_id % 3) as set_name,
+    case vec_id % 10 when 3 then v[1:59] when 4 then ['nan'::double, 'nan'::double] || v[3:60] else v[1:60] end as coord,
+    case vec_id % 10 when 5 then v[1:7] || ['infinity'::double] || v[9:60] else v[1:60] end as force,
+    case vec_id % 10 when 6 then v[1:8] else v[1:9] end as box, case when vec_id % 10 <> 7 then v[1] end as energy, case when vec_id % 2 = 0 then v[1:9] end as virial,
+    [case when vec_id % 10 = 8 and i = 3 then 2 else i % 2 end for i in range(0, 20)] as types
+  from (select *, [x::double for x in embedding] as v from embeddings)),
+c as (select *, len(coord) <> 60 as coord_shape, len(force) <> 60 as force_shape, len(box) <> 9 as box_shape, energy is null as energy_missing, coalesce(len(virial) <> 9, false) as virial_shape,
+    len(types) <> 20 as types_shape, list_min(types) < 0 or list_max(types) >= 2 as type_out_of_range,
+    len([x for x in coord if isnan(x) or isinf(x)]) as nonfinite_coord, len([x for x in box if isnan(x) or isinf(x)]) as nonfinite_box, coalesce(isnan(energy) or isinf(energy), false)::bigint as nonfinite_energy,
+    len([x for x in force if isnan(x) or isinf(x)]) as nonfinite_force, coalesce(len([x for x in virial if isnan(x) or isinf(x)]), 0) as nonfinite_virial from f)"""
+CODES = ("coord_shape", "force_shape", "box_shape", "energy_missing", "virial_shape", "types_shape", "type_out_of_range")
+VALIDATION_SQL = f"with {FRAMES_SQL}, r as (" + " union all ".join([f"select '{x}' as code from c where {x}" for x in CODES] + [f"select 'nonfinite_{x}' from c where nonfinite_{x} > 0" for x in D.ARRAYS]) + ") select code, count(*) as frames from r group by 1"
 
 
 def nonfinite_shape_checks(spark, sf_dir):
     return D.checked_frames(frames(spark, sf_dir)).select("vec_id", F.array_join("errors", ",").alias("errors"), "nonfinite_coord", "nonfinite_force")
 
 
-CHECKS_SQL = """
-select vec_id, case vec_id % 10 when 3 then 'coord_shape' when 6 then 'box_shape' when 7 then 'energy_missing' when 8 then 'type_out_of_range' else '' end as errors,
-  case when vec_id % 10 = 4 then 2 else 0 end::bigint as nonfinite_coord, case when vec_id % 10 = 5 then 1 else 0 end::bigint as nonfinite_force from embeddings
-"""
+CHECKS_SQL = f"with {FRAMES_SQL} select vec_id, concat_ws(',', {', '.join(f"case when {x} then '{x}' end" for x in CODES)}) as errors, nonfinite_coord, nonfinite_force from c"
 
 
 def inspect_datasets(spark, sf_dir):
@@ -188,10 +195,10 @@ def inspect_datasets(spark, sf_dir):
     return out.select("system_path", "frames", "sets", "natoms", "virial_frames", "nonfinite_coord", "nonfinite_force", "invalid_frames")
 
 
-INSPECT_SQL = """
-select 'sys' || label as system_path, count(*) as frames, count(distinct vec_id % 3) as sets, 20 as natoms, count(*) filter (vec_id % 2 = 0) as virial_frames,
-  cast(sum(case when vec_id % 10 = 4 then 2 else 0 end) as bigint) as nonfinite_coord, cast(count(*) filter (vec_id % 10 = 5) as bigint) as nonfinite_force, count(*) filter (vec_id % 10 in (3, 6, 7, 8)) as invalid_frames
-from embeddings group by label
+INSPECT_SQL = f"""
+with {FRAMES_SQL}
+select system_path, count(*) as frames, count(distinct set_name) as sets, max(len(types))::int as natoms, count(virial) as virial_frames, cast(sum(nonfinite_coord) as bigint) as nonfinite_coord,
+  cast(sum(nonfinite_force) as bigint) as nonfinite_force, count(*) filter ({' or '.join(CODES)}) as invalid_frames from c group by 1
 """
 
 
@@ -199,18 +206,21 @@ def inspect_root(spark, sf_dir):
     return D.inspect_root(D.inspect_systems(frames(spark, sf_dir)))
 
 
-ROOT_SQL = "select count(distinct label) as systems, cast(count(*) as bigint) as frames, cast(count(*) * 20 as bigint) as atoms, 1::bigint as type_maps, count(*) filter (vec_id % 10 in (3, 6, 7, 8)) = 0 as valid from embeddings"
+ROOT_SQL = f"""
+with {FRAMES_SQL}
+select count(distinct system_path) as systems, count(*) as frames, cast(sum(len(types)) as bigint) as atoms, 1::bigint as type_maps, count(*) filter ({' or '.join(CODES)}) = 0 as valid from c
+"""
 
 
 def declared_mismatches(spark, sf_dir):
     systems = D.inspect_systems(frames(spark, sf_dir))
-    manifest = table(spark, sf_dir, "nation").where("n_nationkey < 12").select(F.concat(F.lit("sys"), "n_nationkey").alias("system_path"), F.when(F.col("n_nationkey") % 2 == 0, F.lit(50).cast("long")).alias("frames"), F.lit(20).alias("natoms"))
+    manifest = table(spark, sf_dir, "nation").select(F.concat(F.lit("sys"), "n_nationkey").alias("system_path"), F.when(F.col("n_nationkey") % 2 == 0, F.lit(50).cast("long")).alias("frames"), F.lit(20).alias("natoms"))
     return D.declared_mismatches(manifest, systems)
 
 
 MISMATCH_SQL = """
 with s as (select 'sys' || label as system_path, count(*) as found_frames, 20 as found_natoms from embeddings group by label),
-m as (select 'sys' || n_nationkey as system_path, case when n_nationkey % 2 = 0 then 50::bigint end as frames, 20 as natoms from nation where n_nationkey < 12)
+m as (select 'sys' || n_nationkey as system_path, case when n_nationkey % 2 = 0 then 50::bigint end as frames, 20 as natoms from nation)
 select m.system_path, frames, natoms, found_frames, found_natoms from m left join s using (system_path) where found_frames is null or frames <> found_frames
 """
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import functions as F
 
@@ -140,13 +141,24 @@ select o_custkey as file, 's' || (o_custkey % 7) as system, cast(o_orderkey as v
 
 
 def job_snapshots(spark, sf_dir):
-    """Scheduler texts made from events: one squeue text for each user."""
-    line = F.concat_ws("|", F.col("event_id").cast("string"), F.concat(F.lit("n"), "event_id"), F.upper("event_type"), F.lit("main"), F.concat(F.lit("/runs/"), "user_id"))
-    texts = table(spark, sf_dir, "events").groupBy(F.col("user_id").alias("file")).agg(F.concat(F.lit("JOBID|NAME|STATE|PARTITION|WORKDIR\n"), F.array_join(F.collect_list(line), "\n")).alias("text"))
-    return records.job_rows(texts, "squeue")
-
-
-JOBS_SQL = "select user_id as file, cast(event_id as varchar) as job_id, 'n' || event_id as name, upper(event_type) as state, 'main' as queue, '/runs/' || user_id as workdir from events"
+    """Scheduler texts made from events, one for each user, in the five layouts in turn: the jobs read back."""
+    e = table(spark, sf_dir, "events").withColumn("kind", F.col("user_id") % 5)
+    line = F.expr("""case kind
+      when 0 then concat_ws(' ', event_id, 'main', concat('n', event_id), upper(event_type), '1:00')
+      when 1 then concat_ws('|', event_id, concat('n', event_id), event_type)
+      when 2 then concat(event_id, '.server u x  n', event_id, ' ', upper(event_type), ' main')
+      when 3 then concat('Job Id: ', event_id, '.server\n    Job_Name = n', event_id, '\n    job_state = ', event_type, '\n    queue = main\n    Variable_List = A=1,PBS_O_WORKDIR=/runs/\n\t', user_id, ',\n        B=2')
+      else concat('JobId=', event_id, ' JobName=n', event_id, ' JobState=', upper(event_type), ' Partition=main WorkDir=/runs/', user_id) end""")
+    head = F.expr("case kind when 0 then 'JOBID PARTITION NAME STATE TIME\n' when 1 then 'JOBID|NAME|STATE\n' when 2 then 'Job id Name User Time Use S Queue\n------ ---- ----\n' else '' end")
+    texts = e.groupBy("kind", F.col("user_id").alias("file")).agg(F.array_join(F.collect_list(line), "\n").alias("body")).select("kind", "file", F.concat(head, "body").alias("text"))
+    kinds = ("squeue", "squeue_pipes", "qstat", "qstat_full", "scontrol")
+    return reduce(lambda a, b: a.unionByName(b), [records.job_rows(texts.where(F.col("kind") == k), name) for k, name in enumerate(kinds)])
+
+
+JOBS_SQL = """
+select user_id as file, event_id || case when user_id % 5 = 3 then '.server' else '' end as job_id, 'n' || event_id as name, upper(event_type) as state,
+  case when user_id % 5 in (1, 2) then '' else 'main' end as queue, case when user_id % 5 in (3, 4) then '/runs/' || user_id else '' end as workdir from events
+"""
 
 
 def exclusion_lists(spark, sf_dir):
@@ -199,27 +211,31 @@ select vec_id, '2' || chr(10) || 'energy=0.0000 config_type=unlabeled pbc="T T T
 
 def frame_archive(spark, sf_dir):
     """The frames of the embeddings, archived in another order of types: index, system and types of each."""
-    frames = datasets.frames(spark, sf_dir).where("vec_id % 10 not in (3, 6, 7, 8)").withColumn("frame_in_set", F.col("vec_id").cast("int"))
+    types = F.expr("transform(sequence(0, 19), i -> (i + cast(vec_id as int)) % 2)")
+    frames = datasets.frames(spark, sf_dir).withColumns({"frame_in_set": F.col("vec_id").cast("int"), "types": types})
     out, _, _ = sinks.archive_frames(frames, ["H", "O"])
     return out.select("frame_index", "system_id", "vec_id", F.array_join("types", "").alias("types"))
 
 
 ARCHIVE_SQL = """
-with f as (select vec_id, 'sys' || label as system_path, vec_id % 3 as s from embeddings where vec_id % 10 not in (3, 6, 7, 8))
-select row_number() over (order by system_path, s, vec_id) - 1 as frame_index, dense_rank() over (order by system_path) - 1 as system_id, vec_id, repeat('10', 10) as types from f
+with f as (select vec_id, 'sys' || label as system_path, vec_id % 3 as s from embeddings)
+select row_number() over (order by system_path, s, vec_id) - 1 as frame_index, dense_rank() over (order by system_path) - 1 as system_id, vec_id, repeat(case when vec_id % 2 = 0 then '10' else '01' end, 10) as types from f
 """
 
 
 def archive_validation(spark, sf_dir):
-    """Codes for an archive of embeddings with a gap in its index and frames that are not right."""
+    """Codes for an archive of embeddings with a gap in its index, metadata that know one system less, and frames that
+    are not right."""
     frames = datasets.frames(spark, sf_dir).withColumns({"frame_index": F.col("vec_id") + F.when(F.col("vec_id") > 100, 1).otherwise(0), "system_id": F.substr("system_path", F.lit(4)).cast("int")})
-    meta = spark.sql("select 7 as nframes, array('a', 'b') as systems, array('O', 'H', 'O') as type_map")
+    meta = frames.where("system_id > 0").agg(F.count("*").alias("nframes"), F.count_distinct("system_id").alias("nsystems")).withColumn("type_map", F.array(*map(F.lit, ("O", "H", "O"))))
     return dataset.validate_archive(frames, meta)
 
 
 ARCHIVE_VALIDATION_SQL = f"""
-select 'entry_count' as code, 1::bigint as n union all select 'index_not_contiguous', 1 union all select 'system_id_out_of_range', 1 union all select 'type_map_not_unique', 1
-union all select * from ({datasets.VALIDATION_SQL.strip()})
+with v as ({datasets.VALIDATION_SQL}), i as (select vec_id + (vec_id > 100)::int as k, label from embeddings), m as (select count(*) as n, count(distinct label) as s from i where label > 0),
+t as (select count(*) as n, min(k) as lo, max(k) as hi, count(distinct k) as d, min(label) as s0, max(label) as s1 from i)
+select 'entry_count' as code, 1::bigint as n from t, m where t.n <> m.n union all select 'index_not_contiguous', 1 from t where lo <> 0 or hi <> n - 1 or d <> n
+union all select 'system_id_out_of_range', 1 from t, m where s0 < 0 or s1 >= m.s union all select 'type_map_not_unique', 1 where len(list_distinct(['O', 'H', 'O'])) <> 3 union all select code, frames from v
 """
 
 QUERIES = {f.__name__: f for f in (latest_status, incremental_candidates, inactivity, periodic_counts, sliding_counts, duplicate_jobs, log_metrics, progress_logs, campaign_documents, job_snapshots, exclusion_lists, exclusion_export, system_manifests, xyz_text_export, frame_archive, archive_validation)}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -28,9 +29,12 @@ def table(spark: SparkSession, sf_dir: str, name: str):
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where the session names none."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir``. Only a local master may do without; it gets a
+    temporary one."""
     context = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not path and not re.match(r"local(\[|$)", context.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     if not context.getCheckpointDir():
         context.setCheckpointDir(path or tempfile.mkdtemp(prefix="spark-"))
     return (path or context.getCheckpointDir()).rstrip("/")

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import json
 import os
+import shutil
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,6 +15,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StructType
 
+from atomframe.operators.index import global_index, numbered_within
+from atomframe.session import checkpointed
+
 ARRAYS = ("coord", "box", "energy", "force", "virial")
 SCHEMA = "system_path string, set_name string, frame_in_set int, natoms int, types array<int>, type_map array<string>, coord array<double>, box array<double>, energy double, force array<double>, virial array<double>, error string"
 
@@ -99,31 +105,82 @@ def read_frame_groups(spark: SparkSession, roots: list[str], **options) -> DataF
     return reader.load()
 
 
+def named_groups(frames: DataFrame) -> DataFrame:
+    """Adds ``group_name``: the compositions (types, type_map) numbered by atoms and elements, as group_001_n3_o_h."""
+    keys = frames.select("types", "type_map").distinct()
+    elements = F.array_distinct(F.transform("types", lambda t: F.element_at("type_map", t + 1)))
+    keys = keys.withColumn("__elements", elements).withColumn("__natoms", F.size("types"))
+    numbered = global_index(keys, ["__natoms", "__elements", "types", "type_map"], "__k")
+    name = F.concat(F.format_string("group_%03d_n%d_", F.col("__k") + 1, F.col("__natoms")), F.lower(F.array_join("__elements", "_")))
+    return frames.join(numbered.select("types", "type_map", name.alias("group_name")), ["types", "type_map"])
+
+
+def published(aside: str, path: str) -> None:
+    """``aside`` becomes ``path``. What is there already comes from an earlier attempt of the same task: it stays."""
+    try:
+        os.rename(aside, path)
+    except OSError:
+        if not os.path.exists(path):
+            raise
+        shutil.rmtree(aside)
+
+
 def write_groups(frames: DataFrame, folder: str, frames_per_set: int = 5000) -> DataFrame:
-    """Writes ``.npy`` sets, type.raw and type_map.raw for each composition (types, type_map) to a folder that all
-    executors share; one row (group_name, set_name, frames) for each set. A set is written aside and renamed."""
-    key = F.concat_ws("_", F.lit("group"), F.substr(F.sha2(F.to_json(F.struct("types", "type_map")), 256), F.lit(1), F.lit(12)))
-    named = frames.withColumn("group_name", key)
-    n = named.groupBy("group_name").agg(F.count("*").alias("__n"))
-    # a set is a salt of the group, so a large group is written by many tasks
-    placed = named.join(n, "group_name").withColumn("set_id", F.pmod(F.xxhash64(*[F.col(c) for c in ("group_name", "energy", "coord")]), F.ceil(F.col("__n") / frames_per_set)).cast("int"))
+    """Writes ``.npy`` sets of at most ``frames_per_set`` frames, type.raw and type_map.raw for each composition (types,
+    type_map) to a new folder that all executors share; one row (group_name, set_name, frames) for each set. Frames stay
+    in order of their system, set and place. A folder that has something in it is refused."""
+    if os.path.exists(folder) and os.listdir(folder):
+        raise FileExistsError(folder)
+    have = frames.where("error is null") if "error" in frames.columns else frames
+    order = [c for c in ("system_path", "set_name", "frame_in_set") if c in have.columns] or ["energy"]
+    placed = numbered_within(named_groups(have), ["group_name"], order, "__i")
+    placed = placed.withColumn("set_id", F.floor(F.col("__i") / frames_per_set).cast("int"))
 
     def write(pdf: pd.DataFrame) -> pd.DataFrame:
-        group, set_id = pdf["group_name"].iloc[0], int(pdf["set_id"].iloc[0])
-        base, name = f"{folder}/{group}", f"set.{set_id:03d}"
-        aside = f"{base}/.{name}-{os.getpid()}"
-        os.makedirs(aside, exist_ok=True)
-        arrays = {"coord": np.stack(pdf["coord"].to_list()), "box": np.stack(pdf["box"].to_list()), "energy": pdf["energy"].to_numpy(), "force": np.stack(pdf["force"].to_list())}
+        pdf = pdf.sort_values("__i")
+        base, name = f"{folder}/{pdf['group_name'].iloc[0]}", f"set.{pdf['set_id'].iloc[0]:03d}"
+        own = uuid.uuid4().hex
+        aside = f"{base}/.{name}-{own}"
+        os.makedirs(aside)
+        arrays = {a: np.stack(pdf[a].to_list()) for a in ("coord", "box", "force")} | {"energy": pdf["energy"].to_numpy()}
         if "virial" in pdf and pdf["virial"].notna().all():
             arrays["virial"] = np.stack(pdf["virial"].to_list())
         for a, v in arrays.items():
             np.save(f"{aside}/{a}.npy", v)
         for file, lines in (("type.raw", pdf["types"].iloc[0]), ("type_map.raw", pdf["type_map"].iloc[0])):
-            with open(f"{base}/.{file}-{os.getpid()}", "w") as f:
+            with open(f"{base}/.{file}-{own}", "w") as f:
                 f.write("\n".join(map(str, lines)) + "\n")
-            os.replace(f"{base}/.{file}-{os.getpid()}", f"{base}/{file}")
-        if not os.path.exists(f"{base}/{name}"):
-            os.rename(aside, f"{base}/{name}")
-        return pd.DataFrame({"group_name": [group], "set_name": [name], "frames": [len(pdf)]})
+            os.replace(f"{base}/.{file}-{own}", f"{base}/{file}")
+        published(aside, f"{base}/{name}")
+        return pd.DataFrame({"group_name": [pdf["group_name"].iloc[0]], "set_name": [name], "frames": [len(pdf)]})
 
-    return placed.drop("__n").groupBy("group_name", "set_id").applyInPandas(write, "group_name string, set_name string, frames long")
+    return checkpointed(placed.groupBy("group_name", "set_id").applyInPandas(write, "group_name string, set_name string, frames long"))
+
+
+def write_raw(sets: DataFrame, folder: str) -> DataFrame:
+    """Adds the text files (``energy.raw`` ...) and convert_summary.json to each written group: one row (group_name, frames,
+    natoms, elements, counts). One task for each group writes set after set, so that it holds one set at a time."""
+
+    def write(pdf: pd.DataFrame) -> pd.DataFrame:
+        group = pdf["group_name"].iloc[0]
+        base, own = f"{folder}/{group}", uuid.uuid4().hex
+        names = pdf.sort_values("set_name", key=lambda s: s.str.extract(r"(\d+)$")[0].astype(int))["set_name"].tolist()
+        for a in ARRAYS:
+            paths = [f"{base}/{n}/{a}.npy" for n in names]
+            if all(map(os.path.exists, paths)):
+                with open(f"{base}/.{a}.raw-{own}", "w") as f:
+                    for path in paths:
+                        values = np.load(path)
+                        np.savetxt(f, values.reshape(len(values), -1))
+                os.replace(f"{base}/.{a}.raw-{own}", f"{base}/{a}.raw")
+        with open(f"{base}/type_map.raw") as f:
+            type_map = f.read().split()
+        types = np.loadtxt(f"{base}/type.raw", dtype=np.int64, ndmin=1)
+        used = list(dict.fromkeys(types.tolist()))
+        row = {"group_name": group, "frames": int(pdf["frames"].sum()), "natoms": len(types), "elements": [type_map[t] for t in used], "counts": [int((types == t).sum()) for t in used]}
+        with open(f"{base}/.convert_summary.json-{own}", "w") as f:
+            json.dump(row | {"type_order": type_map}, f, indent=2, sort_keys=True)
+        os.replace(f"{base}/.convert_summary.json-{own}", f"{base}/convert_summary.json")
+        return pd.DataFrame({k: [v] for k, v in row.items()})
+
+    return checkpointed(sets.groupBy("group_name").applyInPandas(write, "group_name string, frames long, natoms int, elements array<string>, counts array<int>"))

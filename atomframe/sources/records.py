@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from atomframe.functions.expressions import task_key
 
-ENTRY = "array<map<string,string>>"
+ENTRY = "map<string,string>"
+# The fields that may name an entry's target, the first that is not blank wins.
+TARGET_FIELDS = ["remote_target", "target", "target_label", "target_server_label", "host_label"]
 RECORD = "status string, system_name string, frame_name string, source_structure_path string, sampling struct<start:int,stride:int,count:int>, paths map<string,string>"
 
 
@@ -24,13 +26,23 @@ def lines(spark: SparkSession, path: str, pattern: str | None = None) -> DataFra
 
 def campaign_entries(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Entries (system, frame, target, status, job_id, extras) of campaign documents (file, text): their ``entries``, else
-    their ``records``; and the files that are no such document."""
-    parsed = texts.withColumn("doc", F.from_json("text", f"entries {ENTRY}, records {ENTRY}", {"mode": "PERMISSIVE"}))
+    their ``records``; and the files that are no such document. An item that is no object is left out, the others stay."""
+    parsed = texts.withColumn("doc", F.from_json("text", "entries array<string>, records array<string>", {"mode": "PERMISSIVE"}))
     listed = parsed.withColumn("list", F.coalesce("doc.entries", "doc.records"))
     pick = lambda *names: F.coalesce(*[F.nullif(F.trim(F.col("e")[n]), F.lit("")) for n in names])
     core = ["system_name", "frame_name", "remote_target", "status", "job_id", "source_structure_path"]
-    rows = listed.where("list is not null").select("file", F.explode("list").alias("e")).where("e is not null")
-    entries = rows.select("file", pick("system_name", "system").alias("system"), pick("frame_name", "frame").alias("frame"), pick("remote_target", "target").alias("target"), pick("status").alias("status"), pick("job_id").alias("job_id"), pick("source_structure_path").alias("source_structure_path"), F.map_filter("e", lambda k, v: ~k.isin(*core)).alias("extras"))
+    items = listed.where("list is not null").select("file", F.explode("list").alias("item")).where(F.ltrim("item").startswith("{"))
+    rows = items.select("file", F.from_json("item", ENTRY).alias("e")).where("e is not null")
+    fields = {
+        "system": pick("system_name", "system"),
+        "frame": pick("frame_name", "frame"),
+        "target": pick(*TARGET_FIELDS),
+        "status": pick("status"),
+        "job_id": pick("job_id"),
+        "source_structure_path": pick("source_structure_path"),
+        "extras": F.map_filter("e", lambda k, v: ~k.isin(*core)),
+    }
+    entries = rows.select("file", *[c.alias(n) for n, c in fields.items()])
     return entries, listed.where("list is null").select("file")
 
 
@@ -41,10 +53,11 @@ def read_campaigns(spark: SparkSession, path: str, pattern: str = "*.json") -> t
 def read_run_records(spark: SparkSession, root: str) -> DataFrame:
     """frame_info.json files, then those in frame_records (the later place wins); unreadable ones have status null."""
     texts = whole_texts(spark, root, "*.json").where(F.col("file").rlike(r"/system_[^/]*/(frame_[^/]*/frame_info|frame_records/[^/]*)\.json$"))
-    parsed = texts.select("file", F.from_json("text", RECORD).alias("r"), F.col("file").contains("/frame_records/").cast("int").alias("place"))
+    broken = {"columnNameOfCorruptRecord": "broken"}
+    parsed = texts.select("file", F.from_json("text", f"{RECORD}, broken string", broken).alias("r"), F.col("file").contains("/frame_records/").cast("int").alias("place"))
     system = F.regexp_extract("file", r"/(system_[^/]*)/", 1)
     frame = F.regexp_extract("file", r"/(frame_[^/.]*)(?:/frame_info)?\.json$", 1)
-    return parsed.select("file", "place", F.coalesce("r.system_name", system).alias("system"), F.coalesce("r.frame_name", frame).alias("frame"), "r.status", "r.source_structure_path", "r.sampling", "r.paths", F.col("r").isNull().alias("unreadable"))
+    return parsed.select("file", "place", F.coalesce("r.system_name", system).alias("system"), F.coalesce("r.frame_name", frame).alias("frame"), "r.status", "r.source_structure_path", "r.sampling", "r.paths", (F.col("r").isNull() | F.col("r.broken").isNotNull()).alias("unreadable"))
 
 
 def system_manifest(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -63,23 +76,34 @@ def read_system_manifest(spark: SparkSession, path: str) -> tuple[DataFrame, Dat
 
 
 def job_rows(texts: DataFrame, kind: str) -> DataFrame:
-    """Jobs (job_id, name, state, queue, workdir) of saved scheduler outputs (file, text): ``squeue`` (pipe separated),
-    ``qstat``, ``qstat_full`` or ``scontrol``."""
-    if kind in ("squeue", "qstat"):
-        row = texts.select("file", F.explode(F.split("text", "\r?\n")).alias("line")).where(F.trim("line") != "")
-        if kind == "squeue":
-            p = F.split("line", r"\|")
-            return row.where(F.size(p) >= 5).select("file", *[F.trim(p[i]).alias(c) for i, c in enumerate(("job_id", "name", "state", "queue", "workdir"))]).where("upper(job_id) <> 'JOBID'")
-        p = F.split(F.trim("line"), r"\s+")
-        return row.where(F.col("line").rlike(r"^\s*[0-9]+")).select("file", p[0].alias("job_id"), p[1].alias("name"), F.element_at(p, -2).alias("state"), F.element_at(p, -1).alias("queue"), F.lit("").alias("workdir"))
+    """Jobs (job_id, name, state, queue, workdir) of saved scheduler outputs (file, text); what a layout lacks is empty.
+
+    ``squeue``: white-space cells id, partition, name, state. ``squeue_pipes``: id|name|state. ``qstat``: cells, the
+    first being a number with a host, the fourth and fifth name and state. ``qstat_full`` and ``scontrol``: fields."""
+    none = F.lit("")
+    if kind in ("squeue", "qstat", "squeue_pipes"):
+        row = texts.select("file", F.explode(F.split("text", r"\r?\n")).alias("line")).withColumn("line", F.trim(F.regexp_replace("line", r"\s", " ")))
+        row = row.where((F.col("line") != "") & ~F.lower("line").startswith("job") & ~F.col("line").startswith("-"))
+        cells = F.split("line", r"\|" if kind == "squeue_pipes" else r"\s+")
+        p = [F.trim(F.get(cells, F.lit(i))) for i in range(5)]
+        least, columns = {
+            "squeue": (4, (p[0], p[2], p[3], p[1])),
+            "squeue_pipes": (3, (p[0], p[1], F.upper(p[2]), none)),
+            "qstat": (5, (F.regexp_extract(p[0], r"^([^.]*)", 1), p[3], p[4], none)),
+        }[kind]
+        row = row.where(F.size(cells) >= least)
+        row = row.where(p[0].rlike("^[0-9]")) if kind == "qstat" else row
+        return row.select("file", *[c.alias(n) for c, n in zip(columns, ("job_id", "name", "state", "queue"), strict=True)], none.alias("workdir"))
     if kind == "scontrol":
         block = texts.select("file", F.explode(F.split("text", r"(?m)(?=^JobId=)")).alias("b")).where("b like 'JobId=%'")
         get = lambda k: F.regexp_extract("b", rf"(?:^|\s){k}=(\S*)", 1)
-        return block.select("file", get("JobId").alias("job_id"), get("JobName").alias("name"), get("JobState").alias("state"), get("Partition").alias("queue"), get("WorkDir").alias("workdir"))
-    # long values go on in the next line after a tab
-    block = texts.withColumn("text", F.regexp_replace("text", r"\r?\n\t", "")).select("file", F.explode(F.split("text", r"(?m)(?=^Job Id:)")).alias("b")).where("b like 'Job Id:%'")
+        return block.select("file", get("JobId").alias("job_id"), get("JobName").alias("name"), F.upper(get("JobState")).alias("state"), get("Partition").alias("queue"), get("WorkDir").alias("workdir")).where("job_id <> ''")
+    # a long value goes on in lines that begin with a tab or eight spaces and are no fields themselves
+    joined = F.regexp_replace("text", r"[ \t]*\r?\n(?:\t| {8})(?![^\n]* = )[ \t]*", "")
+    block = texts.withColumn("text", joined).select("file", F.explode(F.split("text", r"(?m)(?=^Job Id: )")).alias("b")).where("b like 'Job Id: %'")
     get = lambda k: F.trim(F.regexp_extract("b", rf"(?m)^\s*{k} = (.*)$", 1))
-    return block.select("file", F.trim(F.regexp_extract("b", r"^Job Id:\s*(\S+)", 1)).alias("job_id"), get("Job_Name").alias("name"), get("job_state").alias("state"), get("queue").alias("queue"), F.regexp_extract("b", r"PBS_O_WORKDIR=([^,\n]*)", 1).alias("workdir"))
+    workdir = F.trim(F.regexp_extract("b", r"(?m)^\s*Variable_List = (?:.*,)?PBS_O_WORKDIR=([^,\n]+)", 1))
+    return block.select("file", F.trim(F.regexp_extract("b", r"^Job Id:\s*(\S+)", 1)).alias("job_id"), get("Job_Name").alias("name"), F.upper(get("job_state")).alias("state"), get("queue").alias("queue"), workdir.alias("workdir"))
 
 
 def read_job_snapshots(spark: SparkSession, path: str, kind: str) -> DataFrame:
@@ -89,8 +113,8 @@ def read_job_snapshots(spark: SparkSession, path: str, kind: str) -> DataFrame:
 def log_metrics(rows: DataFrame, labels: dict[str, str], marker: str, count: str = r"number of test data\s*:\s*([0-9]+)") -> DataFrame:
     """Evaluation logs as lines (file, line, value): test frames and groups counted before the line with ``marker``, and
     each label's number after it (the last one wins); without a marker the numbers are null."""
-    where = rows.groupBy("file").agg(F.min(F.when(F.col("value").contains(marker), F.col("line"))).alias("__m"))
-    joined = rows.join(where, "file")
+    where = rows.groupBy(F.col("file").alias("__file")).agg(F.min(F.when(F.col("value").contains(marker), F.col("line"))).alias("__m"))
+    joined = rows.join(where, rows["file"].eqNullSafe(where["__file"]))
     n = F.nullif(F.regexp_extract("value", count, 1), F.lit("")).cast("long")
     before = F.coalesce(F.col("line") < F.col("__m"), F.lit(True))
     metrics = []

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import json
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
+import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from atomframe.operators.dataset import validate_archive
@@ -15,16 +17,20 @@ from atomframe.functions.expressions import element_order, inverse3, remapped, s
 
 def archive_frames(frames: DataFrame, type_map: list[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Globally indexed frames (by system, set and place) with types in the order of ``type_map``; the systems, and one
-    row of metadata. ``frames`` as the group source gives them, with optional block and label."""
+    row of metadata. ``frames`` as the group source gives them, with optional block and label. Elements that the type map
+    lacks are an error: no system is left out."""
     canon = F.array(*[F.lit(x) for x in type_map])
     have = frames.where("error is null") if "error" in frames.columns else frames
     for c, default in (("block", "unknown"), ("label", "")):
         have = have.withColumn(c, F.coalesce(c, F.lit(default))) if c in have.columns else have.withColumn(c, F.lit(default))
     systems = have.groupBy("system_path").agg(F.count("*").alias("frames"), F.first("natoms").alias("natoms"), F.first("block").alias("block"), F.first("label").alias("label"), F.first(F.array_except("type_map", canon)).alias("missing"))
-    ids = global_index(systems.where(F.size("missing") == 0), ["system_path"], "system_id")
+    if not (bad := systems.where(F.size("missing") > 0)).isEmpty():
+        first = bad.orderBy("system_path").first()
+        raise ValueError(f"{first.system_path}: elements not in the type map: {list(first.missing)}")
+    ids = global_index(systems, ["system_path"], "system_id")
     indexed = global_index(have.join(ids.select("system_path", "system_id"), "system_path"), ["system_path", "set_name", "frame_in_set"])
     out = indexed.withColumn("types", remapped("types", "type_map", canon)).withColumn("type_map", canon)
-    meta = ids.agg(F.sum("frames").alias("nframes"), F.sort_array(F.collect_list("system_path")).alias("systems")).withColumn("type_map", canon)
+    meta = ids.agg(F.sum("frames").alias("nframes"), F.count("*").alias("nsystems")).withColumn("type_map", canon)
     return out, ids, meta
 
 
@@ -73,6 +79,7 @@ def structure_text(structures: DataFrame, order: list[str]) -> DataFrame:
     return ordered.withColumn("text", text).drop("__names", "__order")
 
 
+# The fields of a manifest, in order.
 MANIFEST = ["index", "system_path", "block", "label", "frames", "natoms", "elements", "counts", "type_map", "type_map_sha256", "relative_path"]
 
 
@@ -95,6 +102,21 @@ def exclusion_lines(entries: DataFrame, statuses: list[str] | None = None) -> Da
     return kept.where("system is not null and frame is not null").select(F.concat(F.lit("task_key:"), "system", F.lit("/"), "frame").alias("value")).distinct()
 
 
+def write_texts(texts: DataFrame, folder: str) -> int:
+    """Writes each row (path, text) to a file of that name below ``folder``, on the executors; returns their number. A
+    repeated task writes the same files again."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        fs, base = pafs.FileSystem.from_uri(folder) if ":" in folder.split("/")[0] else (pafs.LocalFileSystem(), folder)
+        for pdf in batches:
+            for path, text in zip(pdf["path"], pdf["text"], strict=True):
+                fs.create_dir(f"{base}/{path}".rsplit("/", 1)[0], recursive=True)
+                with fs.open_output_stream(f"{base}/{path}") as f:
+                    f.write(text.encode())
+            yield pd.DataFrame({"n": [len(pdf)]})
+
+    return texts.select("path", "text").mapInPandas(run, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
+
 def role_lists(split: DataFrame, path: str, role: str = "role") -> dict[str, list[str]]:
     """The systems of each role, sorted: what a training job's input names. One entry for each system."""
     rows = split.groupBy(role).agg(F.sort_array(F.collect_set(path)).alias("paths")).collect()

@@ -4,17 +4,18 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pandas as pd
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession, functions as F
-
-STRUCTURE = "path string, elements array<string>, counts array<int>, natoms int, box array<double>, coord array<double>, error string"
+STRUCTURE = "path string, elements array<string>, counts array<int>, natoms int, box array<double>, coord array<double>, types array<int>, error string"
 OUTPUT = "path string, natoms int, energy double, box array<double>, coord array<double>, force array<double>, virial array<double>, error string"
 XYZ = "path string, frame int, natoms int, comment string, species array<string>, coord array<double>"
 # What marks the parts of an output file.
-ENERGY, CELL, FORCES, STRESS = re.compile(r"TOTEN\s*=\s*([-+0-9.Ee]+)"), "VOLUME and BASIS-vectors", "TOTAL-FORCE", re.compile(r"^\s*Total\s+(.*)$", re.M)
+ENERGY, STRESS = re.compile(r"^(?=.*energy).*TOTEN\s*=\s*([-+]?(?:\d*\.)?\d+(?:[Ee][-+]?\d+)?)", re.M), re.compile(r"^\s*Total\s+(.*)$", re.M)
+CELL, FORCES, ATOMS = "VOLUME and BASIS-vectors are now", "TOTAL-FORCE (eV/Angst)", re.compile(r"NIONS\s*=\s*(\d+)")
 CONVERGED, FOOTER = "aborting loop because EDIFF is reached", "General timing and accounting informations for this job"
 
 
@@ -22,47 +23,65 @@ def numbers(text: str) -> list[float]:
     return [float(x) for x in re.findall(r"[-+]?(?:\d+\.?\d*|\.\d+)(?:[Ee][-+]?\d+)?", text)]
 
 
-def parse_structure(text: str) -> dict:
-    """A POSCAR: scale, lattice, elements, counts, optional selective dynamics, Direct or Cartesian coordinates."""
-    lines = text.splitlines()
+def parse_structure(text: str, type_map: list[str] | None = None) -> dict:
+    """A POSCAR: scale, lattice, elements, counts, optional selective dynamics, Direct or Cartesian coordinates; with a
+    type map also the type of each atom. Anything else is a ValueError."""
+    lines = [line for line in text.splitlines() if line.strip()]
+    if len(lines) < 8:
+        raise ValueError("too short")
     scale = float(lines[1].split()[0])
     if scale <= 0:
         raise ValueError("scale must be positive")
     box = np.array([[float(x) for x in line.split()[:3]] for line in lines[2:5]]) * scale
     elements, counts = lines[5].split(), [int(x) for x in lines[6].split()]
-    if len(elements) != len(counts) or any(re.fullmatch(r"\d+", e) for e in elements):
+    if box.shape != (3, 3) or len(elements) != len(counts) or any(re.fullmatch(r"\d+", e) for e in elements):
         raise ValueError("elements and counts do not match")
-    at = 8 if lines[7].strip()[:1].lower() == "s" else 7
     n = sum(counts)
+    if n <= 0:
+        raise ValueError("no atoms")
+    at = 8 if lines[7].strip()[:1].lower() == "s" else 7
+    mode = lines[at].strip()[:1].lower()
+    if mode not in ("d", "c", "k"):
+        raise ValueError(f"unknown coordinate mode {lines[at].strip()}")
     rows = [line.split()[:3] for line in lines[at + 1 : at + 1 + n]]
     if len(rows) < n or any(len(r) < 3 for r in rows):
         raise ValueError("coordinates are missing")
+    if missing := [e for e in elements if type_map and e not in type_map]:
+        raise ValueError(f"elements not in the type map: {missing}")
     coord = np.array(rows, dtype=float)
-    coord = coord * scale if lines[at].strip()[:1].lower() in "ck" else coord @ box
-    return {"elements": elements, "counts": counts, "natoms": n, "box": box.ravel().tolist(), "coord": coord.ravel().tolist()}
+    coord = coord @ box if mode == "d" else coord * scale
+    types = [type_map.index(e) for e, k in zip(elements, counts, strict=True) for _ in range(k)] if type_map else None
+    return {"elements": elements, "counts": counts, "natoms": n, "box": box.ravel().tolist(), "coord": coord.ravel().tolist(), "types": types}
+
+
+#: Places of XX, YY, ZZ, XY, YZ, ZX in a symmetric 3x3 array, row by row.
+STRESS_PLACES = [0, 3, 5, 3, 1, 4, 5, 4, 2]
 
 
-def parse_output(text: str) -> dict:
-    """The last energy, cell, forces and stress of an OUTCAR."""
-    energies = ENERGY.findall(text)
+def parse_output(text: str, natoms: int | None = None) -> dict:
+    """The last energy, cell, forces and stress of an OUTCAR. The force table must hold as many atoms as given, else as
+    the file names, else all rows up to its closing line; a file that is cut off is a ValueError."""
+    energies, stress = ENERGY.findall(text), [x for x in map(numbers, STRESS.findall(text)) if len(x) >= 6]
     cell, force = text.rfind(CELL), text.rfind(FORCES)
     if not energies or cell < 0 or force < 0:
         raise ValueError("energy, cell or forces are missing")
     box = [numbers(line)[:3] for line in text[cell:].splitlines()[5:8]]
-    rows = []
+    if [len(r) for r in box] != [3, 3, 3]:
+        raise ValueError("the cell is cut off")
+    named = ATOMS.findall(text)
+    natoms = natoms if natoms is not None else int(named[-1]) if named else None
+    rows, closed = [], False
     for line in text[force:].splitlines()[2:]:
-        x = numbers(line)
-        if len(x) != 6:
+        if closed := len(rows) == natoms or (natoms is None and bool(rows) and line.strip().startswith("--")):
             break
-        rows.append(x)
-    if not rows:
-        raise ValueError("forces are empty")
-    virial = None
-    if (stress := STRESS.findall(text)) and len(x := numbers(stress[-1])) == 6:
-        xx, yy, zz, xy, yz, zx = x
-        virial = [xx, xy, zx, xy, yy, yz, zx, yz, zz]
+        if len(x := numbers(line)) >= 6:
+            rows.append(x[:6])
+    if not rows or not (closed or len(rows) == natoms):
+        raise ValueError(f"the force table is cut off at {len(rows)} atoms")
+    if not stress:
+        raise ValueError("the stress is missing")
     table = np.array(rows)
-    return {"natoms": len(rows), "energy": float(energies[-1]), "box": [v for r in box for v in r], "coord": table[:, :3].ravel().tolist(), "force": table[:, 3:].ravel().tolist(), "virial": virial}
+    return {"natoms": len(rows), "energy": float(energies[-1]), "box": [v for r in box for v in r], "coord": table[:, :3].ravel().tolist(), "force": table[:, 3:].ravel().tolist(), "virial": [stress[-1][k] for k in STRESS_PLACES]}
 
 
 def _parsed(df: DataFrame, parse, schema: str) -> DataFrame:
@@ -88,15 +107,34 @@ def files(spark: SparkSession, root: str, pattern: str) -> DataFrame:
     return spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(root).select("path", "content")
 
 
-def read_structures(spark: SparkSession, root: str, pattern: str = "*POSCAR*") -> DataFrame:
+def read_structures(spark: SparkSession, root: str, pattern: str = "*POSCAR*", type_map: list[str] | None = None) -> DataFrame:
     """One row for each file; a file that cannot be parsed has ``error``."""
-    return _parsed(files(spark, root, pattern), parse_structure, STRUCTURE)
+    return _parsed(files(spark, root, pattern), partial(parse_structure, type_map=type_map), STRUCTURE)
 
 
 def read_calc_outputs(spark: SparkSession, root: str, pattern: str = "OUTCAR*") -> DataFrame:
     return _parsed(files(spark, root, pattern), parse_output, OUTPUT)
 
 
+def eligible(scan: DataFrame, require_tag: bool = False, require_finished: bool = False) -> DataFrame:
+    """Marker rows with structure and output; if asked for, also with the finished tag or a finished task_info."""
+    out = scan.where("poscar and outcar")
+    out = out.where("tag_finished") if require_tag else out
+    return out.where("task_info and coalesce(task_status, '') = 'finished'") if require_finished else out
+
+
+def read_calculations(spark: SparkSession, root: str) -> DataFrame:
+    """The structure and output files of each folder, joined: folder, elements, counts, and what the output says, checked
+    against the structure's number of atoms. ``error`` says what is wrong with either; ``structure_error`` only with the
+    structure."""
+    folder = lambda df: df.withColumn("folder", F.regexp_extract("path", "^(.*)/[^/]*$", 1))
+    s = folder(read_structures(spark, root, "POSCAR")).select("folder", "elements", "counts", F.col("natoms").alias("__n"), F.col("error").alias("structure_error"))
+    o = folder(read_calc_outputs(spark, root, "OUTCAR")).drop("path").withColumnRenamed("error", "__error")
+    both = s.join(o, "folder")
+    unlike = F.when(F.col("__n") != F.col("natoms"), F.concat(F.lit("ValueError: atoms of the output "), "natoms", F.lit(", of the structure "), "__n"))
+    return both.withColumn("error", F.coalesce("structure_error", "__error", unlike)).drop("__n", "__error")
+
+
 def parse_xyz(text: str) -> Iterator[tuple]:
     """Whole frames up to the first header that is none; an incomplete tail is left out."""
     lines, at, frame = text.splitlines(), 0, 0
@@ -141,8 +179,8 @@ def list_files(spark: SparkSession, root: str) -> DataFrame:
 
 
 def scan_markers(spark: SparkSession, root: str, target: str) -> DataFrame:
-    """Marker rows of the frames (root/system/frame/...): which files are there and what the output says. File contents
-    are read of the outputs only."""
+    """Marker rows of the frames (root/system/frame/...): which files are there, what the output says and the status in
+    task_info.json (task_status, lower case). File contents are read of the outputs and task_info files only."""
     every = list_files(spark, root)
     split = F.split("path", "/")
     at = lambda c, k: F.element_at(c, -k)
@@ -151,5 +189,9 @@ def scan_markers(spark: SparkSession, root: str, target: str) -> DataFrame:
     found = keyed.groupBy("system", "frame").agg(have("tag_finished").alias("tag_finished"), have("tag_failed").alias("tag_failed"), have("POSCAR").alias("poscar"), have("OUTCAR").alias("outcar"), have("task_info.json").alias("task_info"), have("frame_info.json").alias("frame_info"))
     text = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "OUTCAR").text(root).select(F.split(F.col("_metadata.file_path"), "/").alias("p"), "value")
     marks = text.groupBy(at(F.col("p"), 3).alias("system"), at(F.col("p"), 2).alias("frame")).agg(F.bool_or(F.col("value").contains(CONVERGED)).alias("ediff_reached"), F.bool_or(F.col("value").contains(FOOTER)).alias("normal_footer"))
+    info = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "task_info.json").option("wholetext", "true").text(root)
+    info = info.select(F.split(F.col("_metadata.file_path"), "/").alias("p"), F.lower(F.trim(F.get_json_object("value", "$.status"))).alias("task_status"))
+    info = info.select(at(F.col("p"), 3).alias("system"), at(F.col("p"), 2).alias("frame"), "task_status")
+    found = found.join(info, ["system", "frame"], "left")
     out = found.join(marks, ["system", "frame"], "left").withColumn("target", F.lit(target)).withColumn("status", F.lit(""))
     return out.withColumns({c: F.coalesce(c, F.lit(False)) for c in ("ediff_reached", "normal_footer")})

@@ -18,7 +18,8 @@ def file_stream(spark: SparkSession, path: str, schema: StructType, files_per_tr
 
 
 def latest_status(df: DataFrame, keys: list[str], ts: str, status: str, rank: str) -> DataFrame:
-    """The newest status of each task; of equal times that of higher rank."""
+    """The newest status of each task; of equal times that of higher rank. The state is one row for each task: it grows
+    with the tasks, not with their reports."""
     return df.groupBy(*keys).agg(F.max_by(status, F.struct(ts, rank)).alias("status"), F.max(ts).alias("at"))
 
 
@@ -54,21 +55,23 @@ def periodic_counts(df: DataFrame, ts: str, status: str, done: list[str], width:
     return df.withWatermark(ts, delay).groupBy(w.alias("w")).agg(F.count("*").alias("total"), F.count_if(good).alias("finished"), F.count_if(~good).alias("unfinished")).select(F.col("w.start").alias("start"), F.col("w.end").alias("end"), "total", "finished", "unfinished")
 
 
-def duplicate_jobs(df: DataFrame, snapshot: str, target: str, key: str) -> DataFrame:
-    """Keys with more than one job in a snapshot."""
+def duplicate_jobs(df: DataFrame, snapshot: str, target: str, key: str, delay: str | None = None) -> DataFrame:
+    """Keys with more than one job in a snapshot. With a ``delay`` (the snapshot is then a time) snapshots that the
+    watermark has passed leave the state."""
+    df = df.withWatermark(snapshot, delay) if delay else df
     return df.groupBy(snapshot, target, key).agg(F.count("*").alias("jobs")).where("jobs > 1")
 
 
 def drained(df: DataFrame, mode: str, folder: str) -> DataFrame:
     """Runs a stream over all that is there now, into Parquet below ``folder``, and reads the result: what ``append`` has
-    added, or the last ``complete`` answer."""
-    write = "append" if mode == "append" else "overwrite"
+    added, or the last ``complete`` answer. A batch that is repeated after a failure overwrites its own folder."""
+    place = (lambda n: f"{folder}/out/batch={n}") if mode == "append" else lambda n: f"{folder}/out/batch=0"
     query = (
         df.writeStream.outputMode(mode)
-        .foreachBatch(lambda batch, _: batch.write.mode(write).parquet(f"{folder}/out"))
+        .foreachBatch(lambda batch, n: batch.write.mode("overwrite").parquet(place(n)))
         .option("checkpointLocation", f"{folder}/checkpoint")
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    return df.sparkSession.read.schema(df.schema).parquet(f"{folder}/out")
+    return df.sparkSession.read.schema(df.schema).parquet(f"{folder}/out").select(*df.columns)

@@ -31,9 +31,15 @@ def shared_dir(spark: SparkSession) -> str:
 ROW_GROUP = 16 << 20
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once as Parquet in the shared folder and read again, which cuts its lineage."""
+#: Of how many partitions one file of a light table is made.
+LIGHT = 8
+
+
+def saved(df: DataFrame, name: str, light: bool = False) -> DataFrame:
+    """``df`` written once as Parquet in the shared folder and read again, which cuts its lineage. A light table has narrow
+    rows, so that a file can hold several partitions."""
     spark = df.sparkSession
+    df = df.coalesce(max(LIGHT, parts(spark) // LIGHT)) if light else df
     path = f"{shared_dir(spark)}/atomframe-{name}-{uuid.uuid4().hex}"
     df.write.option("parquet.block.size", ROW_GROUP).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -234,7 +234,7 @@ def _common_rows(n: int):
 
 def common_grams(docs: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
     """The n-grams of many sets, sorted, with their levels; at most MOST_COMMON, since each has that share of the total."""
-    counts = saved(docs.select("text").mapInArrow(_common_rows(n), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).where(F.col("n") >= COMMON), "grams")
+    counts = saved(docs.select("text").mapInArrow(_common_rows(n), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).where(F.col("n") >= COMMON), "grams", light=True)
     total = counts.agg(F.sum("n")).first()[0] or 0
     rows = counts.where(F.col("n") > total // MOST_COMMON).collect()  # fewer than MOST_COMMON rows
     dropped(counts)
@@ -418,7 +418,7 @@ def linked_components(join: Join, pairs: DataFrame, of: DataFrame, docs: DataFra
 
 def with_links(labels: DataFrame, links: DataFrame) -> DataFrame:
     """The labels after more links."""
-    every = saved(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(links), "links")
+    every = saved(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(links), "links", light=True)
     out = components(every)
     dropped(every, labels, links)
     return out
@@ -427,13 +427,13 @@ def with_links(labels: DataFrame, links: DataFrame) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """(node, label) for every node of ``links`` (a, b): the smallest node of its component. Each round takes every node
     to the smallest label among its neighbours and then to the label of that, until nothing changes."""
-    both = saved(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct(), "edges")
-    labels = saved(both.groupBy("a").agg(F.least("a", F.min("b")).alias("label")).withColumnRenamed("a", "node"), "labels")
+    both = saved(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct(), "edges", light=True)
+    labels = saved(both.groupBy("a").agg(F.least("a", F.min("b")).alias("label")).withColumnRenamed("a", "node"), "labels", light=True)
     while True:
         near = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy("a").agg(F.min("label").alias("near"))
         step = labels.join(near, labels.node == near.a).select("node", F.col("label").alias("old"), F.least("label", "near").alias("low"))
         roots = labels.select(F.col("node").alias("low"), F.col("label").alias("root"))
-        new = saved(step.join(roots, "low", "left").select("node", "old", F.least("low", F.coalesce("root", "low")).alias("label")), "labels")
+        new = saved(step.join(roots, "low", "left").select("node", "old", F.least("low", F.coalesce("root", "low")).alias("label")), "labels", light=True)
         dropped(labels)
         labels = new.select("node", "label")
         if new.where("old <> label").isEmpty():
@@ -508,20 +508,20 @@ def grouped(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
     leaders = groups.groupBy("sig").agg(F.min("comp").alias("a"))
     starred = groups.join(leaders, "sig").where("comp <> a").select("a", F.col("comp").alias("b")).distinct()
     sized = starred.join(side["a"], "a").join(side["b"], "b").where(_sizes_allow(join)).where(_parities_allow(join))
-    stars = saved(sized.select("a", "b"), "stars")
-    links = saved(member.where("a <> b").unionByName(verified(join, stars, docs, once)), "links")
+    stars = saved(sized.select("a", "b"), "stars", light=True)
+    links = saved(member.where("a <> b").unionByName(verified(join, stars, docs, once)), "links", light=True)
     labels = components(links)
     dropped(links)
     # what is still apart within a group
     of = saved(nodes.select("comp", "node", "n", "often", "parity").dropDuplicates(["comp", "node"]), "members")
     mostly = F.bool_or(F.col("often") * (num + den) >= 2 * num * F.col("n"))
-    span = saved(of.groupBy("comp").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.count("*").alias("size"), F.max("often").alias("most"), mostly.alias("mostly")), "spans")
+    span = saved(of.groupBy("comp").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.count("*").alias("size"), F.max("often").alias("most"), mostly.alias("mostly")), "spans", light=True)
 
     def apart() -> DataFrame:
         """Groups of several labels: sig, comp, m, often, label and the component's sizes."""
         named = groups.join(labels, groups.comp == labels.node, "left").select("sig", "comp", "m", "often", F.coalesce("label", "comp").alias("label"))
         several = named.groupBy("sig").agg(F.min("label").alias("least"), F.max("label").alias("most")).where("least <> most").select("sig", "least")
-        return saved(named.join(several, "sig").join(span, "comp"), "mixed")
+        return saved(named.join(several, "sig").join(span, "comp"), "mixed", light=True)
 
     sides = ("comp", "label", "low", "high", "size")
     near_sizes = (F.col("high_a") * den >= F.col("low_b") * num) & (F.col("high_b") * den >= F.col("low_a") * num)
@@ -534,7 +534,7 @@ def grouped(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
         first = each.where("label = least").select("sig", at["a"].alias("a"))
         trial = each.where("label > least").select("sig", at["b"].alias("b")).join(first, "sig").select(*[F.col(f"{c}.{x}").alias(f"{x}_{c}") for c in "ab" for x in sides])
         trial = trial.where(near_sizes & heavy).dropDuplicates(["comp_a", "comp_b"])
-        trial = saved(trial if tested is None else trial.join(tested, ["comp_a", "comp_b"], "left_anti"), "trial")
+        trial = saved(trial if tested is None else trial.join(tested, ["comp_a", "comp_b"], "left_anti"), "trial", light=True)
         dropped(mixed_groups)
         if trial.isEmpty():
             break
@@ -564,13 +564,13 @@ def grouped(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
         return F.col("shared") >= F.when(others > 0, F.least(k, others)).otherwise(F.lit(1) if n == "low" else k)
 
     cross = cross.where(enough("low", "most"))
-    cross = saved(cross if tested is None else cross.join(tested, ["comp_a", "comp_b"], "left_anti"), "cross")
+    cross = saved(cross if tested is None else cross.join(tested, ["comp_a", "comp_b"], "left_anti"), "cross", light=True)
     few = cross.where(~heavy).select("comp_a", "comp_b", "shared")
     for c in "ab":
         few = few.join(of.select(*[F.col(x).alias(y) for x, y in (("comp", f"comp_{c}"), ("node", c), ("n", f"n_{c}"), ("often", f"often_{c}"), ("parity", f"p_{c}"))]), f"comp_{c}")
     pairs = few.where(_sizes_allow(join)).where(enough("n", "often")).where(_parities_allow(join)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     done = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = saved(pairs.join(done, ["a", "b"], "left_anti"), "pairs")
+    rest = saved(pairs.join(done, ["a", "b"], "left_anti"), "pairs", light=True)
     if not rest.isEmpty():
         labels = with_links(labels, verified(join, rest, docs, once))
     many = cross.where(heavy)
@@ -579,7 +579,7 @@ def grouped(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
     dropped(mixed_groups, stars, groups, cross, of, span)
     final = once.join(labels, "node", "left").select("node", "best", F.coalesce("label", "node").alias("label"))
     smallest = final.groupBy("label").agg(F.min("best").alias("best"))
-    ids = saved(final.join(smallest.withColumnRenamed("best", "least"), "label").select("node", F.col("least.doc_id").alias("component_id"), F.col("least.row_key").alias("first")), "components")
+    ids = saved(final.join(smallest.withColumnRenamed("best", "least"), "label").select("node", F.col("least.doc_id").alias("component_id"), F.col("least.row_key").alias("first")), "components", light=True)
     dropped(rest, once, labels)
     result = out.where("sig is null").select("doc_id", "row_key", "node", "n").join(ids, "node", "left")
     return result.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), "row_key", "first")

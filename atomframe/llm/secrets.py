@@ -1,15 +1,17 @@
 """Secret scans: plain patterns, and formats learned from what they find by grammar inference.
 
 Base spans come from three patterns (assign, access, hex). Their values are labelled credentials: for each kind at
-most ``per_kind`` distinct values (those with the smallest hash; a bounded sample of labelled rows) make a prefix tree
-over character classes, whose statistically compatible states are merged (ALERGIA, Hoeffding test) into a
-probabilistic automaton. Every run of ``MIN_RUN`` (the least length of a labelled value) or more characters that may
-stand in a credential, in every text, is a candidate, and so is what base spans leave of a run; it is a secret if, for
-some kind, the automaton accepts it and its log likelihood is above that of ordinary text (a first-order model of the
-classes of all texts outside base spans) by ``threshold``. A span is a whole match: code points, end exclusive.
-
-Null and empty texts have no spans. Equal rows are scanned one by one. Extra columns are ignored by ``scan`` and kept
-by ``redact``. Without any base match nothing is learned and only the patterns speak.
+most ``per_kind`` distinct values (those with the smallest hash; a bounded sample of labelled rows), each as often as
+it was found, make a prefix tree over character classes, whose statistically compatible states are merged (ALERGIA,
+Hoeffding test) into a probabilistic automaton. Every run of characters that may stand in a credential, in every text,
+is a candidate, and so is what base spans leave of a run; those too short for any string of their length to pass need no
+scoring (``Formats.least``, computed from the automata). A candidate is a secret if, for some kind, the automaton accepts it and its log likelihood is above that of ordinary
+text (a first-order model of the classes of all texts outside base spans) by ``threshold``. A span is a whole match:
+code points, end exclusive.
+
+Null and empty texts have no spans. Very long texts are scanned whole. Of kinds of equal likelihood the one listed first
+is taken. Equal rows are scanned one by one. Extra columns are ignored by ``scan`` and kept by ``redact``. Without any
+base match nothing is learned and only the patterns speak.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,8 +35,6 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]+")
 MIN_ASSIGN, MIN_ACCESS, MIN_HEX = 6, 20, 24
 
-MIN_RUN = min(MIN_ASSIGN, MIN_ACCESS, MIN_HEX)
-RUN = re.compile(r"[A-Za-z0-9+/_.=-]{%d,}" % MIN_RUN)
 #: Character classes: digit, a-f, other lower case, upper case, and each mark by itself; 0 is everything else.
 CLASSES = "0az" + "A" + "+/_.=-"
 CODES = bytearray(256)
@@ -42,6 +43,8 @@ for _i in range(128):
     CODES[_i] = 1 if _c.isdigit() else 2 if _c in "abcdef" else 3 if _c.islower() else 4 if _c.isupper() else CLASSES.find(_c) + 1 if _c in "+/_.=-" else 0
 CODES = bytes(CODES)
 N = len(CLASSES) + 1
+#: A length that candidates are scored from in any case.
+LONGEST = 64
 #: Verdicts remembered in a worker, by class codes of at most SHORT characters.
 VERDICTS, SHORT = 1 << 17, 32
 HEXMAP = bytes(104 if chr(b) in "0123456789abcdef" else 32 for b in range(256))
@@ -60,37 +63,59 @@ def base_spans(text: str, data: bytes) -> list[tuple[int, int, int, str]]:
     return sorted(out)
 
 
+#: The kind under which class pairs are counted.
+PAIRS = -1
+
+
 def _labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (kind, value, n): the base values, and with kind -1 the class pairs of all text outside them."""
+    """Rows (kind, value, n): the base values, and as PAIRS the class pairs of all text outside them."""
     pairs = np.zeros(N * N, dtype=np.int64)
     for batch in chunks(batches):
-        kinds, values = [], []
+        found: Counter[tuple[int, str]] = Counter()
         for text in column(batch, "text").to_pylist():
             if text:
                 data = text.encode()
-                spans = base_spans(text, data)
-                for start, kind, end, value in spans:
-                    kinds.append(kind)
-                    values.append(value)
-                    data = (text := text[:start] + "\0" * (end - start) + text[end:]).encode()
+                if spans := base_spans(text, data):
+                    found.update((kind, value) for _, kind, _, value in spans)
+                    kept, at = [], 0
+                    for start, end in merged([(s, e) for s, _, e, _ in spans]):
+                        kept += [text[at:start], "\0"]
+                        at = end
+                    data = "".join([*kept, text[at:]]).encode()
                 codes = np.frombuffer(b"\0" + data.translate(CODES) + b"\0", dtype=np.uint8)
                 pairs += np.bincount(codes[:-1].astype(np.int64) * N + codes[1:], minlength=N * N)
-        yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.int32()), pa.array(values, pa.string()), pa.array([1] * len(kinds), pa.int64())], ["kind", "value", "n"])
-    at = np.flatnonzero(pairs)
-    yield pa.RecordBatch.from_arrays([pa.array([-1] * len(at), pa.int32()), pa.array([str(i) for i in at], pa.string()), pa.array(pairs[at])], ["kind", "value", "n"])
+        yield _rows([(k, v, n) for (k, v), n in found.items()])
+    yield _rows([(PAIRS, str(i), pairs[i]) for i in np.flatnonzero(pairs)])
+
+
+def _rows(rows: list[tuple[int, str, int]]) -> pa.RecordBatch:
+    kinds = (pa.int32(), pa.string(), pa.int64())
+    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], ["kind", "value", "n"])
+
+
+def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Overlapping spans, in order of their starts, as one."""
+    out: list[tuple[int, int]] = []
+    for a, b in spans:
+        if out and a < out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out
 
 
 class Automaton:
     """A probabilistic deterministic automaton: for each state the log probability of ending and of each symbol."""
 
-    def __init__(self, values: list[bytes], alpha: float = 0.05):
-        """From strings of class codes: the prefix tree, then merges of compatible states in the order of the tree."""
+    def __init__(self, values: dict[bytes, int], alpha: float = 0.05):
+        """From strings of class codes with their counts: the prefix tree, then merges of compatible states in the order of
+        the tree."""
         self.next: list[dict[int, int]] = [{}]
         self.seen: list[dict[int, int]] = [{}]
         self.ends, self.total, self.bound = [0], [0], math.sqrt(0.5 * math.log(2 / alpha))
-        for value in values:
+        for value, n in values.items():
             state = 0
-            self.total[0] += 1
+            self.total[0] += n
             for symbol in value:
                 if symbol not in self.next[state]:
                     self.next[state][symbol] = len(self.next)
@@ -98,10 +123,10 @@ class Automaton:
                     self.seen.append({})
                     self.ends.append(0)
                     self.total.append(0)
-                self.seen[state][symbol] = self.seen[state].get(symbol, 0) + 1
+                self.seen[state][symbol] = self.seen[state].get(symbol, 0) + n
                 state = self.next[state][symbol]
-                self.total[state] += 1
-            self.ends[state] += 1
+                self.total[state] += n
+            self.ends[state] += n
         self._merge_all()
         self.log_end = [math.log(e / t) if e else -math.inf for e, t in zip(self.ends, self.total, strict=True)] if values else [-math.inf]
         self.log_move = [{s: math.log(n / t) for s, n in seen.items()} for seen, t in zip(self.seen, self.total, strict=True)]
@@ -172,12 +197,30 @@ class Automaton:
 class Formats:
     """The automata of all kinds and the model of ordinary text."""
 
-    def __init__(self, values: dict[int, list[str]], pairs: np.ndarray, threshold: float = 15.0):
-        self.automata = {k: Automaton([v.encode().translate(CODES) for v in sorted(x)]) for k, x in values.items() if x}
+    def __init__(self, values: dict[int, dict[str, int]], pairs: np.ndarray, threshold: float = 15.0):
+        self.automata = {k: Automaton(by_classes(x)) for k, x in sorted(values.items()) if x}
         table = pairs.reshape(N, N) + 0.5
         self.plain = np.log(table / table.sum(axis=1, keepdims=True)).tolist()
         self.threshold = threshold
         self.verdicts: dict[bytes, int | None] = {}
+        #: The least length of a string that can pass the threshold: shorter ones need not be scored.
+        self.least = min(map(self._least, self.automata.values()), default=LONGEST)
+        self.run = re.compile(r"[A-Za-z0-9+/_.=-]{%d,}" % self.least)
+
+    def _least(self, a: Automaton) -> int:
+        """The least length at which some accepted string's log likelihood ratio passes the threshold: the largest ratio by
+        state and last class, one symbol after another."""
+        best = {(0, 0): 0.0}
+        for length in range(1, LONGEST):
+            longer: dict[tuple[int, int], float] = {}
+            for (state, last), ratio in best.items():
+                for symbol, log in a.log_move[state].items():
+                    key = (a.next[state][symbol], symbol)
+                    longer[key] = max(longer.get(key, -math.inf), ratio + log - self.plain[last][symbol])
+            best = longer
+            if any(r + a.log_end[state] - self.plain[last][0] >= self.threshold for (state, last), r in best.items()):
+                return length
+        return LONGEST
 
     def ordinary(self, codes: bytes) -> float:
         log, before = 0.0, 0
@@ -204,16 +247,25 @@ class Formats:
         return -best[1]
 
 
+def by_classes(values: dict[str, int]) -> dict[bytes, int]:
+    """The class codes of the values, in order, with their counts."""
+    out: Counter[bytes] = Counter()
+    for value, n in sorted(values.items()):
+        out[value.encode().translate(CODES)] += n
+    return out
+
+
 def learn(docs: DataFrame, per_kind: int = 400, threshold: float = 15.0) -> Formats:
     rows = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(_labelled, "kind int, value string, n long").groupBy("kind", "value").agg(F.sum("n").alias("n"))
-    ranked = rows.withColumn("r", F.row_number().over(Window.partitionBy("kind").orderBy(F.xxhash64("value"), "value"))).where(F.col("r") <= per_kind)
-    values: dict[int, list[str]] = {k: [] for k in range(len(KINDS))}
+    rank = F.row_number().over(Window.partitionBy("kind").orderBy(F.xxhash64("value"), "value"))
+    ranked = rows.withColumn("r", rank).where((F.col("r") <= per_kind) | (F.col("kind") == PAIRS))  # there are N * N pairs
+    values: dict[int, dict[str, int]] = {k: {} for k in range(len(KINDS))}
     pairs = np.zeros(N * N)
     for r in ranked.collect():
-        if r.kind < 0:
+        if r.kind == PAIRS:
             pairs[int(r.value)] = r.n
         else:
-            values[r.kind].append(r.value)
+            values[r.kind][r.value] = r.n
     return Formats(values, pairs, threshold)
 
 
@@ -235,9 +287,9 @@ def all_spans(text: str, formats: Formats) -> tuple[list, list]:
     data = text.encode()
     base = [(s, k, e) for s, k, e, _ in base_spans(text, data)]
     added = []
-    for m in RUN.finditer(text):
+    for m in formats.run.finditer(text) if formats.automata else ():
         for start, end in uncovered(m.start(), m.end(), base) if base else [m.span()]:
-            if end - start >= MIN_RUN and (kind := formats.kind(text[start:end])) is not None:
+            if end - start >= formats.least and (kind := formats.kind(text[start:end])) is not None:
                 added.append((start, kind, end))
     return base, sorted(base + added)
 

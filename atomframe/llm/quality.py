@@ -81,33 +81,37 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 len(set(ids.tolist())),
             ))
         table = np.array(rows, dtype=np.int64).reshape(-1, len(COUNTS))
-        yield pa.RecordBatch.from_arrays([column(batch, "doc_id"), column(batch, "stratum"), *(pa.array(c) for c in table.T)], ["doc_id", "stratum", *COUNTS])
+        own = ["doc_id", "stratum", "text_key"]
+        yield pa.RecordBatch.from_arrays([*(column(batch, c) for c in own), *(pa.array(c) for c in table.T)], [*own, *COUNTS])
 
 
 def text_counts(docs: DataFrame, stratum: str = "lang") -> DataFrame:
-    """doc_id, stratum, the counts, base_failed and the shares in steps, one array in the order of RULES."""
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias("stratum"))
+    """doc_id, stratum, text_key (equal for equal texts), the counts, base_failed and the shares in steps, one array in the
+    order of RULES."""
+    text = F.col("text").cast("string")
+    rows = docs.select("doc_id", text.alias("text"), F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias("stratum"), F.xxhash64(text).alias("text_key"))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    df = rows.mapInArrow(_counts, f"doc_id {kind}, stratum string, " + ", ".join(f"{c} long" for c in COUNTS))
+    df = rows.mapInArrow(_counts, f"doc_id {kind}, stratum string, text_key long, " + ", ".join(f"{c} long" for c in COUNTS))
     shares = [F.expr(f"coalesce(cast(floor({STEPS} * ({x})) as int), 0)") for x in (e.replace(" / word_chars", " / nullif(word_chars, 0)").replace(" / n_lines", " / nullif(n_lines, 0)").replace(" / n_words", " / nullif(n_words, 0)") for e in RULES.values())]
     return df.withColumn("base_failed", F.expr("n_words < 50 or 100 * n_repeat_words > 50 * n_words")).withColumn("shares", F.array(*shares))
 
 
-def binomial_cdf(k: int, n: int, p: float) -> float:
-    """P(X <= k) for X ~ Bin(n, p), exactly summed."""
-    if k >= n:
-        return 1.0
-    i = np.arange(k + 1)
-    logs = np.array([math.lgamma(n + 1) - math.lgamma(j + 1) - math.lgamma(n - j + 1) for j in i]) + i * math.log(p) + (n - i) * math.log1p(-p)
-    return float(np.exp(logs).sum())
+def binomial_cdf(most: int, n: int, p: float) -> np.ndarray:
+    """P(X <= k) for X ~ Bin(n, p) and k = 0 .. most (at most n), exactly summed from the ratios of neighbouring terms."""
+    j = np.arange(min(most, n), dtype=np.float64)
+    logs = n * math.log1p(-p) + np.append(0.0, np.cumsum(np.log((n - j) / (j + 1)) + math.log(p) - math.log1p(-p)))
+    return np.minimum(1.0, np.cumsum(np.exp(logs)))
 
 
 def cutoff(share: np.ndarray, good: np.ndarray, bad: np.ndarray, risk: float, level: float) -> int | None:
     """The largest share that is still kept, in steps; None if no cutoff passes and helps."""
     total, best, most = int(good.sum()), None, 0
+    if not total:
+        return None
+    cdf = binomial_cdf(int(risk * total), total, risk)
     for c in range(STEPS, -1, -1):
         lost = int(good[share > c].sum())
-        if not total or lost > risk * total or binomial_cdf(lost, total, risk) > level:
+        if lost >= len(cdf) or cdf[lost] > level:
             break
         if (caught := int(bad[share > c].sum())) > most:
             best, most = c, caught
@@ -117,7 +121,8 @@ def cutoff(share: np.ndarray, good: np.ndarray, bad: np.ndarray, risk: float, le
 def calibrated(counts: DataFrame, labels: DataFrame, risk: float = 0.05, delta: float = 0.05) -> DataFrame:
     """Cutoffs as rows (stratum, rule number, cutoff) for the rules that are on."""
     known = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.max("quality").alias("good"))
-    held = counts.where("not base_failed").join(known, "doc_id").select("stratum", "good", F.posexplode("shares").alias("rule", "share"))
+    once = counts.where("not base_failed").join(known, "doc_id").groupBy("stratum", "text_key").agg(F.max("good").alias("good"), F.first("shares").alias("shares"))
+    held = once.select("stratum", "good", F.posexplode("shares").alias("rule", "share"))
     table = held.groupBy("stratum", "rule", "share").agg(F.count_if(F.col("good") > 0).alias("good"), F.count_if(F.col("good") <= 0).alias("bad"))
     strata = held.agg(F.countDistinct("stratum")).first()[0]
     level, each = delta / max(1, strata * len(RULES)), risk / len(RULES)

@@ -1,4 +1,7 @@
+import math
+import random
 import re
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -50,8 +53,68 @@ def test_cutoff_limits_false_rejections():
 
 
 def test_binomial_tail():
-    assert Q.binomial_cdf(0, 10, 0.1) == pytest.approx(0.9**10)
-    assert Q.binomial_cdf(2, 3, 0.5) == pytest.approx(7 / 8)
+    assert Q.binomial_cdf(0, 10, 0.1).tolist() == pytest.approx([0.9**10])
+    assert Q.binomial_cdf(9, 3, 0.5).tolist() == pytest.approx([1 / 8, 4 / 8, 7 / 8, 1])
+    n = 5000
+    exact = [float(sum(Fraction(math.comb(n, j)) * Fraction(1, 100) ** j * Fraction(99, 100) ** (n - j) for j in range(k + 1))) for k in (0, 20, 40)]
+    assert [Q.binomial_cdf(50, n, 0.01)[k] for k in (0, 20, 40)] == pytest.approx(exact, rel=1e-9)
+
+
+def plain_verdicts(docs, labels, risk=0.05, delta=0.05):
+    """kept of every (doc_id, text, lang), from the definition: fractions, comb and loops over documents."""
+    good = {}
+    for doc, q in labels:
+        if doc is not None and q is not None:
+            good[doc] = max(good.get(doc, 0), q)
+    shares = {}
+    for _, text, _ in docs:
+        n, chars, symbols, dup, rep, failed = brute(text)
+        lines = sum(bool(WORD.search(x)) for x in (text or "").split("\n"))
+        upper = sum("A" <= c <= "Z" for c in text or "")
+        parts = ((symbols, chars), (dup, lines), (rep, n), (upper, chars), (n - len(set(WORD.findall(text or ""))), n))
+        shares[text] = (failed, [math.floor(Fraction(Q.STEPS * a, b)) if b else 0 for a, b in parts])
+    trials = {}
+    for doc, text, lang in docs:
+        if doc in good and not shares[text][0]:
+            key = (lang or "", text)
+            trials[key] = max(trials.get(key, 0), good[doc])
+    strata = {s for s, _ in trials}
+    level, each = delta / max(1, 5 * len(strata)), Fraction(str(risk)) / 5
+    cut = {}
+    for s in strata:
+        for rule in range(5):
+            mine = [(shares[t][1][rule], g > 0) for (x, t), g in trials.items() if x == s]
+            total = sum(g for _, g in mine)
+            best, most = None, 0
+            for c in range(Q.STEPS, -1, -1):
+                lost, caught = sum(g for v, g in mine if v > c), sum(not g for v, g in mine if v > c)
+                if not total or lost > each * total or sum(math.comb(total, j) * each**j * (1 - each) ** (total - j) for j in range(lost + 1)) > level:
+                    break
+                if caught > most:
+                    best, most = c, caught
+            if best is not None:
+                cut[s, rule] = best
+    return [not shares[t][0] and not any(shares[t][1][r] > cut.get((lang or "", r), Q.STEPS * 10**9) for r in range(5)) for _, t, lang in docs]
+
+
+def test_verdicts_equal_the_definition(spark):
+    r = random.Random(4)
+    words = lambda n: [r.choice("abcdefgh") + r.choice("klmnop") + str(r.randrange(300)) for _ in range(n)]
+    docs, labels = [], []
+    for i in range(1500):
+        bad = i % 5 == 0
+        w = words(r.randrange(52, 90))
+        if bad:
+            w = [x if k % 3 else "##" for k, x in enumerate(w)]
+        docs.append((i, " ".join(w), "en" if i % 3 else None))
+        if i % 4:
+            labels.append((i, 0 if bad else 1, 0))
+    docs += [(3000 + i, docs[1][1], "en") for i in range(200)]
+    labels += [(3000 + i, 0, 0) for i in range(200)] + [(None, 1, 0), (7, None, 0)]
+    table = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    got = {r.doc_id: r.kept for r in Q.judge(table, spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()}
+    want = plain_verdicts(docs, [(d, q) for d, q, _ in labels])
+    assert [got[d] for d, _, _ in docs] == want and not all(want) and any(want)
 
 
 def test_whole_table(spark):

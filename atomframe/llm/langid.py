@@ -6,11 +6,14 @@ transitions and forward-backward label the words of code-switched text. A docume
 largest mean word probability, which is its score.
 
 Learning: the lexicon counts every word of every labelled training document. The weights are fitted on at most
-``per_language`` documents of each language, those with the smallest hash, of at most ``max_chars`` characters (a
-bounded sample of labelled rows), joined into code-switched sequences. Prediction covers whole texts.
-
-Null text, and text without a letter, is ``und`` with score 0; so is every text if nothing can be learned. Rows
-without doc_id or lang are never learned from. Equal rows are predicted one by one. Extra columns are ignored.
+``per_language`` documents of each language (a bounded sample of labelled rows), those with the smallest hash, texts of
+at most ``max_chars`` characters first; of longer ones, where there are too few of those, a run of at most so many
+characters from their middle. The sample is joined into code-switched sequences. Prediction covers whole texts.
+
+Null text, and text without a letter, is ``und`` with score 0; so is every text if nothing can be learned. Of languages
+of equal mean probability the first by name is taken. Very long texts are labelled whole, alone. Rows without doc_id or
+lang are never learned from. Equal rows are predicted one by one. Extra columns are ignored. An empty table gives an
+empty result.
 """
 
 from __future__ import annotations
@@ -157,13 +160,15 @@ def train(docs: DataFrame, per_language: int = 60, max_chars: int = 4000) -> Mod
         table[r.bucket, langs.index(r.lang)] = r.n
     odds = np.log((table + 0.5) / (table.sum(axis=0) + 0.5 * LEXICON))
     model = Model(langs, odds - odds.mean(axis=1, keepdims=True))
-    short = rows.where(F.length("text") <= max_chars).select("lang", F.xxhash64("text").alias("key")).distinct()
-    best = Window.partitionBy("lang").orderBy("key")
+    size = F.length("text")
+    known = rows.select("lang", (size > max_chars).alias("long"), F.xxhash64("text").alias("key")).distinct()
     # first within parts of a language, so that no task ranks all rows of a frequent one
-    some = short.withColumn("part", F.pmod(F.col("key"), F.lit(64)))
-    some = some.withColumn("r", F.row_number().over(Window.partitionBy("lang", "part").orderBy("key"))).where(F.col("r") <= per_language)
-    keys = [r.key for r in some.withColumn("r", F.row_number().over(best)).where(F.col("r") <= per_language).select("key").collect()]
-    sample = rows.where(F.xxhash64("text").isin(keys)).distinct().collect() if keys else []
+    some = known.withColumn("part", F.pmod(F.col("key"), F.lit(64)))
+    some = some.withColumn("r", F.row_number().over(Window.partitionBy("lang", "part").orderBy("long", "key"))).where(F.col("r") <= per_language)
+    best = F.row_number().over(Window.partitionBy("lang").orderBy("long", "key"))
+    keys = [r.key for r in some.withColumn("r", best).where(F.col("r") <= per_language).select("key").collect()]
+    middle = F.when(size <= max_chars, F.col("text")).otherwise(F.substr("text", F.floor((size - max_chars) / 2).cast("int") + 1, F.lit(max_chars)))
+    sample = rows.where(F.xxhash64("text").isin(keys)).select(middle.alias("text"), "lang").distinct().collect() if keys else []
     texts = [(lower_words([r.text.encode()])[0], langs.index(r.lang)) for r in sorted(sample)]
     if sequences := switched(texts):
         model.fit(sequences)

@@ -1,21 +1,25 @@
 """Suffix-array deduplication by bucket-pointer refinement: removal of byte strings that occur more than once.
 
 A byte goes if some string of ``LENGTH`` bytes that covers it also starts anywhere else. Full suffix sorting is not
-needed for that: it is enough to refine the buckets of suffixes up to ``LENGTH`` bytes. A bucket has a 64-bit name made
-from its content, so every partition names it alike: names of 8-byte grams make those of 16 and these those of 32 bytes,
-each from the name at a later offset, and the names at offsets 0, 32, 64 ... make that of the whole string.
-
-1. Every string has an anchor, its leftmost 32-byte gram of least name; neighbouring strings mostly share it. For each
-   run of strings with one anchor a row goes to the bucket of the anchor's name: name, the run's content, place. Runs
-   that repeat within a task are settled there and sent once, so no bucket gets all copies of a popular passage.
-2. In a bucket, a name that occurs once is settled: its strings are unique. Runs of equal content are settled too: all
-   their strings repeat. Only runs that share an anchor but not the whole content are refined further:
-3. the names of all their strings, one by one, meet under the anchor's name; strings of equal name repeat.
+needed for that: it is enough to refine the buckets of suffixes up to ``LENGTH`` bytes.
+
+1. Every string has an anchor, its leftmost 32-byte gram of least name (a 64-bit hash, alike on every machine);
+   neighbouring strings mostly share it. For each run of strings with one anchor a row goes to the bucket of the anchor's
+   name: name, a name of the run's content, place. Runs that repeat within a task are settled there and sent once, so no
+   bucket gets all copies of a popular passage.
+2. In a bucket, an anchor that occurs once is settled: its strings are unique. Runs of equal content are settled too: all
+   their strings repeat. Only runs that share an anchor but not the whole content are refined further.
+3. These runs are cut into blocks by the place of the anchor in the string, so that equal strings lie in equal blocks,
+   and all strings of a block share its core, the bytes between the last start and the first end. A block's bytes go to
+   the bucket of the core's name, which parts a popular anchor by what is around it. There the suffixes are refined: the
+   buckets of their q-grams get pointers, and buckets of several suffixes are sorted again and again by the pointers at
+   a later offset, each round using the pointers of the round before, which doubles the depth, up to ``LENGTH``.
 4. The removed spans are joined to the texts and cut out.
 
 Strings never cross documents; overlapping occurrences within a document count. Null and empty texts have no bytes.
-Equal rows remove each other's strings. Rows without doc_id count like all others. Documents are told apart by a
-64-bit name of id and text. Extra columns are ignored by ``repeated_spans`` and kept by ``cut``.
+Texts above ``PIECE`` bytes are handled in overlapping pieces. Equal rows remove each other's strings. Rows without
+doc_id count like all others. Documents are told apart by a 64-bit name of id and text. Extra columns are ignored by
+``repeated_spans`` and kept by ``cut``. An empty table has no repeats.
 """
 
 from __future__ import annotations
@@ -25,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from atomframe.llm.common import chunks, column, mixed, parts, ranges, raw, saved
@@ -34,6 +39,8 @@ LENGTH, GRAM = 200, 32
 SPAN = LENGTH - GRAM + 1
 #: Bytes handled at a time; longer texts are handled in overlapping pieces.
 PIECE = 3 << 20
+#: Places of the anchor in a string (SPAN of them) that make a block; bytes of blocks refined at a time, or of one core.
+WIDTH, REFINED = SPAN // 3 + 1, 1 << 20
 PLACE = np.uint64((1 << 24) - 1)
 THREE = np.uint64(3)
 
@@ -70,21 +77,21 @@ def _least(values: np.ndarray) -> np.ndarray:
 
 def runs(data: bytes, ends: np.ndarray):
     """Runs of strings with one anchor in texts that lie one after another: anchor name, content name, text number,
-    first string (place in the buffer) and number of strings less one."""
+    first string (place in the buffer), number of strings less one, and the anchor's place in the first string."""
     none = np.zeros(0, np.int64)
     if len(data) < LENGTH:
-        return none.view(np.uint64), none.view(np.uint64), none, none, none
+        return none.view(np.uint64), none.view(np.uint64), none, none, none, none
     names = Names(data)
     anchor = _least(names.gram[: len(data) - GRAM + 1])
     text = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))[: len(anchor)]
     start = np.flatnonzero(np.arange(len(anchor)) + LENGTH <= ends[text])
     if not len(start):
-        return none.view(np.uint64), none.view(np.uint64), none, none, none
+        return none.view(np.uint64), none.view(np.uint64), none, none, none, none
     first = np.append(True, (np.diff(start) != 1) | (np.diff(anchor[start]) != 0) | (np.diff(text[start]) != 0))
     low = start[first]
     more = np.diff(np.append(np.flatnonzero(first), len(start))) - 1
     content = mixed(names.strings(low) * THREE + names.strings(low + more) + more.astype(np.uint64))
-    return names.gram[anchor[low]], content, text[low], low, more
+    return names.gram[anchor[low]], content, text[low], low, more, anchor[low] - low
 
 
 def pieces(batch: pa.RecordBatch) -> Iterator[tuple[bytes, np.ndarray, np.ndarray, np.ndarray]]:
@@ -110,8 +117,8 @@ def _first_of(a: np.ndarray, b: np.ndarray):
     return order, starts, np.diff(np.append(starts, len(order)))
 
 
-RUN = ["bucket", "anchors", "contents", "keys", "lows", "mores", "flags"]
-OUT = "anchor long, key long, low int, more int, settled boolean"
+RUN = ["bucket", "anchors", "contents", "keys", "lows", "mores", "places", "flags"]
+OUT = "key long, low int, more int, place int, settled boolean"
 
 
 def _send_runs(buckets: int):
@@ -119,7 +126,7 @@ def _send_runs(buckets: int):
         for batch in chunks(batches, limit=PIECE):
             keys = np.asarray(column(batch, "key"))
             for data, ends, rows, offsets in pieces(batch):
-                anchor, content, text, low, more = runs(data, ends)
+                anchor, content, text, low, more, place = runs(data, ends)
                 if not len(low):
                     continue
                 begins = ends - np.diff(ends, prepend=0)
@@ -136,8 +143,8 @@ def _send_runs(buckets: int):
                 flag = (counts > 1).astype(np.int8)
                 out = [(int(x), at, np.full(len(at), f, np.int8)) for x, at, f in parted]
                 out += [(int(bucket[by[a]]), one[by[a:b]], flag[by[a:b]]) for a, b in zip(cuts, cuts[1:], strict=False)]
-                cells = [(x, anchor[at].tobytes(), content[at].tobytes(), key[at].tobytes(), low[at].astype(np.int32).tobytes(), more[at].astype(np.int16).tobytes(), f.tobytes()) for x, at, f in out]
-                yield pa.RecordBatch.from_arrays([pa.array([c[k] for c in cells], pa.binary() if k else pa.int32()) for k in range(7)], RUN)
+                cells = [(x, anchor[at].tobytes(), content[at].tobytes(), key[at].tobytes(), low[at].astype(np.int32).tobytes(), more[at].astype(np.int16).tobytes(), place[at].astype(np.uint8).tobytes(), f.tobytes()) for x, at, f in out]
+                yield pa.RecordBatch.from_arrays([pa.array([c[k] for c in cells], pa.binary() if k else pa.int32()) for k in range(len(RUN))], RUN)
 
     return run
 
@@ -145,16 +152,17 @@ def _send_runs(buckets: int):
 def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Runs that repeat as a whole (settled), and one run of each content that shares its anchor with others."""
     kept = {name: [] for name in RUN[1:]}
-    kinds = dict(zip(RUN[1:], (np.uint64, np.uint64, np.int64, np.int32, np.int16, np.int8), strict=True))
+    kinds = dict(zip(RUN[1:], (np.uint64, np.uint64, np.int64, np.int32, np.int16, np.uint8, np.int8), strict=True))
 
-    def rows(anchor, key, low, more, settled) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(anchor.view(np.int64)), pa.array(key), pa.array(low.astype(np.int32)), pa.array(more.astype(np.int32)), pa.array(settled)], ["anchor", "key", "low", "more", "settled"])
+    def rows(x: dict[str, np.ndarray], at, settled: bool) -> pa.RecordBatch:
+        numbers = [pa.array(x[n][at].astype(np.int32)) for n in ("lows", "mores", "places")]
+        return pa.RecordBatch.from_arrays([pa.array(x["keys"][at]), *numbers, pa.array([settled] * len(numbers[0]), pa.bool_())], ["key", "low", "more", "place", "settled"])
 
     for batch in batches:
         for cells in zip(*(column(batch, n).to_pylist() for n in RUN[1:]), strict=True):
             x = {n: np.frombuffer(c, kinds[n]) for n, c in zip(RUN[1:], cells, strict=True)}
             if x["flags"][0] == 2:
-                yield rows(x["anchors"], x["keys"], x["lows"], x["mores"], np.ones(len(x["keys"]), bool))
+                yield rows(x, slice(None), True)
             else:
                 for n in kept:
                     kept[n].append(x[n])
@@ -165,50 +173,112 @@ def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     flag = x["flags"][order]
     repeated = (counts > 1) | (np.maximum.reduceat(flag, starts) > 0)
     out = order[np.repeat(repeated, counts) & (flag == 0)]
-    yield rows(x["anchors"][out], x["keys"][out], x["lows"][out], x["mores"][out], np.ones(len(out), bool))
+    yield rows(x, out, True)
     # an anchor with several contents, not all of them settled
     names = x["anchors"][order[starts]]
     group = np.cumsum(np.append(True, names[1:] != names[:-1])) - 1
     several, open_ones = np.bincount(group), np.bincount(group, weights=~repeated)
     again = order[starts[(several[group] > 1) & (open_ones[group] > 0)]]
-    yield rows(x["anchors"][again], x["keys"][again], x["lows"][again], x["mores"][again], np.zeros(len(again), bool))
+    yield rows(x, again, False)
 
 
-def _name_strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The names of all strings of the runs to refine: rows (anchor, key, low, names)."""
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The runs to refine, cut into blocks: rows (core, key, low, window), the window being the bytes of all its strings."""
     for batch in chunks(batches, limit=PIECE):
         out = []
         for text, key, todo in zip(raw(batch), column(batch, "key").to_pylist(), column(batch, "runs").to_pylist(), strict=True):
-            for a in range(0, max(1, len(text) - LENGTH + 1), PIECE):
-                mine = [t for t in todo if a <= t["low"] < a + PIECE]
-                if mine:
-                    names = Names(text[a : a + PIECE + 2 * LENGTH])
-                    out += [(t["anchor"], key, t["low"], names.strings(t["low"] - a + np.arange(t["more"] + 1)).tobytes()) for t in mine]
-        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.int32(), pa.binary()))], ["anchor", "key", "low", "names"])
-
-
-def _match_strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Runs of strings whose names occur more than once in the bucket: rows (key, low, more)."""
-    keys, lows, names = [], [], []
-    for batch in batches:
-        for key, low, x in zip(column(batch, "key").to_pylist(), column(batch, "low").to_pylist(), column(batch, "names").to_pylist(), strict=True):
-            keys.append(key)
-            lows.append(low)
-            names.append(np.frombuffer(x, np.uint64))
-    if not keys:
-        return
-    sizes = np.array([len(x) for x in names])
-    every = np.concatenate(names)
-    order = np.argsort(every, kind="stable")
-    same = every[order][1:] == every[order][:-1]
-    twice = np.zeros(len(every), bool)
-    twice[order[1:][same]] = True
-    twice[order[:-1][same]] = True
-    place = ranges(np.array(lows, dtype=np.int64), sizes)[twice]
-    owner = np.repeat(np.arange(len(keys)), sizes)[twice]
-    first = np.append(True, (np.diff(owner) != 0) | (np.diff(place) != 1)) if len(owner) else np.zeros(0, bool)
-    more = np.diff(np.append(np.flatnonzero(first), len(owner))) - 1
-    yield pa.RecordBatch.from_arrays([pa.array(np.array(keys, dtype=np.int64)[owner[first]]), pa.array(place[first].astype(np.int32)), pa.array(more.astype(np.int32))], ["key", "low", "more"])
+            for t in todo:
+                anchor, last = t["low"] + t["place"], t["place"] - t["more"]
+                for first in range(last // WIDTH * WIDTH, t["place"] + 1, WIDTH):
+                    high, low = min(t["place"], first + WIDTH - 1), max(last, first)
+                    core = text[anchor - first : anchor - first - WIDTH + 1 + LENGTH]
+                    out.append((xxhash.xxh3_64_intdigest(core) - (1 << 63), key, anchor - high, text[anchor - high : anchor - low + LENGTH]))
+        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.int32(), pa.binary()))], ["core", "key", "low", "window"])
+
+
+def refined(pointer: np.ndarray, depth: int, to: int) -> np.ndarray:
+    """Bucket pointers (a bucket's is the sorted place of its first suffix) of ``depth`` bytes refined to ``to`` bytes:
+    buckets of several suffixes are sorted by the pointers at offset ``to - depth``."""
+    n = len(pointer)
+    sizes = np.bincount(pointer, minlength=n)
+    open_ = np.flatnonzero(sizes[pointer] > 1)
+    later = np.minimum(open_ + (to - depth), n - 1)  # past the end there is no whole string
+    keys = pointer[open_] * np.int64(n) + pointer[later]
+    order = np.argsort(keys, kind="stable")
+    keys, own = keys[order], pointer[open_[order]]
+    at = np.arange(len(keys))
+    new = np.append(True, keys[1:] != keys[:-1]) if len(keys) else np.zeros(0, bool)
+    bucket = np.append(True, own[1:] != own[:-1]) if len(own) else np.zeros(0, bool)
+    first = np.maximum.accumulate(np.where(new, at, 0)) if len(at) else at
+    base = np.maximum.accumulate(np.where(bucket, at, 0)) if len(at) else at
+    out = pointer.copy()
+    out[open_[order]] = own + first - base
+    return out
+
+
+def first_pointers(grams: np.ndarray) -> np.ndarray:
+    """The bucket pointers of the q-grams at all places."""
+    order = np.argsort(grams, kind="stable")
+    new = np.append(True, grams[order][1:] != grams[order][:-1])
+    out = np.empty(len(grams), np.int64)
+    out[order] = np.maximum.accumulate(np.where(new, np.arange(len(grams)), 0))
+    return out
+
+
+def repeated_starts(data: bytes, starts: np.ndarray) -> np.ndarray:
+    """Which of the strings that start at ``starts`` occur more than once among them."""
+    depth, pointer = GRAM, first_pointers(Names(data).gram)
+    while depth < LENGTH:
+        to = min(2 * depth, LENGTH)
+        pointer, depth = refined(pointer, depth, to), to
+    at = pointer[starts]
+    return np.bincount(at, minlength=len(pointer))[at] > 1
+
+
+def _refine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks in order of their cores become runs of strings that occur more than once: rows (key, low, more)."""
+
+    def runs_of(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
+        number: dict[bytes, int] = {}
+        which = np.array([number.setdefault(window, len(number)) for _, _, window in rows])
+        windows, copies = list(number), np.bincount(which)
+        sizes = np.array([len(w) for w in windows])
+        strings = sizes - LENGTH + 1
+        starts = ranges(np.cumsum(sizes) - sizes, strings)
+        twice = repeated_starts(b"".join(windows), starts)
+        twice |= np.repeat(copies > 1, strings)
+        # runs of repeated strings in each window, given to all blocks that have it
+        owner = np.repeat(np.arange(len(windows)), strings)
+        at = np.flatnonzero(twice)
+        new = np.append(True, (np.diff(at) != 1) | (np.diff(owner[at]) != 0)) if len(at) else np.zeros(0, bool)
+        begin = at[new]
+        more = np.diff(np.append(np.flatnonzero(new), len(at))) - 1
+        whose, place = owner[begin], begin - (np.cumsum(strings) - strings)[owner[begin]]
+        by_window: list[list[tuple[int, int]]] = [[] for _ in windows]
+        for w, p, m in zip(whose.tolist(), place.tolist(), more.tolist(), strict=True):
+            by_window[w].append((p, m))
+        out = [(key, low + p, m) for (key, low, _), w in zip(rows, which.tolist(), strict=True) for p, m in by_window[w]]
+        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate((pa.int64(), pa.int32(), pa.int32()))], ["key", "low", "more"])
+
+    rows: list[tuple[int, int, bytes]] = []
+    size, last, several = 0, None, False
+    for batch in chunks(batches, "window", REFINED):
+        for core, *row in zip(*(column(batch, c).to_pylist() for c in ("core", "key", "low", "window")), strict=True):
+            if core != last:
+                if rows and not several:  # a core that occurs once: its strings are unique
+                    size -= len(rows.pop()[2])
+                if size > REFINED:
+                    yield runs_of(rows)
+                    rows, size = [], 0
+                last, several = core, False
+            else:
+                several = True
+            rows.append(tuple(row))
+            size += len(row[2])
+    if rows and not several:
+        rows.pop()
+    if rows:
+        yield runs_of(rows)
 
 
 def document_key(doc_id: str = "doc_id", text: str = "text") -> Column:
@@ -222,11 +292,12 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     keyed = docs.select(F.col("text").cast("string").alias("text"), document_key().alias("key"))
     blobs = keyed.mapInArrow(_send_runs(buckets), "bucket int, " + ", ".join(f"{c} binary" for c in RUN[1:]))
     first = saved(blobs.repartition(buckets, "bucket").mapInArrow(_settle, OUT), "runs")
-    todo = first.where("not settled").groupBy("key").agg(F.collect_list(F.struct("anchor", "low", "more")).alias("runs"))
-    named = keyed.join(todo, "key").mapInArrow(_name_strings, "anchor long, key long, low int, names binary")
-    second = saved(named.repartition(buckets, "anchor").mapInArrow(_match_strings, "key long, low int, more int"), "strings")
+    # equal rows have the same runs
+    todo = first.where("not settled").groupBy("key").agg(F.collect_set(F.struct("low", "more", "place")).alias("runs"))
+    blocks = keyed.join(todo, "key").mapInArrow(_blocks, "core long, key long, low int, window binary")
+    second = saved(blocks.repartition(buckets, "core").sortWithinPartitions("core").mapInArrow(_refine, "key long, low int, more int"), "strings")
     both = first.where("settled").select("key", "low", "more").unionByName(second)
-    return both.groupBy("key").agg(F.collect_list(F.struct("low", "more")).alias("runs"))
+    return both.groupBy("key").agg(F.collect_set(F.struct("low", "more")).alias("runs"))
 
 
 def cut_spans(text: bytes, found: list[dict]) -> tuple[bytes, int, int]:

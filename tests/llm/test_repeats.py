@@ -49,14 +49,47 @@ def test_equals_brute_force(spark, seed, piece, monkeypatch):
     if piece == 350:  # pieces of long texts, checked in this process
         monkeypatch.setattr(R, "PIECE", piece)
         text = next(t for _, t in data if t and len(t) > 1000).encode()
-        whole = {p for _, _, _, low, more in [R.runs(text, R.np.array([len(text)]))] for a, m in zip(low, more, strict=True) for p in range(a, a + m + 1)}
+        whole = {p for _, _, _, low, more, _ in [R.runs(text, R.np.array([len(text)]))] for a, m in zip(low, more, strict=True) for p in range(a, a + m + 1)}
         batch = R.pa.RecordBatch.from_pydict({"text": [text.decode()]})
-        parts = [p + o[0] for d, e, _, o in R.pieces(batch) for a, m in zip(*R.runs(d, e)[3:], strict=True) for p in range(a, a + m + 1)]
+        parts = [p + o[0] for d, e, _, o in R.pieces(batch) for a, m in zip(*R.runs(d, e)[3:5], strict=True) for p in range(a, a + m + 1)]
         assert sorted(parts) == sorted(whole)
         return
     assert answer(spark, data) == brute(data)
 
 
+@pytest.mark.parametrize("n", [1, 7, 40])
+def test_refined_buckets_are_those_of_equal_strings(n):
+    r = random.Random(n)
+    parts = [bytes(r.choice(b"ab") for _ in range(r.randrange(200, 260))) for _ in range(n)]
+    parts += [p[r.randrange(5) :] + bytes(r.choice(b"xy") for _ in range(40)) for p in parts] + [b"a" * 256] * 2
+    data, starts, at = b"".join(parts), [], 0
+    for p in parts:
+        starts += range(at, at + max(0, len(p) - 199))
+        at += len(p)
+    seen = Counter(data[s : s + 200] for s in starts)
+    assert R.repeated_starts(data, R.np.array(starts)).tolist() == [seen[data[s : s + 200]] > 1 for s in starts]
+
+
+def test_a_popular_anchor_with_unlike_surroundings(spark):
+    r = random.Random(8)
+    passage = "".join(r.choice("abcdefgh ") for _ in range(320))
+    some = lambda n: "".join(r.choice("klmnop ") for _ in range(n))
+    data = [(i, some(r.randrange(300)) + passage[r.randrange(3) :] + some(r.randrange(300))) for i in range(150)]
+    data += [(500 + i, some(60) + passage[: 150 + i] + some(90)) for i in range(60)]
+    assert answer(spark, data) == brute(data)
+
+
+def test_a_text_above_the_piece_size(spark):
+    r = random.Random(9)
+    long = "".join(r.choice("abcdefghijklmnop") for _ in range(40_000)) * 90
+    passage = "".join(r.choice("qrstuvwxyz") for _ in range(300))
+    assert len(long) > R.PIECE
+    tail = "".join(r.choice("ABCDEFGH") for _ in range(500))
+    rows_ = [(1, long + tail + passage), (2, passage + "#"), (3, long[17:700]), (4, tail[100:])]
+    got = {a[0]: a for a in answer(spark, rows_)}
+    assert got[1][2] == len(long) + 400 + 300 and got[1][3] == 2 and got[2][2] == 300 and got[3][2] == 683 and got[4][2] == 400
+
+
 def test_empty(spark):
     assert not answer(spark, [])
 

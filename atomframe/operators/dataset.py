@@ -6,6 +6,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from atomframe.functions.expressions import count_not_finite, element_counts, formula, missing_names, remapped
+from atomframe.operators.index import global_index
 
 ARRAYS = ("coord", "box", "energy", "force", "virial")
 
@@ -49,7 +50,8 @@ def composition_groups(df: DataFrame, elements: str = "elements", counts: str =
     """Groups of equal (elements, counts) in file order, with natoms, a formula and 1-based numbers by (natoms, elements)."""
     groups = df.groupBy(elements, counts).agg(F.count("*").alias("members"))
     groups = groups.withColumn("natoms", F.aggregate(counts, F.lit(0).cast("long"), lambda s, x: s + x)).withColumn("formula", formula(elements, counts))
-    return groups.withColumn("group_number", F.dense_rank().over(Window.orderBy("natoms", elements, counts)))
+    placed = global_index(groups, ["natoms", elements, counts], "__i")
+    return placed.withColumn("group_number", (F.col("__i") + 1).cast("int")).drop("__i")
 
 
 def with_element_counts(df: DataFrame, types: str = "types", names: str = "type_map") -> DataFrame:
@@ -58,7 +60,7 @@ def with_element_counts(df: DataFrame, types: str = "types", names: str = "type_
 
 
 def type_map_union(df: DataFrame, system: str, names: str) -> DataFrame:
-    """All element names in first-seen order: by system, then place in its map. Adds a 0-based type."""
+    """All element names (a few hundred at most) in first-seen order: by system, then place in its map. Adds a 0-based type."""
     seen = df.select(F.col(system).alias("s"), F.posexplode(names).alias("p", "element"))
     first = seen.groupBy("element").agg(F.min(F.struct("s", "p")).alias("at"))
     return first.select("element", (F.row_number().over(Window.orderBy("at", "element")) - 1).alias("type"))

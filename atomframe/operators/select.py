@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from atomframe.functions.expressions import natural_key, trailing_number
-from atomframe.operators.index import first_per_group, numbered_within, with_group_size
+from atomframe.operators.index import first_per_group, global_index, numbered_within, with_group_size
 
 
 def stride_selected(index: Column, stride: int, start: int = 0) -> Column:
@@ -101,4 +101,5 @@ def member_names(df: DataFrame, group: str, order: list[str], prefix: str = "tas
 
 def dense_numbers(groups: DataFrame, order: list[str], name: str = "group_number") -> DataFrame:
     """Adds 1-based numbers to a table of groups (one row for each group), in the given order."""
-    return groups.withColumn(name, F.dense_rank().over(Window.orderBy(*order)))
+    placed = global_index(groups, order, "__i")
+    return placed.withColumn(name, (F.col("__i") + 1).cast("int")).drop("__i")

@@ -601,3 +601,16 @@ def representatives(docs: DataFrame, n: int = 5, num: int = 75, den: int = 100)
 
 def op2_jaccard(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+SQL = r"""
+with recursive d as (select row_number() over () as r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents),
+s as (select r, doc_id, case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')] else list_distinct([array_to_string(w[i:i + 4], ' ') for i in range(1, len(w) - 3)]) end as g from d),
+u as (select r, unnest(g) as g from s),
+p as (select a.r as a, b.r as b, count(*) as c from u a join u b on a.g = b.g and a.r < b.r group by 1, 2),
+l as (select a, b from p join s x on x.r = a join s y on y.r = b where 100 * c >= 75 * (len(x.g) + len(y.g) - c)),
+e as (select a, b from l union all select b, a from l),
+reach as (select r, r as x from s union select reach.r, e.b from reach join e on e.a = reach.x),
+m as (select reach.r, min(s.doc_id) as low from reach join s on s.r = reach.x group by 1)
+select s.doc_id, len(s.g)::bigint as n_shingles, coalesce(m.low, s.doc_id) as component_id from s join m using (r)
+"""

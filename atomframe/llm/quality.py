@@ -138,7 +138,7 @@ def judge(docs: DataFrame, labels: DataFrame, stratum: str = "lang", **options)
     """One row for each document: its counts, base_failed, the rules it breaks and kept."""
     counts = saved(text_counts(docs, stratum), "quality")
     rules = calibrated(counts, labels, **options).groupBy("stratum").agg(F.collect_list(F.struct("rule", "cutoff")).alias("rules"))
-    broken = F.expr("transform(filter(coalesce(rules, array()), r -> shares[r.rule] > r.cutoff), r -> r.rule)")
+    broken = F.expr("array_sort(transform(filter(coalesce(rules, array()), r -> shares[r.rule] > r.cutoff), r -> r.rule))")
     out = counts.join(rules, "stratum", "left").withColumn("broken", broken)
     return out.withColumn("kept", F.expr("not base_failed and size(broken) = 0")).drop("rules")
 
@@ -146,3 +146,28 @@ def judge(docs: DataFrame, labels: DataFrame, stratum: str = "lang", **options)
 def op10_quality(spark, sf_dir: str) -> DataFrame:
     docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
     return judge(docs, labels).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.col("broken").cast("string").alias("broken_rules"))
+
+
+SQL = r"""
+with d as (select row_number() over () as r, doc_id, coalesce(text, '') as text, coalesce(lang, '') as s, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+l as (select r, [x for x in string_split(text, chr(10)) if regexp_matches(x, '[^\x20\x09-\x0D]')] as lines from d),
+g as (select r, i, [w[i], w[i + 1], w[i + 2]] as g from (select r, w, unnest(range(1, len(w) - 1)) as i from d where len(w) > 2)),
+twice as (select r, g from g group by 1, 2 having count(*) > 1),
+rep as (select r, count(distinct k) as n from (select g.r, unnest([i, i + 1, i + 2]) as k from g join twice using (r, g)) group by 1),
+c as (select d.r, doc_id, text, s, len(w) as n_words, coalesce(list_sum([length(x) for x in w]), 0)::bigint as word_chars, length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::bigint as n_symbols,
+    len(lines) - len(list_distinct(lines)) as n_dup_lines, coalesce(rep.n, 0) as n_repeat_words, len(lines) as n_lines, length(regexp_replace(text, '[^A-Z]', '', 'g')) as n_upper, len(list_distinct(w)) as n_distinct
+  from d join l using (r) left join rep using (r)),
+f as (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed,
+    [coalesce(floor(200 * x), 0)::int for x in [n_symbols / nullif(word_chars, 0)::double, n_dup_lines / nullif(n_lines, 0)::double, n_repeat_words / nullif(n_words, 0)::double, n_upper / nullif(word_chars, 0)::double, 1 - n_distinct / nullif(n_words, 0)::double]] as shares from c),
+k as (select doc_id, max(quality) as good from labels where doc_id is not null and quality is not null group by 1),
+t as (select s, text, max(good) > 0 as good, any_value(shares) as shares from f join k using (doc_id) where not base_failed group by s, text),
+x as (select s, rule, shares[rule + 1] as share, good from t, range(0, 5) q(rule)),
+y as (select s, rule, c, count(*) filter (good) as total, count(*) filter (good and share > c) as lost, count(*) filter (not good and share > c) as caught from x, range(0, 201) q(c) group by all),
+z as (select s, rule, c, total, lost, caught, lost <= 0.01 * total as few, case when lost <= 0.01 * total then list_sum([exp(lgamma(total + 1) - lgamma(j + 1) - lgamma(total - j + 1) + j * ln(0.01) + (total - j) * ln(0.99)) for j in range(0, lost + 1)]) end as tail from y),
+ok as (select *, total > 0 and few and tail <= 0.05 / greatest(1, 5 * (select count(distinct s) from t)) as pass from z),
+v as (select * from ok where pass and c > (select coalesce(max(b.c), -1) from ok b where b.s = ok.s and b.rule = ok.rule and not b.pass)),
+cut as (select s, rule, arg_max(c, (caught, c)) as cutoff from v where caught > 0 group by 1, 2),
+b as (select f.r, string_agg(rule::varchar, ', ' order by rule) as rules from f join cut on cut.s = f.s and f.shares[rule + 1] > cutoff group by 1)
+select doc_id, n_words::bigint as n_words, word_chars, n_symbols, n_dup_lines::bigint as n_dup_lines, n_repeat_words::bigint as n_repeat_words, base_failed, not base_failed and rules is null as kept, '[' || coalesce(rules, '') || ']' as broken_rules
+from f left join b using (r)
+"""

@@ -16,6 +16,8 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op2_jaccard": jaccard.SQL,
     "op6_decontaminate": decontaminate.SQL,
     "op8_chat": chat.SQL,
+    "op10_quality": quality.SQL,
 }

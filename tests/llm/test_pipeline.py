@@ -76,3 +76,49 @@ def test_mixed_documents_and_unlabelled_tables_pass(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     assert P.language_id(spark, docs, SF).where("doc_id = 900").count() == 1
     assert P.language_id(spark, docs.withColumn("lang", P.F.lit(None).cast("string")), SF).count() == len(rows)
+
+
+COLUMNS = "doc_id long, text string, lang string, source string, n_chars long, score string, lang_pred string, row_key string, node string, first string, spans string, n_words string, rank string, ids string, length string"
+
+
+def odd_rows():
+    import random
+
+    r = random.Random(6)
+    prose = lambda n: " ".join("".join(r.choice(["ba", "lo", "mi", "re"]) for _ in range(r.randint(1, 4))) for _ in range(n))
+    own = prose(60)
+    texts = [(1, None), (2, ""), (3, "12 !!"), (4, own), (4, own), (4, prose(50)), (None, own), (None, prose(40)), (None, prose(40)), (9, own + " extra"), (10, prose(30_000)), (11, "password=abc123def456 " + prose(30))]
+    return [(i, t, "aa", "s", len(t or ""), *["clash"] * 10) for i, t in texts]
+
+
+def through(spark, docs, folder):
+    out = []
+    for name, stage in P.STAGES:
+        stage(spark, docs, SF).write.parquet(str(folder / name))
+        docs = spark.read.parquet(str(folder / name))
+        out.append(docs)
+    return out
+
+
+def test_odd_rows_pass_through_all_stages(spark, tmp_path):
+    rows = odd_rows()
+    docs = spark.createDataFrame(rows, COLUMNS)
+    *texts, packed = through(spark, docs, tmp_path)
+    assert all(d.columns == docs.columns for d in texts)
+    named, once, _, clean = [[(r.doc_id, r.text) for r in d.collect()] for d in texts]
+    assert {i for i, _ in named} == {4, None, 9, 10, 11} and len(named) == 9  # no text, no letter: no language
+    assert sorted(once, key=str) == sorted({(i, t) for i, t in named if (i, t) not in {(None, rows[3][1]), (9, rows[9][1])}}, key=str)
+    assert len(once) == 5 and dict(clean)[11].startswith("[assign] ") and dict(clean)[10] == rows[10][1]
+    assert all(r.n_chars == len(r.text) for r in texts[-1].collect())
+    total = sum(len(tokens(t)) for _, t in clean)
+    assert sum(r.length for r in packed.collect()) == total and packed.where("doc_id is null").count() == 1
+
+
+def test_unlabelled_nulls_are_packed_as_their_end(spark, tmp_path):
+    docs = spark.createDataFrame([(1, None, None), (2, "", None)], "doc_id long, text string, lang string")
+    assert sorted((r.doc_id, r.length) for r in through(spark, docs, tmp_path)[-1].collect()) == [(1, 1), (2, 1)]
+
+
+def test_empty_tables_pass_through_all_stages(spark, tmp_path):
+    docs = spark.createDataFrame([], COLUMNS)
+    assert all(d.count() == 0 for d in through(spark, docs, tmp_path))

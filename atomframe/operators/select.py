@@ -20,9 +20,10 @@ def select_frames(df: DataFrame, source: str, index: str, stride: int = 1, start
     return first_per_group(chosen, [source], [index], most) if most else chosen
 
 
-def stride_by_name(df: DataFrame, frame: str, stride: int) -> DataFrame:
-    """Frames whose 1-based number (at the end of the name) is 1, 1 + stride ..."""
-    return df.where((trailing_number(frame) - 1) % stride == 0)
+def stride_by_name(df: DataFrame, frame: str, stride: int, zero_based: str | None = None) -> DataFrame:
+    """Frames whose 1-based number (at the end of the name, else from a 0-based column) is 1, 1 + stride ..."""
+    number = F.coalesce(trailing_number(frame), F.col(zero_based).cast("long") + 1) if zero_based else trailing_number(frame)
+    return df.where((number - 1) % stride == 0)
 
 
 def natural_top(df: DataFrame, system: str, frame: str, n: int) -> DataFrame:

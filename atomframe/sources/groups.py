@@ -41,7 +41,7 @@ class GroupReader(DataSourceReader):
     """One partition for each range of frames of a set; arrays are mapped, and only the columns asked for are opened."""
 
     def __init__(self, options: dict):
-        self.roots = options["roots"].split(",")
+        self.roots = json.loads(options["roots"]) if options["roots"].startswith("[") else options["roots"].split(",")
         self.columns = set(options.get("columns", ",".join(ARRAYS)).split(","))
         self.rows = int(options.get("framesperpartition", 4096))
         self.most = int(options.get("maxframespersystem", 0))
@@ -83,7 +83,7 @@ class GroupReader(DataSourceReader):
 
 
 class GroupSource(DataSource):
-    """``spark.read.format("frame_groups").option("roots", "a,b").load()``"""
+    """``spark.read.format("frame_groups").option("roots", '["/a", "/b"]').load()`` (a list without brackets: commas)."""
 
     @classmethod
     def name(cls) -> str:
@@ -99,7 +99,7 @@ class GroupSource(DataSource):
 def read_frame_groups(spark: SparkSession, roots: list[str], **options) -> DataFrame:
     """All frames below ``roots``; a set that cannot be read is one row with ``error``."""
     spark.dataSource.register(GroupSource)
-    reader = spark.read.format("frame_groups").option("roots", ",".join(roots))
+    reader = spark.read.format("frame_groups").option("roots", json.dumps(roots))
     for k, v in options.items():
         reader = reader.option(k, v)
     return reader.load()

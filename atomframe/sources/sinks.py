@@ -64,6 +64,13 @@ def extended_xyz(frames: DataFrame, digits: int = 8, config: str = "config_type"
     return frames.withColumn("xyz", F.concat_ws("\n", F.col("natoms").cast("string"), head, F.array_join(F.transform(i, line), "\n")))
 
 
+def write_xyz(frames: DataFrame, folder: str, order: list[str], **options) -> None:
+    """Extended XYZ as text files below ``folder`` (which must be new), frames in the given order over the files."""
+    n = int(frames.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = extended_xyz(frames, **options).repartitionByRange(n, *order).sortWithinPartitions(*order)
+    rows.select("xyz").write.mode("errorifexists").text(folder)
+
+
 def structure_text(structures: DataFrame, order: list[str]) -> DataFrame:
     """Adds ``text``: atoms regrouped by element order, wrapped, as scaled coordinates with 16 decimals. Needs natoms, types,
     type_map, coord, box and title."""

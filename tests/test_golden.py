@@ -414,3 +414,13 @@ def test_systems_report(spark):
     ranges = spark.createDataFrame([("g", 0, 0, 5, 9), ("g", 1, 6, 8, 9)], "`group` string, position int, start int, `end` int, total int")
     got = {(r.code, r.path, r.detail) for r in dataset.systems_report(listed, scanned, "p", "/r", ranges=ranges, expected=["O", "H"]).collect()}
     assert got == {("duplicate", "/r/sysB", None), ("missing", "/r/sysB", None), ("unlisted", "/r/sysBB", None), ("similar", "/r/sysB", "/r/sysBB"), ("similar", "/r/sysB", "/r/sysA"), ("type_map", "/r/sysBB", "H"), ("range_gap", "g", "5 6"), ("range_end", "g", "9 8")}
+
+
+def test_xyz_files_are_in_frame_order(spark, tmp_path):
+    write_group(tmp_path / "a, b/g", ["O", "H"], [0, 1], n=9)
+    frames = groups.read_frame_groups(spark, [str(tmp_path / "a, b")])
+    out = str(tmp_path / "xyz")
+    sinks.write_xyz(frames, out, ["system_path", "set_name", "frame_in_set"], digits=1)
+    text = "\n".join(open(f"{out}/{n}").read().rstrip("\n") for n in sorted(os.listdir(out)) if n.startswith("part-") and os.path.getsize(f"{out}/{n}"))
+    assert [x.split()[0] for x in text.split("\n") if x.startswith("energy=")] == [f"energy={k}.0" for k in range(9)]
+    assert structures.parse_xyz(text) and sum(1 for _ in structures.parse_xyz(text)) == 9

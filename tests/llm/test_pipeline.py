@@ -86,8 +86,8 @@ def odd_rows():
 
     r = random.Random(6)
     prose = lambda n: " ".join("".join(r.choice(["ba", "lo", "mi", "re"]) for _ in range(r.randint(1, 4))) for _ in range(n))
-    own = prose(60)
-    texts = [(1, None), (2, ""), (3, "12 !!"), (4, own), (4, own), (4, prose(50)), (None, own), (None, prose(40)), (None, prose(40)), (9, own + " extra"), (10, prose(30_000)), (11, "password=abc123def456 " + prose(30))]
+    own, same = prose(60), prose(40)
+    texts = [(1, None), (2, ""), (3, "12 !!"), (4, own), (4, own), (4, prose(50)), (None, own), (None, same), (None, same), (9, own + " extra"), (10, prose(30_000)), (11, "password=abc123def456 " + prose(30))]
     return [(i, t, "aa", "s", len(t or ""), *["clash"] * 10) for i, t in texts]
 
 

@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Text bytes that one task handles at a time; a single longer text is handled alone.
 CHUNK_BYTES = 8 << 20
+#: The same where Python objects are made of every word.
+WORD_CHUNK = 2 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:

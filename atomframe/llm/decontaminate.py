@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from atomframe.llm.common import chunks, column, numbered, raw, saved, windows, word_hashes
+from atomframe.llm.common import WORD_CHUNK, chunks, column, numbered, raw, saved, windows, word_hashes
 
 #: Every byte to itself if it belongs to a word, upper case to lower case, all others to a space.
 NORMAL = bytes((b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32) for b in range(256))
@@ -109,7 +109,7 @@ def _scan(known: Windows, keep: list[str], hits_only: bool):
     """The ``keep`` columns with n_words, spans and windows of all rows, or of those with hits."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches):
+        for batch in chunks(batches, limit=WORD_CHUNK):
             texts = [words_of(x) for x in raw(batch)]
             found = known.find(texts)
             rows = sorted(found) if hits_only else range(len(texts))
@@ -164,7 +164,7 @@ def _merge(keep: list[str]):
     """Adds n_words and merged spans where a join has brought the hits of several slices."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches):
+        for batch in chunks(batches, limit=WORD_CHUNK):
             spans = [merged([(s["first"], s["end"]) for s in x or []]) for x in column(batch, "__spans").to_pylist()]
             hit = [sorted(set(x or [])) for x in column(batch, "__windows").to_pylist()]
             sizes = [len(words_of(x)) for x in raw(batch)]
@@ -211,7 +211,7 @@ def _clean(known: Windows, max_share: float):
     """Texts cut until no window is left; a document that loses more than ``max_share`` of its words goes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches):
+        for batch in chunks(batches, limit=WORD_CHUNK):
             texts = raw(batch)
             words = [words_of(x) for x in texts]
             found, lost, changed = known.find(words), {}, set()
@@ -239,7 +239,7 @@ def _cut_once(max_share: float):
     """For texts joined with the hits of several slices: one cut; __all (words at first), __lost and __dirty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches):
+        for batch in chunks(batches, limit=WORD_CHUNK):
             names = [c for c in batch.schema.names if c not in ("__name", "__spans", "__windows")]
             values = {c: column(batch, c).to_pylist() for c in ("text", "__all", "__lost")}
             stay, dirty = [], []

@@ -77,12 +77,12 @@ def slots(plan: list[tuple[int, list[int]]]) -> dict[int, list[tuple[int, int, i
     return out
 
 
-def _pieces(tokenizer: str, end_id: int, size: int):
+def _pieces(tokenizer: str, end_id: int, size: int, share: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seen = TaskContext.get().partitionId(), np.zeros(size + 1, dtype=np.int64)
         for batch in chunks(batches, limit=PIECE_BYTES, owner=OWNER):
             rows, data = [], []
-            for i, ids in enumerate(encoder(tokenizer, SHARE).encode([t or "" for t in column(batch, "text").to_pylist()])):
+            for i, ids in enumerate(encoder(tokenizer, share).encode([t or "" for t in column(batch, "text").to_pylist()])):
                 ids = np.append(ids, np.uint32(end_id)).astype("<u4")
                 first = len(ids) % size or size
                 cuts = [0, *range(first, len(ids) + 1, size)]
@@ -129,12 +129,12 @@ def _placed(plan: dict[int, list]):
     return place
 
 
-def pack(docs: DataFrame, size: int = 1024, tokenizer: str | None = None, end_id: int = 2, with_ids: bool = True) -> DataFrame:
+def pack(docs: DataFrame, size: int = 1024, tokenizer: str | None = None, end_id: int = 2, with_ids: bool = True, share: int = SHARE) -> DataFrame:
     """One row for each piece: doc_id, piece, start, length, ids_crc32, ids, sequence_id and offset; without ids, they
-    are placed all the same but not returned."""
+    are placed all the same but not returned. ``share`` divides the pieces that a worker remembers."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    pieces = saved(rows.mapInArrow(_pieces(tokenizer or default_tokenizer(), end_id, size), f"doc_id {kind}, piece int, start long, length long, part int, rank long, ids binary"), "pieces")
+    pieces = saved(rows.mapInArrow(_pieces(tokenizer or default_tokenizer(), end_id, size, share), f"doc_id {kind}, piece int, start long, length long, part int, rank long, ids binary"), "pieces")
     counts = pieces.groupBy("part", "length").agg(F.count("*").alias("n"))
     totals = {r.length: r.n for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # at most `size` rows
     before = F.sum("n").over(Window.partitionBy("length").orderBy("part")) - F.col("n")

@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from atomframe.llm.common import chunks, column
+from atomframe.llm.common import WORD_CHUNK, chunks, column
 
 # The patterns of the base scan.
 KINDS = ("assign", "access", "hex")
@@ -70,7 +70,7 @@ PAIRS = -1
 def _labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (kind, value, n): the base values, and as PAIRS the class pairs of all text outside them."""
     pairs = np.zeros(N * N, dtype=np.int64)
-    for batch in chunks(batches):
+    for batch in chunks(batches, limit=WORD_CHUNK):
         found: Counter[tuple[int, str]] = Counter()
         for text in column(batch, "text").to_pylist():
             if text:
@@ -300,7 +300,7 @@ def written(spans: list[tuple[int, int, int]]) -> str:
 
 def _scan(formats: Formats):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches):
+        for batch in chunks(batches, limit=WORD_CHUNK):
             rows = []
             for text in column(batch, "text").to_pylist():
                 base, spans = all_spans(text or "", formats)
@@ -323,7 +323,7 @@ def scan(docs: DataFrame, formats: Formats | None = None) -> DataFrame:
 
 def _redact(formats: Formats):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in chunks(batches, limit=WORD_CHUNK):
             texts = column(batch, "text").to_pylist()
             for i, text in enumerate(texts):
                 if text and (spans := all_spans(text, formats)[1]):

@@ -31,9 +31,11 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from atomframe.llm import chain
-from atomframe.llm.common import chunks, column, mixed, numbered, parts, raw, ranges, saved, word_hashes
+from atomframe.llm.common import chunks, column, dropped, give_back, mixed, numbered, parts, ranges, raw, saved, word_hashes
 
 CLASSES, STATES, HEAD = 4096, 8, 1 << 16
+#: Class ids that a task works on at a time, about; a longer text is worked on alone.
+SOME_IDS = 1 << 20
 END = CLASSES
 #: Slices of the training documents (of 16) for each step of the warm start, and the weight of a step's counts.
 STEPS = [(0, 1, 1.0), (0, 1, 1.0), (1, 2, 1.0), (2, 4, 0.8), (4, 8, 0.8), (8, 16, 0.8)]
@@ -163,18 +165,43 @@ def _class_ids(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     return out, lengths, ids, words
 
 
+def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (slice, ids, lengths): the class ids (uint16) of a chunk's documents of one slice, and their lengths."""
+    for batch in chunks(batches):
+        ids, lengths, *_ = _class_ids(raw(batch))
+        lengths, part = lengths + 1, np.asarray(column(batch, "slice"))
+        starts, rows = np.cumsum(lengths) - lengths, []
+        for k in np.unique(part):
+            mine = np.flatnonzero(part == k)
+            rows.append((int(k), ids[ranges(starts[mine], lengths[mine])].astype(np.uint16).tobytes(), lengths[mine].tobytes()))
+        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int32(), pa.binary(), pa.binary()))], ["slice", "ids", "lengths"])
+
+
+def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Class ids and lengths of about SOME_IDS ids at a time."""
+    some: list[tuple[np.ndarray, np.ndarray]] = []
+    for batch in batches:
+        for ids, lengths in zip(column(batch, "ids").to_pylist(), column(batch, "lengths").to_pylist(), strict=True):
+            some.append((np.frombuffer(ids, np.uint16), np.frombuffer(lengths, np.int64)))
+            if sum(len(x) for x, _ in some) >= SOME_IDS:
+                yield np.concatenate([x for x, _ in some]).astype(np.int64), np.concatenate([n for _, n in some])
+                some = []
+    if some:
+        yield np.concatenate([x for x, _ in some]).astype(np.int64), np.concatenate([n for _, n in some])
+    give_back()
+
+
 def _expected(model: Model):
     """Expected counts of a task: rows (class, k0 ...); class -1 - i has the transitions out of state i, the last the starts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         emit, move, start = np.zeros((CLASSES + 1, STATES)), np.zeros((STATES, STATES)), np.zeros(STATES)
-        for batch in chunks(batches):
-            ids, lengths, *_ = _class_ids(raw(batch))
-            gamma, xi, _ = chain.posteriors(model.chain(), ids, lengths + 1, moves=True)
+        for ids, lengths in _together(batches):
+            gamma, xi, _ = chain.posteriors(model.chain(), ids, lengths, moves=True)
             for k in range(STATES):
                 emit[:, k] += np.bincount(ids, weights=gamma[:, k], minlength=CLASSES + 1)
             move += xi
-            start += gamma[np.cumsum(lengths + 1) - lengths - 1].sum(axis=0)
+            start += gamma[np.cumsum(lengths) - lengths].sum(axis=0)
         table = np.concatenate([emit, move, start[None]])
         at = np.flatnonzero(table.sum(axis=1))
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), *(pa.array(table[at, k]) for k in range(STATES))], ["row", *(f"k{k}" for k in range(STATES))])
@@ -183,13 +210,14 @@ def _expected(model: Model):
 
 
 def train(docs: DataFrame, counts: Counts, epochs: int = 1) -> Model:
-    """Baum-Welch over slices of ``docs`` (doc_id, text), then over all of them."""
+    """Baum-Welch over slices of ``docs`` (doc_id, text), then over all of them. Their class ids are written once."""
     model = first_model(counts)
     memory = np.zeros((CLASSES + 1 + STATES + 1, STATES))
     part = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(SLICES))
     columns = [f"k{k}" for k in range(STATES)]
+    classed = saved(docs.select(part.cast("int").alias("slice"), "text").mapInArrow(_classes, "slice int, ids binary, lengths binary"), "classes")
     for low, high, weight in [*STEPS * epochs, WHOLE]:
-        rows = docs.where((part >= low) & (part < high)).select("text").mapInArrow(_expected(model), "row int, " + ", ".join(f"{c} double" for c in columns))
+        rows = classed.where((F.col("slice") >= low) & (F.col("slice") < high)).mapInArrow(_expected(model), "row int, " + ", ".join(f"{c} double" for c in columns))
         new = np.zeros_like(memory)
         for r in rows.groupBy("row").agg(*[F.sum(c).alias(c) for c in columns]).collect():  # one row for each parameter row
             new[r.row] = r[1:]
@@ -202,6 +230,7 @@ def train(docs: DataFrame, counts: Counts, epochs: int = 1) -> Model:
         emit = total[: CLASSES + 1] + 0.5 * STATES * prior[:, None] + 1e-6
         move, start = total[CLASSES + 1 : -1] + 0.1, total[-1] + 0.1
         model = Model(start / start.sum(), move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=0))
+    dropped(classed)
     return model
 
 

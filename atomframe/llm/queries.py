@@ -1,6 +1,6 @@
 """Queries of the training-data operators and their SQL, where SQL can express them."""
 
-from atomframe.llm import chat, decontaminate, hmm, jaccard, langid, packing, quality, repeats, secrets, tokenfiles
+from atomframe.llm import chat, decontaminate, hmm, jaccard, langid, packing, quality, repeats, search, secrets, tokenfiles
 
 QUERIES = {
     "op1_hmm": hmm.op1_hmm,
@@ -13,6 +13,7 @@ QUERIES = {
     "op8_chat": chat.op8_chat,
     "op9_langid": langid.op9_langid,
     "op10_quality": quality.op10_quality,
+    "op11_search": search.op11_search,
 }
 
 ORACLES = {
@@ -20,4 +21,5 @@ ORACLES = {
     "op6_decontaminate": decontaminate.SQL,
     "op8_chat": chat.SQL,
     "op10_quality": quality.SQL,
+    "op11_search": search.SQL,
 }

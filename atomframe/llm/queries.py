@@ -1,6 +1,6 @@
 """Queries of the training-data operators and their SQL, where SQL can express them."""
 
-from atomframe.llm import chat, decontaminate, hmm, jaccard, langid, packing, quality, repeats, search, secrets, tokenfiles
+from atomframe.llm import chat, decontaminate, hmm, jaccard, langid, merkle, packing, quality, repeats, search, secrets, tokenfiles, warc
 
 QUERIES = {
     "op1_hmm": hmm.op1_hmm,
@@ -14,6 +14,8 @@ QUERIES = {
     "op9_langid": langid.op9_langid,
     "op10_quality": quality.op10_quality,
     "op11_search": search.op11_search,
+    "op12_warc": warc.op12_warc,
+    "op13_merkle": merkle.op13_merkle,
 }
 
 ORACLES = {
@@ -22,4 +24,6 @@ ORACLES = {
     "op8_chat": chat.SQL,
     "op10_quality": quality.SQL,
     "op11_search": search.SQL,
+    "op12_warc": warc.SQL,
+    "op13_merkle": merkle.SQL,
 }

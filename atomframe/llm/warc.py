@@ -40,6 +40,8 @@ from atomframe.llm.common import chunks, column, give_back, parts, saved, shared
 
 #: Compressed bytes after which a new archive is begun.
 ROLL = 64 << 20
+#: Effort of packing: an archive that is read and written again soon is packed lightly.
+LEVEL = 3
 #: Tasks that read archives, at most.
 READERS = 20_000
 # The names and texts of the format.
@@ -89,7 +91,7 @@ class Archives:
             self.name, self.records, self.size = f"{self.stem}-{len(self.files):04d}.warc.gz", 0, 0
             self.aside = f"{self.base}/.{self.name}-{uuid.uuid4().hex}"
             self.out = self.fs.open_output_stream(self.aside, compression=None)
-        packer = zlib.compressobj(6, zlib.DEFLATED, 31)
+        packer = zlib.compressobj(LEVEL, zlib.DEFLATED, 31)
         data = packer.compress(record(fields, block)) + packer.flush()
         self.out.write(data)
         self.records += 1

@@ -29,12 +29,19 @@ def scan_result(status: str = "status") -> Column:
     return F.when(ok, "success").when(F.col("tag_failed") | (F.col(status) == "failed"), "failed").otherwise("pending")
 
 
-def reconciled(entries: DataFrame, targets: DataFrame, scan: DataFrame) -> DataFrame:
+def scanned_once(scan: DataFrame, order: str | None = None) -> DataFrame:
+    """One __result for each target, system and frame of a scan: the last by ``order``, else success before pending before
+    failed."""
+    best = F.max_by("result", order) if order else F.max("result")
+    return scan.groupBy("target", "system", "frame").agg(best.alias("__result"))
+
+
+def reconciled(entries: DataFrame, targets: DataFrame, scan: DataFrame, order: str | None = None) -> DataFrame:
     """Each entry (system, frame, target) with result and reason. ``targets``: target, available. One target only is
-    everybody's. The order of reasons: unknown_target, scan_failed, missing_remote_frame, failed, success, not_terminal."""
+    everybody's. Of repeated scan rows one counts (see ``scanned_once``). The order of reasons: unknown_target, scan_failed, missing_remote_frame, failed, success, not_terminal."""
     given = resolved_target(targets, entries)
     known = targets.select("target", F.col("available").alias("__available"))
-    found = scan.select("target", "system", "frame", F.col("result").alias("__result"))
+    found = scanned_once(scan, order)
     joined = given.join(known, "target", "left").join(found, ["target", "system", "frame"], "left")
     reason = (
         F.when(F.col("__available").isNull(), "unknown_target")
@@ -91,15 +98,18 @@ def recovery_plan(
 ) -> DataFrame:
     """What becomes of submitted and running entries after an outage: action, new_status and reason; the input stays.
 
-    Order: no target, unknown target (only if strict), unavailable target (but those in ``allow_lost``), terminal scan,
+    An entry's identifiers are its columns of those names and what ``extras`` (a map) has under them. Order: no target, unknown target (only if strict), unavailable target (but those in ``allow_lost``), terminal scan,
     still active, reset. An entry without a target takes the only one there is. ``stamp`` is the time of the recovery."""
     key = ["system", "frame"]
     live = resolved_target(targets, entries.where(F.lower("status").isin("submitted", "running")))
-    names = [c for c in identifiers or IDENTIFIERS if c in entries.columns]
-    live = live.withColumn("__ids", F.array_compact(F.array(*[F.nullif(F.trim(F.col(c).cast("string")), F.lit("")) for c in names])))
+    names = identifiers or IDENTIFIERS
+    held = [F.col(c).cast("string") for c in names if c in entries.columns]
+    held += [F.col("extras")[c] for c in names] if "extras" in entries.columns else []
+    live = live if "job_id" in live.columns else live.withColumn("job_id", F.lit(None).cast("string"))
+    live = live.withColumn("__ids", F.array_distinct(F.array_compact(F.array(*[F.nullif(F.trim(c), F.lit("")) for c in held]))) if held else F.array().cast("array<string>"))
     active = active_entries(live, key, jobs).withColumn("__active", F.lit(True))
     known = targets.select("target", F.col("available").alias("__available"))
-    found = scan.groupBy("target", *key).agg(F.max("result").alias("__result"))
+    found = scanned_once(scan)
     joined = live.join(known, "target", "left").join(found, ["target", *key], "left").join(active, ["target", *key, "__ids"], "left")
     blank = F.col("target").isNull()
     unknown = F.col("__available").isNull() if strict_targets else F.lit(False)

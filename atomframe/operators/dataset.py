@@ -34,15 +34,23 @@ def checked_frames(frames: DataFrame) -> DataFrame:
 
 
 def inspect_systems(frames: DataFrame) -> DataFrame:
-    """Frames, sets, frames with virial, non-finite values and invalid frames of each system."""
+    """Frames, sets, frames with virial, non-finite values and invalid frames of each system. Where frames have an ``error``
+    (sets that could not be read), such rows are counted as broken_sets and nothing else."""
     f = checked_frames(frames)
-    sums = [F.sum(f"nonfinite_{a}").alias(f"nonfinite_{a}") for a in ARRAYS]
-    return f.groupBy("system_path").agg(F.count("*").alias("frames"), F.count_distinct("set_name").alias("sets"), F.max("natoms").alias("natoms"), F.count("virial").alias("virial_frames"), *sums, F.count_if(F.size("errors") > 0).alias("invalid_frames"), F.count_distinct("natoms").alias("natoms_values"), F.any_value("type_map").alias("type_map"))
+    there = F.col("error").isNull() if "error" in frames.columns else F.lit(True)
+    sums = [F.coalesce(F.sum(F.when(there, F.col(f"nonfinite_{a}"))), F.lit(0)).alias(f"nonfinite_{a}") for a in ARRAYS]
+    broken = [F.count_if(~there).alias("broken_sets")] if "error" in frames.columns else []
+    own = lambda c: F.when(there, F.col(c))
+    return f.groupBy("system_path").agg(
+        F.count_if(there).alias("frames"), F.count_distinct(own("set_name")).alias("sets"), F.max("natoms").alias("natoms"), F.count("virial").alias("virial_frames"), *sums,
+        F.count_if(there & (F.size("errors") > 0)).alias("invalid_frames"), F.count_distinct(own("natoms")).alias("natoms_values"), F.any_value("type_map", F.lit(True)).alias("type_map"), *broken,
+    )
 
 
 def inspect_root(systems: DataFrame) -> DataFrame:
     """Systems, frames, atoms, distinct type maps, and whether all is well."""
     good = (F.count("*") > 0) & (F.sum("invalid_frames") == 0)
+    good = good & (F.sum("broken_sets") == 0) if "broken_sets" in systems.columns else good
     return systems.agg(F.count("*").alias("systems"), F.sum("frames").alias("frames"), F.sum(F.col("frames") * F.col("natoms")).alias("atoms"), F.count_distinct("type_map").alias("type_maps"), F.coalesce(good, F.lit(False)).alias("valid"))
 
 
@@ -85,13 +93,18 @@ def frames_by_label(df: DataFrame, *by: str) -> DataFrame:
     return df.groupBy(*by).agg(F.count("*").alias("frames"), F.min("natoms").alias("natoms_min"), F.max("natoms").alias("natoms_max"))
 
 
+def _tested(path: str) -> Column:
+    return F.exists(F.split(path, "/"), lambda x: F.lower(x).contains("test"))
+
+
 def coverage(listed: DataFrame, scanned: DataFrame, path: str, root: str | None = None) -> DataFrame:
-    """(path, code) for duplicate, outside_root, missing and unlisted paths; those with a component like *test* are left out."""
-    tested = lambda c: F.exists(F.split(c, "/"), lambda x: F.lower(x).contains("test"))
-    a = listed.groupBy(path).agg(F.count("*").alias("__n")).where(~tested(path))
-    b = scanned.select(path).distinct().where(~tested(path)).withColumn("__there", F.lit(True))
+    """(path, code) for duplicate, outside_root, missing and unlisted paths. What was scanned is looked at without paths that
+    have a component like *test*; such a path in the list is not_scanned."""
+    a = listed.groupBy(path).agg(F.count("*").alias("__n"))
+    b = scanned.select(path).distinct().where(~_tested(path)).withColumn("__there", F.lit(True))
     both = a.join(b, path, "full")
-    codes = [F.when(F.col("__n") > 1, "duplicate"), F.when(F.col("__there").isNull(), "missing"), F.when(F.col("__n").isNull(), "unlisted")]
+    gone = F.col("__there").isNull()
+    codes = [F.when(F.col("__n") > 1, "duplicate"), F.when(gone & ~_tested(path), "missing"), F.when(gone & _tested(path), "not_scanned"), F.when(F.col("__n").isNull(), "unlisted")]
     if root:
         codes.append(F.when(F.col("__n").isNotNull() & ~F.col(path).startswith(root.rstrip("/") + "/"), "outside_root"))
     return both.select(path, F.explode(F.array_compact(F.array(*codes))).alias("code"))
@@ -110,28 +123,72 @@ def range_ends(df: DataFrame, group: list[str], position: str, end: str, total:
     return last.where("last_end <> expected_end")
 
 
+def type_map_codes(systems: DataFrame, expected: list[str]) -> DataFrame:
+    """Adds ``code``: type_map_empty, type_map_longer than the expected one, type_map_unknown (elements), type_map (in another
+    order), or null where a system's type_map begins the expected one."""
+    canon, own = F.array(*[F.lit(x) for x in expected]), F.col("type_map")
+    code = (
+        F.when(F.coalesce(F.size(own), F.lit(0)) < 1, "type_map_empty")
+        .when(F.size(own) > len(expected), "type_map_longer")
+        .when(F.slice(canon, F.lit(1), F.size(own)) == own, F.lit(None))
+        .when(F.size(F.array_except(own, canon)) > 0, "type_map_unknown")
+        .otherwise("type_map")
+    )
+    return systems.withColumn("code", code)
+
+
 def systems_report(listed: DataFrame, scanned: DataFrame, path: str, root: str | None = None, known: DataFrame | None = None, ranges: DataFrame | None = None, expected: list[str] | None = None) -> DataFrame:
     """Everything that is wrong with a list of systems, as (code, path, detail): coverage against what was found, similar
-    names for missing paths, type maps that do not begin the expected one (``scanned`` has type_map), and gaps in the
-    ranges (group, position, start, end, total)."""
+    unlisted names (or those of ``known``) for missing paths, type maps that do not begin the expected one (``scanned`` has
+    type_map) and how many systems have each that does (type_map_count), and what is wrong with the ranges (group,
+    position, start, end, total)."""
     covered = coverage(listed, scanned, path, root)
     empty = F.lit(None).cast("string")
     out = covered.select("code", F.col(path).alias("path"), empty.alias("detail"))
     missing = covered.where("code = 'missing'").select(path)
-    near = similar_names(missing, known if known is not None else scanned.select(path), path)
+    near = similar_names(missing, known if known is not None else covered.where("code = 'unlisted'").select(path), path)
     out = out.unionByName(near.select(F.lit("similar").alias("code"), F.col("name").alias("path"), F.col("suggestion").alias("detail")))
     if expected is not None:
-        canon = F.array(*[F.lit(x) for x in expected])
-        other = scanned.where(F.slice(canon, F.lit(1), F.size("type_map")) != F.col("type_map"))
-        out = out.unionByName(other.select(F.lit("type_map").alias("code"), F.col(path).alias("path"), F.array_join("type_map", ",").alias("detail")))
+        coded = type_map_codes(scanned, expected).withColumn("names", F.array_join("type_map", ","))
+        out = out.unionByName(coded.where("code is not null").select("code", F.col(path).alias("path"), F.col("names").alias("detail")))
+        good = coded.where("code is null").groupBy("names").agg(F.count("*").cast("string").alias("detail"))
+        out = out.unionByName(good.select(F.lit("type_map_count").alias("code"), F.col("names").alias("path"), "detail"))
     if ranges is not None:
-        gaps = range_gaps(ranges, ["group"], "position", "start", "end")
-        out = out.unionByName(gaps.select(F.lit("range_gap").alias("code"), F.col("group").cast("string").alias("path"), F.concat_ws(" ", "expected_start", "start").alias("detail")))
-        ends = range_ends(ranges, ["group"], "position", "end", "total")
-        out = out.unionByName(ends.select(F.lit("range_end").alias("code"), F.col("group").cast("string").alias("path"), F.concat_ws(" ", "expected_end", "last_end").alias("detail")))
+        out = out.unionByName(range_errors(ranges, "group", "position", "start", "end", "total").select("code", F.col("group").cast("string").alias("path"), "detail"))
     return out
 
 
+def parsed_ranges(df: DataFrame, group: str, text: str) -> DataFrame:
+    """Ranges of the notation ``prob_sys_size;0:10:0.5;10:12:0.5``: (group, position, raw, start, end, prob), in order; blank
+    parts and the leading word are left out, and what is no range has nulls."""
+    parts = df.select(group, F.posexplode(F.split(F.coalesce(text, F.lit("")), ";")).alias("position", "raw")).withColumn("raw", F.trim("raw"))
+    parts = parts.where((F.col("raw") != "") & ~F.col("raw").startswith("prob_sys_size"))
+    cells = F.split("raw", ":")
+    three = F.size(cells) == 3
+    whole = lambda i: F.when(three & F.trim(F.get(cells, F.lit(i))).rlike("^[+-]?[0-9]+$"), F.expr(f"try_cast(trim(get(split(raw, ':'), {i})) as bigint)"))
+    prob = F.when(three, F.expr("try_cast(trim(get(split(raw, ':'), 2)) as double)"))
+    valid = whole(0).isNotNull() & whole(1).isNotNull() & prob.isNotNull()
+    cell = lambda c: F.when(valid, c)
+    return parts.select(group, "position", "raw", cell(whole(0)).alias("start"), cell(whole(1)).alias("end"), cell(prob).alias("prob"))
+
+
+def range_errors(df: DataFrame, group: str, position: str, start: str, end: str, total: str) -> DataFrame:
+    """(group, code, detail) of the ranges of each group, in order of position: range_malformed (null start or end),
+    range_gap (a start that is not the end before, the first: not 0), range_negative, and range_end (the last end is not
+    the group's total). Malformed ranges are passed over by the others."""
+    good = df.where(F.col(start).isNotNull() & F.col(end).isNotNull())
+    expected = F.lag(end, 1, 0).over(Window.partitionBy(group).orderBy(position))
+    codes = F.array_compact(F.array(
+        F.when(F.col("__expected") != F.col(start), F.struct(F.lit("range_gap").alias("code"), F.concat_ws(" ", "__expected", start).alias("detail"))),
+        F.when(F.col(end) < F.col(start), F.struct(F.lit("range_negative").alias("code"), F.concat_ws(" ", start, end).alias("detail"))),
+    ))
+    swept = good.withColumn("__expected", expected).select(group, F.explode(codes).alias("e")).select(group, "e.code", "e.detail")
+    raw = F.col("raw") if "raw" in df.columns else F.col(position).cast("string")
+    broken = df.where(F.col(start).isNull() | F.col(end).isNull()).select(group, F.lit("range_malformed").alias("code"), raw.alias("detail"))
+    last = range_ends(good, [group], position, end, total).select(group, F.lit("range_end").alias("code"), F.concat_ws(" ", "expected_end", "last_end").alias("detail"))
+    return swept.unionByName(broken).unionByName(last)
+
+
 def range_gaps(df: DataFrame, group: list[str], position: str, start: str, end: str) -> DataFrame:
     """Ranges of a group that do not begin where the one before ended (the first: at 0)."""
     before = F.lag(end, 1, 0).over(Window.partitionBy(*group).orderBy(position))
@@ -247,17 +304,29 @@ def validation_report(frames: DataFrame) -> DataFrame:
 
 def validate_dataset(groups: DataFrame, arrays: DataFrame, totals: DataFrame | None = None) -> DataFrame:
     """(group_name, code) of a converted dataset. ``groups``: group_name, elements, counts, selected, converted, skipped and,
-    if they are to be checked, types; ``arrays``: group_name, array, raw_rows, npy_rows; ``totals``: one row with group_count
-    and frames_converted as declared, whose codes have no group."""
+    if they are to be checked, types; ``arrays``: group_name, array, raw_rows, npy_rows, of which each group must have all
+    five (a null number: that file is missing); ``totals``: one row with group_count and frames_converted as declared (null:
+    not declared), whose codes have no group."""
     same = groups.groupBy(F.col("elements").alias("__e"), F.col("counts").alias("__c")).agg(F.count("*").alias("__same"))
     g = groups.join(same, groups["elements"].eqNullSafe(same["__e"]) & groups["counts"].eqNullSafe(same["__c"]))
-    codes = [F.when(F.col("__same") > 1, "duplicate_composition"), F.when(F.size("elements") != F.size("counts"), "element_count_length"), F.when(F.col("selected") != F.col("converted"), "selected_not_converted"), F.when(F.col("skipped") > 0, "skipped_frames")]
+    none = F.coalesce(F.size("elements"), F.lit(0)) < 1
+    codes = [
+        F.when(F.col("__same") > 1, "duplicate_composition"),
+        F.when(none, "composition_missing").when(F.coalesce(F.size("elements") != F.size("counts"), F.lit(True)), "element_count_length"),
+        F.when(F.coalesce(F.col("converted"), F.lit(0)) <= 0, "nothing_converted"),
+        F.when(F.coalesce(F.col("selected") != F.col("converted"), F.lit(False)), "selected_not_converted"),
+        F.when(F.col("skipped") > 0, "skipped_frames"),
+    ]
     if "types" in groups.columns:
         found = F.array_sort(F.transform(F.array_distinct("types"), lambda t: F.size(F.filter("types", lambda x: x == t))))
-        codes.append(F.when(found != F.array_sort("counts"), "type_counts"))
+        codes.append(F.when(F.coalesce(found != F.array_sort("counts"), F.lit(True)), "type_counts"))
     out = g.select("group_name", F.explode(F.array_compact(F.array(*codes))).alias("code"))
-    rows = arrays.join(groups.select("group_name", "converted"), "group_name").where((F.col("raw_rows") != F.col("npy_rows")) | (F.col("npy_rows") != F.col("converted")))
-    out = out.unionByName(rows.select("group_name", F.concat(F.lit("frame count mismatch: "), "array").alias("code")))
+    wanted = groups.select("group_name", "converted", F.explode(F.array(*[F.lit(a) for a in ARRAYS])).alias("array"))
+    rows = wanted.join(arrays, ["group_name", "array"], "left")
+    missing = F.col("raw_rows").isNull() | F.col("npy_rows").isNull()
+    unlike = (F.col("raw_rows") != F.coalesce("converted", F.lit(0))) | (F.col("npy_rows") != F.coalesce("converted", F.lit(0)))
+    code = F.when(missing, F.concat(F.lit("missing: "), "array")).when(unlike, F.concat(F.lit("frame count mismatch: "), "array"))
+    out = out.unionByName(rows.withColumn("code", code).where("code is not null").select("group_name", "code"))
     if totals is not None:
         own = groups.agg(F.count("*").alias("__groups"), F.coalesce(F.sum("converted"), F.lit(0)).alias("__frames")).crossJoin(F.broadcast(totals))  # one row each
         wrong = [F.when(F.col("__groups") != F.col("group_count"), "group_count"), F.when(F.col("__frames") != F.col("frames_converted"), "frames_converted")]

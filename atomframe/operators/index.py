@@ -38,6 +38,22 @@ def global_index(df: DataFrame, order: list[str], name: str = "frame_index") ->
     return out.select(*df.columns, name)
 
 
+def running_total(df: DataFrame, order: list[str], value: str, name: str) -> DataFrame:
+    """Adds the sum of ``value`` (null: 0) over the rows before, in the given order of the whole table, without one task
+    that sees all rows."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = checkpointed(df.repartitionByRange(n, *order).withColumn("__part", F.spark_partition_id()))
+    own = F.coalesce(value, F.lit(0))
+    before = F.sum(own).over(Window.partitionBy("__part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1))
+    rows, at = [], 0
+    for r in dealt.groupBy("__part").agg(F.sum(own).alias("n")).orderBy("__part").collect():  # one row for each partition
+        rows.append((r[0], at))
+        at += r.n
+    starts = df.sparkSession.createDataFrame(rows, "__part int, __before long")
+    out = dealt.withColumn("__own", F.coalesce(before, F.lit(0))).join(F.broadcast(starts), "__part")
+    return out.select(*df.columns, (F.col("__before") + F.col("__own")).cast("long").alias(name))
+
+
 def first_per_group(df: DataFrame, by: list[str], order: list[str], n: int) -> DataFrame:
     """The first n rows of each group. Each task keeps its own first n (a limit within the group) before they meet."""
     salted = df.withColumn("__salt", F.spark_partition_id())

@@ -2,33 +2,58 @@
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from atomframe.functions import states
+from atomframe import session
 from atomframe.functions.expressions import element_order, job_name, task_key, task_key_below
 from atomframe.operators import campaign, dataset, index, inference, metrics, select
-from atomframe.sources import groups, records, sinks, structures
+from atomframe.sources import converted, discovery, groups, records, sinks, structures
 
 
 def inspected(spark: SparkSession, roots: list[str]) -> tuple[DataFrame, DataFrame]:
-    """One row for each system below the roots, and one for all of them."""
-    systems = dataset.inspect_systems(groups.read_frame_groups(spark, roots))
+    """One row for each system below the roots (with its bytes), and one for all of them. Sets that cannot be read are counted
+    as broken and make the whole not valid."""
+    headers = discovery.index_groups(spark, roots)
+    size = headers.groupBy("system_path").agg(F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"))
+    systems = dataset.inspect_systems(groups.read_indexed(headers)).join(size, "system_path")
     return systems, dataset.inspect_root(systems)
 
 
-def manifest_of(spark: SparkSession, roots: list[str], block: str = "", label: str = "") -> DataFrame:
-    """Manifest rows of the systems below the roots, numbered by path."""
-    frames = groups.read_frame_groups(spark, roots).where("error is null")
-    one = frames.groupBy("system_path").agg(F.count("*").alias("frames"), F.first("natoms").alias("natoms"), F.first("types").alias("types"), F.first("type_map").alias("type_map"))
-    named = dataset.with_element_counts(one)
-    relative = F.regexp_extract("system_path", "([^/]*)$", 1)
-    for root in roots:
-        top = root.rstrip("/") + "/"
-        relative = F.when(F.col("system_path").startswith(top), F.substr("system_path", F.lit(len(top) + 1))).otherwise(relative)
-    full = named.withColumns({"block": F.lit(block), "label": F.lit(label), "type_map_sha256": F.sha2(F.array_join("type_map", "\n"), 256), "relative_path": relative})
-    return index.global_index(full.drop("types"), ["system_path"], "index").select(*sinks.MANIFEST)
+def manifest_of(spark: SparkSession, roots: list[str], block: str = "", label: str = "", broken: str = "raise") -> tuple[DataFrame, DataFrame]:
+    """Manifest rows of the systems below the roots, numbered by path, and the report of what was found (see
+    ``discovery.index_report``). Only headers are read. A blank block is the name of the system's root. Broken groups are an
+    error or, with broken='leave', left out and counted in the report."""
+    found = discovery.index_groups(spark, roots)
+    sets = discovery.whole_groups(found, broken)
+    first = lambda c: F.first(c).alias(c)
+    one = sets.groupBy("system_path").agg(F.sum("frames").alias("frames"), *map(first, ("root", "natoms", "elements", "counts", "type_map", "type_map_sha256")))
+    name = lambda c: F.regexp_extract(c, "([^/]*)/*$", 1)
+    full = one.withColumns({"block": F.lit(block) if block else F.coalesce(F.nullif(name("root"), F.lit("")), F.lit("dataset")), "label": F.lit(label), "relative_path": name("system_path")})
+    return index.global_index(full.drop("root"), ["system_path"], "index").select(*sinks.MANIFEST), discovery.index_report(found)
+
+
+def archived_manifest(spark: SparkSession, manifest: str, folder: str, type_map: list[str] | None = None, most: int = 0) -> DataFrame:
+    """The archive of a manifest (a path), systems in its order with their blocks and labels, at most ``most`` frames of each;
+    one row of report. A manifest that is not right, a system that is missing, broken or has other frames or atoms than it
+    declares, and elements that ``type_map`` (by default all names in first-seen order) lacks are errors, and then there is
+    no archive."""
+    rows, errors = records.read_system_manifest(spark, manifest)
+    if found := [r.code for r in errors.collect()]:
+        raise ValueError(f"{manifest}: {', '.join(sorted(found))}")
+    rows = session.written(rows, "manifest")
+    headers = discovery.whole_groups(discovery.index_folders(rows.select(F.lit("").alias("root"), F.col("system_path").alias("folder"))))
+    systems = headers.groupBy("system_path").agg(F.sum("frames").alias("frames"), F.first("natoms").alias("natoms"), F.first("type_map").alias("type_map"))
+    if found := dataset.declared_mismatches(rows, systems).limit(10).collect():
+        raise ValueError("the manifest declares other frames or atoms: " + "; ".join(f"{r.system_path}: {r.found_frames} frames, {r.found_natoms} atoms" for r in found))
+    named = rows.select("system_path", F.col("system_index").cast("long").alias("system_id"), "block", "label")
+    if type_map is None:
+        type_map = [r.element for r in dataset.type_map_union(systems.join(named, "system_path"), "system_id", "type_map").orderBy("type").collect()]  # a few hundred
+    placed = (discovery.limited(headers, most) if most else headers).join(named, "system_path")
+    return sinks.write_indexed_archive(placed, folder, type_map)
 
 
 def converted_calculations(spark: SparkSession, root: str, folder: str, type_order: list[str], require_tag: bool = False, require_finished: bool = False, most: int | None = None, frames_per_set: int = 5000) -> tuple[DataFrame, DataFrame]:
@@ -39,7 +64,7 @@ def converted_calculations(spark: SparkSession, root: str, folder: str, type_ord
     scan = select.natural_top(scan, "system", "frame", most) if most else scan
     parts = F.split("folder", "/")
     found = structures.read_calculations(spark, root).withColumns({"system": F.element_at(parts, -2), "frame": F.element_at(parts, -1)})
-    mine = found.join(scan, ["system", "frame"], "left_semi")
+    mine = session.written(found.join(scan, ["system", "frame"], "left_semi"), "parsed")  # outputs are parsed once
     canon = F.array(*[F.lit(x) for x in type_order])
     unknown = mine.where("structure_error is null").where(F.size(F.array_except("elements", canon)) > 0)
     if not unknown.isEmpty():
@@ -54,10 +79,11 @@ def converted_calculations(spark: SparkSession, root: str, folder: str, type_ord
     return written, summary
 
 
-def split_dataset(spark: SparkSession, roots: list[str], folder: str, ratio: float = 0.1, seed: int = 0) -> tuple[DataFrame, DataFrame]:
+def split_dataset(spark: SparkSession, roots: list[str], folder: str, ratio: float = 0.1, seed: int = 0, broken: str = "raise") -> tuple[DataFrame, DataFrame]:
     """Train and test datasets in the new folders ``folder``/train and /test, each system split on its own: the written sets
-    (role, group_name, set_name, frames), and the numbers of frames of each system and of all."""
-    frames = groups.read_frame_groups(spark, roots).where("error is null")
+    (role, group_name, set_name, frames), and the numbers of frames of each system and of all. Sets that cannot be read are
+    an error or, with broken='leave', left out (``inspected`` counts them)."""
+    frames = groups.whole(groups.read_frame_groups(spark, roots), broken)
     named = frames.withColumn("__frame", F.concat_ws("/", "set_name", "frame_in_set"))
     split = index.train_test_split(named, ["system_path"], "__frame", ratio, seed).drop("__frame")
     out = None
@@ -79,25 +105,61 @@ def predicted_structures(spark: SparkSession, root: str, factory: inference.Fact
         keyed = keyed.withColumn("reason", F.lit(None).cast("string"))
     why = keyed.withColumn("reason", F.coalesce("reason", "error"))
     todo = why.where("reason is null").withColumn("type_map", F.array(*[F.lit(x) for x in type_map]))
-    todo = todo.orderBy("path").limit(most) if most else todo
+    if most:
+        folder = todo.withColumn("__folder", F.regexp_replace("path", "/[^/]*$", "")).withColumn("__system", F.regexp_replace("__folder", "/[^/]*$", ""))
+        todo = select.natural_top(folder, "__system", "__folder", most).drop("__folder", "__system")
     return inference.predict(todo, factory, ["path"]), why.where("reason is not null").select("path", "reason")
 
 
 @dataclass
 class Evaluation:
-    frames: DataFrame  # predictions next to the references
+    systems: DataFrame  # every system that was evaluated whole, with its errors, rate and worst flags
     levels: DataFrame  # errors of every system, family and the whole
+    errors: DataFrame  # systems that fell out, with the reason
     status: DataFrame  # one row: systems, errors, PASS, PARTIAL or FAIL
-
-
-def evaluated(frames: DataFrame, factory: inference.Factory, key: list[str], family: str = "label", virial: bool = False, continue_on_error: bool = False) -> Evaluation:
-    """A model against frames (key, system_path, family, natoms, types, type_map, coord, box, energy, force, virial). Frames
-    that cannot be predicted are no part of the errors and make the status PARTIAL or FAIL."""
-    truth = frames.select(*key, "system_path", family, "natoms", *[F.col(x).alias(f"{x}_true") for x in ("energy", "force", "virial")])
-    both = truth.join(inference.predict(frames, factory, key), key)
-    levels = metrics.metrics_by_level(both.where("skipped is null"), family, "system_path", virial)
-    systems = both.groupBy("system_path").agg(F.max("skipped").alias("error"))
-    return Evaluation(both, levels, metrics.evaluation_status(systems, continue_on_error))
+    run: dict  # frames, seconds in the model, seconds of the run, frames_per_second
+
+
+def evaluated(frames: DataFrame, factory: inference.Factory, family: str = "block", continue_on_error: bool = False, atoms_per_batch: int = 20_000, frames_per_batch: int = 0) -> Evaluation:
+    """A model against frames (system_path, family, natoms, types, type_map, coord, box, energy, force, and optional virial and
+    error). The model sees each frame once: tasks hand on sums only. A system of which a frame cannot be read, is not
+    finite or cannot be predicted falls out whole and is an error; the status is PASS, PARTIAL (errors that were to be
+    passed over) or FAIL, also where nothing was evaluated."""
+    began = time.perf_counter()
+    blank = "unknown" if family == "block" else "unlabeled"
+    named = frames.withColumn(family, F.coalesce(F.nullif(F.trim(family), F.lit("")), F.lit(blank)))
+    seen = Observation("evaluation")
+    parts = inference.error_sums(named, factory, ["system_path", family], atoms_per_batch, frames_per_batch)
+    parts = parts.observe(seen, F.sum("frames").alias("frames"), F.sum("seconds").alias("seconds"))
+    sums = session.written(parts, "error-sums").groupBy("system_path").agg(
+        F.min(family).alias(family), F.sum("frames").alias("frames"), F.sum("batches").alias("batches"), F.sum("seconds").alias("seconds"), *[F.sum(c).alias(c) for c in inference.SUMS], F.max("error").alias("error"),
+    )
+    sums = session.written(sums, "system-sums")
+    good, virial = sums.where("error is null"), sums.agg(F.sum("virial_n")).first()[0] or 0
+    levels = metrics.levels_of_sums(good, family, "system_path", bool(virial))
+    rates = good.select("system_path", "batches", "seconds", (F.col("frames") / F.nullif("seconds", F.lit(0.0))).alias("frames_per_second"))
+    placed = index.global_index(levels.where("level = 'system'").drop("level", "systems").join(rates, "system_path"), ["system_path"], "index")
+    flagged = metrics.worst_flags(placed, "index", "energy_rmse_meV_per_atom", "force_rmse_meV_per_A")
+    took, figures = time.perf_counter() - began, seen.get
+    run = {"frames": figures["frames"] or 0, "seconds": figures["seconds"] or 0.0, "wall_seconds": took, "frames_per_second": (figures["frames"] or 0) / took}
+    return Evaluation(flagged, levels, sums.where("error is not null").select("system_path", family, "error"), metrics.evaluation_status(sums, continue_on_error), run)
+
+
+def evaluated_dataset(spark: SparkSession, factory: inference.Factory, roots: list[str] | None = None, manifest: str | None = None, family: str = "block", most_systems: int = 0, most_frames: int = 0, **options) -> Evaluation:
+    """``evaluated`` over the groups below ``roots`` (their block is unknown) or of a ``manifest`` (a path), of which only the
+    first systems, by path or index, and the first frames of each are taken if so asked."""
+    if manifest is not None:
+        rows, errors = records.read_system_manifest(spark, manifest)
+        if found := [r.code for r in errors.collect()]:
+            raise ValueError(f"{manifest}: {', '.join(sorted(found))}")
+        listed = rows.select(F.lit("").alias("root"), F.col("system_path").alias("folder"), "block", "label", F.col("system_index").alias("place"))
+    else:
+        listed = discovery.group_folders(spark, roots or []).withColumns({"block": F.lit("unknown"), "label": F.lit(""), "place": F.col("folder")})
+    listed = session.written(listed.orderBy("place").limit(most_systems) if most_systems else listed, "listed")
+    headers = discovery.index_folders(listed)
+    headers = discovery.limited(headers, most_frames) if most_frames else headers
+    headers = discovery.saved_index(headers.join(listed.select(F.col("folder").alias("system_path"), "block", "label"), "system_path"))
+    return evaluated(groups.read_indexed(headers), factory, family, **options)
 
 
 @dataclass
@@ -164,3 +226,9 @@ def scheduler_summary(snapshots: dict[str, tuple[DataFrame, str, str]], targets:
         every = rows if every is None else every.unionByName(rows)
     summary = campaign.job_summary(every)
     return summary, campaign.cross_target_summary(targets, summary)
+
+
+def validated_dataset(spark: SparkSession, root: str) -> DataFrame:
+    """(group_name, code) of a converted dataset on disk: its summaries (convert_summary.json of the root with ``groups``, or of
+    each group), text arrays, array headers and type files. A root without a summary has the code summary_missing."""
+    return dataset.validate_dataset(*converted.read_dataset(spark, root)) if converted.has_summary(spark, root) else spark.createDataFrame([(None, "summary_missing")], "group_name string, code string")

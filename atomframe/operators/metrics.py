@@ -54,6 +54,14 @@ def metrics_by_level(df: DataFrame, family: str = "family", system: str = "syste
     return sets.agg(level.alias("level"), F.count("*").alias("frames"), *metric_columns(virial))
 
 
+def levels_of_sums(sums: DataFrame, family: str, system: str, virial: bool = False) -> DataFrame:
+    """``metrics_by_level`` of rows that hold sums already (as ``frame_sums`` names them, with ``frames``)."""
+    named = sums.withColumn(family, F.coalesce(F.nullif(F.trim(F.col(family)), F.lit("")), F.lit("unlabeled")))
+    sets = named.groupingSets([[F.col(family), F.col(system)], [F.col(family)], []], F.col(family), F.col(system))
+    level = F.when(F.grouping(system) == 0, "system").when(F.grouping(family) == 0, "family").otherwise("overall")
+    return sets.agg(level.alias("level"), F.count_distinct(system).alias("systems"), F.sum("frames").alias("frames"), F.sum("force_n").alias("force_components"), F.sum("virial_n").alias("virial_components"), *metric_columns(virial))
+
+
 def worst_flags(df: DataFrame, index: str, *metrics: str) -> DataFrame:
     """Adds ``is_worst_<metric>``: the first row, by ``index``, with the largest value. Only two aggregates are gathered."""
     best = df.agg(*[F.max_by(index, F.struct(F.coalesce(m, F.lit(-math.inf)), -F.col(index))).alias(f"__{m}") for m in metrics])
@@ -62,9 +70,10 @@ def worst_flags(df: DataFrame, index: str, *metrics: str) -> DataFrame:
 
 
 def evaluation_status(systems: DataFrame, continue_on_error: bool = False) -> DataFrame:
-    """One row: systems, errors and FAIL, PARTIAL or PASS from a table with an ``error`` column."""
+    """One row: systems, errors and FAIL, PARTIAL or PASS from a table with an ``error`` column. Where no system is good, or
+    there is none, it is FAIL."""
     bad = F.count_if(F.col("error").isNotNull())
-    status = F.when(bad == 0, "PASS").when(F.lit(continue_on_error), "PARTIAL").otherwise("FAIL")
+    status = F.when(F.count_if(F.col("error").isNull()) == 0, "FAIL").when(bad == 0, "PASS").when(F.lit(continue_on_error), "PARTIAL").otherwise("FAIL")
     return systems.agg(F.count("*").alias("systems"), bad.alias("errors"), status.alias("status"))
 
 

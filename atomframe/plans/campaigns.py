@@ -137,22 +137,31 @@ select name, event_id, state from e qualify row_number() over (partition by name
 """
 
 
+#: Raw states of schedulers, with and without suffixes.
+RAW_STATES = [
+    "PENDING", "CONFIGURING", "RUNNING", "RESIZING", "COMPLETING", "SUSPENDED", "COMPLETED", "FAILED", "CANCELLED", "CANCELLED by 7", "CANCELLED+", "TIMEOUT", "NODE_FAIL", "OUT_OF_MEMORY", "PREEMPTED", "BOOT_FAIL", "DEADLINE",
+    "STAGE_OUT", "SIGNALING", "RESV_DEL_HOLD", "REQUEUED", "FAILED_NODE", "running ", "Q", "H", "W", "T", "R", "E", "C", "F", "S", "odd", "",
+]
+
+
 def state_profiles(spark, sf_dir):
     """Every raw state of the events through all profiles."""
-    e = table(spark, sf_dir, "events").select(F.element_at(F.array(*[F.lit(x) for x in ("CONFIGURING", "SUSPENDED", "CANCELLED by 7", "BOOT_FAIL", "C", "F", "S", "R", "COMPLETED", "odd")]), (F.col("event_id") % 10 + 1).cast("int")).alias("state"), (F.col("event_id") % 20 < 10).cast("int").alias("code"))
-    return e.groupBy("state", "code").agg(F.count("*").alias("n")).withColumns({"slurm": states.mapped_status("state", "slurm"), "submit": states.mapped_status("state", "slurm_submit"), "pbs": states.mapped_status("state", "pbs", "code"), "controller_slurm": states.mapped_status("state", "controller_slurm"), "controller_pbs": states.mapped_status("state", "controller_pbs"), "pbs_flow": states.mapped_status("state", "pbs_flow", "code")})
+    n = len(RAW_STATES)
+    e = table(spark, sf_dir, "events").select(F.element_at(F.array(*[F.lit(x) for x in RAW_STATES]), (F.col("event_id") % n + 1).cast("int")).alias("state"), (F.col("event_id") % (2 * n) < n).cast("int").alias("code"))
+    profiles = {"slurm": "slurm", "submit": "slurm_submit", "pbs": "pbs", "controller_slurm": "controller_slurm", "controller_pbs": "controller_pbs", "pbs_flow": "pbs_flow"}
+    return e.groupBy("state", "code").agg(F.count("*").alias("n")).withColumns({c: states.mapped_status("state", p, "code") for c, p in profiles.items()})
 
 
-PROFILES_SQL = """
-with e as (select ['CONFIGURING', 'SUSPENDED', 'CANCELLED by 7', 'BOOT_FAIL', 'C', 'F', 'S', 'R', 'COMPLETED', 'odd'][event_id % 10 + 1] as state, (event_id % 20 < 10)::int as code from events)
+PROFILES_SQL = f"""
+with e as (select {RAW_STATES!r}[event_id % {len(RAW_STATES)} + 1] as state, (event_id % {2 * len(RAW_STATES)} < {len(RAW_STATES)})::int as code from events), u as (select *, upper(trim(state)) as s, regexp_extract(upper(trim(state)), '^[^ +]*') as h from e)
 select state, code, count(*) as n,
-  case state when 'CONFIGURING' then 'submitted' when 'SUSPENDED' then 'running' when 'CANCELLED by 7' then 'failed' when 'COMPLETED' then 'finished' else 'unknown' end as slurm,
-  case state when 'CONFIGURING' then 'running' when 'CANCELLED by 7' then 'failed' when 'BOOT_FAIL' then 'failed' when 'COMPLETED' then 'finished' else 'submitted' end as submit,
-  case when state in ('C', 'F') then case when code = 0 then 'finished' else 'failed' end when state = 'R' then 'running' else 'unknown' end as pbs,
-  case state when 'CONFIGURING' then 'submitted' when 'SUSPENDED' then 'running' when 'BOOT_FAIL' then 'failed' when 'COMPLETED' then 'finished' else '' end as controller_slurm,
-  case state when 'R' then 'running' when 'C' then 'finished' else '' end as controller_pbs,
-  case state when 'R' then 'running' when 'C' then case when code = 0 then 'finished' else 'failed' end else 'submitted' end as pbs_flow
-from e group by 1, 2
+  case when h in ('PENDING', 'CONFIGURING') then 'submitted' when h in ('RUNNING', 'RESIZING', 'COMPLETING', 'SUSPENDED') then 'running' when h = 'COMPLETED' then 'finished' when h in ('FAILED', 'CANCELLED', 'TIMEOUT', 'NODE_FAIL', 'OUT_OF_MEMORY', 'PREEMPTED') then 'failed' else 'unknown' end as slurm,
+  case when s in ('RUNNING', 'COMPLETING', 'STAGE_OUT', 'SIGNALING', 'CONFIGURING') then 'running' when s = 'COMPLETED' then 'finished' when regexp_matches(s, '^(FAILED|CANCELLED|TIMEOUT|NODE_FAIL|OUT_OF_MEMORY|PREEMPTED|BOOT_FAIL|DEADLINE)') then 'failed' else 'submitted' end as submit,
+  case when s in ('Q', 'H', 'W', 'T') then 'submitted' when s in ('R', 'E') then 'running' when s in ('C', 'F') then case when code = 0 then 'finished' else 'failed' end else 'unknown' end as pbs,
+  case when s in ('PENDING', 'CONFIGURING') then 'submitted' when s in ('RUNNING', 'COMPLETING', 'SUSPENDED') then 'running' when s = 'COMPLETED' then 'finished' when s in ('FAILED', 'CANCELLED', 'TIMEOUT', 'NODE_FAIL', 'OUT_OF_MEMORY', 'PREEMPTED', 'BOOT_FAIL') then 'failed' else '' end as controller_slurm,
+  case when s in ('Q', 'H', 'W', 'T') then 'submitted' when s in ('R', 'E') then 'running' when s = 'C' then 'finished' else '' end as controller_pbs,
+  case when s in ('R', 'E') then 'running' when s = 'C' then case when code = 0 then 'finished' else 'failed' end else 'submitted' end as pbs_flow
+from u group by 1, 2, s, h
 """
 
 
@@ -186,7 +195,9 @@ def targets(spark, sf_dir):
 
 
 def archive_reconcile(spark, sf_dir):
-    return C.reconciled(entries(spark, sf_dir), targets(spark, sf_dir), scan(spark, sf_dir)).select("system", "frame", "result", "reason")
+    """Every scan row comes twice."""
+    twice = scan(spark, sf_dir).unionByName(scan(spark, sf_dir))
+    return C.reconciled(entries(spark, sf_dir), targets(spark, sf_dir), twice).select("system", "frame", "result", "reason")
 
 
 RECONCILE_BODY = f"""
@@ -250,7 +261,20 @@ from p
 """
 
 
+def recovery_from_documents(spark, sf_dir):
+    """Entries read from JSON documents, which name their jobs under one of six fields."""
+    from atomframe.sources import records
+
+    e = entries(spark, sf_dir).withColumn("k", F.col("frame").cast("long") % 6)
+    own = F.element_at(F.array(*[F.lit(x) for x in C.IDENTIFIERS]), (F.col("k") + 1).cast("int"))
+    text = F.concat(F.lit('{"entries":[{"system_name":"'), "system", F.lit('","frame":"'), "frame", F.lit('","target":"'), "target", F.lit('","status":"'), "status", F.lit('","'), own, F.lit('":"'), "job_id", F.lit('"}]}'))
+    read, _ = records.campaign_entries(e.select(F.concat("frame", F.lit("/"), "target").alias("file"), text.alias("text")))
+    plan = C.recovery_plan(read, targets(spark, sf_dir), scan(spark, sf_dir), active_jobs(spark, sf_dir))
+    return plan.select([c for c in PLAN if c != "job_id"])
+
+
 RECOVERY_SQL = _recovery_sql("select * replace (nullif(target, '') as target) from en")
+RECOVERY_DOCUMENTS_SQL = f"select system, frame, target, action, reason, new_status, recovered_previous_status from ({RECOVERY_SQL})"
 ONE_TARGET_SQL = _recovery_sql("select * replace ('F' as target) from en")
 
 
@@ -265,3 +289,6 @@ WORKDIR_SQL = "select o_orderkey, case when o_orderkey % 5 in (3, 4) then 's' ||
 
 QUERIES = {f.__name__: f for f in (status_counts, unit_rollup, host_matrix, completed_campaigns, manifest_header, conversion_units, normalised_records, job_summary, cross_target_summary, preferred_job, state_profiles, archive_reconcile, archive_report, cross_target_duplicates, recovery_plan, recovery_one_target, workdir_keys)}
 ORACLES = dict(zip(QUERIES, (COUNTS_SQL, ROLLUP_SQL, HOST_SQL, COMPLETED_SQL, HEADER_SQL, UNITS_SQL, NORMALISED_SQL, JOB_SQL, CROSS_SQL, PREFERRED_SQL, PROFILES_SQL, RECONCILE_SQL, REPORT_SQL, DUPLICATES_SQL, RECOVERY_SQL, ONE_TARGET_SQL, WORKDIR_SQL), strict=True))
+
+QUERIES["recovery_from_documents"] = recovery_from_documents
+ORACLES["recovery_from_documents"] = RECOVERY_DOCUMENTS_SQL

@@ -98,10 +98,10 @@ def coverage_diff(spark, sf_dir):
 COVERAGE_SQL = """
 with k as (select p_partkey from part union all select p_partkey from part where p_partkey % 97 = 1),
 pa as (select p_partkey, case when p_partkey % 50 = 0 then '/other/' else '/root/' end || case when p_partkey % 11 = 0 then 'Test_a/' else '' end || p_partkey as path from (select distinct p_partkey from k union select distinct l_partkey + 20 from lineitem)),
-a as (select path, count(*) as n from k join pa using (p_partkey) where p_partkey % 11 <> 0 group by 1),
+a as (select path, count(*) as n from k join pa using (p_partkey) group by 1),
 b as (select path, true as there from (select distinct l_partkey + 20 as p_partkey from lineitem where l_quantity > 30 or l_partkey % 3 = 0) join pa using (p_partkey) where p_partkey % 11 <> 0),
 c as (select coalesce(a.path, b.path) as path, n, there from a full join b on a.path = b.path)
-select path, 'duplicate' as code from c where n > 1 union all select path, 'missing' from c where there is null union all select path, 'unlisted' from c where n is null
+select path, 'duplicate' as code from c where n > 1 union all select path, case when path like '%Test%' then 'not_scanned' else 'missing' end from c where there is null union all select path, 'unlisted' from c where n is null
 union all select path, 'outside_root' from c where n is not null and path not like '/root/%'
 """
 
@@ -289,6 +289,49 @@ d as (select p.label, p.a as atom_a, q.a as atom_b, (p.x - q.x) - 6 * round_even
 select label, atom_a, atom_b, round(sqrt(dx * dx + dy * dy + dz * dz), 6) as distance from d where sqrt(dx * dx + dy * dy + dz * dz) < 0.6
 """
 
+def range_notation(spark, sf_dir):
+    """Ranges of systems in their notation, one text for each customer's orders, with gaps, overlaps, negative and malformed
+    ones and wrong last ends: everything that is wrong."""
+    o = table(spark, sf_dir, "orders").withColumn("k", F.col("o_orderkey"))
+    start = F.col("k") * 10 + F.when(F.col("k") % 37 == 0, 3).otherwise(0)
+    end = F.col("k") * 10 + F.when(F.col("k") % 41 == 0, -5).when(F.col("k") % 5 == 4, 60).otherwise(10)
+    raw = F.when(F.col("k") % 43 == 0, F.concat("k", F.lit(":x:0.5"))).when(F.col("k") % 47 == 0, F.concat("k", F.lit(":1"))).otherwise(F.concat_ws(":", start, end, F.lit(" 0.25 ")))
+    texts = o.groupBy("o_custkey").agg(F.concat_ws(";", F.lit("prob_sys_size"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("k", raw.alias("raw")))), lambda x: x.raw), " ; "), F.lit("")).alias("text"), F.max("k").alias("last"))
+    parsed = D.parsed_ranges(texts, "o_custkey", "text").join(texts.select("o_custkey", (F.col("last") * 10 + 10).alias("total")), "o_custkey")
+    return D.range_errors(parsed, "o_custkey", "position", "start", "end", "total")
+
+
+RANGE_NOTATION_SQL = """
+with o as (select o_custkey, o_orderkey as k, k * 10 + case when k % 37 = 0 then 3 else 0 end as a, k * 10 + case when k % 41 = 0 then -5 when k % 5 = 4 then 60 else 10 end as b, k % 43 = 0 or k % 47 = 0 as bad from orders),
+g as (select *, coalesce(lag(b) over (partition by o_custkey order by k), 0) as before, row_number() over (partition by o_custkey order by k desc) = 1 as final from o where not bad),
+m as (select o_custkey, max(k) * 10 + 10 as total from o group by 1)
+select o_custkey, 'range_gap' as code, before || ' ' || a as detail from g where before <> a union all select o_custkey, 'range_negative', a || ' ' || b from g where b < a
+union all select o_custkey, 'range_malformed', k || case when k % 43 = 0 then ':x:0.5' else ':1' end from o where bad union all select o_custkey, 'range_end', total || ' ' || b from g join m using (o_custkey) where final and total <> b
+"""
+
+
+def systems_report(spark, sf_dir):
+    """Everything that is wrong with a list of systems (parts): paths, type maps, similar unlisted names."""
+    k = F.col("p_partkey")
+    part = table(spark, sf_dir, "part")
+    listed = part.where(k % 3 > 0).select(F.concat(F.lit("/r/s"), F.when(k % 29 == 0, "Test").otherwise(""), F.lpad(k.cast("string"), 7, "0")).alias("p"))
+    names = F.expr("case p_partkey % 13 when 0 then array('O', 'X') when 1 then array('H', 'O') when 2 then array('O', 'H', 'Z', 'Y') when 3 then array() when 4 then array('O') else array('O', 'H') end")
+    scanned = part.where(k % 3 < 2).select(F.concat(F.lit("/r/s"), F.lpad(k.cast("string"), 7, "0")).alias("p"), names.cast("array<string>").alias("type_map"))
+    out = D.systems_report(listed, scanned, "p", "/r", known=scanned.limit(0).select("p"), expected=["O", "H", "Z"])
+    return out.where("code <> 'similar'")
+
+
+SYSTEMS_REPORT_SQL = """
+with l as (select '/r/s' || case when p_partkey % 29 = 0 then 'Test' else '' end || lpad(p_partkey::varchar, 7, '0') as path from part where p_partkey % 3 > 0),
+s as (select '/r/s' || lpad(p_partkey::varchar, 7, '0') as path, case p_partkey % 13 when 0 then 'O,X' when 1 then 'H,O' when 2 then 'O,H,Z,Y' when 3 then '' when 4 then 'O' else 'O,H' end as names from part where p_partkey % 3 < 2)
+select case when path like '%Test%' then 'not_scanned' else 'missing' end as code, path, null as detail from l where path not in (select path from s) union all select 'unlisted', path, null from s where path not in (select path from l)
+union all select case names when 'O,X' then 'type_map_unknown' when 'H,O' then 'type_map' when 'O,H,Z,Y' then 'type_map_longer' else 'type_map_empty' end, path, names from s where names not in ('O', 'O,H')
+union all select 'type_map_count', names, count(*)::varchar from s where names in ('O', 'O,H') group by names
+"""
+
+
 QUERIES = {f.__name__: f for f in (composition_groups, element_counts, type_map_union, type_remap, typemap_counts, element_ordering, frames_by_label, coverage_diff, index_contiguity, range_contiguity, fuzzy_match, validation_report, nonfinite_shape_checks, inspect_datasets, inspect_root, declared_mismatches, composition_fallback, sha256_audit, wrap_positions, unwrapped_trajectories, close_contacts)}
 ORACLES = dict(zip(QUERIES, (GROUPS_SQL, ELEMENTS_SQL, UNION_SQL, REMAP_SQL, TYPEMAPS_SQL, ORDERING_SQL, LABELS_SQL, COVERAGE_SQL, CONTIGUOUS_SQL, RANGES_SQL, FUZZY_SQL, VALIDATION_SQL, CHECKS_SQL, INSPECT_SQL, ROOT_SQL, MISMATCH_SQL, FALLBACK_SQL, AUDIT_SQL, WRAP_SQL, UNWRAPPED_SQL, CONTACTS_SQL), strict=True))
 QUERIES["matching_blocks"] = matching_blocks
+QUERIES |= {"range_notation": range_notation, "systems_report": systems_report}
+ORACLES |= {"range_notation": RANGE_NOTATION_SQL, "systems_report": SYSTEMS_REPORT_SQL}

@@ -62,14 +62,14 @@ from e group by label
 
 
 def evaluation_status(spark, sf_dir):
-    """Systems (suppliers) fail if one of their frames has a discount of a tenth."""
-    li = table(spark, sf_dir, "lineitem").groupBy("l_suppkey").agg(F.when(F.max("l_discount") >= 0.1, "discount").alias("error"))
+    """Systems (suppliers) fail if one of their large frames has a discount of a tenth."""
+    li = table(spark, sf_dir, "lineitem").groupBy("l_suppkey").agg(F.when(F.max(F.when(F.col("l_quantity") > 48, F.col("l_discount"))) >= 0.1, "discount").alias("error"))
     return metrics.evaluation_status(li, continue_on_error=True)
 
 
 STATUS_SQL = """
-with s as (select l_suppkey, max(l_discount) >= 0.1 as bad from lineitem group by 1)
-select count(*) as systems, count(*) filter (bad) as errors, case when count(*) filter (bad) = 0 then 'PASS' else 'PARTIAL' end as status from s
+with s as (select l_suppkey, coalesce(max(l_discount) filter (l_quantity > 48) >= 0.1, false) as bad from lineitem group by 1)
+select count(*) as systems, count(*) filter (bad) as errors, case when count(*) filter (not bad) = 0 then 'FAIL' when count(*) filter (bad) = 0 then 'PASS' else 'PARTIAL' end as status from s
 """
 
 

@@ -8,9 +8,10 @@ import uuid
 import numpy as np
 from pyspark.sql import functions as F
 
+from atomframe import session
 from atomframe.operators import dataset, inference, jobs, select
 from atomframe.session import shared_folder, table
-from atomframe.sources import groups, records, sinks, structures
+from atomframe.sources import discovery, groups, records, sinks, structures
 
 CONVERGED, FOOTER = structures.CONVERGED, structures.FOOTER
 
@@ -138,7 +139,7 @@ def run_records(spark, sf_dir):
     """Run records of suppliers: in the frame's folder, among the collected records, in both places, or unreadable."""
     s = table(spark, sf_dir, "supplier").withColumn("k", F.col("s_suppkey") % 4)
     system, frame = F.concat(F.lit("system_"), F.col("s_nationkey")), F.concat(F.lit("frame_"), "s_suppkey")
-    text = lambda status: F.concat(F.lit('{"status":"'), status, F.lit('","sampling":{"start":1,"stride":2,"count":'), "s_suppkey", F.lit('},"paths":{"poscar":"/p/'), "s_suppkey", F.lit('"}}'))
+    text = lambda status: F.concat(F.lit('{\n"status":"'), status, F.lit('",\n"sampling":{"start":1,"stride":2,"count":'), "s_suppkey", F.lit('},"paths":{"poscar":"/p/'), "s_suppkey", F.lit('"}}'))
     own = s.where("k <> 1").select(F.concat(system, F.lit("/"), frame, F.lit("/frame_info.json")).alias("path"), F.when(F.col("k") == 3, "{").otherwise(text(F.lit("running"))).alias("text"))
     kept = s.where("k in (1, 2)").select(F.concat(system, F.lit("/frame_records/"), frame, F.lit(".json")).alias("path"), text(F.lit("finished")).alias("text"))
     out = folder(spark, "records")
@@ -161,7 +162,8 @@ def calculation_files(spark, sf_dir):
         F.struct(F.lit("OUTCAR").alias("name"), output_text().alias("body")),
         F.struct(F.when(F.col("vec_id") % 3 != 0, "tag_finished").alias("name"), F.lit("").alias("body")),
         F.struct(F.when(F.col("vec_id") % 13 == 0, "tag_failed").alias("name"), F.lit("").alias("body")),
-        F.struct(F.when(F.col("vec_id") % 2 == 0, "task_info.json").alias("name"), F.expr("""if(vec_id % 4 = 0, '{"status": " Finished"}', '{"status": "running"}')""").alias("body")),
+        F.struct(F.when(F.col("vec_id") % 2 == 0, "task_info.json").alias("name"), F.expr("""case when vec_id % 4 = 0 then '{"status": " Finished"}' when vec_id % 14 = 6 then '{"status": "FAILED"}' when vec_id % 14 = 10 then '{"status": ""}' else '{"status": "running"}' end""").alias("body")),
+        F.struct(F.when(F.col("vec_id") % 5 < 2, "frame_info.json").alias("name"), F.expr("""if(vec_id % 5 = 0, '{\n  "status": "failed"\n}', '{\n  "status": "planned"\n}')""").alias("body")),
     )
     out = folder(spark, "calculations")
     sinks.write_texts(s.select("base", F.explode(every).alias("f")).where("f.name is not null").select(F.concat("base", "f.name").alias("path"), F.col("f.body").alias("text")), out)
@@ -172,12 +174,14 @@ def marker_scan(spark, sf_dir):
     from atomframe.operators import campaign
 
     rows = structures.scan_markers(spark, calculation_files(spark, sf_dir), "t").withColumn("result", campaign.scan_result())
-    return rows.select("system", "frame", "tag_finished", "tag_failed", "task_info", "frame_info", "ediff_reached", "normal_footer", "task_status", "result")
+    return rows.select("system", "frame", "tag_finished", "tag_failed", "task_info", "frame_info", "ediff_reached", "normal_footer", "task_status", "status", "result")
 
 
 MARKER_SCAN_SQL = """
-select 'system_' || label as system, 'frame_' || vec_id as frame, vec_id % 3 <> 0 as tag_finished, vec_id % 13 = 0 as tag_failed, vec_id % 2 = 0 as task_info, false as frame_info, true as ediff_reached, true as normal_footer,
-  case vec_id % 4 when 0 then 'finished' when 2 then 'running' end as task_status, case when vec_id % 13 = 0 then 'failed' when vec_id % 3 <> 0 then 'success' else 'pending' end as result from embeddings
+with e as (select *, case when vec_id % 4 = 0 then 'finished' when vec_id % 2 = 1 then null when vec_id % 14 = 6 then 'failed' when vec_id % 14 = 10 then '' else 'running' end as task_status, case vec_id % 5 when 0 then 'failed' when 1 then 'planned' end as frame_status from embeddings),
+s as (select *, coalesce(nullif(task_status, ''), frame_status, '') as status from e)
+select 'system_' || label as system, 'frame_' || vec_id as frame, vec_id % 3 <> 0 as tag_finished, vec_id % 13 = 0 as tag_failed, vec_id % 2 = 0 as task_info, vec_id % 5 < 2 as frame_info, true as ediff_reached, true as normal_footer,
+  task_status, status, case when vec_id % 13 = 0 then 'failed' when vec_id % 3 <> 0 then 'success' when status = 'failed' then 'failed' else 'pending' end as result from s
 """
 
 
@@ -278,17 +282,44 @@ select frame_in_set, case when not failed then round(list_sum(v[1:3]) + 2 * list
 
 
 def evaluate_model(spark, sf_dir):
-    """The job: errors of that model against the frames' energies and forces, by system, family and as a whole."""
-    f = frames(spark, sf_dir).withColumn("label", F.when(F.col("system_path").rlike("[02468]$"), "even").otherwise(" "))
-    out = jobs.evaluated(f, model, ["frame_in_set"]).levels
-    return out.select("level", "label", "system_path", "frames", *[F.round(c, 6).alias(c) for c in ("energy_mae_eV", "energy_rmse_meV_per_atom", "force_rmse_eV_per_A")])
+    """The job: errors of that model against the frames' energies and forces, by system, family and as a whole. Systems with an
+    energy that is no number, with an element that the model lacks or with a set that could not be read fall out whole."""
+    f = frames(spark, sf_dir).withColumns({"system_path": F.concat("system_path", F.lit("/"), F.col("frame_in_set") % 40), "label": F.when(F.col("system_path").rlike("[02468]$"), "even").otherwise(" ")})
+    f = f.withColumns({"energy": F.when(F.col("frame_in_set") % 97 == 5, float("nan")).otherwise(F.col("energy")), "type_map": F.when(F.col("frame_in_set") % 89 == 7, F.array(F.lit("O"), F.lit("X"))).otherwise(F.col("type_map")), "error": F.when(F.col("frame_in_set") % 83 == 9, "broken")})
+    out = jobs.evaluated(f, model, "label", atoms_per_batch=50).levels
+    return out.select("level", "label", "system_path", "frames", "force_components", *[F.round(c, 6).alias(c) for c in ("energy_mae_eV", "energy_rmse_meV_per_atom", "force_rmse_eV_per_A", "virial_rmse_eV")])
+
+
+EVALUATED = f"""
+with {V}, f as (select 'sys' || label || '/' || vec_id % 40 as system_path, case when label % 2 = 0 then 'even' else 'unlabeled' end as label, case when vec_id % 2 = 0 then 2 else 3 end as natoms, v, vec_id from v),
+bad as (select distinct system_path from f where vec_id % 97 = 5 or vec_id % 89 = 7 or vec_id % 83 = 9),
+e as (select *, list_sum(v[1:3]) + 2 * list_sum(v[4:3 * natoms]) - v[21] as d, list_sum([(2 * v[i] - v[29 + i]) ** 2 for i in range(1, 3 * natoms + 1)]) as q, list_sum([(v[10 + i] - v[40 + i]) ** 2 for i in range(1, 10)]) as w from f where system_path not in (from bad))
+"""
+EVALUATE_SQL = EVALUATED + """
+select case when grouping(system_path) = 0 then 'system' when grouping(label) = 0 then 'family' else 'overall' end as level, label, system_path, count(*) as frames, cast(sum(3 * natoms) as bigint) as force_components, round(avg(abs(d)), 6) as energy_mae_eV,
+  round(sqrt(avg((d / natoms) ** 2)) * 1000, 6) as energy_rmse_meV_per_atom, round(sqrt(sum(q) / sum(3 * natoms)), 6) as force_rmse_eV_per_A, round(sqrt(sum(w) / (9 * count(*))), 6) as virial_rmse_eV from e group by grouping sets ((label, system_path), (label), ())
+"""
 
 
-EVALUATE_SQL = f"""
-with {V}, f as (select 'sys' || label as system_path, case when label % 2 = 0 then 'even' else 'unlabeled' end as label, case when vec_id % 2 = 0 then 2 else 3 end as natoms, v from v),
-e as (select *, list_sum(v[1:3]) + 2 * list_sum(v[4:3 * natoms]) - v[21] as d, list_sum([(2 * v[i] - v[29 + i]) ** 2 for i in range(1, 3 * natoms + 1)]) as q from f)
-select case when grouping(system_path) = 0 then 'system' when grouping(label) = 0 then 'family' else 'overall' end as level, label, system_path, count(*) as frames, round(avg(abs(d)), 6) as energy_mae_eV,
-  round(sqrt(avg((d / natoms) ** 2)) * 1000, 6) as energy_rmse_meV_per_atom, round(sqrt(sum(q) / sum(3 * natoms)), 6) as force_rmse_eV_per_A from e group by grouping sets ((label, system_path), (label), ())
+def evaluated_manifest(spark, sf_dir):
+    """The job over a manifest of frames on disk: the first frames of each system, with the flags of the worst."""
+    source, path = folder(spark, "toevaluate"), folder(spark, "manifests")
+    mixed = frames(spark, sf_dir).withColumn("types", F.expr("if(frame_in_set % 3 = 0, array(1, 0), types)")).withColumn("natoms", F.size("types"))
+    mixed = mixed.withColumns({a: F.slice(a, F.lit(1), 3 * F.col("natoms")) for a in ("coord", "force")})
+    groups.write_groups(mixed, source, frames_per_set=25)
+    sinks.write_manifest(jobs.manifest_of(spark, [source], block="b")[0], f"{path}/m.tsv")
+    found = jobs.evaluated_dataset(spark, model, manifest=f"{path}/m.tsv", most_frames=60)
+    systems = found.systems.select(F.element_at(F.split("system_path", "/"), -1).alias("name"), "block", "frames", F.round("force_rmse_eV_per_A", 6).alias("force"), "is_worst_force_rmse_meV_per_A", "is_worst_energy_rmse_meV_per_atom")
+    return systems.crossJoin(F.broadcast(found.status.select("status")))  # one row
+
+
+EVALUATED_MANIFEST_SQL = f"""
+with {V}, f as (select vec_id, case when vec_id % 3 = 0 then 'HO' when vec_id % 2 = 0 then 'OH' else 'OHH' end as c, case when vec_id % 3 = 0 or vec_id % 2 = 0 then 2 else 3 end as natoms, 'sys' || label as s, vec_id % 3 as t, v from v),
+r as (select *, row_number() over (partition by c order by s, t, vec_id) as k from f),
+e as (select c, natoms, case when c = 'HO' then 2 * list_sum(v[1:3]) + list_sum(v[4:6]) else list_sum(v[1:3]) + 2 * list_sum(v[4:3 * natoms]) end - v[21] as d, list_sum([(2 * v[i] - v[29 + i]) ** 2 for i in range(1, 3 * natoms + 1)]) as q from r where k <= 60),
+g as (select c, count(*) as frames, sqrt(sum(q) / sum(3 * natoms)) as force, sqrt(avg((d / natoms) ** 2)) as energy from e group by c)
+select case c when 'HO' then 'group_001_n2_h_o' when 'OH' then 'group_002_n2_o_h' else 'group_003_n3_o_h' end as name, 'b' as block, frames, round(force, 6) as force,
+  force = (select max(force) from g) as is_worst_force_rmse_meV_per_A, energy = (select max(energy) from g) as is_worst_energy_rmse_meV_per_atom, 'PASS' as status from g
 """
 
 
@@ -308,31 +339,150 @@ select role, case k when 0 then 'group_001_n2_o_h' else 'group_002_n3_o_h' end a
 
 
 def archived_files(spark, sf_dir):
-    """The job: manifest of frames on disk, archive, and what validation says of it."""
-    source, out = folder(spark, "toarchive"), folder(spark, "archive")
-    groups.write_groups(frames(spark, sf_dir), source, frames_per_set=70)
-    found = jobs.manifest_of(spark, [source], label="x")
-    report = sinks.write_archive(groups.read_frame_groups(spark, [source]), out, ["H", "O"])
-    return found.agg(F.sum("frames").alias("declared"), F.count("*").alias("systems"), F.array_join(F.sort_array(F.collect_list("relative_path")), ",").alias("paths")).crossJoin(F.broadcast(report.select(F.col("frames").alias("archived"), "natoms_max", "status")))
+    """The job: frames on disk, a manifest of them with blocks and labels, in another order than that of the paths, and its
+    archive of at most 70 frames of each system: all frames with number, system, block and label."""
+    source, out, path = folder(spark, "toarchive"), folder(spark, "archive"), folder(spark, "manifests")
+    groups.write_groups(frames(spark, sf_dir), source, frames_per_set=30)
+    rows, _ = jobs.manifest_of(spark, [source], label="x")
+    turned = rows.withColumns({"index": 1 - F.col("index"), "block": F.when(F.col("index") == 0, "").otherwise("late"), "label": F.when(F.col("index") == 0, "l").otherwise(""), "type_map": F.when(F.col("index") == 0, F.col("type_map")).otherwise(F.col("type_map"))})
+    sinks.write_manifest(turned, f"{path}/m.tsv")
+    jobs.archived_manifest(spark, f"{path}/m.tsv", out, ["H", "O"], most=70)
+    back = spark.read.parquet(f"{out}/frames")
+    return back.select("frame_index", "system_id", "block", "label", "natoms", "energy", F.array_join("types", "").alias("types"), F.element_at("force", -1).alias("fz"))
+
+
+ARCHIVED_SQL = f"""
+with {V}, f as (select *, vec_id % 2 as odd, row_number() over (partition by vec_id % 2 order by 'sys' || label, vec_id % 3, vec_id) - 1 as k from v), a as (select *, 1 - odd as system_id from f where k < 70)
+select row_number() over (order by system_id, k) - 1 as frame_index, system_id, case system_id when 0 then 'late' else 'unknown' end as block, case system_id when 0 then '' else 'l' end as label, 2 + odd as natoms, v[21] as energy, case odd when 0 then '10' else '100' end as types, v[35 + 3 * odd] as fz from a
+"""
+
 
+def archive_reports(spark, sf_dir):
+    """What the archive job and the inspection of the folder say: frames by block and label, bytes, virial frames."""
+    source, out, path = folder(spark, "toarchive"), folder(spark, "archive"), folder(spark, "manifests")
+    groups.write_groups(frames(spark, sf_dir).withColumn("virial", F.when(F.col("natoms") == 3, F.col("virial"))), source, frames_per_set=100)
+    rows, found = jobs.manifest_of(spark, [source], label="x")
+    sinks.write_manifest(rows.withColumn("block", F.concat(F.lit("b"), "natoms")), f"{path}/m.tsv")
+    report = jobs.archived_manifest(spark, f"{path}/m.tsv", out)
+    return report.select("status", "systems", "frames", "virial_frames", "natoms_min", "natoms_max", F.to_json("blocks").alias("blocks"), F.to_json("labels").alias("labels")).crossJoin(F.broadcast(found.select("atoms", "bytes", "type_maps", "errors", "valid")))
+
+
+ARCHIVE_REPORTS_SQL = """
+with n as (select vec_id % 2 as odd, count(*) as n, (count(*) + 99) // 100 as sets from embeddings group by 1)
+select 'PASS' as status, count(*) as systems, cast(sum(n) as bigint) as frames, cast(sum(n * odd) as bigint) as virial_frames, 2 as natoms_min, 3 as natoms_max, '{"b2":' || max(n) filter (odd = 0) || ',"b3":' || max(n) filter (odd = 1) || '}' as blocks,
+  '{"x":' || cast(sum(n) as bigint) || '}' as labels, cast(sum(n * (2 + odd)) as bigint) as atoms, cast(sum(sets * 128 * (4 + odd) + n * 8 * (10 + 6 * (2 + odd) + 9 * odd)) as bigint) as bytes, 1::bigint as type_maps, 0::bigint as errors, true as valid from n
+"""
+
+
+def group_headers(spark, sf_dir):
+    """The index of groups on disk, two for each supplier: one is whole, one in ten of the others has another number of
+    forces, one an unreadable type, one a repeated name and one lacks its energies."""
+    out = folder(spark, "headers")
+    rows = table(spark, sf_dir, "supplier").select("s_suppkey", F.explode(F.array(F.lit("a"), F.lit("b"))).alias("part"))
+
+    def write(batches):
+        for pdf in batches:
+            for k, part in zip(pdf["s_suppkey"], pdf["part"], strict=True):
+                n, atoms, bad = 1 + k % 4, 1 + k % 3, k % 10 if part == "b" else 0
+                base = f"{out}/{k % 7}/{k}{part}"
+                fs, _ = discovery.opened(base)
+                fs.create_dir(f"{base}/set.000", recursive=True)
+                arrays = {"coord": np.zeros((n, 3 * atoms)), "box": np.zeros((n, 9)), "energy": np.zeros(n), "force": np.zeros((n + (bad == 3), 3 * atoms))}
+                for name, values in arrays.items():
+                    if name != "energy" or bad != 9:
+                        with fs.open_output_stream(f"{base}/set.000/{name}.npy") as f:
+                            np.lib.format.write_array(f, values)
+                for name, text in (("type.raw", "x\n" if bad == 5 else "1\n" * atoms), ("type_map.raw", "H\nH\n" if bad == 7 else "H\nO\n")):
+                    with fs.open_output_stream(f"{base}/{name}") as f:
+                        f.write(text.encode())
+            yield pdf.groupby("part", as_index=False).agg(n=("s_suppkey", "size"))
+
+    rows.mapInPandas(write, "part string, n long").agg(F.sum("n")).collect()
+    index = discovery.index_groups(spark, [out])
+    return index.select(F.element_at(F.split("system_path", "/"), -1).alias("name"), "set_name", "frames", "natoms", F.array_join("elements", ",").alias("elements"), F.array_join("counts", ",").alias("counts"), "type_map_sha256", "bytes", "virial", F.regexp_extract("error", "^[A-Za-z]+: ([a-z_]+)", 1).alias("error"))
+
+
+GROUP_HEADERS_SQL = r"""
+with g as (select s_suppkey as k, p, 1 + s_suppkey % 4 as n, 1 + s_suppkey % 3 as atoms, case when p = 'b' then s_suppkey % 10 else 0 end as bad from supplier, (values ('a'), ('b')) x(p)),
+h as (select *, bad in (3, 9) as set_bad, bad in (5, 7) as group_bad from g)
+select k || p as name, case when not group_bad then 'set.000' end as set_name, case when not group_bad and not set_bad then n end::bigint as frames, case when not group_bad then atoms end::int as natoms, case when not group_bad then 'O' end as elements,
+  case when not group_bad then atoms::varchar end as counts, case when not group_bad then sha256('H' || chr(10) || 'O' || chr(10)) end as type_map_sha256, case when not group_bad and not set_bad then 512 + 8 * n * (6 * atoms + 10) end::bigint as bytes,
+  case when not group_bad and not set_bad then false end as virial, case bad when 3 then 'frame' when 5 then 'invalid' when 7 then 'type_map' when 9 then 'missing' end as error from h
+"""
+
+
+def filtered_frames(spark, sf_dir):
+    """Frames of one set name, within a range, of the groups on disk: the source reads no others."""
+    out = folder(spark, "groups")
+    groups.write_groups(frames(spark, sf_dir), out, frames_per_set=40)
+    back = groups.read_frame_groups(spark, [out], sets="error is null and set_name in ('set.001', 'set.002')", first=5, last=30, framesPerPartition="16")
+    return back.select(F.element_at(F.split("system_path", "/"), -1).alias("group_name"), "set_name", "frame_in_set", "energy")
 
-ARCHIVED_SQL = "select count(*) as declared, 2::bigint as systems, 'group_001_n2_o_h,group_002_n3_o_h' as paths, count(*) as archived, 3 as natoms_max, 'PASS' as status from embeddings"
+
+FILTERED_SQL = f"""
+with {V}, f as (select *, row_number() over (partition by vec_id % 2 order by 'sys' || label, vec_id % 3, vec_id) - 1 as k from v)
+select case vec_id % 2 when 0 then 'group_001_n2_o_h' else 'group_002_n3_o_h' end as group_name, 'set.00' || k // 40 as set_name, (k % 40)::int as frame_in_set, v[21] as energy from f where k // 40 in (1, 2) and k % 40 between 5 and 29
+"""
+
+
+def structure_round_trip(spark, sf_dir):
+    """Structures written as text, atoms regrouped by element and wrapped into the cell, and read back."""
+    v = vectors(spark, sf_dir).where("size(v) >= 9")
+    box = F.array(*[F.lit(float(x)) for x in (4, 0, 0, 0, 5, 0, 0, 0, 6)])
+    s = v.select("vec_id", F.lit(3).alias("natoms"), F.array(*[F.lit(x) for x in (1, 0, 1)]).alias("types"), F.array(F.lit("H"), F.lit("O")).alias("type_map"), F.slice("v", 1, 9).alias("coord"), box.alias("box"), F.concat(F.lit("t"), "vec_id").alias("title"))
+    out = folder(spark, "texts")
+    sinks.write_texts(sinks.structure_text(s, ["H", "O"]).select(F.concat(F.lit("s/"), "vec_id", F.lit("/POSCAR")).alias("path"), "text"), out)
+    back = structures.read_structures(spark, out)
+    return back.select(F.element_at(F.split("path", "/"), -2).cast("long").alias("vec_id"), F.array_join("elements", ",").alias("elements"), F.array_join("counts", ",").alias("counts"), *[F.round(F.pmod(F.round(F.col("coord")[k], 9), F.lit(float(d))), 5).alias(f"x{k}") for k, d in ((0, 4), (4, 5), (8, 6))])
+
+
+STRUCTURE_ROUND_SQL = f"""
+with {V}, w as (select vec_id, v[4] - 4 * floor(v[4] / 4) as a, v[2] - 5 * floor(v[2] / 5) as b, v[9] - 6 * floor(v[9] / 6) as c from v)
+select vec_id, 'H,O' as elements, '1,2' as counts, round(case when round(a, 9) = 4 then 0 else a end, 5) as x0, round(case when round(b, 9) = 5 then 0 else b end, 5) as x4, round(case when round(c, 9) = 6 then 0 else c end, 5) as x8 from w
+"""
+
+
+def validated_files(spark, sf_dir):
+    """Codes of converted groups on disk whose summaries were changed, or whose files were taken away."""
+    out = folder(spark, "dataset")
+    f = frames(spark, sf_dir).withColumns({"natoms": 2 + F.col("frame_in_set") % 5, "types": F.expr("concat(array(0), array_repeat(1, cast(1 + frame_in_set % 5 as int)))")})
+    f = f.withColumns({"coord": F.expr("array_repeat(0.5D, 3 * natoms)"), "force": F.expr("array_repeat(0.25D, 3 * natoms)"), "virial": F.when(F.col("natoms") != 4, F.col("virial"))})
+    groups.write_raw(groups.write_groups(f, out), out)
+    summary = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "convert_summary.json").text(out, wholetext=True)
+    name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
+    changed = summary.select(F.concat(name, F.lit("/convert_summary.json")).alias("path"), F.when(name.contains("_n3_"), F.regexp_replace("value", '"frames": ', '"frames_skipped": 1, "frames_selected": 7, "frames": ')).when(name.contains("_n5_"), F.regexp_replace("value", '"frames": [0-9]+', '"frames": 0')).otherwise(F.col("value")).alias("text"))
+    sinks.write_texts(session.written(changed, "summaries"), out)
+    return jobs.validated_dataset(spark, out)
+
+
+VALIDATED_SQL = """
+with g as (select 2 + vec_id % 5 as n, count(*) as frames from embeddings group by 1), m as (select 'group_00' || n - 1 || '_n' || n || '_o_h' as group_name, * from g)
+select group_name, 'skipped_frames' as code from m where n = 3 union all select group_name, 'selected_not_converted' from m where n = 3 and frames <> 7 union all select group_name, 'missing: virial' from m where n = 4
+union all select group_name, 'nothing_converted' from m where n = 5 union all select group_name, 'frame count mismatch: ' || a from m, (values ('coord'), ('box'), ('energy'), ('force'), ('virial')) x(a) where n = 5
+"""
 
 
 def dataset_checks(spark, sf_dir):
-    """Codes of a converted dataset made from parts: repeated compositions, skipped frames, unlike counts and totals."""
+    """Codes of a converted dataset made from parts: repeated or missing compositions, skipped frames, nothing converted, unlike
+    counts and totals, arrays that are missing."""
+    k = F.col("p_partkey")
     p = table(spark, sf_dir, "part")
-    g = p.select(F.concat(F.lit("g"), "p_partkey").alias("group_name"), F.array("p_brand").alias("elements"), F.when(F.col("p_partkey") % 50 == 0, F.array(F.col("p_partkey"), F.lit(1).cast("long"))).otherwise(F.array(F.col("p_partkey") - F.when(F.col("p_partkey") % 40 == 0, 1).otherwise(0))).alias("counts"), F.col("p_size").alias("selected"), (F.col("p_size") - F.when(F.col("p_partkey") % 30 == 0, 1).otherwise(0)).alias("converted"), F.when(F.col("p_partkey") % 30 == 0, 1).otherwise(0).alias("skipped"))
-    arrays = g.select("group_name", F.explode(F.array(*[F.lit(a) for a in dataset.ARRAYS])).alias("array"), F.col("converted").alias("raw_rows"), "converted").withColumn("npy_rows", F.col("converted") - F.when((F.col("array") == "force") & F.col("group_name").endswith("7"), 1).otherwise(0)).drop("converted")
+    counts = F.when(k % 50 == 0, F.array(k, F.lit(1).cast("long"))).otherwise(F.array(k - F.when(k % 40 == 0, 1).otherwise(0)))
+    elements = F.when(k % 60 == 7, F.array().cast("array<string>")).otherwise(F.array("p_brand"))
+    converted = F.when(k % 45 == 1, 0).otherwise(F.col("p_size") - F.when(k % 30 == 0, 1).otherwise(0))
+    g = p.select(F.concat(F.lit("g"), k).alias("group_name"), elements.alias("elements"), counts.alias("counts"), F.when(k % 45 == 1, 0).otherwise(F.col("p_size")).alias("selected"), converted.alias("converted"), F.when(k % 30 == 0, 1).otherwise(0).alias("skipped"))
+    arrays = g.where("group_name not like '%1'").select("group_name", F.explode(F.array(*[F.lit(a) for a in dataset.ARRAYS])).alias("array"), F.col("converted").alias("raw_rows"), "converted").withColumn("npy_rows", F.col("converted") - F.when((F.col("array") == "force") & F.col("group_name").endswith("7"), 1).otherwise(0)).drop("converted")
+    arrays = arrays.where("not (array = 'virial' and group_name like '%3')")
     totals = g.agg((F.count("*") + 1).alias("group_count"), F.sum("converted").alias("frames_converted"))
     return dataset.validate_dataset(g, arrays, totals)
 
 
 DATASET_CHECKS_SQL = """
-with g as (select 'g' || p_partkey as group_name, p_brand as e, case when p_partkey % 50 = 0 then [p_partkey, 1] else [p_partkey - case when p_partkey % 40 = 0 then 1 else 0 end] end as c, p_partkey as k from part),
-n as (select *, count(*) over (partition by e, c) as same from g)
-select group_name, 'duplicate_composition' as code from n where same > 1 union all select group_name, 'element_count_length' from g where len(c) <> 1 union all select group_name, 'selected_not_converted' from g where k % 30 = 0
-union all select group_name, 'skipped_frames' from g where k % 30 = 0 union all select group_name, 'frame count mismatch: force' from g where group_name like '%7' union all select null, 'group_count'
+with g as (select 'g' || p_partkey as group_name, case when p_partkey % 60 = 7 then [] else [p_brand] end as e, case when p_partkey % 50 = 0 then [p_partkey, 1] else [p_partkey - case when p_partkey % 40 = 0 then 1 else 0 end] end as c, p_partkey as k, case when p_partkey % 45 = 1 then 0 else p_size - case when p_partkey % 30 = 0 then 1 else 0 end end as n from part),
+n as (select *, count(*) over (partition by e, c) as same from g), a as (select unnest(['coord', 'box', 'energy', 'force', 'virial']) as array_name)
+select group_name, 'duplicate_composition' as code from n where same > 1 union all select group_name, 'composition_missing' from g where len(e) = 0 union all select group_name, 'element_count_length' from g where len(c) <> 1 and len(e) > 0
+union all select group_name, 'selected_not_converted' from g where k % 30 = 0 and k % 45 <> 1 union all select group_name, 'skipped_frames' from g where k % 30 = 0 union all select group_name, 'nothing_converted' from g where n <= 0
+union all select group_name, 'missing: ' || array_name from g, a where group_name like '%1' or (array_name = 'virial' and group_name like '%3') union all select group_name, 'frame count mismatch: force' from g where group_name like '%7' union all select null, 'group_count'
 """
 
 
@@ -349,5 +499,31 @@ select 'task_key' as kind, 'system_' || o_custkey || '/frame_' || (o_orderkey %
 union select 'task_key', 'system_' || c_custkey || '/frame_1' from customer where c_custkey % 3 = 0 union select 'path', '/p/' || c_custkey from customer where c_custkey % 3 = 1
 """
 
-QUERIES = {f.__name__: f for f in (group_files, group_summaries, structure_files, output_files, trajectory_files, run_records, marker_scan, converted_dataset, conversion_summary, manifest_files, published_table, report_files, role_lists, model_inference, evaluate_model, split_files, archived_files, dataset_checks, excluded_keys)}
-ORACLES = dict(zip(QUERIES, (GROUP_FILES_SQL, GROUP_SUMMARIES_SQL, STRUCTURE_FILES_SQL, OUTPUT_FILES_SQL, TRAJECTORY_SQL, RUN_RECORDS_SQL, MARKER_SCAN_SQL, CONVERTED_SQL, CONVERSION_SUMMARY_SQL, MANIFEST_FILES_SQL, PUBLISHED_SQL, REPORT_SQL, ROLE_LISTS_SQL, INFERENCE_SQL, EVALUATE_SQL, SPLIT_FILES_SQL, ARCHIVED_SQL, DATASET_CHECKS_SQL, EXCLUDED_KEYS_SQL), strict=True))
+ORACLES = {
+    "group_files": GROUP_FILES_SQL,
+    "group_summaries": GROUP_SUMMARIES_SQL,
+    "group_headers": GROUP_HEADERS_SQL,
+    "filtered_frames": FILTERED_SQL,
+    "structure_files": STRUCTURE_FILES_SQL,
+    "structure_round_trip": STRUCTURE_ROUND_SQL,
+    "output_files": OUTPUT_FILES_SQL,
+    "trajectory_files": TRAJECTORY_SQL,
+    "run_records": RUN_RECORDS_SQL,
+    "marker_scan": MARKER_SCAN_SQL,
+    "converted_dataset": CONVERTED_SQL,
+    "conversion_summary": CONVERSION_SUMMARY_SQL,
+    "manifest_files": MANIFEST_FILES_SQL,
+    "published_table": PUBLISHED_SQL,
+    "report_files": REPORT_SQL,
+    "role_lists": ROLE_LISTS_SQL,
+    "model_inference": INFERENCE_SQL,
+    "evaluate_model": EVALUATE_SQL,
+    "evaluated_manifest": EVALUATED_MANIFEST_SQL,
+    "split_files": SPLIT_FILES_SQL,
+    "archived_files": ARCHIVED_SQL,
+    "archive_reports": ARCHIVE_REPORTS_SQL,
+    "validated_files": VALIDATED_SQL,
+    "dataset_checks": DATASET_CHECKS_SQL,
+    "excluded_keys": EXCLUDED_KEYS_SQL,
+}
+QUERIES = {name: globals()[name] for name in ORACLES}

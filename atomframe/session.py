@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -44,3 +45,10 @@ def checkpointed(df):
     """``df`` with its lineage cut in the shared folder."""
     shared_folder(df.sparkSession)
     return df.checkpoint()
+
+
+def written(df, name: str):
+    """``df`` computed once, as Parquet in the shared folder, and read again."""
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -14,9 +14,9 @@ RECORD = "status string, system_name string, frame_name string, source_structure
 
 def whole_texts(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
     """file and text, one row for each file."""
-    reader = spark.read.option("wholetext", "true").option("recursiveFileLookup", "true")
+    reader = spark.read.option("recursiveFileLookup", "true")
     reader = reader.option("pathGlobFilter", pattern) if pattern else reader
-    return reader.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("text"))
+    return reader.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("text"))
 
 
 def lines(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
@@ -72,7 +72,12 @@ def system_manifest(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def read_system_manifest(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    return system_manifest(spark.read.csv(path, sep="\t", header=True))
+    """A manifest file, or a folder with one; relative paths in it are below its folder."""
+    rows = spark.read.csv(path, sep="\t", header=True)
+    below = path.rstrip("/").rpartition("/")[0]
+    own = F.trim("system_path")
+    absolute = own.rlike("^(/|[A-Za-z][A-Za-z0-9+.-]*:)") | (own == "")
+    return system_manifest(rows.withColumn("system_path", F.when(absolute, own).otherwise(F.concat(F.lit(f"{below}/"), F.regexp_replace(own, r"^(\./+)+", "")))))
 
 
 def job_rows(texts: DataFrame, kind: str) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import time
+import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -13,14 +14,16 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from atomframe.operators.dataset import validate_archive
 from atomframe.operators.index import global_index
 from atomframe.functions.expressions import element_order, inverse3, remapped, scaled, wrapped
+from atomframe.session import written
+from atomframe.sources import discovery, groups
 
 
-def archive_frames(frames: DataFrame, type_map: list[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
+def archive_frames(frames: DataFrame, type_map: list[str], broken: str = "raise") -> tuple[DataFrame, DataFrame, DataFrame]:
     """Globally indexed frames (by system, set and place) with types in the order of ``type_map``; the systems, and one
     row of metadata. ``frames`` as the group source gives them, with optional block and label. Elements that the type map
-    lacks are an error: no system is left out."""
+    lacks are an error, and so are sets that could not be read (``broken``: see ``groups.whole``): no system is left out."""
     canon = F.array(*[F.lit(x) for x in type_map])
-    have = frames.where("error is null") if "error" in frames.columns else frames
+    have = groups.whole(frames, broken)
     for c, default in (("block", "unknown"), ("label", "")):
         have = have.withColumn(c, F.coalesce(c, F.lit(default))) if c in have.columns else have.withColumn(c, F.lit(default))
     systems = have.groupBy("system_path").agg(F.count("*").alias("frames"), F.first("natoms").alias("natoms"), F.first("block").alias("block"), F.first("label").alias("label"), F.first(F.array_except("type_map", canon)).alias("missing"))
@@ -34,9 +37,10 @@ def archive_frames(frames: DataFrame, type_map: list[str]) -> tuple[DataFrame, D
     return out, ids, meta
 
 
-def write_archive(frames: DataFrame, folder: str, type_map: list[str]) -> DataFrame:
-    """Writes frames, systems and meta below ``folder`` (which must be new), frames in the order of their index; one row of report."""
-    out, ids, meta = archive_frames(frames, type_map)
+def write_archive(frames: DataFrame, folder: str, type_map: list[str], broken: str = "raise") -> DataFrame:
+    """Writes frames, systems and meta below ``folder`` (which must be new), frames in the order of their index; one row of
+    report, with the number of sets that were left out."""
+    out, ids, meta = archive_frames(frames, type_map, broken)
     n = int(frames.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     out.repartitionByRange(n, "frame_index").sortWithinPartitions("frame_index").write.mode("errorifexists").parquet(f"{folder}/frames")
     ids.write.mode("errorifexists").parquet(f"{folder}/systems")
@@ -45,7 +49,49 @@ def write_archive(frames: DataFrame, folder: str, type_map: list[str]) -> DataFr
     written = spark.read.parquet(f"{folder}/frames")
     errors = validate_archive(written, spark.read.parquet(f"{folder}/meta"))
     report = written.agg(F.count("*").alias("frames"), F.count_distinct("system_id").alias("systems"), F.count("virial").alias("virial_frames"), F.min("natoms").alias("natoms_min"), F.max("natoms").alias("natoms_max"))
-    return report.withColumn("status", F.lit("PASS" if errors.isEmpty() else "FAIL"))
+    out_of_it = groups.left_out(frames) if broken == "leave" else 0
+    return report.withColumns({"left_out": F.lit(out_of_it).cast("long"), "status": F.lit("PASS" if errors.isEmpty() else "FAIL")})
+
+
+def moved(spark: SparkSession, aside: str, path: str) -> None:
+    """``aside`` becomes ``path``, which must not be there, in one step."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = at(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(at(path)) or not fs.rename(at(aside), at(path)):
+        raise FileExistsError(path)
+
+
+def write_indexed_archive(index: DataFrame, folder: str, type_map: list[str]) -> DataFrame:
+    """An archive of the sets of ``index`` (see ``discovery``) with system_id, block and label, by system_id and set. Frame
+    numbers come from the sets' frames, so the frames are read once, in order, and neither numbered nor shuffled. Written
+    aside, validated and published in one step; one row of report."""
+    spark, canon = index.sparkSession, F.array(*[F.lit(x) for x in type_map])
+    placed = discovery.saved_index(discovery.placed(index, ["system_id", "set_name"]))
+    if bad := placed.where(F.size(F.array_except("type_map", canon)) > 0).select("system_path", F.array_except("type_map", canon).alias("missing")).first():
+        raise ValueError(f"{bad.system_path}: elements not in the type map: {list(bad.missing)}")
+    frames = groups.whole(groups.read_indexed(placed)).withColumn("frame_index", F.col("frame_start") + F.col("frame_in_set"))
+    aside = f"{folder.rstrip('/')}.staging-{uuid.uuid4().hex}"
+    frames.withColumn("types", remapped("types", "type_map", canon)).withColumn("type_map", canon).drop("error", "frame_start").write.parquet(f"{aside}/frames")
+    first = lambda c: F.first(c).alias(c)
+    systems = placed.groupBy("system_id", "system_path", "block", "label").agg(F.sum("frames").alias("frames"), first("natoms"), first("elements"), first("counts"), F.sum(F.when(F.col("virial"), F.col("frames")).otherwise(0)).alias("virial_frames"))
+    systems.write.parquet(f"{aside}/systems")
+    systems = spark.read.parquet(f"{aside}/systems")
+    systems.agg(F.sum("frames").alias("nframes"), F.count("*").alias("nsystems")).withColumn("type_map", canon).write.parquet(f"{aside}/meta")
+    errors = validate_archive(spark.read.parquet(f"{aside}/frames"), spark.read.parquet(f"{aside}/meta"))
+    if found := [r.asDict() for r in errors.limit(20).collect()]:
+        raise ValueError(f"not published: {json.dumps(found)}")
+    moved(spark, aside, folder)
+    return written(archive_summary(spark, folder), "archive-report")
+
+
+def archive_summary(spark: SparkSession, folder: str) -> DataFrame:
+    """One row of an archive: status, systems, frames, virial_frames, natoms_min and natoms_max, and the frames of each block
+    and of each label that is not blank (maps)."""
+    s = spark.read.parquet(f"{folder}/systems")
+    by = lambda c: s.groupBy(c).agg(F.sum("frames").alias("n")).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(c, "n")))).alias(f"{c}s"))
+    whole = s.agg(F.lit("PASS").alias("status"), F.count("*").alias("systems"), F.sum("frames").alias("frames"), F.sum("virial_frames").alias("virial_frames"), F.min("natoms").alias("natoms_min"), F.max("natoms").alias("natoms_max"))
+    labels = by("label").select(F.map_filter("labels", lambda k, v: k != "").alias("labels"))
+    return whole.crossJoin(F.broadcast(by("block"))).crossJoin(F.broadcast(labels))  # one row each
 
 
 def decimals(x: Column, digits: int) -> Column:

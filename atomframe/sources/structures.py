@@ -179,8 +179,9 @@ def list_files(spark: SparkSession, root: str) -> DataFrame:
 
 
 def scan_markers(spark: SparkSession, root: str, target: str) -> DataFrame:
-    """Marker rows of the frames (root/system/frame/...): which files are there, what the output says and the status in
-    task_info.json (task_status, lower case). File contents are read of the outputs and task_info files only."""
+    """Marker rows of the frames (root/system/frame/...): which files are there, what the output says, the status in
+    task_info.json (task_status, lower case), and status: that one or, where it is blank, that in frame_info.json. File
+    contents are read of the outputs and of these two files only."""
     every = list_files(spark, root)
     split = F.split("path", "/")
     at = lambda c, k: F.element_at(c, -k)
@@ -189,9 +190,11 @@ def scan_markers(spark: SparkSession, root: str, target: str) -> DataFrame:
     found = keyed.groupBy("system", "frame").agg(have("tag_finished").alias("tag_finished"), have("tag_failed").alias("tag_failed"), have("POSCAR").alias("poscar"), have("OUTCAR").alias("outcar"), have("task_info.json").alias("task_info"), have("frame_info.json").alias("frame_info"))
     text = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "OUTCAR").text(root).select(F.split(F.col("_metadata.file_path"), "/").alias("p"), "value")
     marks = text.groupBy(at(F.col("p"), 3).alias("system"), at(F.col("p"), 2).alias("frame")).agg(F.bool_or(F.col("value").contains(CONVERGED)).alias("ediff_reached"), F.bool_or(F.col("value").contains(FOOTER)).alias("normal_footer"))
-    info = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "task_info.json").option("wholetext", "true").text(root)
-    info = info.select(F.split(F.col("_metadata.file_path"), "/").alias("p"), F.lower(F.trim(F.get_json_object("value", "$.status"))).alias("task_status"))
-    info = info.select(at(F.col("p"), 3).alias("system"), at(F.col("p"), 2).alias("frame"), "task_status")
+    info = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "{task,frame}_info.json").text(root, wholetext=True)
+    info = info.select(F.split(F.col("_metadata.file_path"), "/").alias("p"), F.lower(F.trim(F.get_json_object("value", "$.status"))).alias("s"))
+    own = lambda name: F.max(F.when(at(F.col("p"), 1) == name, F.col("s")))
+    info = info.groupBy(at(F.col("p"), 3).alias("system"), at(F.col("p"), 2).alias("frame")).agg(own("task_info.json").alias("task_status"), own("frame_info.json").alias("__frame_status"))
     found = found.join(info, ["system", "frame"], "left")
-    out = found.join(marks, ["system", "frame"], "left").withColumn("target", F.lit(target)).withColumn("status", F.lit(""))
+    status = F.coalesce(F.nullif("task_status", F.lit("")), F.col("__frame_status"), F.lit(""))
+    out = found.join(marks, ["system", "frame"], "left").withColumn("target", F.lit(target)).withColumn("status", status).drop("__frame_status")
     return out.withColumns({c: F.coalesce(c, F.lit(False)) for c in ("ediff_reached", "normal_footer")})

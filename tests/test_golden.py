@@ -203,6 +203,51 @@ def test_profiles_of_the_controllers(spark):
     assert of("controller_slurm") == ["", "", "failed", "", ""]
 
 
+def test_states_that_schedulers_have_besides(spark):
+    df = spark.createDataFrame([(x,) for x in ("RESIZING", "STAGE_OUT", "SIGNALING", "DEADLINE", "NODE_FAIL_X", "RUNNING+")], "state string")
+    of = lambda p: [r[0] for r in df.select(states.mapped_status("state", p)).collect()]
+    assert of("slurm") == ["running", "unknown", "unknown", "unknown", "unknown", "running"]
+    assert of("slurm_submit") == ["submitted", "running", "running", "failed", "failed", "submitted"]
+
+
+def test_identifiers_in_extras_keep_a_job_alive(spark):
+    """Entries read from documents have their identifiers in a map, and no job_id column is needed."""
+    e = spark.createDataFrame([("s", str(k), "t", "running", {name: f"j{k}"}) for k, name in enumerate(campaign.IDENTIFIERS)] + [("s", "9", "t", "running", {"other": "j0"}), ("s", "10", "t", "running", None)], "system string, frame string, target string, status string, extras map<string,string>")
+    t = spark.createDataFrame([("t", True)], "target string, available boolean")
+    scan = spark.createDataFrame([], "target string, system string, frame string, result string")
+    jobs = spark.createDataFrame([("t", f"j{k}", "n") for k in range(9)], "target string, job_id string, name string")
+    got = {r.frame: r.action for r in campaign.recovery_plan(e, t, scan, jobs).collect()}
+    assert got == {str(k): "preserved_active" for k in range(6)} | {"9": "recovered_for_resubmit", "10": "recovered_for_resubmit"}
+
+
+def test_repeated_scan_rows_count_once(spark):
+    e = spark.createDataFrame([("s", "1", "t"), ("s", "2", "t")], "system string, frame string, target string")
+    t = spark.createDataFrame([("t", True)], "target string, available boolean")
+    scan = spark.createDataFrame([("t", "s", "1", "success", 1), ("t", "s", "1", "pending", 2), ("t", "s", "2", "failed", 4), ("t", "s", "2", "success", 3)], "target string, system string, frame string, result string, line int")
+    of = lambda **o: {r.frame: r.result for r in campaign.reconciled(e, t, scan, **o).collect()}
+    assert campaign.reconciled(e, t, scan).count() == 2 and of(order="line") == {"1": "pending", "2": "failed"} and of() == {"1": "success", "2": "success"}
+
+
+def test_a_status_without_a_tag_counts(spark, tmp_path):
+    for name, files in {"1": {"task_info.json": {"status": "Failed"}}, "2": {"task_info.json": {"status": ""}, "frame_info.json": {"status": "failed"}}, "3": {"task_info.json": {"status": "running"}, "frame_info.json": {"status": "failed"}}, "4": {"POSCAR": {}}}.items():
+        for f, text in files.items():
+            p = tmp_path / f"system_1/frame_{name}" / f
+            p.parent.mkdir(parents=True, exist_ok=True)
+            p.write_text(json.dumps(text, indent=2))
+    scan = structures.scan_markers(spark, str(tmp_path), "t").withColumn("result", campaign.scan_result())
+    assert {(r.frame[-1], r.status, r.result) for r in scan.collect()} == {("1", "failed", "failed"), ("2", "failed", "failed"), ("3", "running", "pending"), ("4", "", "pending")}
+
+
+def test_the_first_structures_are_taken_in_natural_order(spark, tmp_path):
+    from atomframe.operators import jobs
+
+    for k in (10, 2):
+        (tmp_path / f"frame_{k}").mkdir()
+        (tmp_path / f"frame_{k}/POSCAR").write_text(POSCAR)
+    got, _ = jobs.predicted_structures(spark, str(tmp_path), lambda: (["H", "O"], lambda c, b, t: (c.sum(axis=1), c, b)), ["H", "O"], most=1)
+    assert [r.path.split("/")[-2] for r in got.collect()] == ["frame_2"]
+
+
 def test_scheduler_tables(spark):
     text = lambda x: spark.createDataFrame([("a", x)], "file string, text string")
     r = records.job_rows(text("JOBID PARTITION NAME ST TIME\n123 standard vasp RUNNING 1:00\n\n"), "squeue").collect()
@@ -409,11 +454,11 @@ def test_structure_predictions_leave_out_what_is_excluded(spark, tmp_path):
 
 
 def test_systems_report(spark):
-    listed = spark.createDataFrame([("/r/sysA",), ("/r/sysB",), ("/r/sysB",)], "p string")
+    listed = spark.createDataFrame([("/r/sysA",), ("/r/sysB",), ("/r/sysB",), ("/r/Tests/sysC",)], "p string")
     scanned = spark.createDataFrame([("/r/sysA", ["O", "H"]), ("/r/sysBB", ["H"])], "p string, type_map array<string>")
     ranges = spark.createDataFrame([("g", 0, 0, 5, 9), ("g", 1, 6, 8, 9)], "`group` string, position int, start int, `end` int, total int")
     got = {(r.code, r.path, r.detail) for r in dataset.systems_report(listed, scanned, "p", "/r", ranges=ranges, expected=["O", "H"]).collect()}
-    assert got == {("duplicate", "/r/sysB", None), ("missing", "/r/sysB", None), ("unlisted", "/r/sysBB", None), ("similar", "/r/sysB", "/r/sysBB"), ("similar", "/r/sysB", "/r/sysA"), ("type_map", "/r/sysBB", "H"), ("range_gap", "g", "5 6"), ("range_end", "g", "9 8")}
+    assert got == {("duplicate", "/r/sysB", None), ("missing", "/r/sysB", None), ("unlisted", "/r/sysBB", None), ("not_scanned", "/r/Tests/sysC", None), ("similar", "/r/sysB", "/r/sysBB"), ("type_map", "/r/sysBB", "H"), ("type_map_count", "O,H", "1"), ("range_gap", "g", "5 6"), ("range_end", "g", "9 8")}
 
 
 def test_xyz_files_are_in_frame_order(spark, tmp_path):

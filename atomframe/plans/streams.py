@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 import uuid
 from functools import reduce
 
@@ -238,5 +239,59 @@ select 'entry_count' as code, 1::bigint as n from t, m where t.n <> m.n union al
 union all select 'system_id_out_of_range', 1 from t, m where s0 < 0 or s1 >= m.s union all select 'type_map_not_unique', 1 where len(list_distinct(['O', 'H', 'O'])) <> 3 union all select code, frames from v
 """
 
+def silent_users(spark, sf_dir):
+    """Users silent for six hours, by timers; a signup ends a user's activity without a word."""
+    rows = events(spark, sf_dir).withColumn("over", F.col("event_type") == "signup")
+    out = S.silences(rows, ["user_id"], "ts", datetime.timedelta(hours=6), "1 hour", "over")
+    return _times(S.drained(out, "append", _folder(spark, "silences")), "active_from", "silent_at")
+
+
+SILENT_SQL = """
+with e as (select user_id, ts, event_type = 'signup' as over from events), f as (select *, coalesce(over or lag(over) over w or ts - lag(ts) over w >= interval 6 hour, true) as fresh from e window w as (partition by user_id order by ts, over)),
+s as (select *, sum(fresh::int) over (partition by user_id order by ts, over rows unbounded preceding) as k from f), n as (select *, lead(over) over (partition by user_id order by ts, over) as ended, lead(ts) over (partition by user_id order by ts, over) as after from s),
+w as (select user_id, min(ts) as a, max(ts) as z, count(*) as events, bool_or(over) as over, arg_max(coalesce(ended and after - ts < interval 6 hour, false), ts) as told from n group by user_id, k)
+select user_id, strftime(a, '%Y-%m-%d %H:%M:%S') as active_from, strftime(z + interval 6 hour, '%Y-%m-%d %H:%M:%S') as silent_at, events from w
+where not over and not told and z + interval 6 hour <= (select date_trunc('millisecond', max(ts)) - interval 1 hour from events)
+"""
+
+
+def _seen(spark, sf_dir, precedence):
+    """Clicks and errors as records, views as job snapshots of the same user up to 3 hours later."""
+    e = events(spark, sf_dir)
+    tags = F.expr("case when event_id % 3 = 0 then '' when event_type = 'error' then 'failed' else 'finished' end").alias("status")
+    scheduler = F.expr("case event_id % 4 when 0 then '' when 1 then 'submitted' else 'running' end").alias("status")
+    out = S.seen_status(e.where("event_type in ('click', 'error')").select("user_id", "ts", tags), events(spark, sf_dir).where("event_type = 'view'").select("user_id", "ts", scheduler), "user_id", "3 hours", "1 hour", precedence)
+    return _times(S.drained(out, "append", _folder(spark, "seen")), "ts", "snapshot").select("user_id", "ts", "snapshot", "status")
+
+
+def seen_by_tags(spark, sf_dir):
+    return _seen(spark, sf_dir, "tags")
+
+
+def seen_by_scheduler(spark, sf_dir):
+    return _seen(spark, sf_dir, "scheduler")
+
+
+def _seen_sql(first, second):
+    return f"""
+with a as (select user_id, ts, case when event_id % 3 = 0 then '' when event_type = 'error' then 'failed' else 'finished' end as tags from events where event_type in ('click', 'error')),
+b as (select user_id, ts as snapshot, case event_id % 4 when 0 then '' when 1 then 'submitted' else 'running' end as scheduler from events where event_type = 'view'),
+m as (select least(max(ts) filter (event_type in ('click', 'error')), max(ts) filter (event_type = 'view')) - interval 1 hour as mark from events),
+j as (select a.user_id, ts, snapshot, tags, scheduler from a left join b on a.user_id = b.user_id and snapshot between ts and ts + interval 3 hour)
+select user_id, strftime(ts, '%Y-%m-%d %H:%M:%S') as ts, strftime(snapshot, '%Y-%m-%d %H:%M:%S') as snapshot, coalesce(nullif({first}, ''), nullif({second}, ''), '') as status from j, m where snapshot is not null or ts + interval 3 hour < mark
+"""
+
+
+def deduplicated_users(spark, sf_dir):
+    """Each user once within the watermark (two weeks, so once), of frames by their stride."""
+    named = events(spark, sf_dir).withColumn("frame", F.concat(F.lit("frame_"), "user_id"))
+    out = S.new_keys(S.strided(named, "frame", 3, 1), ["user_id"], "ts", "60 days").select("user_id", "frame")
+    return S.drained(out, "append", _folder(spark, "keys"))
+
+
+DEDUPLICATED_SQL = "select distinct user_id, 'frame_' || user_id as frame from events where user_id >= 1 and (user_id - 1) % 3 = 0"
+
 QUERIES = {f.__name__: f for f in (latest_status, incremental_candidates, inactivity, periodic_counts, sliding_counts, duplicate_jobs, log_metrics, progress_logs, campaign_documents, job_snapshots, exclusion_lists, exclusion_export, system_manifests, xyz_text_export, frame_archive, archive_validation)}
 ORACLES = dict(zip(QUERIES, (LATEST_SQL, CANDIDATES_SQL, INACTIVITY_SQL, COUNTS_SQL, SLIDING_SQL, DUPLICATE_SQL, LOG_SQL, PROGRESS_SQL, DOCUMENTS_SQL, JOBS_SQL, EXCLUSION_SQL, EXPORT_SQL, MANIFEST_SQL, XYZ_SQL, ARCHIVE_SQL, ARCHIVE_VALIDATION_SQL), strict=True))
+QUERIES |= {f.__name__: f for f in (silent_users, seen_by_tags, seen_by_scheduler, deduplicated_users)}
+ORACLES |= {"silent_users": SILENT_SQL, "seen_by_tags": _seen_sql("tags", "scheduler"), "seen_by_scheduler": _seen_sql("scheduler", "tags"), "deduplicated_users": DEDUPLICATED_SQL}

@@ -2,11 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import datetime
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import StructType
 
+from atomframe.functions.expressions import trailing_number
+from atomframe.functions.states import preferred_status
+from atomframe.operators.select import stride_selected
+
+#: The state store that timers need.
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def file_stream(spark: SparkSession, path: str, schema: StructType, files_per_trigger: int | None = None) -> DataFrame:
     """New Parquet files below ``path``; zone-less times become timestamps, as watermarks need."""
@@ -48,6 +57,93 @@ def inactivity(df: DataFrame, ts: str, gap: str, delay: str, *by: str) -> DataFr
     return df.withWatermark(ts, delay).groupBy(*by, F.session_window(ts, gap).alias("w")).agg(F.count("*").alias("events")).select(*by, F.col("w.start").alias("active_from"), F.col("w.end").alias("silent_at"), "events")
 
 
+#: Times are microseconds since 1970 in state and rows: clocks of sessions and workers have no part in them.
+SILENCE = "active_from long, last long, events long"
+
+
+class Silence(StatefulProcessor):
+    """A key's activity: a value in the state and one timer, ``gap`` after its last row. A row with ``done`` ends it without
+    a word; then, and when the timer has spoken, nothing of the key is left."""
+
+    def __init__(self, keys: list[str], gap: datetime.timedelta, done: str | None):
+        self.made, self.gap, self.done = [*keys, "active_from", "silent_at", "events"], round(gap.total_seconds() * 1e6), done
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle, self.state = handle, handle.getValueState("active", SILENCE)
+
+    def _ended(self, key: tuple, active: tuple) -> Row:
+        return Row(*self.made)(*key, active[0], active[1] + self.gap, active[2])
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        active = tuple(self.state.get()) if self.state.exists() else None
+        for at, done in sorted((r["__at"], bool(self.done and r[self.done])) for r in rows):
+            if active and at >= active[1] + self.gap:
+                yield self._ended(key, active)
+                active = None
+            if done:
+                active = None
+            elif active:
+                active = (min(active[0], at), max(active[1], at), active[2] + 1)
+            else:
+                active = (at, at, 1)
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+        if active:
+            self.state.update(active)
+            now = timerValues.getCurrentProcessingTimeInMs()
+            self.handle.registerTimer((active[1] + self.gap) // 1000 if self.timed else now + self.gap // 1000)
+        elif self.state.exists():
+            self.state.clear()
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        if self.state.exists():
+            active = tuple(self.state.get())
+            self.state.clear()
+            yield self._ended(key, active)
+
+
+class EventSilence(Silence):
+    timed = True
+
+
+class ClockSilence(Silence):
+    timed = False
+
+
+def silences(df: DataFrame, keys: list[str], ts: str, gap: datetime.timedelta, delay: str | None = None, done: str | None = None) -> DataFrame:
+    """(keys, active_from, silent_at, events) of each key that has been silent for ``gap``. With a ``delay`` the time is that of
+    the events: a key is silent once the watermark has passed its last event by ``gap``, whichever key has moved the
+    watermark. Without, it is that of the clock: a key is silent when no row of it has come for ``gap``, even if no row
+    comes at all any more. ``done``: a column that is true where a key has ended (finished tasks), which leaves the state at
+    once. The state, one row and one timer for each active key, is on disk (RocksDB)."""
+    spark = df.sparkSession
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)
+    rows = df.select(*keys, F.col(ts).cast("timestamp").alias(ts), F.unix_micros(F.col(ts).cast("timestamp")).alias("__at"), *([done] if done else []))
+    rows = rows.withWatermark(ts, delay) if delay else rows
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*keys).schema)
+    processor = (EventSilence if delay else ClockSilence)(keys, gap, done)
+    out = rows.groupBy(*keys).transformWithState(processor, f"{kinds}, active_from long, silent_at long, events long", "append", "EventTime" if delay else "ProcessingTime")
+    return out.withColumns({c: F.timestamp_micros(c) for c in ("active_from", "silent_at")})
+
+
+def seen_status(records: DataFrame, jobs: DataFrame, key: str, within: str, delay: str, precedence: str = "tags") -> DataFrame:
+    """Records (key, ts, status: what their tags say) next to the job snapshots (key, ts, status: what the scheduler says) of
+    the same task that were taken up to ``within`` after them: key, ts, snapshot (null: none was), tags, scheduler, and the
+    status by ``precedence`` ('tags' or 'scheduler' first; an empty one has no opinion). Both streams have a watermark of
+    ``delay``, so the state holds what can still find a partner, and a record without one speaks when its time is over."""
+    a = records.select(F.col(key).alias("__a"), F.col("ts").cast("timestamp").alias("ts"), F.col("status").alias("tags")).withWatermark("ts", delay)
+    b = jobs.select(F.col(key).alias("__b"), F.col("ts").cast("timestamp").alias("snapshot"), F.col("status").alias("scheduler")).withWatermark("snapshot", delay)
+    near = (F.col("__a") == F.col("__b")) & (F.col("snapshot") >= F.col("ts")) & (F.col("snapshot") <= F.col("ts") + F.expr(f"interval {within}"))
+    both = a.join(b, near, "left_outer")
+    return both.select(F.col("__a").alias(key), "ts", "snapshot", "tags", "scheduler", F.coalesce(preferred_status("tags", "scheduler", precedence), F.lit("")).alias("status"))
+
+
+def strided(df: DataFrame, frame: str, stride: int, start: int = 0) -> DataFrame:
+    """Rows whose frame's trailing number is start, start + stride ...; names without a number are left out."""
+    number = trailing_number(frame)
+    return df.where(number.isNotNull() & stride_selected(number, stride, start))
+
+
 def periodic_counts(df: DataFrame, ts: str, status: str, done: list[str], width: str, delay: str, slide: str | None = None) -> DataFrame:
     """Total, finished and unfinished records of each window."""
     w = F.window(ts, width, slide) if slide else F.window(ts, width)

@@ -11,7 +11,10 @@ needed for that: it is enough to refine the buckets of suffixes up to ``LENGTH``
    their strings repeat. Only runs that share an anchor but not the whole content are refined further.
 3. These runs are cut into blocks by the place of the anchor in the string, so that equal strings lie in equal blocks,
    and all strings of a block share its core, the bytes between the last start and the first end. A block's bytes go to
-   the bucket of the core's name, which parts a popular anchor by what is around it. There the suffixes are refined: the
+   the bucket of the core's name, which parts a popular anchor by what is around it. A core of more than HOT blocks is not
+   gathered: its blocks are halved by the place of the anchor, which makes their cores longer, and dealt again, down to
+   single strings, whose number alone says that they repeat; what repeats within a task meanwhile is settled there and
+   goes on once. In the buckets of the others the suffixes are refined: the
    buckets of their q-grams get pointers, and buckets of several suffixes are sorted again and again by the pointers at
    a later offset, each round using the pointers of the round before, which doubles the depth, up to ``LENGTH``.
 4. The removed spans are joined to the texts and cut out.
@@ -39,8 +42,10 @@ LENGTH, GRAM = 200, 32
 SPAN = LENGTH - GRAM + 1
 #: Bytes handled at a time; longer texts are handled in overlapping pieces.
 PIECE = 3 << 20
-#: Places of the anchor in a string (SPAN of them) that make a block; bytes of blocks refined at a time, or of one core.
+#: Places of the anchor in a string (SPAN of them) that make a block; bytes of blocks refined at a time.
 WIDTH, REFINED = SPAN // 3 + 1, 1 << 20
+#: Blocks of one core that a task gathers at most.
+HOT = 256
 PLACE = np.uint64((1 << 24) - 1)
 THREE = np.uint64(3)
 
@@ -183,7 +188,8 @@ def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The runs to refine, cut into blocks: rows (core, key, low, window), the window being the bytes of all its strings."""
+    """The runs to refine, cut into blocks: rows (core, key, low, left, window), the window being the bytes of all its strings
+    and ``left`` the bytes before the core in the first of them."""
     for batch in chunks(batches, limit=PIECE):
         out = []
         for text, key, todo in zip(raw(batch), column(batch, "key").to_pylist(), column(batch, "runs").to_pylist(), strict=True):
@@ -192,8 +198,69 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 for first in range(last // WIDTH * WIDTH, t["place"] + 1, WIDTH):
                     high, low = min(t["place"], first + WIDTH - 1), max(last, first)
                     core = text[anchor - first : anchor - first - WIDTH + 1 + LENGTH]
-                    out.append((xxhash.xxh3_64_intdigest(core) - (1 << 63), key, anchor - high, text[anchor - high : anchor - low + LENGTH]))
-        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.int32(), pa.binary()))], ["core", "key", "low", "window"])
+                    out.append((named(core), key, anchor - high, high - first, text[anchor - high : anchor - low + LENGTH]))
+        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate(BLOCK.values())], list(BLOCK))
+
+
+BLOCK = {"core": pa.int64(), "key": pa.int64(), "low": pa.int32(), "left": pa.int32(), "window": pa.binary()}
+
+
+def named(core: bytes) -> int:
+    return xxhash.xxh3_64_intdigest(core) - (1 << 63)
+
+
+def halves(row: tuple, width: int) -> Iterator[tuple]:
+    """A block (key, low, left, window) of at most ``2 * width`` places of the anchor as blocks of at most ``width``, each led by
+    its core: the bytes that all strings at these places have."""
+    key, low, left, window = row
+    last = left - (len(window) - LENGTH)  # the bytes before the core in the last string
+    for a in (0, width):
+        high, least = min(left, a + width - 1), max(last, a)
+        if high >= least:
+            at = left - high
+            core = window[left - a : left - a + LENGTH - width + 1]
+            yield named(core), key, low + at, high - a, window[at : at + high - least + LENGTH]
+
+
+def _halve(width: int):
+    """Blocks halved; those with one window in a task are settled (no core), but for one that goes on for the others' sake."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches, "window", PIECE):
+            rows = [x for r in zip(*(column(batch, c).to_pylist() for c in ("key", "low", "left", "window")), strict=True) for x in halves(r, width)]
+            copies: dict[bytes, int] = {}
+            for r in rows:
+                copies[r[4]] = copies.get(r[4], 0) + 1
+            out, seen = [], set()
+            for r in rows:
+                if copies[r[4]] > 1:
+                    out.append((None, *r[1:]))
+                if r[4] not in seen:
+                    out.append(r)
+                    seen.add(r[4])
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate(BLOCK.values())], list(BLOCK))
+
+    return run
+
+
+def parted(blocks: DataFrame, hot: int = HOT) -> Iterator[tuple[DataFrame, bool]]:
+    """The blocks (a saved table) in tables of which no core has more than ``hot``; and tables of blocks of which all strings
+    repeat (True)."""
+    width = WIDTH
+    while True:
+        many = saved(blocks.groupBy("core").count().where(F.col("count") > hot).select("core"), "hot")
+        if many.isEmpty():
+            yield blocks, False
+            return
+        yield blocks.join(many, "core", "left_anti"), False
+        left = blocks.join(many, "core", "left_semi")
+        if width == 1:  # a core is a string
+            yield left, True
+            return
+        width = -(-width // 2)
+        cut = saved(left.select(*BLOCK).mapInArrow(_halve(width), "core long, key long, low int, left int, window binary"), "blocks")
+        yield cut.where("core is null"), True
+        blocks = cut.where("core is not null")
 
 
 def refined(pointer: np.ndarray, depth: int, to: int) -> np.ndarray:
@@ -294,9 +361,15 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     first = saved(blobs.repartition(buckets, "bucket").mapInArrow(_settle, OUT), "runs")
     # equal rows have the same runs
     todo = first.where("not settled").groupBy("key").agg(F.collect_set(F.struct("low", "more", "place")).alias("runs"))
-    blocks = keyed.join(todo, "key").mapInArrow(_blocks, "core long, key long, low int, window binary")
-    second = saved(blocks.repartition(buckets, "core").sortWithinPartitions("core").mapInArrow(_refine, "key long, low int, more int"), "strings")
-    both = first.where("settled").select("key", "low", "more").unionByName(second)
+    blocks = saved(keyed.join(todo, "key").mapInArrow(_blocks, "core long, key long, low int, left int, window binary"), "blocks")
+    both = first.where("settled").select("key", "low", "more")
+    for some, repeated in parted(blocks):
+        if repeated:
+            found = some.select("key", "low", (F.octet_length("window") - LENGTH).alias("more"))
+        else:
+            dealt = some.select("core", "key", "low", "window").repartition(buckets, "core").sortWithinPartitions("core")
+            found = saved(dealt.mapInArrow(_refine, "key long, low int, more int"), "strings")
+        both = both.unionByName(found)
     return both.groupBy("key").agg(F.collect_set(F.struct("low", "more")).alias("runs"))
 
 

@@ -79,6 +79,50 @@ def test_a_popular_anchor_with_unlike_surroundings(spark):
     assert answer(spark, data) == brute(data)
 
 
+@pytest.mark.parametrize("length", [160, 199, 260])
+def test_a_core_of_very_many_unlike_blocks(spark, length):
+    """A line in 1,500 documents with unlike surroundings: no core of more than HOT blocks is gathered anywhere."""
+    r = random.Random(length)
+    line = "".join(r.choice("0123456789 ") for _ in range(length))
+    some = lambda n: "".join(r.choice("klmnop ") for _ in range(n))
+    data = [(i, some(r.randrange(150)) + line + some(r.randrange(150))) for i in range(1500)]
+    data += [(5000 + i, some(40) + "zz" + line + "zz" + some(40)) for i in range(3)]
+    assert answer(spark, data, 3) == brute(data)
+
+    def blocks():
+        for i, t in data:
+            at = t.index(line)
+            for p in range(max(0, at + 60 - R.SPAN + 1), min(at + 60, len(t) - R.LENGTH) + 1):
+                yield i, p, at + 60 - p, t[p : p + R.LENGTH].encode()
+
+    # the same from blocks that are made here: one string each, of an anchor in the line
+    rows_ = [(R.named(w[place - place // R.WIDTH * R.WIDTH :][: R.LENGTH - R.WIDTH + 1]), i, p, place % R.WIDTH, w) for i, p, place, w in blocks()]
+    table = spark.createDataFrame(rows_, "core long, key long, low int, left int, window binary")
+    assert max(Counter(x[0] for x in rows_).values()) > 1000
+    found = set()
+    for part, repeated in R.parted(R.saved(table, "test")):
+        if repeated:
+            found |= {(x.key, x.low) for x in part.collect()}
+        else:
+            assert (part.groupBy("core").count().agg({"count": "max"}).first()[0] or 0) <= R.HOT
+            found |= {(x.key, x.low + k) for x in part.repartition(3, "core").sortWithinPartitions("core").select("core", "key", "low", "window").mapInArrow(R._refine, "key long, low int, more int").collect() for k in range(x.more + 1)}
+    seen = Counter(w for _, _, _, w in blocks())
+    assert found == {(i, p) for i, p, _, w in blocks() if seen[w] > 1}
+
+
+@pytest.mark.parametrize("width", [29, 15, 1])
+def test_halves_hold_each_string_once(width):
+    r = random.Random(width)
+    for _ in range(50):
+        left = r.randrange(2 * width)
+        n = r.randrange(1, left + 2)
+        window = bytes(r.randrange(256) for _ in range(n - 1 + R.LENGTH))
+        out = list(R.halves((7, 100, left, window), width))
+        assert sorted(low + k - 100 for _, _, low, _, w in out for k in range(len(w) - R.LENGTH + 1)) == list(range(n))
+        for core, _, low, own, w in out:
+            assert w == window[low - 100 :][: len(w)] and R.named(w[own : own + R.LENGTH - width + 1]) == core and own - (len(w) - R.LENGTH) >= 0
+
+
 def test_a_text_above_the_piece_size(spark):
     r = random.Random(9)
     long = "".join(r.choice("abcdefghijklmnop") for _ in range(40_000)) * 90

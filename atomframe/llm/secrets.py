@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from atomframe.llm.common import WORD_CHUNK, chunks, column
+from atomframe.llm.common import WORD_CHUNK, chunks, column, saved
 
 # The patterns of the base scan.
 KINDS = ("assign", "access", "hex")
@@ -257,11 +257,13 @@ def by_classes(values: dict[str, int]) -> dict[bytes, int]:
 
 def learn(docs: DataFrame, per_kind: int = 400, threshold: float = 15.0) -> Formats:
     rows = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(_labelled, "kind int, value string, n long").groupBy("kind", "value").agg(F.sum("n").alias("n"))
+    rows = saved(rows, "values")
     rank = F.row_number().over(Window.partitionBy("kind").orderBy(F.xxhash64("value"), "value"))
-    ranked = rows.withColumn("r", rank).where((F.col("r") <= per_kind) | (F.col("kind") == PAIRS))  # there are N * N pairs
+    # each task hands on its first values of a kind only; of the pairs there are N * N at most
+    first = rows.where(F.col("kind") != PAIRS).withColumn("r", rank).where(F.col("r") <= per_kind).drop("r")
     values: dict[int, dict[str, int]] = {k: {} for k in range(len(KINDS))}
     pairs = np.zeros(N * N)
-    for r in ranked.collect():
+    for r in first.unionByName(rows.where(F.col("kind") == PAIRS)).collect():
         if r.kind == PAIRS:
             pairs[int(r.value)] = r.n
         else:

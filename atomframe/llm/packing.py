@@ -6,7 +6,9 @@ for each length. A piece takes the slot of its rank among the pieces of its leng
 counts of the tasks before it, so no length, however frequent, is gathered anywhere. The ids go with their piece to its
 place as little-endian 32-bit numbers; ``ids_crc32`` is that of the ids placed.
 
-Null text is empty: one piece with the end id only. Every row is packed, equal rows too. Extra columns are ignored.
+Null text is empty: one piece with the end id only. Every row is packed: equal rows too, rows of one doc_id and rows without
+one, each with pieces of its own. Very long texts are tokenised whole, alone. Of equally good sequences the first is taken.
+Extra columns are ignored, whatever their names. An empty table gives no pieces.
 """
 
 from __future__ import annotations
@@ -25,6 +27,8 @@ from atomframe.llm.tokens import OWNER, default_tokenizer, encoder
 #: Text bytes that one task encodes at a time, and the divisor of its remembered pieces: ids are carried, so less than
 #: elsewhere.
 PIECE_BYTES, SHARE = 1 << 20, 2
+#: Rows (task, length, number of pieces before) that are broadcast at most, some 80 bytes each.
+BASES = 1_000_000
 
 
 def best_fit(counts: dict[int, int], size: int) -> list[tuple[int, list[int]]]:
@@ -129,18 +133,19 @@ def _placed(plan: dict[int, list]):
     return place
 
 
-def pack(docs: DataFrame, size: int = 1024, tokenizer: str | None = None, end_id: int = 2, with_ids: bool = True, share: int = SHARE) -> DataFrame:
+def pack(docs: DataFrame, size: int = 1024, tokenizer: str | None = None, end_id: int = 2, with_ids: bool = True, share: int = SHARE, most_bases: int = BASES) -> DataFrame:
     """One row for each piece: doc_id, piece, start, length, ids_crc32, ids, sequence_id and offset; without ids, they
     are placed all the same but not returned. ``share`` divides the pieces that a worker remembers."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     pieces = saved(rows.mapInArrow(_pieces(tokenizer or default_tokenizer(), end_id, size, share), f"doc_id {kind}, piece int, start long, length long, part int, rank long, ids binary"), "pieces")
-    counts = pieces.groupBy("part", "length").agg(F.count("*").alias("n"))
+    counts = saved(pieces.groupBy("part", "length").agg(F.count("*").alias("n")), "counts", light=True)
     totals = {r.length: r.n for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # at most `size` rows
     before = F.sum("n").over(Window.partitionBy("length").orderBy("part")) - F.col("n")
-    # one row for each task, with at most `size` lengths: broadcast, so that the ids are not shuffled
-    bases = counts.select("part", "length", before.alias("before")).groupBy("part").agg(F.map_from_entries(F.collect_list(F.struct("length", "before"))).alias("bases"))
-    ranked = pieces.join(F.broadcast(bases), "part").withColumn("rank", F.col("rank") + F.element_at("bases", F.col("length")))
+    # a row for each task and length in it: few are broadcast, so that the ids are not shuffled; many are joined by both keys
+    bases = counts.select("part", "length", before.alias("before"))
+    bases = F.broadcast(bases) if counts.count() <= most_bases else bases.hint("merge")
+    ranked = pieces.join(bases, ["part", "length"]).withColumn("rank", F.col("rank") + F.col("before"))
     placed = ranked.withColumn("place", _placed(slots(best_fit(totals, size)))("length", "rank"))
     return placed.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), *["ids"] * with_ids, "place.sequence_id", "place.offset")
 

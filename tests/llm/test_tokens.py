@@ -123,6 +123,30 @@ def test_placed_ids_make_the_documents(spark):
     assert sorted(plain) == sorted((r.doc_id, r.piece, r.length, r.ids_crc32) for r in got)
 
 
+@pytest.mark.parametrize("most_bases", [0, 1000])
+def test_packing_of_odd_rows(spark, most_bases):
+    """Null and repeated ids, equal rows, and a text above the bytes that are tokenised at a time; with and without a broadcast."""
+    long = "some words and more, " * 60_000
+    assert len(long) > packing.PIECE_BYTES
+    rows = [(None, "a b"), (None, "a b"), (None, None), (1, "x y z"), (1, "other"), (2, long), (3, ""), (3, "")]
+    docs = spark.createDataFrame([(*r, "clash", 5) for r in rows], "doc_id long, text string, piece string, length int").repartition(3)
+    got = packing.pack(docs, 64, most_bases=most_bases).collect()
+    want = sorted((i or -1, crc(ids[a:b])) for i, t in rows for ids in [brute(t)] for a, b in _cuts(len(ids), 64))
+    assert sorted((r.doc_id or -1, r.ids_crc32) for r in got) == want
+    by = {}
+    for r in got:
+        by.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for places in by.values():
+        assert sorted(places)[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(sorted(places), sorted(places)[1:])) and sum(n for _, n in places) <= 64
+    assert not packing.pack(docs.limit(0), 64, most_bases=most_bases).count()
+
+
+def _cuts(n, size):
+    first = n % size or size
+    ends = [0, *range(first, n + 1, size)]
+    return list(zip(ends, ends[1:]))
+
+
 @settings(max_examples=80, deadline=None)
 @given(st.lists(st.integers(1, 50), max_size=80))
 def test_plan_equals_best_fit_decreasing(lengths):

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import ctypes
 import itertools
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -14,6 +13,8 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
+from atomframe.session import shared_folder
+
 #: Text bytes that one task handles at a time; a single longer text is handled alone.
 CHUNK_BYTES = 8 << 20
 #: The same where Python objects are made of every word.
@@ -21,12 +22,8 @@ WORD_CHUNK = 2 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where the session names none."""
-    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not path:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
-        path = spark.sparkContext.getCheckpointDir()
-    return path.rstrip("/")
+    """The folder that driver and executors share; a temporary one only where a local session names none."""
+    return shared_folder(spark)
 
 
 #: Bytes of a saved table that a writing task holds in memory.

@@ -45,7 +45,7 @@ PIECE = 3 << 20
 #: Places of the anchor in a string (SPAN of them) that make a block; bytes of blocks refined at a time.
 WIDTH, REFINED = SPAN // 3 + 1, 1 << 20
 #: Blocks of one core that a task gathers at most.
-HOT = 256
+HOT = 64
 PLACE = np.uint64((1 << 24) - 1)
 THREE = np.uint64(3)
 

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from atomframe.functions.expressions import first_text
+from atomframe.operators.index import first_per_group
 
 # The legacy names of fields, the states, and the fields that may hold a job's identifier.
 LEGACY = {"poscar_path_11": "poscar_path", "task_dir_15": "task_dir", "structure_path": "source_structure_path", "job": "job_id"}
@@ -193,6 +196,11 @@ def manifest_header(records: DataFrame, source: str = "source", status: str = "s
     return records.agg(F.count_distinct(source).alias("sources"), F.count("*").alias("records"), F.count_if(done).alias("entries"), F.count_if(~F.coalesce(done, F.lit(False))).alias("skipped"))
 
 
-def conversion_units(df: DataFrame, by: list[str], example: str, status: str = "status") -> DataFrame:
-    """Finished tasks of each unit with the first and last example."""
-    return df.where(F.col(status) == "finished").groupBy(*by).agg(F.count("*").alias("tasks"), F.min(example).alias("first_example"), F.max(example).alias("last_example"))
+def conversion_units(df: DataFrame, by: list[str], example: str, status: str = "status", most: int = 3) -> DataFrame:
+    """Finished tasks of each unit (as ``by``: group, natoms and elements) with the first and the last example, and the first
+    ``most`` of them in a list. Tasks keep their own first ones before they meet."""
+    done = df.where(F.col(status) == "finished")
+    few = first_per_group(done, by, [example], most).groupBy(*by).agg(F.sort_array(F.collect_list(example)).alias("examples"))
+    units = done.groupBy(*by).agg(F.count("*").alias("tasks"), F.min(example).alias("first_example"), F.max(example).alias("last_example"))
+    same = reduce(lambda a, b: a & b, [units[c].eqNullSafe(few[c]) for c in by])
+    return units.join(few, same).select(*[units[c] for c in by], "tasks", "first_example", "last_example", "examples")

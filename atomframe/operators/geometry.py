@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from atomframe.functions.expressions import any_of, inverse3, scaled, wrapped
 
@@ -51,3 +51,39 @@ def close_contacts(rows: DataFrame, frame: str, cutoff: float, lengths: tuple[fl
         d = d - F.lit(length) * F.bround(d / length) if p else d
         square = square + d * d
     return pairs.select(frame, F.col("atom").alias("atom_a"), "atom_b", F.sqrt(square).alias("distance")).where(F.col("distance") < cutoff)
+
+
+def _images(rows: DataFrame, s: str, reach: Column) -> DataFrame:
+    """The images of rows along one edge whose scaled coordinate is within ``reach`` of the cell."""
+    far = F.ceil(reach).cast("int")
+    moved = F.transform(F.sequence(-far, far), lambda n: F.col(s) + n)
+    return rows.withColumn("__m", F.explode(F.filter(moved, lambda v: (v >= -reach) & (v < 1 + reach)))).withColumn(s, F.col("__m")).drop("__m")
+
+
+def cell_contacts(rows: DataFrame, frame: str, cutoff: float, box: str = "box", periodic: tuple[bool, bool, bool] = (True, True, False)) -> DataFrame:
+    """Pairs of atoms (a < b) of a frame nearer than ``cutoff``, at the distance of their nearest images, in cells of any shape
+    that may differ from frame to frame (``box``: three rows of a cell). Atoms are binned by scaled coordinates in bins at
+    least ``cutoff`` wide between the cell's planes; the images of an atom that can be that near to the cell go along, and
+    an atom is compared with what lies in its bin and the neighbouring ones. A cell without volume has no contacts."""
+    b = [F.element_at(box, i + 1) for i in range(9)]
+    inverse = inverse3(box)
+    # a plane distance is one over the length of the inverse's column
+    across = [F.lit(1.0) / F.sqrt(sum((inverse[3 * r + k] * inverse[3 * r + k] for r in range(3)), F.lit(0.0))) for k in range(3)]
+    placed = rows.withColumns({f"__s{k}": c for k, c in enumerate(scaled([F.col(x) for x in "xyz"], inverse))} | {f"__d{k}": c for k, c in enumerate(across)})
+    placed = placed.where(F.col("__d0").isNotNull())
+    home = placed.withColumns({f"__s{k}": wrapped(F.col(f"__s{k}")) if p else F.col(f"__s{k}") for k, p in enumerate(periodic)})
+    keep = [frame, "atom", *[f"__s{k}" for k in range(3)], *[f"__d{k}" for k in range(3)], *[f"__b{k}" for k in range(9)]]
+    home = home.withColumns({f"__b{k}": c for k, c in enumerate(b)}).select(*keep)
+    images = home
+    for k, p in enumerate(periodic):
+        images = _images(images, f"__s{k}", F.lit(cutoff) / F.col(f"__d{k}")) if p else images
+    bins = lambda df: df.withColumns({f"__c{k}": F.floor(F.col(f"__s{k}") * F.col(f"__d{k}") / cutoff).cast("long") for k in range(3)})
+    near = bins(home)
+    for k in range(3):
+        near = near.withColumn(f"__c{k}", F.explode(F.array(*[F.col(f"__c{k}") + n for n in (-1, 0, 1)])))
+    other = bins(images).select(frame, *[f"__c{k}" for k in range(3)], F.col("atom").alias("__other"), *[F.col(f"__s{k}").alias(f"__t{k}") for k in range(3)])
+    pairs = near.join(other, [frame, *[f"__c{k}" for k in range(3)]]).where(F.col("atom") < F.col("__other"))
+    gap = [F.col(f"__s{k}") - F.col(f"__t{k}") for k in range(3)]
+    apart = [sum((gap[r] * F.col(f"__b{3 * r + k}") for r in range(3)), F.lit(0.0)) for k in range(3)]
+    distance = F.sqrt(sum((d * d for d in apart), F.lit(0.0)))
+    return pairs.withColumn("distance", distance).where(F.col("distance") < cutoff).groupBy(frame, F.col("atom").alias("atom_a"), F.col("__other").alias("atom_b")).agg(F.min("distance").alias("distance"))

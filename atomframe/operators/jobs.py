@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
@@ -56,11 +57,13 @@ def archived_manifest(spark: SparkSession, manifest: str, folder: str, type_map:
     return sinks.write_indexed_archive(placed, folder, type_map)
 
 
-def converted_calculations(spark: SparkSession, root: str, folder: str, type_order: list[str], require_tag: bool = False, require_finished: bool = False, most: int | None = None, frames_per_set: int = 5000) -> tuple[DataFrame, DataFrame]:
+def converted_calculations(spark: SparkSession, root: str, folder: str, type_order: list[str], require_tag: bool = False, require_finished: bool = False, most: int | None = None, frames_per_set: int = 5000, only: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Calculations below ``root`` (system/frame folders) as a dataset in the new ``folder``: what was written for each group
     (group_name, frames, natoms, elements, counts), and what was selected, converted and skipped of each composition (null
-    elements: the structure could not be read). Nothing to convert is an error, as are elements without a type."""
+    elements: the structure could not be read). ``only``: the frames (system, frame) to be looked at. Nothing to convert is an
+    error, as are elements without a type."""
     scan = structures.eligible(structures.scan_markers(spark, root, ""), require_tag, require_finished).select("system", "frame")
+    scan = scan if only is None else scan.join(only.distinct(), ["system", "frame"], "left_semi")
     scan = select.natural_top(scan, "system", "frame", most) if most else scan
     parts = F.split("folder", "/")
     found = structures.read_calculations(spark, root).withColumns({"system": F.element_at(parts, -2), "frame": F.element_at(parts, -1)})
@@ -162,20 +165,49 @@ def evaluated_dataset(spark: SparkSession, factory: inference.Factory, roots: li
     return evaluated(groups.read_indexed(headers), factory, family, **options)
 
 
+def parity_report(frames: DataFrame, grid: int = 160) -> tuple[DataFrame, DataFrame]:
+    """From predicted frames (see ``metrics.parity_points``): points, mae and rmse of each panel, and the hexagonal counts of
+    each. No frames are an error."""
+    points = metrics.parity_points(frames)
+    if frames.isEmpty():
+        raise ValueError("there are no frames")
+    summary = metrics.parity_summary(points, "true", "pred", "panel").where("points > 0")
+    cells = None
+    for panel in ("energy_per_atom", "force_components", "virial_components"):
+        one = metrics.parity_hexbin(points.where(F.col("panel") == panel), "true", "pred", grid).withColumn("panel", F.lit(panel))
+        cells = one if cells is None else cells.unionByName(one)
+    return summary, cells
+
+
 @dataclass
 class Archived:
     rows: DataFrame  # every entry with result and reason
     report: DataFrame  # counts of each system and of all, ready or partial
     duplicates: DataFrame  # frames that converged on several targets
     ready: DataFrame  # entries of the systems that are ready, to be converted
+    dataset: str | None = None  # where the ready entries' dataset was published
+    backup: str | None = None  # where the one before it is
 
 
-def archived_campaign(entries: DataFrame, targets: DataFrame, scan: DataFrame) -> Archived:
-    """What a campaign's entries have come to on their targets."""
+def archived_campaign(entries: DataFrame, targets: DataFrame, scan: DataFrame, root: str | None = None, dataset_root: str | None = None, type_order: list[str] | None = None, refuse: bool = True, **options) -> Archived:
+    """What a campaign's entries have come to on their targets. Frames that converged on several targets are an error, unless
+    ``refuse`` is false. With a ``root`` (system/frame folders of the calculations) those of the ready systems are converted
+    aside, validated and published as ``dataset_root``; what was there is kept as a backup, and comes back if that fails."""
     rows = campaign.reconciled(entries, targets, scan)
     report = campaign.archive_report(rows)
-    ready = rows.join(report.where("is_total = 0 and status = 'ready'").select("system"), "system", "left_semi")
-    return Archived(rows, report, campaign.duplicates_across_targets(scan), ready.where("result = 'success'"))
+    double = campaign.duplicates_across_targets(scan).join(entries.select("system", "frame").distinct(), ["system", "frame"], "left_semi")
+    if refuse and (found := double.orderBy("system", "frame").limit(10).collect()):
+        raise ValueError("converged on several targets: " + "; ".join(f"{r.system}/{r.frame}: {', '.join(r.targets)}" for r in found))
+    good = rows.join(report.where("is_total = 0 and status = 'ready'").select("system"), "system", "left_semi").where("result = 'success'")
+    out = Archived(rows, report, double, good)
+    if root is None or good.isEmpty():
+        return out
+    spark = entries.sparkSession
+    aside = f"{dataset_root.rstrip('/')}.rebuild-{uuid.uuid4().hex}"
+    converted_calculations(spark, root, aside, type_order, require_tag=True, only=good.select("system", "frame"), **options)
+    out.backup = sinks.installed(spark, aside, dataset_root, lambda path: validated_dataset(spark, path))
+    out.dataset = dataset_root
+    return out
 
 
 def recovered_campaign(entries: DataFrame, targets: DataFrame, scan: DataFrame, jobs: DataFrame, **options) -> tuple[DataFrame, DataFrame]:
@@ -193,11 +225,18 @@ def selected_candidates(runs: DataFrame, pool: DataFrame, keys: list[str], frame
     return select.natural_top(rows, keys[0], frame, most) if most else rows
 
 
-def candidate_manifest(found: DataFrame, keys: list[str], counts: str = "status_counts") -> tuple[DataFrame, DataFrame]:
-    """Records (keys, status, status_counts, source) as candidates with their status, and the manifest's header."""
+def candidate_manifest(found: DataFrame, keys: list[str], counts: str = "status_counts", finished_only: bool = False, compositions: list[DataFrame] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Records (keys, status, status_counts, source) as candidates with their status, and the manifest's header.
+    ``finished_only`` leaves the others out (the header counts them as skipped). ``compositions``: tables (keys, composition:
+    a struct with atom_count) of which the first that knows a candidate's atoms gives its composition."""
     given = found.withColumn("status", states.inferred_status(counts, "status")) if counts in found.columns else found
     rows = given.withColumn("status", states.record_status("status"))
-    return select.last_wins(rows, keys, ["source"]), campaign.manifest_header(rows)
+    kept = select.last_wins(rows, keys, ["source"])
+    kept = kept.where("status = 'finished'") if finished_only else kept
+    if compositions:
+        known = dataset.composition_fallback(kept.select(*keys), *compositions, on=keys, value="composition", valid=F.col("composition.atom_count") > 0)
+        kept = kept.join(known, keys, "left")
+    return kept, campaign.manifest_header(rows)
 
 
 def planned_tasks(candidates: DataFrame, heads: DataFrame, order: list[str], job: str) -> tuple[DataFrame, DataFrame]:

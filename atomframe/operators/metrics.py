@@ -96,3 +96,15 @@ def parity_hexbin(df: DataFrame, true: str, pred: str, grid: int = 160) -> DataF
     first = near(i1, j1, 0.0) < near(i2, j2, 0.5)
     cells = grid_xy.select(F.when(first, 0).otherwise(1).alias("lattice"), F.when(first, i1.cast("long")).otherwise(i2.cast("long")).alias("i"), F.when(first, j1.cast("long")).otherwise(j2.cast("long")).alias("j"))
     return cells.groupBy("lattice", "i", "j").agg(F.count("*").alias("points")).withColumn("log_points", F.log10("points"))
+
+
+def parity_points(frames: DataFrame) -> DataFrame:
+    """(panel, true, pred) of predicted frames: energy_per_atom, force_components and, where frames have one, virial_components.
+    Needs natoms, energy_true, energy_pred, force_true, force_pred; virial_true and virial_pred are optional."""
+    def components(part: str) -> DataFrame:
+        there = frames.where(F.size(f"{part}_true") == F.size(f"{part}_pred"))
+        return there.select(F.lit(f"{part}_components").alias("panel"), F.explode(F.arrays_zip(F.col(f"{part}_true").alias("true"), F.col(f"{part}_pred").alias("pred"))).alias("p")).select("panel", "p.true", "p.pred")
+
+    energy = frames.select(F.lit("energy_per_atom").alias("panel"), (F.col("energy_true") / F.col("natoms")).alias("true"), (F.col("energy_pred") / F.col("natoms")).alias("pred"))
+    out = energy.unionByName(components("force"))
+    return out.unionByName(components("virial")) if {"virial_true", "virial_pred"} <= set(frames.columns) else out

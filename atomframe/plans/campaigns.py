@@ -69,10 +69,14 @@ HEADER_SQL = "select count(distinct o_custkey) as sources, count(*) as records,
 
 
 def conversion_units(spark, sf_dir):
-    return C.conversion_units(orders(spark, sf_dir), ["o_orderpriority"], "o_orderkey")
+    out = C.conversion_units(orders(spark, sf_dir).withColumn("natoms", F.col("o_custkey") % 4), ["o_orderpriority", "natoms"], "o_orderkey")
+    return out.withColumn("examples", F.array_join("examples", ","))
 
 
-UNITS_SQL = "select o_orderpriority, count(*) as tasks, min(o_orderkey) as first_example, max(o_orderkey) as last_example from orders where o_orderstatus = 'F' group by 1"
+UNITS_SQL = """
+with f as (select *, o_custkey % 4 as natoms, row_number() over (partition by o_orderpriority, o_custkey % 4 order by o_orderkey) as r from orders where o_orderstatus = 'F')
+select o_orderpriority, natoms, count(*) as tasks, min(o_orderkey) as first_example, max(o_orderkey) as last_example, string_agg(o_orderkey::varchar, ',' order by o_orderkey) filter (r <= 3) as examples from f group by 1, 2
+"""
 
 
 def normalised_records(spark, sf_dir):

@@ -289,6 +289,26 @@ d as (select p.label, p.a as atom_a, q.a as atom_b, (p.x - q.x) - 6 * round_even
 select label, atom_a, atom_b, round(sqrt(dx * dx + dy * dy + dz * dz), 6) as distance from d where sqrt(dx * dx + dy * dy + dz * dz) < 0.6
 """
 
+
+def skewed_contacts(spark, sf_dir):
+    """Contacts in cells that are skewed, of another shape for each label, and smaller than the cutoff along one edge for some."""
+    k = F.col("label").cast("double")
+    box = F.array(6 + k * 0.1, F.lit(0.0), F.lit(0.0), -3 + k * 0.2, F.lit(5.2), F.lit(0.0), F.lit(0.4), k * 0.1, F.when(F.col("label") % 4 == 0, 0.9).otherwise(7.0))
+    rows = positions(spark, sf_dir).withColumn("box", box)
+    out = G.cell_contacts(rows, "label", 1.0, periodic=(True, True, True))
+    return out.withColumn("distance", F.round("distance", 6))
+
+
+SKEWED_SQL = """
+with e as (select label, label::double as k, vec_id as a, embedding[1]::double * 10 as x, embedding[2]::double * 10 as y, embedding[3]::double * 10 as z from embeddings),
+c as (select *, 6 + k * 0.1 as ax, -3 + k * 0.2 as bx, 5.2 as yb, 0.4 as cx, k * 0.1 as cy, case when label % 4 = 0 then 0.9 else 7.0 end as cz from e),
+s as (select *, z / cz as w0, (y - z / cz * cy) / yb as v0 from c), t as (select *, (x - w0 * cx - v0 * bx) / ax as u0 from s), h as (select *, u0 - floor(u0) as u, v0 - floor(v0) as v, w0 - floor(w0) as w from t),
+i as (select unnest(range(-2, 3)) as n), p as (select p.label, p.a as atom_a, q.a as atom_b, p.ax, p.bx, p.yb, p.cx, p.cy, p.cz, p.u - q.u + i.n as du, p.v - q.v + j.n as dv, p.w - q.w + l.n as dw from h p join h q on p.label = q.label and p.a < q.a, i, i j, i l),
+d as (select label, atom_a, atom_b, sqrt((du * ax + dv * bx + dw * cx) ** 2 + (dv * yb + dw * cy) ** 2 + (dw * cz) ** 2) as d from p)
+select label, atom_a, atom_b, round(min(d), 6) as distance from d where d < 1.0 group by 1, 2, 3
+"""
+
+
 def range_notation(spark, sf_dir):
     """Ranges of systems in their notation, one text for each customer's orders, with gaps, overlaps, negative and malformed
     ones and wrong last ends: everything that is wrong."""
@@ -333,5 +353,5 @@ union all select 'type_map_count', names, count(*)::varchar from s where names i
 QUERIES = {f.__name__: f for f in (composition_groups, element_counts, type_map_union, type_remap, typemap_counts, element_ordering, frames_by_label, coverage_diff, index_contiguity, range_contiguity, fuzzy_match, validation_report, nonfinite_shape_checks, inspect_datasets, inspect_root, declared_mismatches, composition_fallback, sha256_audit, wrap_positions, unwrapped_trajectories, close_contacts)}
 ORACLES = dict(zip(QUERIES, (GROUPS_SQL, ELEMENTS_SQL, UNION_SQL, REMAP_SQL, TYPEMAPS_SQL, ORDERING_SQL, LABELS_SQL, COVERAGE_SQL, CONTIGUOUS_SQL, RANGES_SQL, FUZZY_SQL, VALIDATION_SQL, CHECKS_SQL, INSPECT_SQL, ROOT_SQL, MISMATCH_SQL, FALLBACK_SQL, AUDIT_SQL, WRAP_SQL, UNWRAPPED_SQL, CONTACTS_SQL), strict=True))
 QUERIES["matching_blocks"] = matching_blocks
-QUERIES |= {"range_notation": range_notation, "systems_report": systems_report}
-ORACLES |= {"range_notation": RANGE_NOTATION_SQL, "systems_report": SYSTEMS_REPORT_SQL}
+QUERIES |= {"skewed_contacts": skewed_contacts, "range_notation": range_notation, "systems_report": systems_report}
+ORACLES |= {"skewed_contacts": SKEWED_SQL, "range_notation": RANGE_NOTATION_SQL, "systems_report": SYSTEMS_REPORT_SQL}

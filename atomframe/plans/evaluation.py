@@ -128,3 +128,26 @@ from k
 
 QUERIES = {f.__name__: f for f in (error_metrics_levels, worst_system_flags, vector_error_metrics, evaluation_status, parity_summary, parity_hexbin, batch_ids, archive_compare)}
 ORACLES = {"error_metrics_levels": LEVELS_SQL, "worst_system_flags": WORST_SQL, "vector_error_metrics": VECTOR_SQL, "evaluation_status": STATUS_SQL, "parity_summary": PARITY_SQL, "parity_hexbin": HEXBIN_SQL, "batch_ids": BATCH_SQL, "archive_compare": COMPARE_SQL}
+
+
+def parity_report(spark, sf_dir):
+    """Parity of embeddings against their values rounded to one decimal, as forces and virials, with an energy for each: all
+    panels, and the points of their hexagons."""
+    from atomframe.operators import jobs
+
+    e = table(spark, sf_dir, "embeddings").withColumn("v", F.expr("transform(embedding, x -> cast(x as double))"))
+    near = F.expr("transform(v, x -> bround(x, 1))")
+    frames = e.select(F.lit(4).alias("natoms"), F.col("v")[20].alias("energy_true"), F.bround(F.col("v")[20], 1).alias("energy_pred"), F.slice("v", 1, 12).alias("force_true"), F.slice(near, 1, 12).alias("force_pred"), F.when(F.col("vec_id") % 3 == 0, F.slice("v", 30, 9)).alias("virial_true"), F.slice(near, 30, 9).alias("virial_pred"))
+    summary, cells = jobs.parity_report(frames)
+    held = cells.groupBy("panel").agg(F.sum("points").alias("held"))
+    return rounded(summary.join(held, "panel"), ["mae", "rmse"], 6)
+
+
+PARITY_REPORT_SQL = """
+with v as (select vec_id, [x::double for x in embedding] as v from embeddings),
+p as (select 'energy_per_atom' as panel, v[21] / 4 as a, round_even(v[21], 1) / 4 as b from v union all select 'force_components', unnest(v[1:12]), unnest([round_even(x, 1) for x in v[1:12]]) from v
+  union all select 'virial_components', unnest(v[30:38]), unnest([round_even(x, 1) for x in v[30:38]]) from v where vec_id % 3 = 0)
+select panel, count(*) as points, round(avg(abs(b - a)), 6) as mae, round(sqrt(avg((b - a) * (b - a))), 6) as rmse, count(*) as held from p group by 1
+"""
+QUERIES["parity_report"] = parity_report
+ORACLES["parity_report"] = PARITY_REPORT_SQL

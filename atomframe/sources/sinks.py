@@ -84,6 +84,30 @@ def write_indexed_archive(index: DataFrame, folder: str, type_map: list[str]) ->
     return written(archive_summary(spark, folder), "archive-report")
 
 
+def installed(spark: SparkSession, aside: str, path: str, validate: Callable[[str], DataFrame]) -> str | None:
+    """Puts the folder ``aside`` in the place of ``path``: validated there and here (``validate`` gives a table of errors of a
+    folder), the old one kept as a backup whose path is returned, and put back if anything fails; ``aside`` is then gone."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = at(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    backup = f"{path.rstrip('/')}.backup-{time.strftime('%Y%m%dT%H%M%S', time.gmtime())}-{uuid.uuid4().hex[:8]}"
+    had = False
+    try:
+        if found := [r.asDict() for r in validate(aside).limit(20).collect()]:
+            raise ValueError(f"not published: {json.dumps(found)}")
+        if had := fs.exists(at(path)):
+            fs.rename(at(path), at(backup))
+        fs.rename(at(aside), at(path))
+        if not validate(path).isEmpty():
+            raise ValueError("the published folder is not valid")
+    except Exception:
+        fs.delete(at(aside), True)
+        if had:
+            fs.delete(at(path), True)
+            fs.rename(at(backup), at(path))
+        raise
+    return backup if had else None
+
+
 def archive_summary(spark: SparkSession, folder: str) -> DataFrame:
     """One row of an archive: status, systems, frames, virial_frames, natoms_min and natoms_max, and the frames of each block
     and of each label that is not blank (maps)."""

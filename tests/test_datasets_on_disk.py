@@ -273,3 +273,72 @@ def test_documents_over_several_lines(spark, tmp_path):
     (tmp_path / "c.json").write_text(json.dumps({"entries": [{"system_name": "s", "frame_name": "f", "pbs_job_id": "77", "status": "running"}]}, indent=2))
     entries, bad = records.read_campaigns(spark, str(tmp_path))
     assert [(r.system, r.frame, r.extras["pbs_job_id"]) for r in entries.collect()] == [("s", "f", "77")] and bad.count() == 0
+
+
+def test_a_campaign_is_archived(spark, tmp_path):
+    """Converged twice is refused; ready systems are converted and published, the dataset before stays as a backup."""
+    from tests.test_golden import POSCAR, output
+
+    for frame in ("system_1/frame_1", "system_1/frame_2", "system_2/frame_1"):
+        p = tmp_path / "calc" / frame
+        p.mkdir(parents=True)
+        (p / "POSCAR").write_text(POSCAR)
+        (p / "OUTCAR").write_text(output(-1, 3))
+        (p / "tag_finished").write_text("")
+    e = spark.createDataFrame([("system_1", "frame_1", "t"), ("system_1", "frame_2", "t"), ("system_2", "frame_1", "t"), ("system_2", "frame_2", "t")], "system string, frame string, target string")
+    t = spark.createDataFrame([("t", True), ("u", True)], "target string, available boolean")
+    scan = [("t", "system_1", "frame_1", "success"), ("t", "system_1", "frame_2", "success"), ("t", "system_2", "frame_1", "success")]
+    table = lambda rows: spark.createDataFrame(rows, "target string, system string, frame string, result string")
+    with pytest.raises(ValueError, match="system_1/frame_1: t, u"):
+        jobs.archived_campaign(e, t, table([*scan, ("u", "system_1", "frame_1", "success")]))
+    assert jobs.archived_campaign(e, t, table([*scan, ("u", "system_1", "frame_1", "success")]), refuse=False).duplicates.count() == 1
+    out = str(tmp_path / "data")
+    args = {"root": str(tmp_path / "calc"), "dataset_root": out, "type_order": ["H", "O"]}
+    first = jobs.archived_campaign(e, t, table(scan), **args)
+    assert first.backup is None and np.load(f"{out}/set.000/energy.npy").tolist() == [-1.0, -1.0] and first.ready.count() == 2
+    second = jobs.archived_campaign(e.where("system = 'system_1'").limit(1), t, table(scan), **args)
+    assert np.load(f"{out}/set.000/energy.npy").tolist() == [-1.0] and os.path.exists(f"{second.backup}/type.raw")
+    for path in ("system_1/frame_1", "system_1/frame_2"):
+        (tmp_path / "calc" / path / "OUTCAR").write_text("cut")
+    with pytest.raises(ValueError, match="nothing to convert"):
+        jobs.archived_campaign(e, t, table(scan), **args)
+    assert np.load(f"{out}/set.000/energy.npy").tolist() == [-1.0] and not glob.glob(f"{out}.rebuild*")
+    with pytest.raises(ValueError, match="not published"):
+        aside = str(tmp_path / "aside")
+        write_group(aside, ["O"], [0])
+        sinks.installed(spark, aside, out, lambda path: jobs.validated_dataset(spark, path))
+    assert np.load(f"{out}/set.000/energy.npy").tolist() == [-1.0] and not os.path.exists(aside)
+
+
+@pytest.mark.parametrize("periodic", [(True, True, True), (True, True, False), (False, False, False)])
+def test_contacts_equal_brute_force_over_images(spark, periodic):
+    from atomframe.operators import geometry
+
+    r = np.random.default_rng(3)
+    boxes = {"hex": [[5, 0, 0], [-2.5, 4.33, 0], [0, 0, 8]], "flat": [[4, 0.3, 0], [3.5, 1.2, 0], [0.2, 0.1, 3]], "left": [[0, 3, 0], [3, 0, 0], [0, 0, 2]], "none": [[1, 0, 0], [1, 0, 0], [0, 0, 1]]}
+    rows, want = [], {}
+    for name, box in boxes.items():
+        box, xyz = np.array(box, dtype=float), r.normal(0, 3, (25, 3))
+        rows += [(name, i, *map(float, p), box.ravel().tolist()) for i, p in enumerate(xyz)]
+        if name == "none":
+            continue
+        steps = [np.arange(-9, 10) if p else np.array([0]) for p in periodic]
+        s = xyz @ np.linalg.inv(box)
+        s = np.where(periodic, s - np.floor(s), s)
+        shifts = np.array(np.meshgrid(*steps)).reshape(3, -1).T @ box
+        for a in range(25):
+            for b in range(a + 1, 25):
+                d = np.linalg.norm((s[a] - s[b]) @ box + shifts, axis=1).min()
+                if d < 1.5:
+                    want[name, a, b] = round(float(d), 9)
+    df = spark.createDataFrame(rows, "frame string, atom int, x double, y double, z double, box array<double>").repartition(3)
+    out = geometry.cell_contacts(df, "frame", 1.5, periodic=periodic).collect()
+    assert len(out) == len(want) and {(x.frame, x.atom_a, x.atom_b): round(x.distance, 9) for x in out} == want
+
+
+def test_candidates_with_compositions(spark):
+    found = spark.createDataFrame([("s", "1", "finished", "a"), ("s", "2", "running", "a"), ("s", "3", "finished", "a")], "system string, frame string, status string, source string")
+    comp = lambda rows: spark.createDataFrame(rows, "system string, frame string, composition struct<formula:string,atom_count:int>")
+    rows, header = jobs.candidate_manifest(found, ["system", "frame"], finished_only=True, compositions=[comp([("s", "1", ("", 0))]), comp([("s", "1", ("H2", 2)), ("s", "3", ("O", 1))]), comp([("s", "3", ("X", 9))])])
+    assert {(x.frame, x.composition.formula) for x in rows.collect()} == {("1", "H2"), ("3", "O")}
+    assert (header.first().records, header.first().entries, header.first().skipped) == (3, 2, 1)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from atomframe import session
 from atomframe.operators import dataset, inference, jobs, select
 from atomframe.session import shared_folder, table
-from atomframe.sources import discovery, groups, records, sinks, structures
+from atomframe.sources import discovery, groups, records, sinks, structures, trajectories, versions
 
 CONVERGED, FOOTER = structures.CONVERGED, structures.FOOTER
 
@@ -135,6 +135,28 @@ select vec_id, frame, 2 as natoms, 'comment ' || vec_id as comment, 'HH' as spec
 """
 
 
+def long_trajectories(spark, sf_dir):
+    """Trajectories of up to 200 frames, a few of whose comments look like counts, read in ranges of 4000 bytes; every third
+    file has a frame in its middle that is cut off, which ends it."""
+    atom = lambda a: F.concat_ws(" ", F.lit("H"), *[F.col("v")[a + k].cast("string") for k in range(3)])
+    comment = F.when(F.col("vec_id") % 5 == 0, "1").otherwise(F.concat(F.lit("step "), "vec_id"))
+    cut = (F.expr("vec_id div 200") % 3 == 2) & (F.col("vec_id") % 200 == 120)
+    one = F.when(cut, F.concat_ws("\n", F.lit("2"), comment, atom(0))).otherwise(F.concat_ws("\n", F.lit("2"), comment, atom(0), atom(3)))
+    each = vectors(spark, sf_dir).select(F.expr("vec_id div 200").alias("file"), F.struct("vec_id", one.alias("text")).alias("frame"))
+    texts = each.groupBy("file").agg(F.array_sort(F.collect_list("frame")).alias("f"))
+    out = folder(spark, "long-xyz")
+    sinks.write_texts(texts.select(F.concat("file", F.lit(".xyz")).alias("path"), F.array_join("f.text", "\n").alias("text")), out)
+    back = trajectories.read_xyz_frames(spark, out, range_bytes=4000)
+    return back.select(F.regexp_extract("path", r"(\d+)\.xyz$", 1).cast("long").alias("file"), "frame", "natoms", "comment", F.col("coord")[5].alias("z"))
+
+
+LONG_TRAJECTORIES_SQL = f"""
+with {V}, f as (select *, vec_id // 200 as file, (row_number() over (partition by vec_id // 200 order by vec_id) - 1)::int as frame from v)
+select file, frame, 2 as natoms, case when vec_id % 5 = 0 then '1' else 'step ' || vec_id end as comment, v[6] as z from f where file % 3 <> 2 or vec_id % 200 < 120
+  or not exists (select 1 from v c where c.vec_id = file * 200 + 120)
+"""
+
+
 def run_records(spark, sf_dir):
     """Run records of suppliers: in the frame's folder, among the collected records, in both places, or unreadable."""
     s = table(spark, sf_dir, "supplier").withColumn("k", F.col("s_suppkey") % 4)
@@ -240,6 +262,48 @@ def published_table(spark, sf_dir):
 PUBLISHED_SQL = "select c_custkey, 'new' as version from customer"
 
 
+def table_versions(spark, sf_dir):
+    """Orders published in three versions; a publisher that started from an old version and one whose rows are not valid
+    leave nothing."""
+    orders, path = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus"), folder(spark, "versions")
+    valid = lambda t: t.where("o_orderkey is null")
+    first = versions.publish_version(orders.where("o_orderstatus = 'F'"), path, valid)
+    second = versions.publish_version(orders.where("o_orderstatus <> 'P'"), path, valid, first)
+    for rows, base, error in ((orders.where("o_orderstatus = 'P'"), first, versions.Conflict), (orders.withColumn("o_orderkey", F.nullif("o_orderkey", F.lit(1))), second, ValueError)):
+        try:
+            versions.publish_version(rows, path, valid, base)
+        except error:
+            pass
+    versions.publish_version(orders, path, valid, versions.latest(spark, path))
+    counts = [versions.read_version(spark, path, n).agg(F.lit(n).cast("long").alias("version"), F.sum("o_orderkey").alias("keys"), F.count_distinct("o_orderstatus").alias("statuses")) for n in (0, 1, 2)]
+    own = counts[0].unionByName(counts[1]).unionByName(counts[2])
+    return versions.versions(spark, path).join(own, "version").select("version", "based_on", "row_count", "keys", "statuses")
+
+
+VERSIONS_SQL = """
+with n as (select unnest([0, 1, 2]) as version)
+select version::bigint as version, case when version > 0 then version - 1 end::bigint as based_on, count(*) as row_count, sum(o_orderkey)::bigint as keys, count(distinct o_orderstatus) as statuses
+from n, orders where version = 2 or o_orderstatus = 'F' or (version = 1 and o_orderstatus <> 'P') group by version
+"""
+
+
+def bucketed_archives(spark, sf_dir):
+    """Two archives as bucketed tables, compared by frame without an exchange: some frames are missing, some differ."""
+    have = frames(spark, sf_dir).select(F.col("frame_in_set").cast("long").alias("frame_index"), "coord", "force")
+    changed = have.where("frame_index % 7 <> 3").withColumn("coord", F.when(F.col("frame_index") % 5 == 0, F.transform("coord", lambda x, i: F.when(i < 2, x + 1).otherwise(x))).otherwise(F.col("coord")))
+    name = f"archive_{uuid.uuid4().hex}"
+    tables = [sinks.save_bucketed(df, f"{name}_{k}", 8, folder(spark, "bucketed")) for k, df in enumerate((have, changed))]
+    out = dataset.compare_archives(*tables, "frame_index", ["coord", "force"])
+    return out.withColumn("max_abs_difference", F.round("max_abs_difference", 6))
+
+
+BUCKETED_SQL = """
+with b as (select vec_id % 7 = 3 as missing, vec_id % 5 = 0 as moved from embeddings), f as (select unnest(['coord', 'force']) as field)
+select field, count(*) filter (not missing) as frames_compared, count(*) filter (missing) as missing_in_archive, 0::bigint as unexpected_in_archive,
+  (2 * count(*) filter (field = 'coord' and moved and not missing))::bigint as different_values, max(case when not missing then case when field = 'coord' and moved then 1.0 else 0.0 end end)::double as max_abs_difference from b, f group by field
+"""
+
+
 def report_files(spark, sf_dir):
     n, path = table(spark, sf_dir, "nation"), folder(spark, "report")
     sinks.write_report(n.select("n_nationkey", "n_name"), path)
@@ -508,6 +572,9 @@ ORACLES = {
     "structure_round_trip": STRUCTURE_ROUND_SQL,
     "output_files": OUTPUT_FILES_SQL,
     "trajectory_files": TRAJECTORY_SQL,
+    "long_trajectories": LONG_TRAJECTORIES_SQL,
+    "table_versions": VERSIONS_SQL,
+    "bucketed_archives": BUCKETED_SQL,
     "run_records": RUN_RECORDS_SQL,
     "marker_scan": MARKER_SCAN_SQL,
     "converted_dataset": CONVERTED_SQL,

@@ -118,6 +118,15 @@ def archive_summary(spark: SparkSession, folder: str) -> DataFrame:
     return whole.crossJoin(F.broadcast(by("block"))).crossJoin(F.broadcast(labels))  # one row each
 
 
+def save_bucketed(frames: DataFrame, name: str, buckets: int, folder: str | None = None, key: str = "frame_index") -> DataFrame:
+    """Indexed frames as the table ``name`` (which must be new; its files below ``folder``, if given), dealt by ``key`` into
+    so many buckets of one sorted file each. Two such tables of equally many buckets are joined or compared by the key
+    without an exchange of either."""
+    rows = frames.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).mode("errorifexists").format("parquet")
+    (rows.option("path", folder) if folder else rows).saveAsTable(name)
+    return frames.sparkSession.table(name)
+
+
 def decimals(x: Column, digits: int) -> Column:
     return F.format_string(f"%.{digits}f", x)
 

@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import partial
 
 import numpy as np
 import pandas as pd
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from atomframe.sources.discovery import opened
+from atomframe.sources.trajectories import parse_xyz, read_xyz_frames  # noqa: F401
+
 STRUCTURE = "path string, elements array<string>, counts array<int>, natoms int, box array<double>, coord array<double>, types array<int>, error string"
 OUTPUT = "path string, natoms int, energy double, box array<double>, coord array<double>, force array<double>, virial array<double>, error string"
-XYZ = "path string, frame int, natoms int, comment string, species array<string>, coord array<double>"
 # What marks the parts of an output file.
 ENERGY, STRESS = re.compile(r"^(?=.*energy).*TOTEN\s*=\s*([-+]?(?:\d*\.)?\d+(?:[Ee][-+]?\d+)?)", re.M), re.compile(r"^\s*Total\s+(.*)$", re.M)
 CELL, FORCES, ATOMS = "VOLUME and BASIS-vectors are now", "TOTAL-FORCE (eV/Angst)", re.compile(r"NIONS\s*=\s*(\d+)")
@@ -84,6 +87,45 @@ def parse_output(text: str, natoms: int | None = None) -> dict:
     return {"natoms": len(rows), "energy": float(energies[-1]), "box": [v for r in box for v in r], "coord": table[:, :3].ravel().tolist(), "force": table[:, 3:].ravel().tolist(), "virial": [stress[-1][k] for k in STRESS_PLACES]}
 
 
+#: A large output is read backwards by so many bytes at first, then by twice as many each time.
+TAIL = 1 << 20
+
+
+def last_output(read: Callable[[int, int], bytes], size: int, natoms: int | None = None, block: int = TAIL) -> dict:
+    """``parse_output`` of a file of any length, of which ``read`` gives bytes: from the end backwards, until the last
+    energy, cell, forces and stress are there. The number of atoms is looked for there, then in the first block, and,
+    where the force table has another one, backwards through the file. Reads all of a file that lacks one of the four."""
+    lo, raw = size, b""
+    while lo > 0:
+        step = max(0, lo - max(block, size - lo))
+        raw, lo = read(step, lo) + raw, step
+        text = (raw if lo == 0 else raw[raw.find(b"\n") + 1 :]).decode(errors="replace")
+        if min(text.rfind(CELL), text.rfind(FORCES)) >= 0 and ENERGY.search(text) and any(len(numbers(x)) >= 6 for x in STRESS.findall(text)):
+            break
+    else:
+        return parse_output(raw.decode(errors="replace"), natoms)
+    if lo == 0 or natoms is not None or ATOMS.search(text):
+        return parse_output(text, natoms)
+    named = ATOMS.findall(read(0, min(block, lo)).decode(errors="replace"))
+    try:
+        found = parse_output(text)
+    except ValueError:
+        found = None
+    if found and named and int(named[-1]) == found["natoms"]:
+        return found
+    return parse_output(text, _last_number_of_atoms(read, lo + raw.find(b"\n") + 1, block))
+
+
+def _last_number_of_atoms(read: Callable[[int, int], bytes], end: int, block: int) -> int | None:
+    """The last number of atoms that is named before ``end``; blocks overlap, so that no line is cut in both."""
+    while end > 0:
+        lo = max(0, end - block)
+        if named := ATOMS.findall(read(lo, end).decode(errors="replace")):
+            return int(named[-1])
+        end = 0 if lo == 0 else lo + min(256, block // 2)
+    return None
+
+
 def _parsed(df: DataFrame, parse, schema: str) -> DataFrame:
     names = [x.split()[0] for x in schema.split(", ")]
 
@@ -113,7 +155,26 @@ def read_structures(spark: SparkSession, root: str, pattern: str = "*POSCAR*", t
 
 
 def read_calc_outputs(spark: SparkSession, root: str, pattern: str = "OUTCAR*") -> DataFrame:
-    return _parsed(files(spark, root, pattern), parse_output, OUTPUT)
+    """One row for each file, read from its end (see ``last_output``) in one task; a file that cannot be parsed has
+    ``error``."""
+    names = [x.split()[0] for x in OUTPUT.split(", ")]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = []
+            for path, size in zip(pdf["path"], pdf["length"], strict=True):
+                row = dict.fromkeys(names) | {"path": path}
+                fs, base = opened(re.sub("^file:/+", "/", path))
+                with fs.open_input_file(base) as f:
+                    try:
+                        row |= last_output(lambda lo, hi, f=f: f.read_at(hi - lo, lo), int(size))
+                    except (ValueError, IndexError) as e:
+                        row["error"] = f"{type(e).__name__}: {e}"
+                rows.append(row)
+            yield pd.DataFrame(rows, columns=names)
+
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(root)
+    return listed.select("path", "length").mapInPandas(run, OUTPUT)
 
 
 def eligible(scan: DataFrame, require_tag: bool = False, require_finished: bool = False) -> DataFrame:
@@ -135,31 +196,6 @@ def read_calculations(spark: SparkSession, root: str) -> DataFrame:
     return both.withColumn("error", F.coalesce("structure_error", "__error", unlike)).drop("__n", "__error")
 
 
-def parse_xyz(text: str) -> Iterator[tuple]:
-    """Whole frames up to the first header that is none; an incomplete tail is left out."""
-    lines, at, frame = text.splitlines(), 0, 0
-    while at < len(lines):
-        if not lines[at].strip().isdigit():
-            return
-        n = int(lines[at])
-        rows = [line.split() for line in lines[at + 2 : at + 2 + n]]
-        if n < 1 or len(rows) < n or any(len(r) < 4 for r in rows):
-            return
-        yield frame, n, lines[at + 1], [r[0] for r in rows], [float(v) for r in rows for v in r[1:4]]
-        at += n + 2
-        frame += 1
-
-
-def read_xyz_frames(spark: SparkSession, root: str, pattern: str = "*.xyz") -> DataFrame:
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for path, content in zip(pdf["path"], pdf["content"], strict=True):
-                rows = [(path, *r) for r in parse_xyz(bytes(content).decode(errors="replace"))]
-                yield pd.DataFrame(rows, columns=[x.split()[0] for x in XYZ.split(", ")])
-
-    return files(spark, root, pattern).mapInPandas(run, XYZ)
-
-
 def list_files(spark: SparkSession, root: str) -> DataFrame:
     """Paths of all files below ``root``, empty ones too (which Spark's readers leave out). The folders directly below the
     root are listed by as many tasks."""

@@ -60,20 +60,24 @@ def _images(rows: DataFrame, s: str, reach: Column) -> DataFrame:
     return rows.withColumn("__m", F.explode(F.filter(moved, lambda v: (v >= -reach) & (v < 1 + reach)))).withColumn(s, F.col("__m")).drop("__m")
 
 
+def _once(rows: DataFrame, name: str, value: Column) -> DataFrame:
+    """Adds a column that is worked out once for each row and not copied into every expression that uses it."""
+    return rows.select("*", F.explode(F.array(value)).alias(name))
+
+
 def cell_contacts(rows: DataFrame, frame: str, cutoff: float, box: str = "box", periodic: tuple[bool, bool, bool] = (True, True, False)) -> DataFrame:
     """Pairs of atoms (a < b) of a frame nearer than ``cutoff``, at the distance of their nearest images, in cells of any shape
     that may differ from frame to frame (``box``: three rows of a cell). Atoms are binned by scaled coordinates in bins at
     least ``cutoff`` wide between the cell's planes; the images of an atom that can be that near to the cell go along, and
     an atom is compared with what lies in its bin and the neighbouring ones. A cell without volume has no contacts."""
-    b = [F.element_at(box, i + 1) for i in range(9)]
-    inverse = inverse3(box)
+    at = lambda c, i: F.element_at(c, i + 1)
+    cells = _once(_once(rows, "__cell", F.col(box)), "__inverse", F.array(*inverse3("__cell")))
+    inverse = [at("__inverse", i) for i in range(9)]
     # a plane distance is one over the length of the inverse's column
     across = [F.lit(1.0) / F.sqrt(sum((inverse[3 * r + k] * inverse[3 * r + k] for r in range(3)), F.lit(0.0))) for k in range(3)]
-    placed = rows.withColumns({f"__s{k}": c for k, c in enumerate(scaled([F.col(x) for x in "xyz"], inverse))} | {f"__d{k}": c for k, c in enumerate(across)})
-    placed = placed.where(F.col("__d0").isNotNull())
-    home = placed.withColumns({f"__s{k}": wrapped(F.col(f"__s{k}")) if p else F.col(f"__s{k}") for k, p in enumerate(periodic)})
-    keep = [frame, "atom", *[f"__s{k}" for k in range(3)], *[f"__d{k}" for k in range(3)], *[f"__b{k}" for k in range(9)]]
-    home = home.withColumns({f"__b{k}": c for k, c in enumerate(b)}).select(*keep)
+    placed = _once(cells, "__p", F.array(*scaled([F.col(x) for x in "xyz"], inverse), *across)).where(at("__p", 3).isNotNull())
+    inside = lambda k: wrapped(at("__p", k)) if periodic[k] else at("__p", k)
+    home = placed.select(frame, "atom", *[inside(k).alias(f"__s{k}") for k in range(3)], *[at("__p", 3 + k).alias(f"__d{k}") for k in range(3)], *[at("__cell", k).alias(f"__b{k}") for k in range(9)])
     images = home
     for k, p in enumerate(periodic):
         images = _images(images, f"__s{k}", F.lit(cutoff) / F.col(f"__d{k}")) if p else images

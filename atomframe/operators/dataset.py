@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from atomframe.functions.expressions import count_not_finite, element_counts, formula, missing_names, remapped
 from atomframe.operators.index import global_index
+from atomframe.operators.names import matching_ratio, similar_names  # noqa: F401
 
 ARRAYS = ("coord", "box", "energy", "force", "virial")
 
@@ -195,54 +195,6 @@ def range_gaps(df: DataFrame, group: list[str], position: str, start: str, end:
     return df.withColumn("expected_start", before).where(F.col("expected_start") != F.col(start))
 
 
-def _numbered(tokens: Column) -> Column:
-    """The elements of an array, each with its number among equal ones, so that a multiset becomes a set."""
-    nth = lambda t, i: F.size(F.filter(F.slice(tokens, F.lit(1), i + 1), lambda x: x == t))
-    return F.transform(tokens, lambda t, i: F.concat_ws("#", t, nth(t, i).cast("string")))
-
-
-def similar_names(missing: DataFrame, known: DataFrame, name: str, least: float = 0.72, best: int = 3, ratio: Column | None = None) -> DataFrame:
-    """For each missing name up to ``best`` known ones of similarity ``least`` or more: by edit distance or, if given, by
-    ``ratio`` (the matching-block ratio). Names are compared if their lengths allow it and they share one of their rarest
-    tokens: similar names share so many tokens (pairs of neighbouring characters, for the ratio single characters) that
-    they must share one among the first ``tokens - shared + 1`` of each in the order of rareness. Names that are too short
-    for that are compared by length."""
-    size = F.length("name")
-    if ratio is None:
-        tokens = F.when(size < 2, F.array()).otherwise(F.transform(F.sequence(F.lit(1), size - 1), lambda i: F.substr("name", i, F.lit(2))))
-        shared, shortest = F.ceil(size * (2 * least - 1) - 1 - 1e-9), least
-    else:
-        tokens = F.filter(F.split("name", ""), lambda x: x != "")
-        shared, shortest = F.ceil(size * least / (2 - least) - 1e-9), least / (2 - least)
-    every = missing.select(F.col(name).alias("name"), F.lit(0).alias("side")).unionByName(known.select(F.col(name).alias("name"), F.lit(1).alias("side"))).where("name is not null").distinct()
-    each = every.select("name", "side", shared.alias("shared"), F.explode(_numbered(tokens)).alias("g"))
-    often = each.groupBy("g").agg(F.count("*").alias("n"))
-    place = F.row_number().over(Window.partitionBy("side", "name").orderBy("n", "g"))
-    total = F.count("*").over(Window.partitionBy("side", "name"))
-    rare = each.join(often, "g").withColumn("place", place).withColumn("total", total).where(F.col("place") <= F.col("total") - F.greatest(F.col("shared"), F.lit(1)) + 1)
-    of = lambda df, side: df.where(F.col("side") == side)
-    a, b = of(rare, 0).select("name", "g"), of(rare, 1).select(F.col("name").alias("suggestion"), "g")
-    short = every.where(shared <= 0).withColumn("length", size)
-    pairs = a.join(b, "g").select("name", "suggestion").unionByName(of(short, 0).select("name", F.explode(F.sequence(F.lit(0), F.ceil(F.col("length") / shortest).cast("int"))).alias("length")).join(of(short, 1).select(F.col("name").alias("suggestion"), "length"), "length").select("name", "suggestion"))
-    longest, smallest = F.greatest(size, F.length("suggestion")), F.least(size, F.length("suggestion"))
-    near = pairs.where(smallest >= longest * shortest - 1e-9).distinct()
-    score = ratio if ratio is not None else F.when(longest == 0, 1.0).otherwise(1 - F.levenshtein("name", "suggestion") / longest)
-    scored = near.withColumn("score", score).where(F.col("score") >= least)
-    r = F.row_number().over(Window.partitionBy("name").orderBy(F.desc("score"), "suggestion"))
-    return scored.withColumn("rank", r).where(F.col("rank") <= best)
-
-
-def matching_ratio(a: str = "name", b: str = "suggestion") -> Column:
-    """The matching-block similarity of two names (2 * matches / total length), as an Arrow batch function."""
-    @F.pandas_udf("double")
-    def ratio(x: pd.Series, y: pd.Series) -> pd.Series:
-        from difflib import SequenceMatcher
-
-        return pd.Series([SequenceMatcher(None, q, p).ratio() for p, q in zip(x, y, strict=True)], dtype="float64")
-
-    return ratio(a, b)
-
-
 def compare_archives(source: DataFrame, archive: DataFrame, key: str, fields: list[str], atol: float = 0.0) -> DataFrame:
     """For each field: frames compared, frames missing on either side, differing values and the largest difference.
 

@@ -11,6 +11,9 @@ counts of earlier steps fade (stepwise EM), only find a good start: the final mo
 pass, in which every training document has the same weight. The likelihood of a whole text is exact: the scaled
 forward recursion over its classes plus the words' shares.
 
+The training texts are read once: one pass saves each chunk's words by bucket of the vocabulary with their counts, for the
+counts, and its class ids by slice, for all steps of the training.
+
 Counts of words: the head (at most ``HEAD`` words, each with at least a ``HEAD``-th of a bucket's tokens) is
 broadcast; the others go to buckets of the vocabulary together with the documents of a chunk that have them, and come
 back as one row of sums for each bucket and chunk. No word and no document is gathered anywhere.
@@ -31,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from atomframe.llm import chain
-from atomframe.llm.common import chunks, column, dropped, give_back, mixed, numbered, parts, ranges, raw, saved, word_hashes
+from atomframe.llm.common import chunks, column, dropped, give_back, mixed, parts, ranges, raw, saved, word_hashes
 
 CLASSES, STATES, HEAD = 4096, 8, 1 << 16
 #: Class ids that a task works on at a time, about; a longer text is worked on alone.
@@ -48,13 +51,20 @@ def held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 1, F.lit(False))
 
 
-def words_of(texts: list[bytes]) -> list[list[bytes]]:
-    return [x.lower().split() for x in texts]
-
+def numbered_words(texts: list[bytes]) -> tuple[np.ndarray, list[bytes], np.ndarray]:
+    """Word numbers of all texts one after another, the distinct words by number, and the words in each text."""
+    joined = np.frombuffer(b" ".join([b"", *texts, b""]).lower(), np.uint8)
+    space = (joined == 0x20) | ((joined >= 0x09) & (joined <= 0x0D))
+    turns = np.flatnonzero(space[1:] != space[:-1]) + 1
+    starts, ends = turns[::2], turns[1::2]
+    offsets = np.append(0, np.cumsum(ends - starts))
+    words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(joined[~space])]).dictionary_encode()
+    borders = np.cumsum([1, *(len(x) + 1 for x in texts)])
+    return words.indices.to_numpy().astype(np.int64), words.dictionary.to_pylist(), np.diff(np.searchsorted(starts, borders))
 
 
-def _bucket_rows(words: list[bytes], hashes: np.ndarray, buckets: int):
-    """For each bucket that has some of the words: its number and the words' numbers."""
+def _bucket_rows(hashes: np.ndarray, buckets: int):
+    """For each bucket that has some of the words: its number and the words' places."""
     bucket = (mixed(hashes) % np.uint64(buckets)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
     cuts = [*np.flatnonzero(np.diff(bucket[order], prepend=-1)), len(order)]
@@ -62,21 +72,35 @@ def _bucket_rows(words: list[bytes], hashes: np.ndarray, buckets: int):
         yield int(bucket[order[a]]), order[a:b]
 
 
-def _count_words(buckets: int):
-    """Rows (bucket, words, counts): the training words of a chunk; bucket -1 has the number of documents."""
+#: Rows of a chunk's training documents: those of one slice with their class ids (uint16) and lengths, or the words of
+#: one bucket with their counts, or (no words) the number of documents.
+READ = pa.schema([("slice", pa.int32()), ("ids", pa.binary()), ("lengths", pa.binary()), ("bucket", pa.int32()), ("words", pa.binary()), ("counts", pa.binary())])
+
 
+def _read(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
-            texts = words_of(raw(batch))
-            ids, words, _ = numbered(texts)
-            counts = np.bincount(ids, minlength=len(words)).astype(np.int64)
-            rows = [(0, None, np.array([len(texts)], np.int64).tobytes())]
-            rows += [(b, b"\n".join(words[i] for i in at.tolist()), counts[at].tobytes()) for b, at in _bucket_rows(words, word_hashes(words), buckets)]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), pa.binary(), pa.binary()), strict=True)], ["bucket", "words", "counts"])
+            ids, lengths, numbers, words, hashes = _class_ids(raw(batch))
+            counts = np.bincount(numbers, minlength=len(words)).astype(np.int64)
+            rows = [(None, None, None, 0, None, np.array([len(lengths)], np.int64).tobytes())]
+            rows += [(None, None, None, b, b"\n".join(words[i] for i in at.tolist()), counts[at].tobytes()) for b, at in _bucket_rows(hashes, buckets)]
+            lengths, part = lengths + 1, np.asarray(column(batch, "slice"))
+            starts = np.cumsum(lengths) - lengths
+            for k in np.unique(part):
+                mine = np.flatnonzero(part == k)
+                rows.append((int(k), ids[ranges(starts[mine], lengths[mine])].astype(np.uint16).tobytes(), lengths[mine].tobytes(), None, None, None))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), READ.types, strict=True)], schema=READ)
 
     return run
 
 
+def read_words(docs: DataFrame) -> DataFrame:
+    """The words and class ids of ``docs`` (doc_id, text), saved: what ``count_words`` and ``train`` work on."""
+    part = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(SLICES))
+    rows = docs.select(part.cast("int").alias("slice"), "text").mapInArrow(_read(parts(docs.sparkSession)), "slice int, ids binary, lengths binary, bucket int, words binary, counts binary")
+    return saved(rows, "words")
+
+
 def _add_up(buckets: int):
     """Rows (kind, word, class, n, v): the tokens and words of each class, the bucket's head words, the documents."""
 
@@ -122,15 +146,19 @@ class Counts:
         return int(self.kinds.sum())
 
 
-def count_words(docs: DataFrame) -> Counts:
-    """Counts of all words of ``docs`` (doc_id, text)."""
+def count_words(docs: DataFrame, read: DataFrame | None = None) -> Counts:
+    """Counts of all words of ``docs`` (doc_id, text). ``read``: what ``read_words`` made of them, where it is at hand."""
     buckets = parts(docs.sparkSession)
-    rows = docs.select("text").mapInArrow(_count_words(buckets), "bucket int, words binary, counts binary")
+    made = read is None
+    read = read_words(docs) if made else read
+    rows = read.where("bucket is not null").select("bucket", "words", "counts")
     stats = saved(rows.repartition(buckets, "bucket").mapInArrow(_add_up(buckets), "kind string, word binary, class int, n long, v long"), "wordcounts")
     tokens, kinds = np.zeros(CLASSES + 1, np.int64), np.zeros(CLASSES + 1, np.int64)
     for r in stats.where("kind <> 'head'").groupBy("class").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).collect():
         tokens[r["class"]], kinds[r["class"]] = r.n, min(r.v, 1) if r["class"] == END else r.v
-    return Counts(tokens, kinds, {bytes(r.word): r.n for r in stats.where("kind = 'head'").collect()})
+    head = {bytes(r.word): r.n for r in stats.where("kind = 'head'").collect()}
+    dropped(stats, *[read] * made)
+    return Counts(tokens, kinds, head)
 
 
 @dataclass
@@ -153,28 +181,17 @@ def first_model(counts: Counts) -> Model:
     return Model(np.full(STATES, 1 / STATES), move, emit / emit.sum(axis=0))
 
 
-def _class_ids(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
-    """Class ids of all texts with their ends, the lengths with the end, word numbers and the distinct words."""
-    ids, words, lengths = numbered(words_of(texts))
-    classes = (word_hashes(words) % np.uint64(CLASSES)).astype(np.int64)
+def _class_ids(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes], np.ndarray]:
+    """Class ids of all texts with their ends, the lengths without, word numbers, the distinct words and their hashes."""
+    ids, words, lengths = numbered_words(texts)
+    hashes = word_hashes(words)
+    classes = (hashes % np.uint64(CLASSES)).astype(np.int64)
     ends = np.cumsum(lengths + 1) - 1
     out = np.full(len(ids) + len(lengths), END, dtype=np.int64)
     inside = np.ones(len(out), bool)
     inside[ends] = False
     out[inside] = classes[ids]
-    return out, lengths, ids, words
-
-
-def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (slice, ids, lengths): the class ids (uint16) of a chunk's documents of one slice, and their lengths."""
-    for batch in chunks(batches):
-        ids, lengths, *_ = _class_ids(raw(batch))
-        lengths, part = lengths + 1, np.asarray(column(batch, "slice"))
-        starts, rows = np.cumsum(lengths) - lengths, []
-        for k in np.unique(part):
-            mine = np.flatnonzero(part == k)
-            rows.append((int(k), ids[ranges(starts[mine], lengths[mine])].astype(np.uint16).tobytes(), lengths[mine].tobytes()))
-        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int32(), pa.binary(), pa.binary()))], ["slice", "ids", "lengths"])
+    return out, lengths, ids, words, hashes
 
 
 def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -197,11 +214,8 @@ def _expected(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         emit, move, start = np.zeros((CLASSES + 1, STATES)), np.zeros((STATES, STATES)), np.zeros(STATES)
         for ids, lengths in _together(batches):
-            gamma, xi, _ = chain.posteriors(model.chain(), ids, lengths, moves=True)
-            for k in range(STATES):
-                emit[:, k] += np.bincount(ids, weights=gamma[:, k], minlength=CLASSES + 1)
-            move += xi
-            start += gamma[np.cumsum(lengths) - lengths].sum(axis=0)
+            for total, part in zip((emit, move, start), chain.expected(model.chain(), ids, lengths), strict=True):
+                total += part
         table = np.concatenate([emit, move, start[None]])
         at = np.flatnonzero(table.sum(axis=1))
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), *(pa.array(table[at, k]) for k in range(STATES))], ["row", *(f"k{k}" for k in range(STATES))])
@@ -209,13 +223,14 @@ def _expected(model: Model):
     return run
 
 
-def train(docs: DataFrame, counts: Counts, epochs: int = 1) -> Model:
-    """Baum-Welch over slices of ``docs`` (doc_id, text), then over all of them. Their class ids are written once."""
+def train(docs: DataFrame, counts: Counts, epochs: int = 1, read: DataFrame | None = None) -> Model:
+    """Baum-Welch over slices of ``docs`` (doc_id, text), then over all of them. ``read``: see ``count_words``."""
     model = first_model(counts)
     memory = np.zeros((CLASSES + 1 + STATES + 1, STATES))
-    part = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(SLICES))
     columns = [f"k{k}" for k in range(STATES)]
-    classed = saved(docs.select(part.cast("int").alias("slice"), "text").mapInArrow(_classes, "slice int, ids binary, lengths binary"), "classes")
+    made = read is None
+    read = read_words(docs) if made else read
+    classed = read.select("slice", "ids", "lengths")
     for low, high, weight in [*STEPS * epochs, WHOLE]:
         rows = classed.where((F.col("slice") >= low) & (F.col("slice") < high)).mapInArrow(_expected(model), "row int, " + ", ".join(f"{c} double" for c in columns))
         new = np.zeros_like(memory)
@@ -230,7 +245,7 @@ def train(docs: DataFrame, counts: Counts, epochs: int = 1) -> Model:
         emit = total[: CLASSES + 1] + 0.5 * STATES * prior[:, None] + 1e-6
         move, start = total[CLASSES + 1 : -1] + 0.1, total[-1] + 0.1
         model = Model(start / start.sum(), move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=0))
-    dropped(classed)
+    dropped(*[read] * made)
     return model
 
 
@@ -244,7 +259,7 @@ def _score_rows(model: Model, counts: Counts, buckets: int):
         part = TaskContext.get().partitionId()
         for number, batch in enumerate(chunks(batches)):
             texts = raw(batch)
-            ids, lengths, numbers, words = _class_ids(texts)
+            ids, lengths, numbers, words, hashes = _class_ids(texts)
             likelihood = chain.log_likelihood(table, ids, lengths + 1)
             docs = np.repeat(np.arange(len(texts)), lengths)
             head = np.fromiter((counts.head.get(w, 0) for w in words), dtype=np.int64, count=len(words))
@@ -262,7 +277,7 @@ def _score_rows(model: Model, counts: Counts, buckets: int):
             word, doc = np.divmod(pairs, max(1, len(texts)))
             firsts = np.searchsorted(word, np.arange(len(words) + 1))
             tail = np.flatnonzero(np.diff(firsts))
-            for b, at in _bucket_rows(words, word_hashes([words[i] for i in tail.tolist()]), buckets):
+            for b, at in _bucket_rows(hashes[tail], buckets):
                 mine = tail[at]
                 size = firsts[mine + 1] - firsts[mine]
                 take = ranges(firsts[mine], size)
@@ -337,7 +352,9 @@ def score(docs: DataFrame, model: Model, counts: Counts) -> DataFrame:
 def op1_hmm(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), held_out().alias("held_out"))
     training = docs.where("not held_out")
-    counts = count_words(training)
-    model = train(training, counts)
+    read = read_words(training)
+    counts = count_words(training, read)
+    model = train(training, counts, read=read)
+    dropped(read)
     out = score(docs, model, counts)
     return out.select("doc_id", held_out().alias("held_out"), "n_tokens", "n_known", F.lit(counts.total).cast("long").alias("train_tokens"), "base_score", "score")

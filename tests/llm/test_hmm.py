@@ -87,3 +87,21 @@ def test_last_step_counts_every_training_document_alike(spark, monkeypatch):
     start = gamma[np.cumsum(lengths + 1) - lengths - 1].sum(axis=0) + 0.1
     assert np.allclose(got.emit, emit / emit.sum(axis=0)) and np.allclose(got.start, start / start.sum())
     assert np.allclose(got.move, (xi + 0.1) / (xi + 0.1).sum(axis=1, keepdims=True))
+
+
+@pytest.mark.parametrize("texts", [[], [b""], [b"", b" \t\n", b"A a\x0bB\x0c\r a", "\u00e9 \u00c9 x\u0085y\u00a0z \x1c q".encode(), b"a\x00b a\x00B", b"end"], [b"w"] * 300])
+def test_numbers_of_words(texts):
+    ids, words, lengths = M.numbered_words(texts)
+    assert [words[i] for i in ids] == [w for x in texts for w in x.lower().split()]
+    assert lengths.tolist() == [len(x.split()) for x in texts] and len(set(words)) == len(words)
+
+
+def test_training_texts_are_read_once(spark, monkeypatch, tmp_path):
+    """One job takes words and class ids from the texts; counting and all steps of training work on what it saved."""
+    rows = [(i, f"a{i % 7} b{i % 3} c") for i in range(60)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    made = []
+    saved = M.saved
+    monkeypatch.setattr(M, "saved", lambda df, name: (made.append((name, str(tmp_path) in "".join(df.inputFiles()))), saved(df, name))[1])
+    compare([tuple(r)[:6] for r in M.op1_hmm(spark, str(tmp_path)).collect()], rows)
+    assert [reads for _, reads in made].count(True) == 1

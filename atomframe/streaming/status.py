@@ -57,13 +57,14 @@ def inactivity(df: DataFrame, ts: str, gap: str, delay: str, *by: str) -> DataFr
     return df.withWatermark(ts, delay).groupBy(*by, F.session_window(ts, gap).alias("w")).agg(F.count("*").alias("events")).select(*by, F.col("w.start").alias("active_from"), F.col("w.end").alias("silent_at"), "events")
 
 
-#: Times are microseconds since 1970 in state and rows: clocks of sessions and workers have no part in them.
-SILENCE = "active_from long, last long, events long"
+#: Activities of a key in order: first and last row and number of rows of each. Times are microseconds since 1970 in state and
+#: rows: clocks of sessions and workers have no part in them.
+SILENCE = "first array<bigint>, last array<bigint>, events array<bigint>"
 
 
 class Silence(StatefulProcessor):
-    """A key's activity: a value in the state and one timer, ``gap`` after its last row. A row with ``done`` ends it without
-    a word; then, and when the timer has spoken, nothing of the key is left."""
+    """A key's activities: a value in the state and one timer, ``gap`` after the last row of the first of them. A row with
+    ``done`` ends an activity without a word; then, and when the timer has spoken of all, nothing of the key is left."""
 
     def __init__(self, keys: list[str], gap: datetime.timedelta, done: str | None):
         self.made, self.gap, self.done = [*keys, "active_from", "silent_at", "events"], round(gap.total_seconds() * 1e6), done
@@ -71,43 +72,82 @@ class Silence(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle, self.state = handle, handle.getValueState("active", SILENCE)
 
-    def _ended(self, key: tuple, active: tuple) -> Row:
+    def _held(self) -> list[tuple]:
+        return list(zip(*self.state.get(), strict=True)) if self.state.exists() else []
+
+    def _told(self, key: tuple, active: tuple) -> Row:
         return Row(*self.made)(*key, active[0], active[1] + self.gap, active[2])
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        active = tuple(self.state.get()) if self.state.exists() else None
-        for at, done in sorted((r["__at"], bool(self.done and r[self.done])) for r in rows):
-            if active and at >= active[1] + self.gap:
-                yield self._ended(key, active)
-                active = None
-            if done:
-                active = None
-            elif active:
-                active = (min(active[0], at), max(active[1], at), active[2] + 1)
-            else:
-                active = (at, at, 1)
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
-        if active:
-            self.state.update(active)
-            now = timerValues.getCurrentProcessingTimeInMs()
-            self.handle.registerTimer((active[1] + self.gap) // 1000 if self.timed else now + self.gap // 1000)
+    def _keep(self, held: list[tuple], due: int) -> None:
+        """``due``: milliseconds of the timer."""
+        if held:
+            self.state.update(tuple([a[k] for a in held] for k in range(3)))
+            self.handle.registerTimer(due)
         elif self.state.exists():
             self.state.clear()
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        if self.state.exists():
-            active = tuple(self.state.get())
-            self.state.clear()
-            yield self._ended(key, active)
+    def _added(self, held: list[tuple], at: int, done: bool) -> list[tuple]:
+        """The activities after one more row, which may be older than some of them."""
+        if done:
+            return [a for a in held if not a[0] <= at < a[1] + self.gap]
+        near = [a for a in held if a[0] - self.gap < at < a[1] + self.gap]
+        one = (min([at, *(a[0] for a in near)]), max([at, *(a[1] for a in near)]), 1 + sum(a[2] for a in near))
+        return sorted([*(a for a in held if a not in near), one])
+
+    def _rows(self, rows) -> list[tuple[int, bool]]:
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+        return sorted((r["__at"], bool(self.done and r[self.done])) for r in rows)
 
 
 class EventSilence(Silence):
-    timed = True
+    """Only the watermark tells that an activity has ended; until then a later row of the key does not, since one between them
+    may come."""
+
+    def _due(self, held: list[tuple]) -> int:
+        return (held[0][1] + self.gap - 1) // 1000 if held else 0  # a timer speaks once the watermark is beyond it
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        held = self._held()
+        for at, done in self._rows(rows):
+            # most rows come in order and touch the last activity alone
+            if held and at >= held[-1][0]:
+                held[-1:] = self._added(held[-1:], at, done)
+            else:
+                held = self._added(held, at, done)
+        self._keep(held, self._due(held))
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        held, now = self._held(), timerValues.getCurrentWatermarkInMs() * 1000
+        left = [a for a in held if a[1] + self.gap > now]
+        self._keep(left, self._due(left))
+        for active in held[: len(held) - len(left)]:
+            yield self._told(key, active)
 
 
 class ClockSilence(Silence):
-    timed = False
+    """A key has one activity; a row ``gap`` later, or no row for as long by the clock, ends it."""
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        held = self._held()
+        for at, done in self._rows(rows):
+            if held and at >= held[0][1] + self.gap:
+                yield self._told(key, held[0])
+                held = []
+            if done:
+                held = []
+            elif held:
+                held = [(min(held[0][0], at), max(held[0][1], at), held[0][2] + 1)]
+            else:
+                held = [(at, at, 1)]
+        self._keep(held, timerValues.getCurrentProcessingTimeInMs() + self.gap // 1000)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        held = self._held()
+        self._keep([], 0)
+        for active in held:
+            yield self._told(key, active)
 
 
 def silences(df: DataFrame, keys: list[str], ts: str, gap: datetime.timedelta, delay: str | None = None, done: str | None = None) -> DataFrame:
@@ -115,7 +155,8 @@ def silences(df: DataFrame, keys: list[str], ts: str, gap: datetime.timedelta, d
     the events: a key is silent once the watermark has passed its last event by ``gap``, whichever key has moved the
     watermark. Without, it is that of the clock: a key is silent when no row of it has come for ``gap``, even if no row
     comes at all any more. ``done``: a column that is true where a key has ended (finished tasks), which leaves the state at
-    once. The state, one row and one timer for each active key, is on disk (RocksDB)."""
+    once. The state, one row and one timer for each active key, is on disk (RocksDB); with a ``delay`` the row has every activity
+    that the watermark has not passed."""
     spark = df.sparkSession
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)
     rows = df.select(*keys, F.col(ts).cast("timestamp").alias(ts), F.unix_micros(F.col(ts).cast("timestamp")).alias("__at"), *([done] if done else []))

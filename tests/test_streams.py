@@ -65,6 +65,22 @@ def test_late_rows_do_not_reopen_what_has_ended(spark, tmp_path):
     assert sorted((r.task, r.events) for r in spark.table("late").collect()) == [("a", 1), ("b", 3)]
 
 
+def test_only_the_watermark_tells_of_a_silence(spark, tmp_path):
+    """A silence that the key's own later row ends waits for the watermark too, as a row between them may still come; one that
+    ends with the watermark is told."""
+    path = str(tmp_path / "in")
+    first = [("a", "2024-01-01 00:00:00", "x"), ("a", "2024-01-01 00:59:00", "x"), ("b", "2024-01-01 00:00:00", "x"), ("b", "2024-01-01 00:50:00", "x"), ("c", "2023-12-31 23:30:00", "x"), ("z", "2024-01-01 01:00:00", "x")]
+    batch(spark, path, first)
+    drained = lambda name, **o: S.drained(S.silences(S.file_stream(spark, path, spark.read.parquet(path).schema, **o), ["task"], "ts", datetime.timedelta(minutes=30), "1 hour"), "append", str(tmp_path / name))
+    assert [(r.task, r.events, str(r.silent_at)) for r in drained("one").collect()] == [("c", 1, "2024-01-01 00:00:00")]
+    time.sleep(1.1)  # file times are in seconds
+    batch(spark, path, [("a", "2024-01-01 00:29:00", "x"), ("b", "2024-01-01 00:25:00", "x"), ("b", "2024-01-01 02:00:00", "x")])
+    time.sleep(1.1)
+    batch(spark, path, [("z", "2024-01-09 00:00:00", "x")])
+    got = sorted((r.task, str(r.active_from), r.events) for r in drained("three", files_per_trigger=1).collect())
+    assert got == [("a", "2024-01-01 00:00:00", 2), ("a", "2024-01-01 00:59:00", 1), ("b", "2024-01-01 00:00:00", 3), ("b", "2024-01-01 02:00:00", 1), ("c", "2023-12-31 23:30:00", 1), ("z", "2024-01-01 01:00:00", 1)]
+
+
 def test_tags_against_the_scheduler(spark, tmp_path):
     """Both precedences; a snapshot that comes late but within the watermark still counts, one beyond it does not."""
     records, jobs = str(tmp_path / "records"), str(tmp_path / "jobs")

@@ -138,8 +138,9 @@ def evaluated(frames: DataFrame, factory: inference.Factory, family: str = "bloc
         F.min(family).alias(family), F.sum("frames").alias("frames"), F.sum("batches").alias("batches"), F.sum("seconds").alias("seconds"), *[F.sum(c).alias(c) for c in inference.SUMS], F.max("error").alias("error"),
     )
     sums = session.written(sums, "system-sums")
-    good, virial = sums.where("error is null"), sums.agg(F.sum("virial_n")).first()[0] or 0
-    levels = metrics.levels_of_sums(good, family, "system_path", bool(virial))
+    good, had = sums.where("error is null"), sums.agg(F.sum("virial_n").alias("virial"), F.sum("frames").alias("frames")).first()
+    # where no frame was evaluated there may be a virial
+    levels = metrics.levels_of_sums(good, family, "system_path", bool(had.virial) or (not had.frames and "virial" in frames.columns))
     rates = good.select("system_path", "batches", "seconds", (F.col("frames") / F.nullif("seconds", F.lit(0.0))).alias("frames_per_second"))
     placed = index.global_index(levels.where("level = 'system'").drop("level", "systems").join(rates, "system_path"), ["system_path"], "index")
     flagged = metrics.worst_flags(placed, "index", "energy_rmse_meV_per_atom", "force_rmse_meV_per_A")

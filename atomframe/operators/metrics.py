@@ -46,20 +46,25 @@ def error_metrics(df: DataFrame, *by: str, virial: bool = False) -> DataFrame:
     return frame_sums(df).groupBy(*by).agg(F.count("*").alias("frames"), *metric_columns(virial))
 
 
+def _by_level(named: DataFrame, family: str, system: str, *figures: Column) -> DataFrame:
+    """``figures`` of every system, family and the whole in one pass; blank families are ``unlabeled``. The whole has a row even
+    where there is nothing: an empty row goes along, which grouping sets need for it, and its own groups go."""
+    rows = named.withColumns({family: F.coalesce(F.nullif(F.trim(F.col(family)), F.lit("")), F.lit("unlabeled")), "__real": F.lit(1)})
+    none = named.sparkSession.range(1).select(F.lit(None).cast("int").alias("__real"))
+    sets = rows.unionByName(none, allowMissingColumns=True).groupingSets([[F.col(family), F.col(system)], [F.col(family)], []], F.col(family), F.col(system))
+    level = F.when(F.grouping(system) == 0, "system").when(F.grouping(family) == 0, "family").otherwise("overall")
+    return sets.agg(level.alias("level"), F.count("__real").alias("__n"), *figures).where("__n > 0 or level = 'overall'").drop("__n")
+
+
 def metrics_by_level(df: DataFrame, family: str = "family", system: str = "system", virial: bool = False) -> DataFrame:
     """One pass over the frames for every system, family and the whole; blank families are ``unlabeled``."""
-    named = frame_sums(df).withColumn(family, F.coalesce(F.nullif(F.trim(F.col(family)), F.lit("")), F.lit("unlabeled")))
-    sets = named.groupingSets([[F.col(family), F.col(system)], [F.col(family)], []], F.col(family), F.col(system))
-    level = F.when(F.grouping(system) == 0, "system").when(F.grouping(family) == 0, "family").otherwise("overall")
-    return sets.agg(level.alias("level"), F.count("*").alias("frames"), *metric_columns(virial))
+    return _by_level(frame_sums(df), family, system, F.count("__real").alias("frames"), *metric_columns(virial))
 
 
 def levels_of_sums(sums: DataFrame, family: str, system: str, virial: bool = False) -> DataFrame:
     """``metrics_by_level`` of rows that hold sums already (as ``frame_sums`` names them, with ``frames``)."""
-    named = sums.withColumn(family, F.coalesce(F.nullif(F.trim(F.col(family)), F.lit("")), F.lit("unlabeled")))
-    sets = named.groupingSets([[F.col(family), F.col(system)], [F.col(family)], []], F.col(family), F.col(system))
-    level = F.when(F.grouping(system) == 0, "system").when(F.grouping(family) == 0, "family").otherwise("overall")
-    return sets.agg(level.alias("level"), F.count_distinct(system).alias("systems"), F.sum("frames").alias("frames"), F.sum("force_n").alias("force_components"), F.sum("virial_n").alias("virial_components"), *metric_columns(virial))
+    frames = F.coalesce(F.sum("frames"), F.lit(0)).alias("frames")
+    return _by_level(sums, family, system, F.count_distinct(system).alias("systems"), frames, F.sum("force_n").alias("force_components"), F.sum("virial_n").alias("virial_components"), *metric_columns(virial))
 
 
 def worst_flags(df: DataFrame, index: str, *metrics: str) -> DataFrame:

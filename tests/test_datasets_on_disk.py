@@ -342,3 +342,16 @@ def test_candidates_with_compositions(spark):
     rows, header = jobs.candidate_manifest(found, ["system", "frame"], finished_only=True, compositions=[comp([("s", "1", ("", 0))]), comp([("s", "1", ("H2", 2)), ("s", "3", ("O", 1))]), comp([("s", "3", ("X", 9))])])
     assert {(x.frame, x.composition.formula) for x in rows.collect()} == {("1", "H2"), ("3", "O")}
     assert (header.first().records, header.first().entries, header.first().skipped) == (3, 2, 1)
+
+
+def test_the_whole_is_a_level_even_if_every_system_falls_out(spark):
+    """As SQL's grouping sets: one row of the whole, with no frames and no errors, with a virial or without."""
+    row = ("s", 1, [0], ["H"], [0.0] * 3, [1.0] * 9, 1.0, [0.0] * 3, [0.0] * 9, " ", "broken")
+    schema = "system_path string, natoms int, types array<int>, type_map array<string>, coord array<double>, box array<double>, energy double, force array<double>, virial array<double>, block string, error string"
+    model = lambda: (["H"], lambda coord, box, types: (coord[:, 0], coord, box))
+    for rows in ([row], []):
+        got = jobs.evaluated(spark.createDataFrame(rows, schema), model).levels.collect()
+        assert [(r.level, r.block, r.system_path, r.systems, r.frames, r.force_components, r.energy_mae_eV, r.virial_rmse_eV) for r in got] == [("overall", None, None, 0, 0, None, None, None)]
+    got = jobs.evaluated(spark.createDataFrame([row, (*row[:-1], None), ("t", *row[1:-1], None)], schema), model).levels.collect()
+    assert sorted((r.level, r.block, r.system_path, r.systems, r.frames) for r in got if r.level != "overall") == [("family", "unknown", None, 1, 1), ("system", "unknown", "t", 1, 1)]
+    assert [(r.systems, r.frames, r.virial_components) for r in got if r.level == "overall"] == [(1, 1, 9)]

@@ -62,12 +62,13 @@ def converted_calculations(spark: SparkSession, root: str, folder: str, type_ord
     (group_name, frames, natoms, elements, counts), and what was selected, converted and skipped of each composition (null
     elements: the structure could not be read). ``only``: the frames (system, frame) to be looked at. Nothing to convert is an
     error, as are elements without a type."""
-    scan = structures.eligible(structures.scan_markers(spark, root, ""), require_tag, require_finished).select("system", "frame")
+    folders = structures.calculation_folders(spark, root)
+    scan = structures.eligible(structures.scan_markers(spark, root, "", folders, outputs=False), require_tag, require_finished).select("system", "frame")
     scan = scan if only is None else scan.join(only.distinct(), ["system", "frame"], "left_semi")
     scan = select.natural_top(scan, "system", "frame", most) if most else scan
     parts = F.split("folder", "/")
-    found = structures.read_calculations(spark, root).withColumns({"system": F.element_at(parts, -2), "frame": F.element_at(parts, -1)})
-    mine = session.written(found.join(scan, ["system", "frame"], "left_semi"), "parsed")  # outputs are parsed once
+    found = structures.read_calculations(spark, root, folders.join(scan, ["system", "frame"], "left_semi"))
+    mine = session.written(found.withColumns({"system": F.element_at(parts, -2), "frame": F.element_at(parts, -1)}), "parsed")  # outputs are parsed once
     canon = F.array(*[F.lit(x) for x in type_order])
     unknown = mine.where("structure_error is null").where(F.size(F.array_except("elements", canon)) > 0)
     if not unknown.isEmpty():

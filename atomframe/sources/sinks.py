@@ -193,9 +193,12 @@ def write_texts(texts: DataFrame, folder: str) -> int:
     repeated task writes the same files again."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         fs, base = pafs.FileSystem.from_uri(folder) if ":" in folder.split("/")[0] else (pafs.LocalFileSystem(), folder)
+        made = None
         for pdf in batches:
             for path, text in zip(pdf["path"], pdf["text"], strict=True):
-                fs.create_dir(f"{base}/{path}".rsplit("/", 1)[0], recursive=True)
+                if (place := f"{base}/{path}".rsplit("/", 1)[0]) != made:
+                    fs.create_dir(place, recursive=True)
+                    made = place
                 with fs.open_output_stream(f"{base}/{path}") as f:
                     f.write(text.encode())
             yield pd.DataFrame({"n": [len(pdf)]})

@@ -8,9 +8,11 @@ from functools import partial
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from atomframe.session import checkpointed
 from atomframe.sources.discovery import opened
 from atomframe.sources.trajectories import parse_xyz, read_xyz_frames  # noqa: F401
 
@@ -184,53 +186,124 @@ def eligible(scan: DataFrame, require_tag: bool = False, require_finished: bool
     return out.where("task_info and coalesce(task_status, '') = 'finished'") if require_finished else out
 
 
-def read_calculations(spark: SparkSession, root: str) -> DataFrame:
-    """The structure and output files of each folder, joined: folder, elements, counts, and what the output says, checked
+#: Names of files that say something of a calculation, and rows (of a folder) that a listing task hands on at a time.
+MARKERS = ("tag_finished", "tag_failed", "POSCAR", "OUTCAR", "task_info.json", "frame_info.json")
+LISTED = 10_000
+
+
+def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Folders become the folders in them (to be listed next) and, if there are files, a row with the markers among them."""
+    kinds = {"folder": pa.string(), "names": pa.list_(pa.string())}
+    for batch in batches:
+        for folder in batch.column("folder").to_pylist():
+            fs, base = opened(folder)
+            inner, files = [], []
+            for i in fs.get_file_info(pafs.FileSelector(base)):
+                (inner if i.type == pafs.FileType.Directory else files).append(i.base_name)
+            rows = [(f"{folder}/{name}", None) for name in inner] + ([(folder, [n for n in files if n in MARKERS])] if files else [])
+            for a in range(0, len(rows), LISTED):
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[a : a + LISTED], strict=True), kinds.values(), strict=True)], list(kinds))
+
+
+def calculation_folders(spark: SparkSession, root: str) -> DataFrame:
+    """folder, system and frame (the last two names of its path) and names (of the marker files in it) of each folder below
+    ``root`` that has a file. The executors list a level of folders after another; the driver sees no path."""
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    level, found = spark.createDataFrame([(re.sub("^file:/+", "/", root).rstrip("/"),)], "folder string"), None
+    while True:
+        level = checkpointed(level.repartition(n).mapInArrow(_listed, "folder string, names array<string>"))
+        own = level.where("names is not null")
+        found = own if found is None else found.unionByName(own)
+        level = level.where("names is null").select("folder")
+        if level.isEmpty():
+            break
+    parts = F.split("folder", "/")
+    return found.withColumns({"system": F.element_at(parts, -2), "frame": F.element_at(parts, -1)})
+
+
+def read_calculations(spark: SparkSession, root: str, folders: DataFrame | None = None) -> DataFrame:
+    """The structure and output files of each folder together: folder, elements, counts, and what the output says, checked
     against the structure's number of atoms. ``error`` says what is wrong with either; ``structure_error`` only with the
-    structure."""
-    folder = lambda df: df.withColumn("folder", F.regexp_extract("path", "^(.*)/[^/]*$", 1))
-    s = folder(read_structures(spark, root, "POSCAR")).select("folder", "elements", "counts", F.col("natoms").alias("__n"), F.col("error").alias("structure_error"))
-    o = folder(read_calc_outputs(spark, root, "OUTCAR")).drop("path").withColumnRenamed("error", "__error")
-    both = s.join(o, "folder")
+    structure. ``folders``: those to be read, as ``calculation_folders`` gives them (by default all below ``root``)."""
+    listed = calculation_folders(spark, root) if folders is None else folders
+    kinds = f"folder string, elements array<string>, counts array<int>, structure_error string, __n int, {OUTPUT.replace('path string, ', '').replace('error string', '__error string')}"
+    names = [x.split()[0] for x in kinds.split(", ")]
+
+    def tried(row: dict, error: str, parse: Callable[[], dict]) -> dict:
+        try:
+            return parse()
+        except (ValueError, IndexError) as e:
+            row[error] = f"{type(e).__name__}: {e}"
+            return {}
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = []
+            for folder in pdf["folder"]:
+                fs, base = opened(folder)
+                row = dict.fromkeys(names) | {"folder": folder}
+                with fs.open_input_file(f"{base}/POSCAR") as f:
+                    s = tried(row, "structure_error", lambda f=f: parse_structure(f.read().decode(errors="replace")))
+                with fs.open_input_file(f"{base}/OUTCAR") as f:
+                    row |= tried(row, "__error", lambda f=f: last_output(lambda lo, hi: f.read_at(hi - lo, lo), f.size()))
+                rows.append(row | {"elements": s.get("elements"), "counts": s.get("counts"), "__n": s.get("natoms")})
+            yield pd.DataFrame(rows, columns=names).astype({"__n": "Int32", "natoms": "Int32"})
+
+    both = _dealt(listed.where(F.array_contains("names", "POSCAR") & F.array_contains("names", "OUTCAR")).select("folder")).mapInPandas(run, kinds)
     unlike = F.when(F.col("__n") != F.col("natoms"), F.concat(F.lit("ValueError: atoms of the output "), "natoms", F.lit(", of the structure "), "__n"))
     return both.withColumn("error", F.coalesce("structure_error", "__error", unlike)).drop("__n", "__error")
 
 
-def list_files(spark: SparkSession, root: str) -> DataFrame:
-    """Paths of all files below ``root``, empty ones too (which Spark's readers leave out). The folders directly below the
-    root are listed by as many tasks."""
-    kind = lambda path: pafs.FileSystem.from_uri(path) if re.match(r"\w+:", path) else (pafs.LocalFileSystem(), path)
-    fs, base = kind(root)
-    tops = [(i.path, i.type == pafs.FileType.Directory) for i in fs.get_file_info(pafs.FileSelector(base))]
+def _dealt(folders: DataFrame) -> DataFrame:
+    """Folders in as many tasks as there are partitions, whichever task has listed them."""
+    return folders.repartition(int(folders.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        here, _ = kind(root)
-        for pdf in batches:
-            for path, folder in zip(pdf["path"], pdf["folder"], strict=True):
-                found = [i.path for i in here.get_file_info(pafs.FileSelector(path, recursive=True)) if i.type == pafs.FileType.File] if folder else [path]
-                yield pd.DataFrame({"path": found}, dtype="str")
 
-    rows = spark.createDataFrame(tops, "path string, folder boolean")
-    return rows.repartition(max(1, min(len(tops), 10_000)), "path").mapInPandas(run, "path string")
+def contained(read: Callable[[int, int], bytes], size: int, marks: list[bytes], block: int = TAIL) -> list[bool]:
+    """Which of the texts occur in a file of any length, of which ``read`` gives bytes; blocks overlap by the longest text."""
+    found, lap = [False] * len(marks), max(map(len, marks)) - 1
+    for lo in range(0, size, block):
+        part = read(lo, min(size, lo + block + lap))
+        found = [have or mark in part for have, mark in zip(found, marks, strict=True)]
+        if all(found):
+            break
+    return found
 
 
-def scan_markers(spark: SparkSession, root: str, target: str) -> DataFrame:
+def scan_markers(spark: SparkSession, root: str, target: str, folders: DataFrame | None = None, outputs: bool = True) -> DataFrame:
     """Marker rows of the frames (root/system/frame/...): which files are there, what the output says, the status in
     task_info.json (task_status, lower case), and status: that one or, where it is blank, that in frame_info.json. File
-    contents are read of the outputs and of these two files only."""
-    every = list_files(spark, root)
-    split = F.split("path", "/")
-    at = lambda c, k: F.element_at(c, -k)
-    have = lambda name: F.bool_or(at(split, 1) == name)
-    keyed = every.withColumns({"system": at(split, 3), "frame": at(split, 2)})
-    found = keyed.groupBy("system", "frame").agg(have("tag_finished").alias("tag_finished"), have("tag_failed").alias("tag_failed"), have("POSCAR").alias("poscar"), have("OUTCAR").alias("outcar"), have("task_info.json").alias("task_info"), have("frame_info.json").alias("frame_info"))
-    text = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "OUTCAR").text(root).select(F.split(F.col("_metadata.file_path"), "/").alias("p"), "value")
-    marks = text.groupBy(at(F.col("p"), 3).alias("system"), at(F.col("p"), 2).alias("frame")).agg(F.bool_or(F.col("value").contains(CONVERGED)).alias("ediff_reached"), F.bool_or(F.col("value").contains(FOOTER)).alias("normal_footer"))
-    info = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "{task,frame}_info.json").text(root, wholetext=True)
-    info = info.select(F.split(F.col("_metadata.file_path"), "/").alias("p"), F.lower(F.trim(F.get_json_object("value", "$.status"))).alias("s"))
-    own = lambda name: F.max(F.when(at(F.col("p"), 1) == name, F.col("s")))
-    info = info.groupBy(at(F.col("p"), 3).alias("system"), at(F.col("p"), 2).alias("frame")).agg(own("task_info.json").alias("task_status"), own("frame_info.json").alias("__frame_status"))
-    found = found.join(info, ["system", "frame"], "left")
+    contents are read of the outputs and of these two files only, by the tasks. ``folders``: see ``read_calculations``;
+    without ``outputs`` they stay closed, and what they say is missing."""
+    listed = calculation_folders(spark, root) if folders is None else folders
+    marks = [CONVERGED.encode(), FOOTER.encode()]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = []
+            for folder, have in zip(pdf["folder"], pdf["names"], strict=True):
+                fs, base = opened(folder)
+                said, texts = [False, False], []
+                if outputs and "OUTCAR" in have:
+                    with fs.open_input_file(f"{base}/OUTCAR") as f:
+                        said = contained(lambda lo, hi, f=f: f.read_at(hi - lo, lo), f.size(), marks)
+                for name in ("task_info.json", "frame_info.json"):
+                    if name in have:
+                        with fs.open_input_file(f"{base}/{name}") as f:
+                            texts.append(f.read().decode(errors="replace"))
+                    else:
+                        texts.append(None)
+                rows.append((*said, *texts))
+            out = pdf[["system", "frame", "names"]].reset_index(drop=True)
+            yield out.join(pd.DataFrame(rows, columns=["ediff_reached", "normal_footer", "__task", "__frame"]).astype({"__task": object, "__frame": object}))
+
+    read = _dealt(listed).mapInPandas(run, "system string, frame string, names array<string>, ediff_reached boolean, normal_footer boolean, __task string, __frame string")
+    have = lambda name: F.bool_or(F.array_contains("names", name))
+    own = lambda c: F.max(F.lower(F.trim(F.get_json_object(c, "$.status"))))
+    flags = {"tag_finished": "tag_finished", "tag_failed": "tag_failed", "poscar": "POSCAR", "outcar": "OUTCAR", "task_info": "task_info.json", "frame_info": "frame_info.json"}
+    found = read.groupBy("system", "frame").agg(
+        *[have(name).alias(c) for c, name in flags.items()], own("__task").alias("task_status"), own("__frame").alias("__frame_status"),
+        *([F.bool_or(c).alias(c) for c in ("ediff_reached", "normal_footer")] if outputs else []),
+    )
     status = F.coalesce(F.nullif("task_status", F.lit("")), F.col("__frame_status"), F.lit(""))
-    out = found.join(marks, ["system", "frame"], "left").withColumn("target", F.lit(target)).withColumn("status", status).drop("__frame_status")
-    return out.withColumns({c: F.coalesce(c, F.lit(False)) for c in ("ediff_reached", "normal_footer")})
+    return found.withColumn("target", F.lit(target)).withColumn("status", status).drop("__frame_status")

@@ -6,8 +6,9 @@ import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 import pytest
+from pyspark.sql import functions as F
 
-from atomframe.operators import dataset
+from atomframe.operators import dataset, jobs
 from atomframe.sources import sinks, structures, trajectories, versions
 
 
@@ -123,3 +124,21 @@ def test_bucketed_archives_are_compared_without_an_exchange(spark, tmp_path):
     assert "SortMergeJoin" in plan and "Exchange" not in plan[plan.index("SortMergeJoin") :]
     r = out.first()
     assert (r.frames_compared, r.missing_in_archive, r.different_values, r.max_abs_difference) == (199, 1, 1, 8.0)
+
+
+def test_calculations_are_read_once_and_only_where_they_are_wanted(spark, tmp_path):
+    """A job opens the files of the frames that it converts, in one pass and without a list on the driver."""
+    for frame, tag in (("f_1", True), ("f_2", False)):
+        folder = tmp_path / "s_1" / frame
+        folder.mkdir(parents=True)
+        (folder / "POSCAR").write_text("too short")
+        (folder / "OUTCAR").write_text("x")
+        if tag:
+            (folder / "tag_finished").write_text("")
+    folders = structures.calculation_folders(spark, str(tmp_path))
+    tagged = folders.where(F.array_contains("names", "tag_finished"))
+    read = structures.read_calculations(spark, str(tmp_path), tagged)
+    assert read.inputFiles() == [] and [r.folder[-3:] for r in read.collect()] == ["f_1"]
+    assert structures.read_calculations(spark, str(tmp_path)).count() == 2
+    with pytest.raises(ValueError, match="nothing to convert"):
+        jobs.converted_calculations(spark, str(tmp_path), str(tmp_path / "out"), ["H"], require_tag=True)

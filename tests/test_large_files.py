@@ -142,3 +142,18 @@ def test_calculations_are_read_once_and_only_where_they_are_wanted(spark, tmp_pa
     assert structures.read_calculations(spark, str(tmp_path)).count() == 2
     with pytest.raises(ValueError, match="nothing to convert"):
         jobs.converted_calculations(spark, str(tmp_path), str(tmp_path / "out"), ["H"], require_tag=True)
+
+
+def test_a_conversion_reads_by_its_tasks(spark, tmp_path):
+    """Frames of one folder level more, hidden folders too, come out as before, with what was skipped."""
+    box, atom = "VOLUME and BASIS-vectors are now :\na\nb\nc\nd\n4 0 0 0 0 0\n0 4 0 0 0 0\n0 0 4 0 0 0\n", "0 0 0 0.5 0.5 0.5"
+    whole = f"free energy TOTEN = -1.5 eV\n{box}  Total 1 2 3 4 5 6\n POSITION TOTAL-FORCE (eV/Angst)\n ----\n{atom}\n ----\n"
+    for k, text in enumerate((whole, whole, whole.replace(" ----\n", "", 2).replace(atom, "")), 1):
+        folder = tmp_path / "in" / ("s/.hidden" if k == 2 else "s") / f"f_{k}"
+        folder.mkdir(parents=True)
+        (folder / "POSCAR").write_text("t\n1.0\n4 0 0\n0 4 0\n0 0 4\nH\n1\nDirect\n0 0 0\n")
+        (folder / "OUTCAR").write_text(text)
+        (folder / "task_info.json").write_text('{"status": "finished"}')
+    written, summary = jobs.converted_calculations(spark, str(tmp_path / "in"), str(tmp_path / "out"), ["H"], require_finished=True)
+    assert [(r.frames, r.natoms, list(r.elements)) for r in written.collect()] == [(2, 1, ["H"])]
+    assert [(list(r.elements), r.selected, r.converted, r.skipped) for r in summary.collect()] == [(["H"], 3, 2, 1)]

@@ -126,6 +126,24 @@ def test_bucketed_archives_are_compared_without_an_exchange(spark, tmp_path):
     assert (r.frames_compared, r.missing_in_archive, r.different_values, r.max_abs_difference) == (199, 1, 1, 8.0)
 
 
+def test_marker_files_are_listed_and_read_by_the_tasks(spark, tmp_path):
+    """The driver has no list of files (Spark's file readers have one), at any depth; marks are found across blocks."""
+    for name, files in {"s_1/f_1": {"OUTCAR": f"x\n{structures.CONVERGED}\n", "tag_finished": "", "other": ""}, "s_1/f_2": {"task_info.json": '{"status": " Finished"}'}, "deep/s_2/f_1": {"OUTCAR": "", "POSCAR": "x"}, "s_3/f_1/inner": {"other": ""}}.items():
+        (tmp_path / name).mkdir(parents=True)
+        for f, text in files.items():
+            (tmp_path / name / f).write_text(text)
+    scan = structures.scan_markers(spark, str(tmp_path), "t")
+    assert scan.inputFiles() == []
+    got = {(r.system, r.frame): (r.tag_finished, r.poscar, r.outcar, r.ediff_reached, r.normal_footer, r.task_status, r.status) for r in scan.collect()}
+    assert got == {
+        ("s_1", "f_1"): (True, False, True, True, False, None, ""), ("s_1", "f_2"): (False, False, False, False, False, "finished", "finished"),
+        ("s_2", "f_1"): (False, True, True, False, False, None, ""), ("f_1", "inner"): (False, False, False, False, False, None, ""),
+    }
+    text = b"." * 37 + structures.CONVERGED.encode() + b"." * 61
+    for block in range(1, 140, 7):
+        assert structures.contained(lambda lo, hi: text[lo:hi], len(text), [structures.CONVERGED.encode(), b"nowhere"], block) == [True, False]
+
+
 def test_calculations_are_read_once_and_only_where_they_are_wanted(spark, tmp_path):
     """A job opens the files of the frames that it converts, in one pass and without a list on the driver."""
     for frame, tag in (("f_1", True), ("f_2", False)):

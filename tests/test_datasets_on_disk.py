@@ -355,3 +355,29 @@ def test_the_whole_is_a_level_even_if_every_system_falls_out(spark):
     got = jobs.evaluated(spark.createDataFrame([row, (*row[:-1], None), ("t", *row[1:-1], None)], schema), model).levels.collect()
     assert sorted((r.level, r.block, r.system_path, r.systems, r.frames) for r in got if r.level != "overall") == [("family", "unknown", None, 1, 1), ("system", "unknown", "t", 1, 1)]
     assert [(r.systems, r.frames, r.virial_components) for r in got if r.level == "overall"] == [(1, 1, 9)]
+
+
+@pytest.mark.parametrize("height", [0.9, 0.25])
+def test_contacts_are_not_gathered(spark, height):
+    """Pairs are made once: nothing is aggregated or exchanged after the join (unless an atom is there twice), with few images
+    and with many."""
+    from atomframe.operators import geometry
+
+    r = np.random.default_rng(5)
+    box = np.array([[4.0, 0, 0], [-1.5, 3.0, 0], [0.4, 0.1, height]])
+    xyz = r.normal(0, 2, (30, 3))
+    shifts = np.array(np.meshgrid([-2, -1, 0, 1, 2], [-2, -1, 0, 1, 2], np.arange(-9, 10))).reshape(3, -1).T @ box
+    s = xyz @ np.linalg.inv(box)
+    d = lambda i, j: float(np.linalg.norm((s[i] - np.floor(s[i]) - s[j] + np.floor(s[j])) @ box + shifts, axis=1).min())
+    rows = [("f", i, *map(float, p), box.ravel().tolist()) for i, p in enumerate(xyz)]
+    contacts = lambda rows: geometry.cell_contacts(spark.createDataFrame(rows, "frame string, atom int, x double, y double, z double, box array<double>"), "frame", 1.0, periodic=(True, True, True))
+    seen = lambda df: sorted((x.atom_a, x.atom_b, round(x.distance, 9)) for x in df.collect())
+    out = contacts(rows)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Join" in plan and "Aggregate" not in plan.partition("Join")[0]
+    assert seen(out) == [(i, j, round(d(i, j), 9)) for i in range(30) for j in range(i + 1, 30) if d(i, j) < 1.0]
+    # atom 29 is there a second time, at the place of atom 0
+    twice = seen(contacts([*rows, ("f", 29, *rows[0][2:])]))
+    least = lambda i, j: min(d(i, j), d(i, 0)) if j == 29 else d(i, j)
+    assert twice == [(i, j, round(least(i, j), 9)) for i in range(30) for j in range(i + 1, 30) if least(i, j) < 1.0]
+    assert seen(contacts([])) == []
